@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, batch_of, id_and_text, slices, words_of
+from .common import arrow_map, arrow_schema, batch_of, id_and_text, on_workers, slices, words_of
 
 _hash = partial(xxhash.xxh64_intdigest, seed=11)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -139,6 +139,7 @@ def contained(docs: DataFrame, items: DataFrame, p: Containment = Containment())
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, p: Containment = Containment()) -> DataFrame:
     """Documents that contain no item, all their columns kept; each row is judged where it stands, so no join is needed."""
+    on_workers(docs.sparkSession)
     for block in _blocks(id_and_text(items, "item_id").withColumnRenamed("doc_id", "item_id"), p):
 
         @F.pandas_udf("boolean")

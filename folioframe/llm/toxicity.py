@@ -2,7 +2,8 @@
 
 Features of a text are the *set* of its hashed words, word pairs and word pairs
 with one or two words skipped. Per-coordinate rates and L1 leave few non-zero
-weights, which are broadcast (at most ``2 ** bits``) and applied to whole texts.
+weights, whose number is checked before they are broadcast and applied to whole
+texts.
 
 Defined results: null and empty texts have no feature and get the bias alone as
 score; repeated rows are scored each; rows without a label or with one that is
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, slices, words_of
+from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, on_workers, slices, words_of
 
 _hash = partial(xxhash.xxh64_intdigest, seed=7)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -33,14 +34,21 @@ REMEMBERED = 400_000
 
 @dataclass(frozen=True)
 class Ftrl:
-    """``sample_rows`` bounds the labelled documents learned from: those with the smallest hashed ids."""
+    """``sample_rows`` bounds the labelled documents learned from: those with the smallest hashed ids.
 
-    bits: int = 18
-    alpha: float = 0.3
+    A coordinate is active if, over the sample, its label sum stands ``screen``
+    standard deviations from chance and ``support`` documents have it; so chance
+    pairs of words in mislabelled documents get no weight.
+    """
+
+    bits: int = 32
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 1.0
-    epochs: int = 3
+    l1: float = 1.0
+    l2: float = 0.1
+    epochs: int = 6
+    screen: float = 5.0
+    support: int = 2
     sample_rows: int = 10_000
     threshold: float = 0.3
 
@@ -69,23 +77,47 @@ class Features:
 
 
 def train(examples: list[tuple[np.ndarray, int]], p: Ftrl) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse weights (index, value) after ``epochs`` passes; index ``2 ** bits`` is the bias, which L1 spares."""
-    size = 1 << p.bits
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
-    l1 = np.full(size + 1, p.l1)
-    l1[size] = 0
-    weight = lambda i: np.where(np.abs(z[i]) <= l1[i], 0, -(z[i] - np.sign(z[i]) * l1[i]) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2))
+    """Sparse weights (feature, value), features in order; feature -1, the first, is the bias, which L1 spares."""
+    labels = np.array([y for _, y in examples], float)
+    prior = min(max(labels.mean(), 1e-3), 1 - 1e-3)
+    every, counts = np.unique(np.concatenate([f for f, _ in examples]), return_counts=True)
+    ones = [f for f, y in examples if y] or [every[:0]]
+    positive, times = np.unique(np.concatenate(ones), return_counts=True)
+    pull = -prior * counts
+    pull[np.searchsorted(every, positive)] += times
+    active = every[(np.abs(pull) >= p.screen * np.sqrt(counts * prior * (1 - prior))) & (counts >= p.support)]
+    rows = [(np.append(np.flatnonzero(np.isin(active, f, assume_unique=True)) + 1, 0), y) for f, y in examples]
+    z, n, l1 = np.zeros(len(active) + 1), np.zeros(len(active) + 1), np.full(len(active) + 1, p.l1)
+    l1[0] = 0
+
+    def weight(i: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(z[i]) <= l1[i], 0, -(z[i] - np.sign(z[i]) * l1[i]) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2))
+
     for _ in range(p.epochs):
-        for features, label in examples:
-            i = np.append(features, size)
+        for i, label in rows:
             w = weight(i)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
             squared = n[i] + g * g
             z[i] += g - (np.sqrt(squared) - np.sqrt(n[i])) / p.alpha * w
             n[i] = squared
-    w = weight(np.arange(size + 1))
-    i = np.flatnonzero(w)
-    return i, w[i]
+    w = weight(np.arange(len(active) + 1))
+    some = np.flatnonzero(w[1:]) + 1
+    return np.concatenate([[-1], active[some - 1].astype(np.int64)]), np.concatenate([w[:1], w[some]])
+
+
+class Model:
+    """Logit of a text under sparse weights."""
+
+    def __init__(self, weights: tuple[np.ndarray, np.ndarray], p: Ftrl):
+        self.of, self.bias = Features(p.bits), float(weights[1][0]) if len(weights[1]) else 0.0
+        self.features, self.weights = weights[0][1:].astype(np.uint32), weights[1][1:]
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.features & np.uint32(0xFFFF)] = True
+
+    def __call__(self, text: str | None) -> float:
+        f = self.of(text)
+        f = f[self.maybe[f & np.uint32(0xFFFF)]]
+        return self.bias + float(self.weights[np.isin(self.features, f)].sum()) if len(f) else self.bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [(np.frombuffer(f, np.uint32), y) for b in batches for f, y in zip(b["features"].to_pylist(), b["label"].to_pylist(), strict=True)]
-        if examples:
+        if any(len(f) for f, _ in examples):
             i, w = train(examples, p)
             yield batch_of(arrow_schema(i=pa.int64(), w=pa.float64()), pa.array(i, pa.int64()), pa.array(w, pa.float64()))
 
@@ -113,29 +145,27 @@ def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "
 
 def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl()) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text."""
-    size = 1 << p.bits
-    if len(weights[0]) > size + 1:
-        raise ValueError("more weights than features")
-    shared = docs.sparkSession.sparkContext.broadcast((weights[0], weights[1].astype(np.float64)))
+    shared = docs.sparkSession.sparkContext.broadcast(checked(weights, p))
     out = arrow_schema(doc_id=pa.int64(), score=pa.float64())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, dense = Features(p.bits), np.zeros(size + 1)
-        dense[shared.value[0]] = shared.value[1]
-        some = dense != 0
+        model = Model(shared.value, p)
         for b in slices(batches):
-            sums = []
-            for text in b["text"].to_pylist():
-                f = of(text)
-                f = np.unique(f[some[f]])
-                sums.append(dense[f].sum() + dense[size])
-            yield batch_of(out, b["doc_id"], pa.array(1 / (1 + np.exp(-np.clip(np.array(sums, float), -35, 35)))))
+            logits = np.array([model(t) for t in b["text"].to_pylist()], float)
+            yield batch_of(out, b["doc_id"], pa.array(1 / (1 + np.exp(-np.clip(logits, -35, 35)))))
 
     return arrow_map(id_and_text(docs), scored, "doc_id long, score double").select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= p.threshold).cast("int").alias("predicted")
     )
 
 
+def checked(weights: tuple[np.ndarray, np.ndarray], p: Ftrl) -> tuple[np.ndarray, np.ndarray]:
+    """Weights are broadcast only within this bound; the screen keeps them far below it."""
+    if len(weights[0]) > 1_000_000:
+        raise ValueError("more active features than are broadcast: raise the screen")
+    return weights
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:
     return score(docs, fit(docs, labels, p), p)
 
@@ -146,23 +176,13 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFram
     The text is scored where it stands, so no join is needed and repeated or
     null ids are judged row by row.
     """
-    weights = fit(docs, labels, p)
-    size = 1 << p.bits
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast(checked(fit(docs, labels, p), p))
+    on_workers(docs.sparkSession)
 
     @F.pandas_udf("double")
     def logit(texts):
         import pandas as pd
 
-        of, dense = Features(p.bits), np.zeros(size + 1)
-        dense[shared.value[0]] = shared.value[1]
-        some = dense != 0
-        found = []
-        for t in texts:
-            f = of(t)
-            f = np.unique(f[some[f]])
-            found.append(dense[f].sum() + dense[size])
-        return pd.Series(found, dtype="float64")
-
-    most = float(np.log(p.threshold / (1 - p.threshold)))
-    return docs.filter(logit(F.col("text").cast("string")) < most)
+        return pd.Series(list(map(Model(shared.value, p), texts)), dtype="float64")
+
+    return docs.filter(logit(F.col("text").cast("string")) < float(np.log(p.threshold / (1 - p.threshold))))
