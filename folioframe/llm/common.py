@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Rows handled at once inside a Python worker; long texts stay few at a time.
 SLICE_ROWS = 1000
@@ -204,4 +203,19 @@ def connected_components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-LONG, STRING, DOUBLE, INT, BOOL = T.LongType(), T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of highest ``count``, at most ``most`` of them: all from some count on.
+
+    The count is cut by a histogram of fine logarithmic steps, a few hundred
+    rows on the driver, so no task gathers candidates. Rows of a step that would
+    exceed the bound stay out together.
+    """
+    step = F.floor(F.log2(F.col(count)) * 16).cast("int")
+    sizes = df.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
+    cut, total = None, 0
+    for s, n in sorted(((r["step"], r["rows"]) for r in sizes), reverse=True):
+        if (total := total + n) > most:
+            break
+        cut = s
+    return df.filter(step >= cut) if cut is not None else df.filter(F.lit(False))
+

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, slices, words_of
+from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, most_frequent, slices, words_of, written
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,8 @@ def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> list
 
     counts = arrow_map(rows.join(F.broadcast(sample), "doc_id").select("lang", "text"), counted, "lang string, entry string, n long").groupBy("lang", "entry").agg(F.sum("n").alias("n"))
     gram = F.col("entry").startswith("\t")
-    top = [counts.filter(which).orderBy(F.desc("n"), "entry", "lang").limit(p.entries) for which in (~gram & (F.col("n") > 1), gram)]
+    counts = written(counts, "entries")
+    top = [most_frequent(counts.filter(which), "n", p.entries) for which in (~gram & (F.col("n") > 1), gram)]
     return [tuple(r) for r in top[0].unionAll(top[1]).collect()]
 
 

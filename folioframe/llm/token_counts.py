@@ -3,7 +3,7 @@
 First the distinct pre-tokens of all texts, with how often they occur, have
 their pieces counted by the tokenizers library. Then every document's pre-token
 frequencies are joined to those counts and summed. The join is a hybrid: the
-``head`` most frequent pre-tokens, a fixed number of short strings, are
+``head`` most frequent pre-tokens, that many short strings at most, are
 broadcast and summed where the text is; what remains of a document's
 frequencies, its rare pre-tokens, joins by shuffle. Frequent pre-tokens are
 exactly the ones in the head, so no key of the shuffle is hot. Every count is
@@ -26,13 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, batch_of, id_and_text, slices, written
+from .common import arrow_map, arrow_schema, batch_of, id_and_text, most_frequent, slices, written
 from .pretokens import Whole, pretokenizer
 
 
 @dataclass(frozen=True)
 class Counting:
-    """``head`` pre-tokens of at most ``head_chars`` characters are broadcast; ``gathered`` distinct ones are held before a task passes them on."""
+    """At most ``head`` pre-tokens of at most ``head_chars`` characters are broadcast; ``gathered`` distinct ones are held before a task passes them on."""
 
     limit: int = 512
     head: int = 200_000
@@ -95,7 +95,7 @@ def token_counts(docs: DataFrame, path: str, p: Counting = Counting()) -> DataFr
 
     pieces = arrow_map(texts.select("text"), distinct, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = written(arrow_map(pieces, count, "piece string, n long, pieces long"), "pieces")
-    top = pieces.filter(F.length("piece") <= p.head_chars).orderBy(F.desc("n"), "piece").limit(p.head).select("piece", "pieces").toArrow()
+    top = most_frequent(pieces.filter(F.length("piece") <= p.head_chars), "n", p.head).select("piece", "pieces").toArrow()
     head = spark.sparkContext.broadcast(dict(zip(top["piece"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
 
     tail = pa.list_(pa.struct([("piece", pa.string()), ("n", pa.int32())]))
