@@ -1,4 +1,10 @@
-"""Named queries over the library's operators."""
+"""Named queries over the library's operators on the test tables, each with the SQL that checks it.
+
+The tables stand in for book data: conversations for a story's paragraphs (role
+as style, turn as position), pages for story XML, documents for page text, labels
+for a dimension with gaps, orders for tasks, lineitem for frame chains. Every
+query reads its whole tables.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +13,563 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+from ..operators import anchors, assets, batch, order, render, sequence, styles, tables, toc
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- styles: usage, rules, policies, overlays
+
+RULES = {"user": {"kind": "list", "ordered": True, "marker": "decimal"}, "assistant": {"kind": "admonition", "variant": "tip"}}
+
+
+@query("SELECT role AS style, count(*) AS n, min(conv_id * 1000 + turn) AS first_pos FROM conversations GROUP BY role ORDER BY n DESC, first_pos LIMIT 10")
+def style_usage_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "conversations").withColumn("ord", F.col("conv_id") * 1000 + F.col("turn"))
+    return styles.most_used(rows, 10, "role", "ord")
+
+
+@query("SELECT count(DISTINCT role) AS styles, count(*) AS paragraphs FROM conversations")
+def style_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "conversations").agg(F.count_distinct("role").alias("styles"), F.count("*").alias("paragraphs"))
+
+
+@query("SELECT role AS style, count(*) AS seen, count(*) FILTER (role NOT IN ('user', 'assistant')) AS unmapped FROM conversations GROUP BY role")
+def style_seen_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return styles.seen_and_unmapped(t(spark, sf_dir, "conversations"), styles.rules_table(spark, RULES), "role")
+
+
+_KIND = "CASE role WHEN 'user' THEN 'list' WHEN 'assistant' THEN 'admonition' ELSE 'paragraph' END"
+
+
+@query(f"SELECT conv_id, turn, {_KIND} AS kind, role IN ('user', 'assistant') AS mapped FROM conversations")
+def unknown_policy_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "conversations").withColumnRenamed("role", "style")
+    return styles.apply_rules(rows, styles.rules_table(spark, RULES)).select("conv_id", "turn", "kind", "mapped")
+
+
+@query(f"SELECT conv_id, turn, {_KIND} AS kind FROM conversations WHERE role IN ('user', 'assistant')")
+def unknown_policy_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "conversations").withColumnRenamed("role", "style")
+    return styles.apply_rules(rows, styles.rules_table(spark, RULES), "drop").select("conv_id", "turn", "kind")
+
+
+@query("""WITH b AS (SELECT doc_id AS path, CAST(quality AS VARCHAR) AS v FROM labels), o AS (SELECT doc_id AS path, lang AS v FROM documents)
+SELECT path, coalesce(o.v, b.v) AS value FROM b FULL JOIN o USING (path)""")
+def rule_overlay_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = t(spark, sf_dir, "labels").select(F.col("doc_id").alias("path"), F.col("quality").cast("string").alias("value"))
+    return styles.overlay_paths(base, t(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("lang").alias("value")))
+
+
+# --- scalar functions
+
+_HYPHEN = "regexp_replace({}, '([\\pL\\pN_])[-­]([\\pL\\pN_])', '\\1\\2', 'g')"
+
+
+def _norm_sql(x: str) -> str:
+    y = f"regexp_replace(lower(strip_accents({x})), '[*_`~]+', '', 'g')"
+    return f"trim(regexp_replace({_HYPHEN.format(_HYPHEN.format(y))}, '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, md5({_norm_sql('text')}) AS norm_md5, length({_norm_sql('text')}) AS n FROM documents")
+def normalize_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "documents").select("doc_id", X.normalize_search(F.col("text")).alias("norm"))
+    return rows.select("doc_id", F.md5(F.col("norm").cast("binary")).alias("norm_md5"), F.length("norm").cast("long").alias("n"))
+
+
+_H1 = "trim(regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '[ \\t\\r\\n]+', ' ', 'g'))"
+
+
+def _slug_sql(x: str) -> str:
+    return f"regexp_replace(regexp_replace(regexp_replace(lower(strip_accents({x})), '[^\\x00-\\x7f]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+def h1_titles(pages: DataFrame) -> DataFrame:
+    title = F.trim(F.regexp_replace(F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1), "[ \\t\\r\\n]+", " "))
+    return pages.select("page_id", title.alias("title"))
+
+
+@query(f"SELECT page_id, {_H1} AS title, {_slug_sql(_H1)} AS slug FROM pages")
+def slugify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return h1_titles(t(spark, sf_dir, "pages")).withColumn("slug", X.slugify(F.col("title")))
+
+
+@query(f"""WITH s AS (SELECT page_id, {_slug_sql(_H1)} AS base FROM pages), k AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY page_id) - 1 AS k FROM s)
+SELECT page_id, CASE WHEN k = 0 THEN base ELSE base || '-' || k END AS slug FROM k""")
+def slug_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = h1_titles(t(spark, sf_dir, "pages")).select("page_id", X.slugify(F.col("title")).alias("base"))
+    return render.disambiguated(rows, ["base"], ["page_id"], "base", "slug").select("page_id", "slug")
+
+
+@query("""SELECT p_partkey, replace(replace(replace(x, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;') AS escaped,
+CASE k WHEN 'bold' THEN '**' || x || '**' WHEN 'italic' THEN '*' || x || '*' WHEN 'bold_italic' THEN '***' || x || '***' WHEN 'superscript' THEN '<sup>' || x || '</sup>' WHEN 'subscript' THEN '<sub>' || x || '</sub>' ELSE x END AS wrapped
+FROM (SELECT p_partkey, p_name || '\\<' || p_brand || '>' AS x, ['bold', 'italic', 'bold_italic', 'superscript', 'subscript', 'text'][CAST(p_size % 6 AS INT) + 1] AS k FROM part)""")
+def md_escape_and_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat("p_name", F.lit("\\<"), "p_brand", F.lit(">"))
+    kind = F.element_at(F.array(*map(F.lit, ("bold", "italic", "bold_italic", "superscript", "subscript", "text"))), (F.col("p_size") % 6 + 1).cast("int"))
+    return t(spark, sf_dir, "part").select("p_partkey", X.md_escape(text).alias("escaped"), X.md_wrap(text, kind).alias("wrapped"))
+
+
+@query("""SELECT p_partkey, CASE WHEN lower(p_brand) LIKE '%superscript%' THEN 'superscript' WHEN lower(p_brand) LIKE '%subscript%' THEN 'subscript'
+WHEN regexp_matches(lower(p_type), 'bold|black|heavy') AND regexp_matches(lower(p_type), 'italic|oblique') THEN 'bold_italic'
+WHEN regexp_matches(lower(p_type), 'bold|black|heavy') THEN 'bold' WHEN regexp_matches(lower(p_type), 'italic|oblique') THEN 'italic' ELSE 'text' END AS kind FROM (
+SELECT p_partkey, p_type || ['', ' Bold', ' Oblique', ' Black Italic'][CAST(p_size % 4 AS INT) + 1] AS p_type, CASE WHEN p_size % 7 = 0 THEN 'Superscript' WHEN p_size % 11 = 0 THEN 'OTSubscript' ELSE p_brand END AS p_brand FROM part)""")
+def inline_kind_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    font = F.concat("p_type", F.element_at(F.array(*map(F.lit, ("", " Bold", " Oblique", " Black Italic"))), (F.col("p_size") % 4 + 1).cast("int")))
+    position = F.when(F.col("p_size") % 7 == 0, "Superscript").when(F.col("p_size") % 11 == 0, "OTSubscript").otherwise(F.col("p_brand"))
+    return t(spark, sf_dir, "part").select("p_partkey", X.inline_kind(font, position).alias("kind"))
+
+
+_URI = "url || ['.jpg', '.ai', '.EPS', '', '/Links/a%20b.png', '/Links/x/y.tif'][CAST(page_id % 6 AS INT) + 1]"
+
+
+@query(f"""WITH u AS (SELECT page_id, {_URI} AS u FROM pages),
+b AS (SELECT page_id, string_split(replace(CASE WHEN contains(u, 'Links/') THEN substr(u, strpos(u, 'Links/') + 6) ELSE string_split(u, '/')[-1] END, '%20', ' '), '/')[-1] AS basename FROM u),
+e AS (SELECT *, lower(regexp_extract(basename, '[^.](\\.[^.]*)$', 1)) AS e FROM b)
+SELECT page_id, basename, CASE WHEN e IN ('.jpg', '.jpeg', '.png', '.gif', '.tif', '.tiff', '.webp') THEN 'image_raster' WHEN e = '.ai' THEN 'image_vector' WHEN e = '.eps' THEN 'equation_eps' ELSE 'other' END AS kind FROM e""")
+def link_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tail = F.element_at(F.array(*map(F.lit, (".jpg", ".ai", ".EPS", "", "/Links/a%20b.png", "/Links/x/y.tif"))), (F.col("page_id") % 6 + 1).cast("int"))
+    rows = t(spark, sf_dir, "pages").select("page_id", X.uri_basename(F.concat("url", tail)).alias("basename"))
+    return rows.withColumn("kind", X.link_kind(F.col("basename")))
+
+
+@query("""SELECT n_nationkey, repeat('#', greatest(1, least(n_nationkey % 9, 6))) || ' ' || n_name AS heading,
+CASE WHEN n_nationkey % 4 = 0 THEN '-' WHEN n_nationkey % 4 = 1 AND n_nationkey + 1 <= 10 THEN ['I','II','III','IV','V','VI','VII','VIII','IX','X'][n_nationkey + 1] || '.'
+WHEN n_nationkey % 4 = 2 AND n_nationkey + 1 <= 26 THEN chr(65 + n_nationkey) || '.' ELSE (n_nationkey + 1) || '.' END AS marker FROM nation""")
+def md_headings_and_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    marker = F.element_at(F.array(*map(F.lit, ("bullet", "upper-roman", "upper-alpha", "decimal"))), (k % 4 + 1).cast("int"))
+    return t(spark, sf_dir, "nation").select("n_nationkey", X.heading(k % 9, F.col("n_name")).alias("heading"), X.list_marker(k % 4 != 0, marker, k + 1).alias("marker"))
+
+
+@query("""SELECT c_custkey, trim(replace(c_name, '#', ' ')) AS title, replace(replace(replace(replace(x, chr(8232), chr(10)), chr(8233), chr(10) || chr(10)), chr(173), ''), chr(65279), '') AS content
+FROM (SELECT *, c_name || chr(8232) || c_mktsegment || chr(173) || 'x' || chr(8233) || chr(65279) AS x FROM customer)""")
+def content_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat("c_name", F.lit(" "), "c_mktsegment", F.lit("­x ﻿"))
+    return t(spark, sf_dir, "customer").select("c_custkey", X.title_from_stem(F.translate("c_name", "#", "_")).alias("title"), X.clean_content(raw).alias("content"))
+
+
+@query("""SELECT n_nationkey, replace(CASE WHEN n_nationkey % 3 = 0 THEN n_name || '%20x+y' ELSE n_name || '/%20x' END, '%20', ' ') AS style FROM nation""")
+def style_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("ParagraphStyle/"), "n_name", F.lit("%20x+y"))).otherwise(F.concat(F.lit("ParagraphStyle/"), "n_name", F.lit("/%20x")))
+    return t(spark, sf_dir, "nation").select("n_nationkey", X.style_name(raw).alias("style"))
+
+
+# --- tables of contents
+
+_ENTRIES = """SELECT n_nationkey AS ord, n_regionkey AS book_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) % 3 = 2 AS is_unit,
+n_name || chr(9) || (n_nationkey * 7 + 3) || 'Other ' || n_name || chr(9) || '.' || (n_nationkey * 7 + 5) AS text FROM nation"""
+_UNITS = f"""e AS ({_ENTRIES}), g AS (SELECT *, sum(CAST(is_unit AS INT)) OVER (PARTITION BY book_id ORDER BY ord) AS u FROM e),
+p AS (SELECT book_id, CAST(u AS BIGINT) AS unit_index, coalesce(string_agg(text, chr(9) ORDER BY ord) FILTER (NOT is_unit), '') AS payload FROM g WHERE u > 0 GROUP BY ALL)"""
+_TOC = f"""{_UNITS}, m AS (SELECT book_id, unit_index, unnest(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 1)) AS t, unnest(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 2)) AS n,
+unnest(range(len(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 1)))) AS pos FROM p)"""
+
+
+def toc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = sequence.numbered(t(spark, sf_dir, "nation"), ["n_regionkey"], ["n_nationkey"], "k")
+    k = F.col("n_nationkey")
+    text = F.concat("n_name", F.lit("\t"), (k * 7 + 3).cast("string"), F.lit("Other "), "n_name", F.lit("\t."), (k * 7 + 5).cast("string"))
+    return nation.select(k.alias("ord"), F.col("n_regionkey").alias("book_id"), (F.col("k") % 3 == 2).alias("is_unit"), text.alias("text"))
+
+
+@query(f"WITH {_UNITS} SELECT * FROM p")
+def toc_unit_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toc.unit_groups(toc_rows(spark, sf_dir))
+
+
+@query(f"""WITH {_TOC} SELECT book_id, unit_index, CAST(pos AS INT) AS pos, trim(regexp_replace(t, '[ \\t]+', ' ', 'g')) AS title, CAST(n AS INT) AS start_page,
+CAST(row_number() OVER (PARTITION BY book_id, unit_index ORDER BY pos) AS INT) AS chap_index FROM m WHERE trim(t, chr(9) || ' ') <> ''""")
+def toc_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toc.chapters(toc.unit_groups(toc_rows(spark, sf_dir))).drop("is_reference")
+
+
+@query("""WITH r AS (SELECT o_custkey AS book_id, o_orderkey AS pos, CAST(extract(day FROM o_orderdate) AS INT) AS page, lag(CAST(extract(day FROM o_orderdate) AS INT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous FROM orders)
+SELECT * FROM r WHERE page <= previous""")
+def toc_monotone_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), F.col("o_orderkey").alias("pos"), F.dayofmonth("o_orderdate").alias("page"))
+    return sequence.not_increasing(rows, ["book_id"], ["pos"], "page")
+
+
+@query("""WITH c AS (SELECT o_custkey AS book_id, o_orderstatus AS unit_index, count(*) AS n FROM orders GROUP BY ALL)
+SELECT book_id, count(*) AS units, count(*) FILTER (n <> 4) AS odd_units FROM c GROUP BY book_id HAVING count(*) <> 3 OR count(*) FILTER (n <> 4) > 0""")
+def toc_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("book_id"), F.col("o_orderstatus").alias("unit_index")).agg(F.count("*").alias("n"))
+    totals = per.groupBy("book_id").agg(F.count("*").alias("units"), F.count_if(F.col("n") != 4).alias("odd_units"))
+    return totals.filter((F.col("units") != 3) | (F.col("odd_units") > 0))
+
+
+# --- page text
+
+_LINES = "list_filter(list_transform(regexp_split_to_array({}, '\\r\\n|[\\n\\r]'), lambda x: trim(x)), lambda x: x <> '')"
+
+
+@query(f"""WITH l AS (SELECT doc_id, list_filter({_LINES.format('text')}, lambda x: NOT regexp_matches(x, '^[0-9]{{1,4}}$')) AS ls FROM documents),
+r AS (SELECT doc_id, list_filter(regexp_split_to_array(array_to_string(ls, ' '), '[ \\t\\n\\f\\r\\x0b]+'), lambda x: x <> '')[1:36] AS w FROM l),
+n AS (SELECT doc_id, list_filter(string_split({_norm_sql("array_to_string(w, ' ')")}, ' '), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]+$'))[1:12] AS w FROM r)
+SELECT doc_id, array_to_string(w, ' ') AS words, array_to_string(w[1:8], ' ') AS search_key FROM n""")
+def first_significant_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "documents").select("doc_id", X.significant_words(F.col("text"), 12).alias("words"))
+    return rows.withColumn("search_key", anchors.search_key(F.col("words")))
+
+
+@query(f"""WITH l AS (SELECT source AS book_id, doc_id, unnest({_LINES.format('text')}[1:3]) AS line, unnest(range(len({_LINES.format('text')}[1:3]))) AS pos FROM documents),
+w AS (SELECT *, list_filter(string_split({_norm_sql('line')}, ' '), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]+$')) AS w FROM l),
+c AS (SELECT book_id, array_to_string(w, ' ') AS line, count(*) AS n, min(doc_id * 10 + pos) AS f FROM w WHERE len(w) BETWEEN 1 AND 8 GROUP BY ALL),
+b AS (SELECT book_id, arg_min(line, -n * 1000000000 + f) AS header, max(n) AS n FROM c GROUP BY book_id)
+SELECT book_id, header, n FROM b WHERE n >= 1""")
+def running_header_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = t(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("page_idx"), "text")
+    lines = pages.select("book_id", "page_idx", F.posexplode(F.slice(X.page_lines(F.col("text")), 1, 3)).alias("pos", "line"))
+    bare = F.filter(X.words(X.normalize_search(F.col("line"))), lambda w: ~w.rlike("^[0-9]+$"))
+    counts = lines.withColumn("w", bare).filter(F.size("w").between(1, 8)).groupBy("book_id", F.array_join("w", " ").alias("line")).agg(F.count("*").alias("n"), F.min(F.struct("page_idx", "pos")).alias("f"))
+    return counts.groupBy("book_id").agg(F.min_by(F.struct("line", "n"), F.struct(-F.col("n"), "f")).alias("b")).select("book_id", F.col("b.line").alias("header"), F.col("b.n").alias("n"))
+
+
+_PAGES = """SELECT o_custkey AS book_id, o_orderkey % 40 AS page_idx, (o_orderkey % 40 + o_orderkey % 4) || chr(10) || 'text ' || o_orderkey || chr(10) || o_custkey AS text FROM orders"""
+
+
+def numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    text = F.concat((k % 40 + k % 4).cast("string"), F.lit("\ntext "), k.cast("string"), F.lit("\n"), F.col("o_custkey").cast("string"))
+    return t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), (k % 40).alias("page_idx"), text.alias("text"))
+
+
+@query(f"""WITH p AS ({_PAGES}), l AS (SELECT book_id, page_idx, {_LINES.format('text')} AS ls FROM p),
+c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x, unnest(range(len(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])))) AS pos FROM l),
+n AS (SELECT book_id, page_idx, pos, page_idx - CAST(x AS INT) AS off, CAST(x AS INT) AS num FROM c WHERE regexp_matches(x, '^[0-9]{{1,4}}$')),
+v AS (SELECT book_id, off, count(*) AS votes FROM n WHERE num >= 5 AND off BETWEEN -20 AND 5 GROUP BY ALL)
+SELECT * FROM v""")
+def offset_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.offset_votes(numbered_pages(spark, sf_dir)).select("book_id", "off", "votes")
+
+
+@query(f"""WITH p AS ({_PAGES}), l AS (SELECT book_id, page_idx, {_LINES.format('text')} AS ls FROM p),
+c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x FROM l),
+v AS (SELECT book_id, page_idx - CAST(x AS INT) AS off, count(*) AS votes, min(page_idx) AS f FROM c WHERE regexp_matches(x, '^[0-9]{{1,4}}$') AND CAST(x AS INT) >= 5 AND page_idx - CAST(x AS INT) BETWEEN -20 AND 5 GROUP BY ALL)
+SELECT book_id, max(votes) AS votes FROM v GROUP BY book_id""")
+def offset_majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.voted_offset(numbered_pages(spark, sf_dir)).select("book_id", "votes")
+
+
+@query(f"""WITH a AS (SELECT item_id, string_split({_norm_sql('text')}, ' ') AS w FROM benchmark)
+SELECT item_id, array_to_string(CASE WHEN item_id % 2 = 0 AND len(w) > 3 THEN w[4:] ELSE w END, ' ') AS anchor FROM a""")
+def strip_header_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = X.words(X.normalize_search(F.col("text")))
+    header = F.when(F.col("item_id") % 2 == 0, F.slice(w, 1, 3)).otherwise(F.array(F.lit("none of"), F.lit("these")))
+    return t(spark, sf_dir, "benchmark").select("item_id", F.array_join(X.strip_header(w, header), " ").alias("anchor"))
+
+
+# --- sequences
+
+_RUNS = """r AS (SELECT *, CASE WHEN lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS c FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+i AS (SELECT *, sum(c) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM r)"""
+
+
+@query(f"WITH {_RUNS} SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, count(*) AS items, min(turn) AS first_turn FROM i GROUP BY conv_id, island")
+def list_run_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sequence.islands(t(spark, sf_dir, "conversations"), F.col("role"), ["conv_id"], ["turn"])
+    return rows.groupBy("conv_id", "island").agg(F.any_value("role").alias("role"), F.count("*").alias("items"), F.min("turn").alias("first_turn"))
+
+
+def typed_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of two markers, some nested, callouts of two variants, titles and other paragraphs."""
+    k = F.pmod(F.col("conv_id") * 7 + F.col("turn") * 3 + F.length("text"), F.lit(10))
+    kind = F.when(k < 5, "list").when(k < 7, "adm").when(k < 8, "title").otherwise("other")
+    rows = t(spark, sf_dir, "conversations").withColumn("k", k).withColumn("type", kind)
+    return rows.select(
+        "conv_id", "turn", "type", F.when(F.col("type").isin("list", "adm"), (F.col("k") % 2).cast("string")).alias("run_key"), (F.col("k") == 3).alias("nested"),
+        (F.length("text") % 5 == 0).alias("closes"), F.substring("text", 1, 8).alias("text"), F.when(F.col("k") == 6, "static").alias("rule_title"),
+    )
+
+
+_TYPED = """q AS (SELECT *, (conv_id * 7 + turn * 3 + length(text)) % 10 AS k FROM conversations),
+z AS (SELECT conv_id, turn, k, CASE WHEN k < 5 THEN 'list' WHEN k < 7 THEN 'adm' WHEN k < 8 THEN 'title' ELSE 'other' END AS type, k = 3 AS nested, length(text) % 5 = 0 AS closes, substr(text, 1, 8) AS text, CASE WHEN k = 6 THEN 'static' END AS rule_title FROM q),
+y AS (SELECT *, CASE WHEN type IN ('list', 'adm') THEN CAST(k % 2 AS VARCHAR) END AS run_key FROM z)"""
+_BLOCKS = f"""WITH {_TYPED},
+e AS (SELECT *, coalesce(count(*) FILTER (type = 'adm') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ep, count(*) FILTER (type = 'title' AND closes) OVER (PARTITION BY conv_id ORDER BY turn) AS tc FROM y),
+p AS (SELECT *, last_value(CASE WHEN type = 'title' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id, ep ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pend FROM e),
+b AS (SELECT *, type NOT IN ('list', 'adm') OR type IS DISTINCT FROM lag(type) OVER w OR coalesce(lag(closes) OVER w, false) OR tc IS DISTINCT FROM lag(tc) OVER w AS st FROM p WHERE type <> 'title' WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+s AS (SELECT *, sum(CAST(st AS INT)) OVER (PARTITION BY conv_id ORDER BY turn) AS stretch FROM b),
+o AS (SELECT *, last_value(CASE WHEN NOT nested OR st THEN run_key END IGNORE NULLS) OVER (PARTITION BY conv_id, stretch ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok FROM s),
+c AS (SELECT *, st OR ok IS DISTINCT FROM lag(ok) OVER (PARTITION BY conv_id, stretch ORDER BY turn) AS ch FROM o),
+n AS (SELECT *, CAST(sum(CAST(ch AS INT)) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS block_no FROM c)"""
+
+
+@query(f"{_BLOCKS} SELECT conv_id, turn, type, block_no, type = 'list' AND ok IS DISTINCT FROM run_key AS attached FROM n")
+def list_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.block_runs(typed_paragraphs(spark, sf_dir), ["conv_id"], ["turn"]).select("conv_id", "turn", "type", "block_no", "attached")
+
+
+@query(f"""{_BLOCKS}, d AS (SELECT *, CASE WHEN type = 'adm' THEN coalesce(nullif(pend, ''), rule_title) END AS tt FROM n)
+SELECT conv_id, turn, block_no, first_value(tt) OVER (PARTITION BY conv_id, block_no ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS adm_title FROM d""")
+def admonition_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.block_runs(typed_paragraphs(spark, sf_dir), ["conv_id"], ["turn"]).select("conv_id", "turn", "block_no", "adm_title")
+
+
+@query("SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pending FROM conversations")
+def pending_title_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.carried(t(spark, sf_dir, "conversations"), F.when(F.col("role") == "user", F.col("text")), ["conv_id"], ["turn"], "pending").select("conv_id", "turn", "pending")
+
+
+@query("""SELECT doc_id, CAST(len(s) AS INT) AS items, md5(array_to_string(CASE WHEN len(s) = 0 THEN [text] ELSE s END, '|')) AS digest
+FROM (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS s FROM documents)""")
+def split_inlines_by_break(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.split("text", "\n", -1)
+    pieces = F.flatten(F.transform(lines, lambda x, i: F.when(i == 0, F.array(F.struct(F.lit("text").alias("kind"), x.alias("text")))).otherwise(F.array(F.struct(F.lit("line_break").alias("kind"), F.lit(None).cast("string").alias("text")), F.struct(F.lit("text").alias("kind"), x.alias("text"))))))
+    rows = t(spark, sf_dir, "documents").select("doc_id", sequence.split_by_break(pieces).alias("items"))
+    return rows.select("doc_id", F.size("items").alias("items"), F.md5(F.array_join(F.transform("items", lambda i: render.flat_text(i)), "|").cast("binary")).alias("digest"))
+
+
+@query("""WITH p AS (SELECT conv_id, turn, CAST(coalesce(sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, CAST(sum(length(text) + 1) OVER (PARTITION BY conv_id) AS BIGINT) AS total FROM conversations)
+SELECT conv_id, turn, start, coalesce(lead(start) OVER (PARTITION BY conv_id ORDER BY turn), total) AS chunk_end FROM p""")
+def chunk_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    w, size = Window.partitionBy("conv_id"), F.length("text") + 1
+    before = w.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long").alias("start"), F.sum(size).over(w).cast("long").alias("total"))
+    return sequence.boundaries(rows, ["conv_id"], ["turn"], "start", F.col("total")).drop("total")
+
+
+# --- frames
+
+_FRAMES = """SELECT l_orderkey % 97 AS book_id, l_orderkey || '-' || l_linenumber AS self_id, 's' || (l_orderkey // 2) AS parent_story, CASE WHEN l_linenumber = 1 THEN 'n' ELSE l_orderkey || '-' || (l_linenumber - 1) END AS prev_id, l_partkey % 50 AS spread_index, l_linenumber AS order_in_spread FROM lineitem"""
+
+
+def frame_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    name = lambda x: F.concat(k.cast("string"), F.lit("-"), x.cast("string"))
+    return t(spark, sf_dir, "lineitem").select(
+        (k % 97).alias("book_id"), name(n).alias("self_id"), F.concat(F.lit("s"), F.floor(k / 2).cast("string")).alias("parent_story"), F.when(n == 1, "n").otherwise(name(n - 1)).alias("prev_id"),
+        (F.col("l_partkey") % 50).alias("spread_index"), n.alias("order_in_spread"), F.lit(False).alias("is_master"),
+    ).dropDuplicates(["book_id", "self_id"])
+
+
+@query(f"""WITH RECURSIVE f AS (SELECT DISTINCT book_id, self_id, prev_id FROM ({_FRAMES})),
+c AS (SELECT book_id, self_id, self_id AS at, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id, c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100)
+SELECT book_id, self_id, arg_max(at, d) AS root_id FROM c GROUP BY ALL""")
+def thread_root_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.thread_roots(frame_rows(spark, sf_dir))
+
+
+@query()
+def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.reading_order(frame_rows(spark, sf_dir))
+
+
+# --- assets
+
+@query("SELECT doc_id, sha1(text) AS sha1, CAST(min(doc_id) OVER (PARTITION BY sha1(text)) AS VARCHAR) AS first_name FROM documents")
+def content_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = t(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("basename"), F.col("doc_id").alias("ord"), F.col("text").cast("binary").alias("content"))
+    return assets.content_aliases(files).select("doc_id", "sha1", "first_name")
+
+
+@query("SELECT source AS basename, min(doc_id) AS ord FROM documents GROUP BY source")
+def ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assets.distinct_in_order(t(spark, sf_dir, "documents").select(F.col("source").alias("basename"), F.col("doc_id").alias("ord")))
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def missing_assets_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assets.missing(t(spark, sf_dir, "documents").select("doc_id", "lang"), t(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def present_assets_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assets.present(t(spark, sf_dir, "documents").select("doc_id", "lang"), t(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("""WITH k AS (SELECT doc_id, source || '.v.png' AS basename, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents)
+SELECT doc_id, CASE WHEN k = 0 THEN basename ELSE replace(basename, '.png', '_' || k || '.png') END AS target FROM k""")
+def name_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = t(spark, sf_dir, "documents").select("doc_id", "source", F.concat("source", F.lit(".v.png")).alias("basename"))
+    return assets.distinct_names(files, ["basename"], ["doc_id"]).select("doc_id", "target")
+
+
+@query("""WITH u AS (SELECT doc_id, 'r/' || quality AS rel_path, 0 AS p FROM labels UNION ALL SELECT doc_id, 'v/' || lang, 1 FROM documents WHERE doc_id % 3 = 0),
+m AS (SELECT doc_id, arg_max(rel_path, p) AS rel_path FROM u GROUP BY doc_id)
+SELECT page_id, CASE WHEN regexp_matches(coalesce(m.rel_path, url), '^(https?://|data:|/|\\.\\./)') THEN coalesce(m.rel_path, url) ELSE '../../' || coalesce(m.rel_path, url) END AS src FROM pages LEFT JOIN m ON m.doc_id = pages.page_id""")
+def path_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = t(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("r/"), F.col("quality").cast("string")).alias("rel_path"))
+    v = t(spark, sf_dir, "documents").filter("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("v/"), "lang").alias("rel_path"))
+    paths = assets.merged_paths(r, v, ["doc_id"]).withColumnRenamed("doc_id", "page_id")
+    return assets.rewritten(t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("src")), paths, ["page_id"])
+
+
+# --- batch
+
+_DONE = "SELECT o_orderkey AS key, ['output', 'done', 'error'][CAST(o_custkey % 3 AS INT) + 1] AS kind FROM orders WHERE o_orderkey % 5 < 2 UNION ALL SELECT o_orderkey, 'done' FROM orders WHERE o_orderkey % 10 = 0"
+
+
+def done_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = t(spark, sf_dir, "orders")
+    kind = F.element_at(F.array(*map(F.lit, ("output", "done", "error"))), (F.col("o_custkey") % 3 + 1).cast("int"))
+    first = orders.filter("o_orderkey % 5 < 2").select(F.col("o_orderkey").alias("key"), kind.alias("kind"))
+    return first.unionAll(orders.filter("o_orderkey % 10 = 0").select("o_orderkey", F.lit("done")))
+
+
+def task_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+
+
+@query(f"SELECT o_orderkey AS key FROM orders WHERE o_orderkey NOT IN (SELECT key FROM ({_DONE}))")
+def idempotent_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.pending(task_rows(spark, sf_dir), done_rows(spark, sf_dir))
+
+
+@query(f"SELECT key, arg_min(kind, CASE kind WHEN 'output' THEN 0 WHEN 'done' THEN 1 ELSE 2 END) AS reason FROM ({_DONE}) GROUP BY key")
+def skipped_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.skipped(task_rows(spark, sf_dir), done_rows(spark, sf_dir))
+
+
+@query("""WITH f AS (SELECT c_mktsegment || '-' || c_nationkey AS dir, c_nationkey AS slug, min(c_name) AS package, count(*) AS packages FROM customer GROUP BY ALL)
+SELECT *, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY dir) = 1 THEN 'task' ELSE 'slug_taken' END AS status FROM f""")
+def book_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("-"), F.col("c_nationkey").cast("string")).alias("dir"), F.col("c_nationkey").alias("slug"), F.col("c_name").alias("package"))
+    return batch.discover(rows)
+
+
+@query("SELECT o_orderpriority AS dir, arg_max(o_orderkey, o_totalprice) AS pdf FROM orders GROUP BY ALL")
+def largest_sibling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("dir")).agg(F.max_by("o_orderkey", "o_totalprice").alias("pdf"))
+
+
+_STATUS = "CASE o_orderstatus WHEN 'F' THEN '{}' WHEN 'O' THEN '{}' ELSE 'skipped' END"
+
+
+@query(f"SELECT count(*) FILTER (s = 'done') AS done, count(*) FILTER (s = 'error') AS error, count(*) FILTER (s = 'skipped') AS skipped, count(*) AS total FROM (SELECT {_STATUS.format('done', 'error')} AS s FROM orders)")
+def batch_status_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("o_orderstatus")
+    return batch.totals(t(spark, sf_dir, "orders").select(F.when(s == "F", "done").when(s == "O", "error").otherwise("skipped").alias("status")))
+
+
+@query(f"SELECT count(*) FILTER (s = 'ok') AS ok, count(*) FILTER (s = 'failed') AS failed, count(*) FILTER (s = 'ok') / (count(*) FILTER (s = 'ok') + count(*) FILTER (s = 'failed')) AS rate, count(*) FILTER (s = 'ok') / (count(*) FILTER (s = 'ok') + count(*) FILTER (s = 'failed')) >= 0.95 AS passed FROM (SELECT {_STATUS.format('ok', 'failed')} AS s FROM orders)")
+def success_rate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("o_orderstatus")
+    return batch.success_rate(t(spark, sf_dir, "orders").select(F.when(s == "F", "ok").when(s == "O", "failed").otherwise("skipped").alias("status")))
+
+
+# --- rendering
+
+def html_blocks(pages: DataFrame) -> DataFrame:
+    """(page_id, ord, kind, text): headings, paragraphs and list items of pages, in order."""
+    found = F.regexp_extract_all("html", F.lit(r"(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>"), F.lit(0))
+    rows = pages.select("page_id", F.posexplode(found).alias("ord", "el"))
+    kind = F.when(F.startswith("el", F.lit("<h1")), "heading").when(F.startswith("el", F.lit("<li")), "list").otherwise("paragraph")
+    text = F.trim(F.regexp_replace(F.regexp_replace("el", "<[^>]*>", ""), "[ \\t\\r\\n]+", " "))
+    return rows.select("page_id", "ord", kind.alias("kind"), text.alias("text")).filter("text <> ''")
+
+
+_HTML = r"""h AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>')) AS el, unnest(range(len(regexp_extract_all(html, '(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>')))) AS ord FROM pages),
+b AS (SELECT page_id, CAST(ord AS INT) AS ord, CASE WHEN el LIKE '<h1%' THEN 'heading' WHEN el LIKE '<li%' THEN 'list' ELSE 'paragraph' END AS kind, trim(regexp_replace(regexp_replace(el, '<[^>]*>', '', 'g'), '[ \t\r\n]+', ' ', 'g')) AS text FROM h),
+x AS (SELECT * FROM b WHERE text <> '')"""
+
+
+@query(f"WITH {_HTML} SELECT * FROM x")
+def html_blocks_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks(t(spark, sf_dir, "pages"))
+
+
+@query(f"WITH {_HTML} SELECT page_id, kind, count(*) AS n FROM x GROUP BY ALL")
+def block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks(t(spark, sf_dir, "pages")).groupBy("page_id", "kind").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_HTML} SELECT count(*) AS body_blocks, count(*) FILTER (kind = 'heading') AS headings, count(*) FILTER (kind = 'list') AS items, count(DISTINCT page_id) AS books, CAST(max(ord) AS BIGINT) AS last_ord FROM x""")
+def report_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html_blocks(t(spark, sf_dir, "pages"))
+    return rows.agg(F.count("*").alias("body_blocks"), F.count_if(F.col("kind") == "heading").alias("headings"), F.count_if(F.col("kind") == "list").alias("items"), F.count_distinct("page_id").alias("books"), F.max("ord").cast("long").alias("last_ord"))
+
+
+_MD = "replace(replace(replace(text, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;')"
+
+
+@query(f"""WITH {_HTML} SELECT page_id, regexp_replace(rtrim(string_agg(CASE kind WHEN 'heading' THEN '# ' || {_MD} WHEN 'list' THEN '- ' || {_MD} ELSE {_MD} END, chr(10) || chr(10) ORDER BY ord)) || chr(10), '\\n{{3,}}', '\n\n', 'g') AS markdown FROM x GROUP BY page_id""")
+def document_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = X.md_escape(F.col("text"))
+    md = F.when(F.col("kind") == "heading", X.heading(F.lit(1), text)).when(F.col("kind") == "list", F.concat(F.lit("- "), text)).otherwise(text)
+    return render.assemble(html_blocks(t(spark, sf_dir, "pages")).withColumn("md", md), ["page_id"], ["ord"])
+
+
+@query(f"""WITH {_RUNS}, g AS (SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, string_agg(CASE WHEN text = '' THEN '>' ELSE '> ' || replace(text, chr(10), chr(10) || '> ') END, chr(10) ORDER BY turn) AS body FROM i GROUP BY conv_id, island)
+SELECT conv_id, island, '> [!' || CASE role WHEN 'user' THEN 'NOTE' WHEN 'assistant' THEN 'TIP' ELSE 'NOTE' END || ']' || chr(10) || '> **' || role || '**' || chr(10) || body AS md FROM g""")
+def admonition_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sequence.islands(t(spark, sf_dir, "conversations"), F.col("role"), ["conv_id"], ["turn"])
+    runs = rows.groupBy("conv_id", "island").agg(F.any_value("role").alias("role"), F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("children"))
+    variant = F.when(F.col("role") == "assistant", "tip").when(F.col("role") == "user", "note").otherwise("other")
+    return runs.select("conv_id", "island", render.render_callout(variant, F.col("role"), F.col("children")).alias("md"))
+
+
+def nation_grid(spark: SparkSession, sf_dir: str, span: bool) -> DataFrame:
+    nation = sequence.numbered(t(spark, sf_dir, "nation"), ["n_regionkey"], ["n_nationkey"], "k")
+    inline = F.array(F.struct(F.lit("text").alias("kind"), F.concat("n_name", F.lit("|"), F.col("n_nationkey").cast("string")).alias("text")))
+    block = F.struct(F.lit("paragraph").alias("kind"), inline.alias("inlines"), *[F.lit(None).cast("string").alias(c) for c in ("src", "alt", "latex")])
+    k = F.col("k") - 1
+    cells = nation.select(
+        F.col("n_regionkey").alias("table_id"), F.concat(F.floor(k / 2).cast("string"), F.lit(":"), (k % 2).cast("string")).alias("name"), F.lit(1).alias("row_span"),
+        F.when(F.lit(span) & (k == 0) & (F.col("n_regionkey") % 2 == 0), 2).otherwise(1).alias("col_span"), F.array(block).alias("blocks"),
+        F.lit(1).alias("header_rows"), F.lit(2).alias("body_rows"), F.lit(2).alias("columns"),
+    )
+    return tables.grid(cells, ["table_id"])
+
+
+_GRID = "g AS (SELECT n_regionkey AS table_id, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1) // 2 AS r, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1) % 2 AS c, n_name || '|' || n_nationkey AS x FROM nation)"
+
+
+@query(f"""WITH {_GRID}, l AS (SELECT table_id, r, '| ' || string_agg(replace(x, '|', '\\|'), ' | ' ORDER BY c) || CASE WHEN count(*) = 1 THEN ' |  |' ELSE ' |' END AS line FROM g WHERE r < 3 GROUP BY ALL)
+SELECT table_id, string_agg(line || CASE WHEN r = 0 THEN chr(10) || '| --- | --- |' ELSE '' END, chr(10) ORDER BY r) AS md FROM l GROUP BY table_id""")
+def gfm_table_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nation_grid(spark, sf_dir, False).select("table_id", tables.render_table(F.col("rows"), F.col("header_rows")).alias("md"))
+
+
+@query("SELECT DISTINCT n_regionkey AS table_id, n_regionkey % 2 = 0 AS as_html FROM nation")
+def html_table_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nation_grid(spark, sf_dir, True).select("table_id", F.startswith(tables.render_table(F.col("rows"), F.col("header_rows")), F.lit("<table>")).alias("as_html"))
+
+
+@query(f"""WITH s AS (SELECT page_id, {_H1} AS title FROM pages), f AS (SELECT page_id, title, row_number() OVER (PARTITION BY page_id % 10 ORDER BY page_id) AS n FROM s WHERE title <> ''),
+b AS (SELECT *, coalesce(nullif({_slug_sql('title')}, ''), 'heading-' || n) AS base FROM f), k AS (SELECT *, row_number() OVER (PARTITION BY page_id % 10, base ORDER BY n) - 1 AS k FROM b)
+SELECT page_id % 10 AS book, string_agg('- [' || title || '](#' || base || CASE WHEN k = 0 THEN '' ELSE '-' || k END || ')', chr(10) ORDER BY n) AS toc FROM k GROUP BY book""")
+def toc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = h1_titles(t(spark, sf_dir, "pages")).withColumn("book", F.col("page_id") % 10).withColumn("level", F.lit(1))
+    return render.render_toc(render.toc_entries(rows, ["book"], ["page_id"]), ["book"])
+
+
+@query("""WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents), c AS (SELECT doc_id, CAST(doc_id % 5 AS BIGINT) AS cursor FROM documents)
+SELECT c.doc_id, CAST(min(pos) AS INT) AS pos FROM c JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor AND starts_with(lower(h.line), 'e') GROUP BY c.doc_id""")
+def heading_first_match_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    hit = lines.filter((F.col("pos") >= F.col("doc_id") % 5) & F.startswith(F.lower("line"), F.lit("e")))
+    return hit.groupBy("doc_id").agg(F.min("pos").alias("pos"))
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").groupBy("role").agg(F.count("*").alias("n"))
+    """Pages to Markdown with a style audit: blocks, rendering, assembly, counts."""
+    audit = block_counts(spark, sf_dir).groupBy("page_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "n")))).alias("kinds"))
+    return document_assemble(spark, sf_dir).join(audit, "page_id")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
