@@ -155,13 +155,13 @@ def strip_header(anchor: Column, header: Column) -> Column:
 
 def page_lines(text: Column) -> Column:
     """Non-blank lines, trimmed."""
-    return F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def candidate_page_numbers(text: Column) -> Column:
     """Lines of one to four digits among the first five and the last five; a line in both windows counts twice."""
     lines = page_lines(text)
-    ends = F.concat(F.slice(lines, 1, 5), F.slice(lines, F.greatest(F.size(lines) - 4, F.lit(1)), F.lit(5)))
+    ends = F.concat(F.slice(lines, 1, 5), F.slice(lines, F.greatest(F.size(lines) - 4, F.lit(1)), F.lit(5)))  # short pages: both windows
     return F.transform(F.filter(ends, lambda x: x.rlike(r"^[0-9]{1,4}$")), lambda x: x.cast("int"))
 
 

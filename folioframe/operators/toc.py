@@ -22,7 +22,8 @@ def unit_groups(entries: DataFrame, is_unit: str = "is_unit", keys: tuple[str, .
     """(keys, unit_index, payload): rows before the first unit header are ignored, the rest of a unit is joined by tabs."""
     ks = list(keys)
     grouped = entries.withColumn("unit_index", running(F.col(is_unit), ks, [order])).filter("unit_index > 0")
-    payload = F.listagg(F.when(~F.col(is_unit), F.col("text")), F.lit("\t")).withinGroup(order) if hasattr(F.listagg("text"), "withinGroup") else F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col(is_unit), F.struct(F.col(order).alias("o"), F.col("text").alias("t"))))), lambda x: x["t"]), "\t")
+    texts = F.array_sort(F.collect_list(F.when(~F.col(is_unit), F.struct(F.col(order).alias("o"), F.col("text").alias("t")))))
+    payload = F.array_join(F.transform(texts, lambda x: x["t"]), "\t")
     return grouped.groupBy(*ks, "unit_index").agg(F.coalesce(payload, F.lit("")).alias("payload"))
 
 

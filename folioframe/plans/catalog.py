@@ -363,8 +363,8 @@ def frame_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE f AS (SELECT DISTINCT book_id, self_id, prev_id FROM ({_FRAMES})),
-c AS (SELECT book_id, self_id, self_id AS at, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id, c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100)
-SELECT book_id, self_id, arg_max(at, d) AS root_id FROM c GROUP BY ALL""")
+c AS (SELECT book_id, self_id, self_id AS here, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id, c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100)
+SELECT book_id, self_id, arg_max(here, d) AS root_id FROM c GROUP BY ALL""")
 def thread_root_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.thread_roots(frame_rows(spark, sf_dir))
 
