@@ -87,7 +87,7 @@ def token_counts(docs: DataFrame, path: str, p: Counting = Counting()) -> DataFr
         def of(piece: str) -> int:
             try:
                 return _n(tok, piece)
-            except Whole:  # a character that the pattern leaves to the library: its texts are coded whole
+            except Whole:  # a character that the pattern leaves to the library: never in the head, so its texts are coded whole
                 return 0
 
         for b in batches:
@@ -95,7 +95,7 @@ def token_counts(docs: DataFrame, path: str, p: Counting = Counting()) -> DataFr
 
     pieces = arrow_map(texts.select("text"), distinct, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = written(arrow_map(pieces, count, "piece string, n long, pieces long"), "pieces")
-    top = most_frequent(pieces.filter(F.length("piece") <= p.head_chars), "n", p.head).select("piece", "pieces").toArrow()
+    top = most_frequent(pieces.filter((F.length("piece") <= p.head_chars) & (F.col("pieces") > 0)), "n", p.head).select("piece", "pieces").toArrow()
     head = spark.sparkContext.broadcast(dict(zip(top["piece"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
 
     tail = pa.list_(pa.struct([("piece", pa.string()), ("n", pa.int32())]))
