@@ -54,14 +54,14 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row, fp the 64 bits as a signed long."""
-    out = arrow_schema(doc_id=pa.int64(), fp=pa.int64())
+    """(doc_id, sign, fp) of every row: sign is a hash of the text, fp the 64 bits as a signed long."""
+    out = arrow_schema(doc_id=pa.int64(), sign=pa.int64(), fp=pa.int64())
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            yield batch_of(out, b["doc_id"], pa.array(np.array([fingerprint(t) for t in b["text"].to_pylist()], np.uint64).view(np.int64)))
+            yield batch_of(out, b["doc_id"], b["sign"], pa.array(np.array([fingerprint(t) for t in b["text"].to_pylist()], np.uint64).view(np.int64)))
 
-    return arrow_map(id_and_text(docs), made, "doc_id long, fp long")
+    return arrow_map(id_and_text(docs).withColumn("sign", F.xxhash64("text")), made, "doc_id long, sign long, fp long")
 
 
 def anchors(fps: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,15 +127,19 @@ def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: component_id is the smallest id reachable by links."""
+    """(doc_id, sign, fp, component, component_id) of every row.
+
+    component names the group by a fingerprint; component_id is the smallest id
+    reachable by links.
+    """
     rows = written(fingerprints(docs), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     component = connected_components(links(distinct, threshold))
     named = distinct.join(component, distinct["fp"] == component["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     named = written(named, "named")
     least = written(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-    named = written(named.join(least, "component").select(F.col("fp").alias("own_fp"), "component_id"), "components")
-    return rows.join(named, rows["fp"] == named["own_fp"]).select("doc_id", "fp", "component_id")
+    named = written(named.join(least, "component").select(F.col("fp").alias("own_fp"), "component", "component_id"), "components")
+    return rows.join(named, rows["fp"] == named["own_fp"]).select("doc_id", "sign", "fp", "component", "component_id")
 
 
 def simhash(docs: DataFrame) -> DataFrame:
@@ -144,7 +148,13 @@ def simhash(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of every group, all columns kept: that with the group's smallest id; of rows that repeat an id, the first by text."""
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """One row of every group, all columns kept: that with the group's smallest id.
+
+    Rows are known by id and text, so an id that texts of several groups share
+    costs no group its row; of equal rows one stays.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sign")).alias("first")
+    kept = near_duplicates(docs).groupBy("component").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.sign").alias("kept_sign"))
+    rows = docs.withColumn("__sign", F.xxhash64(F.col("text").cast("string")))
+    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & rows["__sign"].eqNullSafe(kept["kept_sign"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__sign"]).drop("__sign")

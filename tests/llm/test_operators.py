@@ -254,6 +254,13 @@ def test_simhash(docs, plain, odd, empty):
     assert sorted(map(str, (r["doc_id"] for r in simhash.keep_one(odd).collect()))) == sorted(["1", "2", "5", "6", "7", "None"])
 
 
+def test_keep_one_of_shared_ids(spark):
+    rows = [(5, "alpha beta gamma delta"), (5, "alpha beta gamma delta"), (5, "one two three four"), (6, "ONE two three four"), (4, None)]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").withColumn("__extra", F.lit(1)))
+    assert sorted(((r["doc_id"], r["text"] or "") for r in got.collect())) == [(4, ""), (5, "alpha beta gamma delta"), (5, "one two three four")]
+    assert got.columns == ["doc_id", "text", "__extra"]
+
+
 def test_fingerprint_by_hand():
     import xxhash
 
