@@ -33,9 +33,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, arrow_schema, batch_of, id_and_text, slices
 
 SPACE = "▁"
-#: Cuts remembered by a worker, characters indexed at once, symbols relaxed side by side.
+#: Cuts remembered by a worker, characters indexed at once, characters of a cut relaxed beside others.
 REMEMBERED, INDEXED, ABREAST = 400_000, 400_000, 64
-_PACK = 3  # characters of 21 bits in a key of 64
 
 
 class Pieces:
@@ -58,39 +57,73 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         if len(self.bytes) != 256 or any(SPACE in p.lstrip(SPACE) for p, *_ in normal):
             raise ValueError("pieces must have byte fallback and spaces only in front")
-        self.single = {p: i for p, i, _ in normal if len(p) == 1}
+        single = sorted((ord(p), i) for p, i, _ in normal if len(p) == 1)
+        self.single_code, self.single_id = (np.array(x) for x in zip(*single, strict=True))
+        self.byte_id = np.array([self.bytes[b] for b in range(256)])
         self.longest = max(len(p) for p, *_ in normal)
         longer = [x for x in normal if len(x[0]) > 1]
         self.id = np.array([i for _, i, _ in longer])
         self.length = np.array([len(p) for p, *_ in longer])
         self.score = np.full(len(model.pieces) + 1, -np.inf)
         self.score[self.id] = [s for *_, s in longer]
-        self.width = -(-self.longest // _PACK)
-        chars = np.zeros((len(longer), self.width * _PACK), np.int64)
+        self.chars = np.zeros((len(longer), self.longest), np.int64)
         for row, (p, *_) in enumerate(longer):
-            chars[row, : len(p)] = [ord(c) for c in p]
-        pad = np.arange(self.width * _PACK)[None, :] >= self.length[:, None]
-        self.low, self.high = self._keys(chars), self._keys(np.where(pad, (1 << 21) - 1, chars))
-
-    def _keys(self, chars: np.ndarray) -> np.ndarray:
-        c = chars.reshape(len(chars), self.width, _PACK)
-        return (c[:, :, 0] << 42) | (c[:, :, 1] << 21) | c[:, :, 2]
+            self.chars[row, : len(p)] = [ord(c) for c in p]
 
     def edges(self, chars: np.ndarray) -> np.ndarray:
-        """table[i, n]: the piece of n characters that starts at i, or -1; ``chars`` ends in ``longest`` zeros."""
-        n = len(chars) - self.width * _PACK
-        pack = (chars[:-2] << 42) | (chars[1:-1] << 21) | chars[2:]
-        keys = [pack[k * _PACK : k * _PACK + n] for k in range(self.width)]
+        """table[i, n]: the piece of n characters that starts at i, or -1.
+
+        Characters are numbered within the batch, so that as many as possible
+        share a 64-bit sort key; pieces with a character that the batch lacks
+        are not searched for.
+        """
+        n, alphabet = len(chars), np.unique(chars[chars > 0])
+        bits = (len(alphabet) + 2).bit_length()
+        per = 63 // bits
+        width = -(-self.longest // per)
+        at = np.minimum(np.searchsorted(alphabet, self.chars), max(len(alphabet) - 1, 0))
+        present = (self.chars == 0) | (alphabet[at] == self.chars) if len(alphabet) else self.chars == 0
+        which = np.flatnonzero(present.all(axis=1))
+        table = np.full((n, self.longest + 1), -1, np.int32)
+        if not len(which):
+            return table
+        number = np.zeros((len(which), width * per), np.int64)
+        number[:, : self.longest] = np.where(self.chars[which] > 0, at[which] + 1, 0)
+        beyond = np.where(np.arange(width * per)[None, :] >= self.length[which, None], (1 << bits) - 1, number)
+        text = np.zeros(n + width * per, np.int64)
+        text[:n] = np.where(chars > 0, np.searchsorted(alphabet, chars) + 1, 0)
+        packed = text[: len(text) - per + 1].copy()
+        for k in range(1, per):
+            packed = packed << bits | text[k : len(text) - per + 1 + k]
+        keys = [packed[k * per : k * per + n] for k in range(width)]
         suffixes = np.lexsort(keys[::-1])
         ordered = [k[suffixes] for k in keys]
-        first, last = self._search(ordered, self.low, False), self._search(ordered, self.high, True)
-        table = np.full((n, self.longest + 1), -1, np.int32)
+        pack = lambda m: np.stack([functools.reduce(lambda a, c: a << bits | m[:, c], range(k * per + 1, (k + 1) * per), m[:, k * per]) for k in range(width)], axis=1)
+        first, last = self._search(ordered, pack(number), False), self._search(ordered, pack(beyond), True)
         times = last - first
-        piece = np.repeat(np.arange(len(self.id)), times)
+        piece = np.repeat(np.arange(len(which)), times)
         offset = np.arange(len(piece)) - np.repeat(np.cumsum(times) - times, times)
-        table[suffixes[first[piece] + offset], self.length[piece]] = self.id[piece]
+        table[suffixes[first[piece] + offset], self.length[which][piece]] = self.id[which][piece]
         return table
 
+    def ids_at(self, table: np.ndarray, chars: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the symbols that start at ``at``, and where each symbol's ids begin; one entry more ends them."""
+        code = chars[at]
+        k = np.minimum(np.searchsorted(self.single_code, code), len(self.single_code) - 1)
+        ids = np.where(size > 1, table[at, size], np.where(self.single_code[k] == code, self.single_id[k], -1))
+        bare = ids < 0  # a character without a piece: its UTF-8 bytes
+        n = np.where(bare, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), 1)
+        first = np.concatenate([[0], np.cumsum(n)])
+        flat = np.empty(first[-1], np.int64)
+        flat[first[:-1][~bare]] = ids[~bare]
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])
+        for j in range(4):
+            which = np.flatnonzero(bare & (n > j))
+            c, m = code[which], n[which]
+            low = c >> 6 * (m - 1 - j)
+            flat[first[which] + j] = self.byte_id[low | lead[m] if j == 0 else low & 0x3F | 0x80]
+        return flat, first
+
     def _search(self, ordered: list[np.ndarray], keys: np.ndarray, after: bool) -> np.ndarray:
         """For every piece, how many suffixes come before it (or, ``after``, are not after it)."""
         n = len(ordered[0])
@@ -122,9 +155,8 @@ class Codec:
     def learn(self, cuts: set[str]) -> None:
         """Code the cuts not met before, indexed some at a time."""
         fresh = [c for c in cuts if c not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list(cuts)
+        if len(self.known) + len(fresh) > REMEMBERED:  # what this batch has too is what texts have often
+            self.known = {c: self.known[c] for c in cuts if c in self.known}
         at = 0
         while at < len(fresh):
             total, end = 0, at
@@ -140,39 +172,30 @@ class Codec:
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         length = np.fromiter(map(len, cuts), np.int64, len(cuts))
         start = np.cumsum(length + 1) - length - 1
-        inside = np.ones(len(chars), bool)
-        inside[start[1:] - 1] = False
         # a character zero in a text must not end up in any key as a separator would: no piece has one
-        table = p.edges(np.concatenate([chars, np.zeros(p.width * _PACK, np.int64)]))
-        symbols = np.ones(len(chars) + 1, np.int64)
+        table = p.edges(chars)
+        symbols = np.zeros(len(chars) + 1, np.int64)
         short = length <= ABREAST
         self._abreast(table, start[short], length[short], symbols)
         for s, n in zip(start[~short].tolist(), length[~short].tolist(), strict=True):
             self._agenda(table, s, n, symbols)
-        single = p.single
-        for c, s, n in zip(cuts, start.tolist(), length.tolist(), strict=True):
-            ids, i = [], s
-            while i < s + n:
-                k = int(symbols[i])
-                if k > 1:
-                    ids.append(int(table[i, k]))
-                elif (one := single.get(c[i - s])) is not None:
-                    ids.append(one)
-                else:
-                    ids += [p.bytes[b] for b in c[i - s].encode("utf-8", "surrogatepass")]
-                i += k
-            self.known[c] = np.array(ids, "<i4").tobytes()
+        at = np.flatnonzero(symbols)
+        ids, first = p.ids_at(table, chars, at, symbols[at])
+        raw = ids.astype("<i4").tobytes()
+        begin = first[np.searchsorted(at, start)] * 4
+        end = first[np.searchsorted(at, start + length)] * 4
+        self.known.update((c, raw[i:j]) for c, i, j in zip(cuts, begin.tolist(), end.tolist(), strict=True))
 
     def _abreast(self, table: np.ndarray, start: np.ndarray, length: np.ndarray, symbols: np.ndarray) -> None:
         """Relax short cuts side by side, a merge of each a round. Sets the symbols' lengths at their starts."""
         if not len(start):
             return
-        p, wide = self.pieces, int(length.max())
-        for low, high in ((1, 8), (9, 16), (17, wide)):
-            which = np.flatnonzero((length >= low) & (length <= high))
+        p, low = self.pieces, 1
+        for width in (4, 6, 8, 10, 12, 14, 16, 20, 28, 40, ABREAST):
+            which = np.flatnonzero((length >= low) & (length <= width))
+            low = width + 1
             if not len(which):
                 continue
-            width = min(high, wide)
             column = np.arange(width)
             size = np.where(column[None, :] < length[which][:, None], 1, 0)
             at = start[which][:, None] + column[None, :]
