@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -20,10 +21,21 @@ def _pages(spark, path: str):
     return spark.read.parquet(path).select(F.col("book_id").cast("string"), F.col("page_idx").cast("int"), "text")
 
 
+def _svg(name: str, content: bytes) -> tuple[str, bytes] | None:
+    """A vector by the programs of the machine that runs the task."""
+    with tempfile.TemporaryDirectory() as d:
+        source = Path(d) / name
+        source.write_bytes(content)
+        made = assets.to_svg(source, source)
+        return (made.name, made.read_bytes()) if made else None
+
+
 def _convert(spark, pkgs, args) -> int:
     links = package.links(spark, args.links).select(F.lit(args.title or Path(args.package).stem).alias("book_id"), "basename", "content") if getattr(args, "links", None) else None
-    book = conversion.plan(spark, pkgs, _pages(spark, args.pages), links, conversion.Options(overlay=args.overlay))
+    book = conversion.plan(spark, pkgs, _pages(spark, args.pages), links, conversion.Options(overlay=args.overlay), vector_converter=_svg)
     conversion.write_chapters(book, args.output)
+    if book.assets is not None:
+        conversion.write_assets(book, args.output)
     for name, report in conversion.reports(book, rules(args.overlay)).items():
         target = Path(args.output) / name / "_report.json"
         target.parent.mkdir(parents=True, exist_ok=True)
@@ -50,6 +62,8 @@ def main(argv: list[str] | None = None) -> int:
     many.add_argument("--pages", required=True)
     many.add_argument("--output", "-o", default="out")
     many.add_argument("--overlay")
+    many.add_argument("--done", help="folder that finished books move to")
+    many.add_argument("--errors", help="folder that failed books move to")
     args = top.parse_args(argv)
     if args.command == "version":
         print(__version__)
@@ -70,12 +84,15 @@ def main(argv: list[str] | None = None) -> int:
     tasks = slots.filter("status = 'task'").withColumnRenamed("slug", "key")
     results = []
     for task in batch.pending(tasks, known).orderBy("dir").collect():
-        args.package, args.title = task["package"], None
+        args.package, args.title, folder = task["package"], None, Path(task["dir"].removeprefix("file:"))
+        args.links = str(folder / "Links") if (folder / "Links").is_dir() else None
         try:
             _convert(spark, package.packages(spark, task["package"]), args)
             results.append((task["key"], "done", None))
         except Exception as e:  # one book's failure is its result
             results.append((task["key"], "error", str(e)[:500]))
+        if args.done and args.errors:
+            batch.finalize(folder, *results[-1], Path(args.done), Path(args.errors))
     results += [(r["key"], "skipped", r["reason"]) for r in batch.skipped(tasks, known).collect()]
     table = spark.createDataFrame(results, "book string, status string, message string")
     table.orderBy("status", "book").show(1000, truncate=False)

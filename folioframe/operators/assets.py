@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import RASTER, extension
+from ..session import on_workers
 
 VECTORS = (".ai", ".eps")
 
@@ -113,6 +114,8 @@ def to_svg(source: Path, target: Path, program: str | None = None) -> Path | Non
 def convert_vectors(files: DataFrame, convert: Callable[[str, bytes], tuple[str, bytes] | None]) -> DataFrame:
     """(book_id, basename, status, out_name, out): ``convert`` is called where the file is, never raises, and None is a failure."""
 
+    on_workers(files.sparkSession)
+
     def each(batches: Iterator) -> Iterator:
         import pandas as pd
 
@@ -133,6 +136,8 @@ def convert_vectors(files: DataFrame, convert: Callable[[str, bytes], tuple[str,
 def write_files(rows: DataFrame, root: str) -> None:
     """Write (path, content) under ``root`` from where the rows are; a file is renamed into place when it is whole."""
 
+    on_workers(rows.sparkSession)
+
     def put(part: Iterator) -> None:
         for r in part:
             target = Path(root) / r["path"]

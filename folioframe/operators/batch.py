@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import shutil
+from datetime import UTC, datetime
+from pathlib import Path
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,3 +39,19 @@ def success_rate(results: DataFrame, threshold: float = 0.95) -> DataFrame:
     ok, failed = F.count_if(F.col("status") == "ok"), F.count_if(F.col("status") == "failed")
     rate = F.when(ok + failed > 0, ok / (ok + failed)).otherwise(F.lit(0.0))
     return results.agg(ok.alias("ok"), failed.alias("failed"), rate.alias("rate"), (rate >= threshold).alias("passed"))
+
+
+def finalize(book_dir: Path, slug: str, status: str, message: str | None, done_dir: Path, errors_dir: Path) -> bool:
+    """Move a finished book's folder to where its status belongs, on the driver alone; an error leaves a JSON beside it.
+
+    A target that exists already leaves the book where it is.
+    """
+    target = (done_dir if status == "done" else errors_dir) / book_dir.name
+    if target.exists():
+        return False
+    target.parent.mkdir(parents=True, exist_ok=True)
+    shutil.move(str(book_dir), str(target))
+    if status == "error":
+        note = {"book": slug, "error": message, "timestamp": datetime.now(UTC).isoformat()}
+        (target / "_error.json").write_text(json.dumps(note, ensure_ascii=False, indent=2), encoding="utf-8")
+    return True

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.offsets import positions
+from ..session import on_workers
 
 POSITIONS = "book_id string, unit_index int, chap_index int, start int, chunk_end int"
 
@@ -23,6 +24,8 @@ def chapter_positions(markdown: DataFrame, anchors: DataFrame, sentinels: DataFr
     rows = markdown.select("book_id", "markdown").join(wanted, "book_id")
     rows = rows.join(sentinels.select("book_id", "sentinel"), "book_id", "left") if sentinels is not None else rows.withColumn("sentinel", F.lit(None).cast("string"))
 
+    on_workers(markdown.sparkSession)
+
     @F.udf("array<struct<unit_index:int,chap_index:int,start:int,chunk_end:int>>", useArrow=True)
     def search(markdown, wanted, sentinel):
         found, end = positions(markdown, [(w["title"], w["start_anchor"] or "") for w in wanted], sentinel, snap_to_line)

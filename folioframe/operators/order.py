@@ -40,7 +40,7 @@ def reading_order(frames: DataFrame, include_masters: bool = False) -> DataFrame
     rows = frames.filter(F.coalesce("parent_story", F.lit("")) != "")
     if not include_masters:
         rows = rows.filter(~F.col("is_master"))
-    first = rows.groupBy("book_id", "parent_story").agg(F.min_by("self_id", F.struct("is_master", "spread_index", "order_in_spread")).alias("self_id"), F.min(F.struct("is_master", "spread_index", "order_in_spread")).alias("seen"))
+    first = rows.groupBy("book_id", "parent_story").agg(F.min(F.struct("is_master", "spread_index", "order_in_spread", "self_id")).alias("seen")).withColumn("self_id", F.col("seen.self_id"))
     roots = thread_roots(rows)
     at = rows.select("book_id", F.col("self_id").alias("root_id"), "spread_index", "order_in_spread", "is_master")
     placed = first.join(roots, ["book_id", "self_id"]).join(at, ["book_id", "root_id"])

@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import equations, latex
 from ..functions import text as X
-from ..operators import anchors, assets, batch, order, render, sequence, styles, tables, toc
+from ..operators import anchors, assets, batch, chunks, order, render, sequence, styles, tables, toc
+from ..streaming import queue
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -350,28 +352,74 @@ def chunk_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- frames
 
-_FRAMES = """SELECT l_orderkey % 97 AS book_id, l_orderkey || '-' || l_linenumber AS self_id, 's' || (l_orderkey // 2) AS parent_story, CASE WHEN l_linenumber = 1 THEN 'n' ELSE l_orderkey || '-' || (l_linenumber - 1) END AS prev_id, l_partkey % 50 AS spread_index, l_linenumber AS order_in_spread FROM lineitem"""
+_FRAMES = """SELECT l_orderkey % 97 AS book_id, l_orderkey || '-' || l_linenumber AS self_id, 's' || (l_orderkey // 2) AS parent_story, CASE WHEN l_linenumber = 1 THEN 'n' ELSE l_orderkey || '-' || (l_linenumber - 1) END AS prev_id, min(l_partkey % 50) AS spread_index, l_linenumber AS order_in_spread FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+_ROOTS = f"""f AS ({_FRAMES}), c AS (SELECT book_id, self_id, self_id AS here, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id, c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100),
+r AS (SELECT book_id, self_id, arg_max(here, d) AS root_id FROM c GROUP BY ALL)"""
 
 
 def frame_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
     name = lambda x: F.concat(k.cast("string"), F.lit("-"), x.cast("string"))
-    return t(spark, sf_dir, "lineitem").select(
+    rows = t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.col("l_partkey") % 50).alias("spread_index"))
+    return rows.select(
         (k % 97).alias("book_id"), name(n).alias("self_id"), F.concat(F.lit("s"), F.floor(k / 2).cast("string")).alias("parent_story"), F.when(n == 1, "n").otherwise(name(n - 1)).alias("prev_id"),
-        (F.col("l_partkey") % 50).alias("spread_index"), n.alias("order_in_spread"), F.lit(False).alias("is_master"),
-    ).dropDuplicates(["book_id", "self_id"])
+        "spread_index", n.alias("order_in_spread"), F.lit(False).alias("is_master"),
+    )
 
 
-@query(f"""WITH RECURSIVE f AS (SELECT DISTINCT book_id, self_id, prev_id FROM ({_FRAMES})),
-c AS (SELECT book_id, self_id, self_id AS here, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id, c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100)
-SELECT book_id, self_id, arg_max(here, d) AS root_id FROM c GROUP BY ALL""")
+@query(f"WITH RECURSIVE {_ROOTS} SELECT * FROM r")
 def thread_root_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.thread_roots(frame_rows(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_ROOTS}, s AS (SELECT book_id, parent_story AS story_id, arg_min(self_id, (spread_index, order_in_spread, self_id)) AS self_id, min((spread_index, order_in_spread, self_id)) AS seen FROM f GROUP BY ALL)
+SELECT s.book_id, s.story_id, r.root_id AS first_frame_id, f.spread_index, f.order_in_spread, row_number() OVER (PARTITION BY s.book_id ORDER BY f.spread_index, f.order_in_spread, s.seen) - 1 AS story_ord
+FROM s JOIN r USING (book_id, self_id) JOIN f ON f.book_id = s.book_id AND f.self_id = r.root_id""")
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order.reading_order(frame_rows(spark, sf_dir))
+    rows = order.reading_order(frame_rows(spark, sf_dir)).drop("is_master")
+    return rows.withColumn("story_ord", F.col("story_ord").cast("long"))
+
+
+# --- equations, chapters, arrivals
+
+
+
+def eps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    body = F.concat(F.lit("%!PS\n%MathType!MathML!1!\n%<mathxmlns='u'display='block'>\n%<mfrac><mi>"), F.char(97 + size % 26), F.lit("</mi><mn>"), size.cast("string"), F.lit("</mn></mfrac></math>\nend"))
+    text = F.when(size % 5 == 0, "%!PS drawing").when(size % 5 == 1, "%MathType!MTEF!2").otherwise(body)
+    return t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), "p_size", text.alias("text"))
+
+
+@query("""SELECT p_partkey AS basename, CASE p_size % 5 WHEN 0 THEN 'no_marker' WHEN 1 THEN 'mtef_only' ELSE 'ok' END AS status,
+CASE WHEN p_size % 5 > 1 THEN '<math xmlns=''u'' display=''block''><mfrac><mi>' || chr(97 + p_size % 26) || '</mi><mn>' || p_size || '</mn></mfrac></math>' END AS mathml FROM part""")
+def equation_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return equations.extract(eps_rows(spark, sf_dir)).select("basename", "status", "mathml")
+
+
+@query("SELECT p_partkey AS basename, CASE WHEN p_size % 5 > 1 THEN '\\frac{' || chr(97 + p_size % 26) || '}{' || p_size || '}' END AS latex FROM part")
+def equation_to_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latex.converted(equations.extract(eps_rows(spark, sf_dir))).select("basename", "latex")
+
+
+@query("SELECT count(*) - count(DISTINCT p_size) AS hits, count(DISTINCT p_size) AS misses FROM part WHERE p_size % 5 > 1")
+def equation_cache_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latex.cache_use(equations.extract(eps_rows(spark, sf_dir)), None)
+
+
+@query("""SELECT conv_id AS book_id, CAST(1 AS INT) AS unit_index, CAST(turn AS INT) AS chap_index FROM conversations""")
+def monotone_anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn is found, in order, in its conversation: each search starts where the last ended."""
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit("kapitel nummer eins zwei "), F.col("turn").cast("string"), F.lit(" "), "text").alias("text"))
+    texts = rows.groupBy(F.col("conv_id").cast("string").alias("book_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.concat(F.lit("# "), x["text"])), "\n\n").alias("markdown"))
+    wanted = rows.select(F.col("conv_id").cast("string").alias("book_id"), F.lit(1).alias("unit_index"), F.col("turn").cast("int").alias("chap_index"), F.concat(F.lit("Kapitel nummer eins zwei "), F.col("turn").cast("string")).alias("title"), F.lit("").alias("start_anchor"))
+    found = chunks.chapter_positions(texts, wanted).filter("start >= 0 and chunk_end > start")
+    return found.select(F.col("book_id").cast("long").alias("book_id"), "unit_index", "chap_index")
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def queue_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queue.arrivals(t(spark, sf_dir, "events"))
 
 
 # --- assets

@@ -7,6 +7,7 @@ files. Order is explicit everywhere: story, paragraph, item.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -48,6 +49,7 @@ class Book:
     chapters: DataFrame | None = None
     equations: DataFrame | None = None
     requests: DataFrame | None = None
+    assets: DataFrame | None = None
     report: dict[str, dict[str, Any]] = field(default_factory=dict)
 
 
@@ -202,7 +204,29 @@ def toc_entries(parts: DataFrame) -> DataFrame:
     return rows.select("book_id", (F.col("story_ord").cast("long") * 1_000_000 + F.col("ord")).alias("ord"), (F.col("style") == toc.UNIT_STYLE).alias("is_unit"), "text")
 
 
-def plan(spark: SparkSession, pkgs: DataFrame, pages: DataFrame | None = None, files: DataFrame | None = None, o: Options = Options(), cache: DataFrame | None = None, paths: DataFrame | None = None) -> Book:
+def plan_assets(requests: DataFrame, files: DataFrame, vector_converter: Callable[[str, bytes], tuple[str, bytes] | None] | None = None) -> DataFrame:
+    """(book_id, basename, class, status, rel_path, out) of every request.
+
+    Rasters are copied, or alias the first file with the same content; vectors
+    go through the converter, which by default is unavailable. ``out`` is what is
+    to be written at ``rel_path``: null for aliases, missing and failed ones.
+    """
+    rasters = assets.plan_rasters(requests.filter("class = 'raster'"), files)
+    content = files.select("book_id", "basename", F.col("content").alias("out"))
+    rasters = rasters.join(content, ["book_id", "basename"], "left").select("book_id", "basename", F.lit("raster").alias("class"), "status", "rel_path", F.when(F.col("status") == "copied", F.col("out")).alias("out"))
+    wanted = requests.filter("class = 'vector'").select("book_id", "basename")
+    made = assets.convert_vectors(files.join(wanted, ["book_id", "basename"], "left_semi"), vector_converter or (lambda name, data: None))
+    made = made.withColumnRenamed("status", "made")
+    vectors = wanted.join(made, ["book_id", "basename"], "left").select(
+        "book_id", "basename", F.lit("vector").alias("class"), F.coalesce("made", F.lit("missing")).alias("status"), F.when(F.col("made") == "converted", F.concat(F.lit("assets/vector/"), "out_name")).alias("rel_path"), "out"
+    )
+    return rasters.unionByName(vectors)
+
+
+def plan(
+    spark: SparkSession, pkgs: DataFrame, pages: DataFrame | None = None, files: DataFrame | None = None, o: Options = Options(), cache: DataFrame | None = None,
+    vector_converter: Callable[[str, bytes], tuple[str, bytes] | None] | None = None,
+) -> Book:
     """All tables of a conversion. ``pages`` (book_id, page_idx, text) stands for the PDF, ``files`` (book_id, basename, content) for links."""
     rules = load_rules(o.overlay)
     parts = package.members(pkgs).cache()
@@ -211,16 +235,17 @@ def plan(spark: SparkSession, pkgs: DataFrame, pages: DataFrame | None = None, f
     paragraphs = resolved_paragraphs(parts, rules, equations, o).cache()
     blocks = to_blocks(paragraphs, o)
     requests = asset_requests(paragraphs)
-    if paths is None and files is not None:
-        rasters = assets.plan_rasters(requests.filter("class = 'raster'"), files)
-        paths = rasters.filter("rel_path is not null").select("book_id", F.col("basename").alias("src"), "rel_path")
-    if paths is None:
+    found = plan_assets(requests, files, vector_converter).cache() if files is not None else None
+    if found is None:
         paths = spark.createDataFrame([], "book_id string, src string, rel_path string")
+    else:  # vectors win over rasters of the same name
+        by_class = [found.filter(F.col("class") == c).select("book_id", F.col("basename").alias("src"), "rel_path") for c in ("raster", "vector")]
+        paths = assets.merged_paths(*by_class, ["book_id", "src"])
     images = assets.rewritten(blocks.filter("kind = 'image'"), paths, ["book_id", "src"])
     images = images.withColumn("md", F.concat(F.lit("!["), "alt", F.lit("]("), "src", F.lit(")")))
     blocks = blocks.filter("kind <> 'image'").unionByName(images.select(*blocks.columns))
     markdown = render.assemble(blocks.filter("section = 'body'"), ["book_id"], ["story_ord", "para_ord", "sub_ord"])
-    book = Book(paragraphs, blocks, markdown, manifest, equations=equations, requests=requests)
+    book = Book(paragraphs, blocks, markdown, manifest, equations=equations, requests=requests, assets=found)
     if pages is not None:
         book.anchors = anchor_ops.anchors(pages, manifest)
         book.chapters = chunks.split(markdown, book.anchors, snap_to_line=o.snap_to_line)
@@ -259,6 +284,15 @@ def reports(book: Book, rules: dict[str, Any]) -> dict[str, dict[str, Any]]:
     if book.equations is not None:
         for r in book.equations.groupBy("book_id").agg(F.count("latex").alias("ok"), F.collect_list(F.when(F.col("latex_error").isNotNull(), F.col("basename"))).alias("bad"), F.count_distinct("sha1").alias("distinct")).collect():
             at(r["book_id"]).update(equations_total=r["ok"], equations_failed=r["bad"], equation_cache_misses=r["distinct"], equation_cache_hits=r["ok"] - r["distinct"])
+    if book.assets is not None:
+        names = lambda where: F.sort_array(F.collect_list(F.when(where, F.col("basename"))))
+        status, vector = F.col("status"), F.col("class") == "vector"
+        for r in book.assets.groupBy("book_id").agg(names(status == "missing").alias("missing"), F.count_if(F.col("rel_path").isNotNull()).alias("copied"), names(vector & (status == "converted")).alias("ok"), names(vector & (status == "failed")).alias("bad")).collect():
+            at(r["book_id"]).update(missing_assets=r["missing"], copied_assets=r["copied"], vector_converted=r["ok"], vector_failed=r["bad"])
+    if book.manifest is not None:
+        titles = F.transform(F.array_sort(F.collect_list(F.struct("unit_index", "chap_index", "title"))), lambda x: x["title"])
+        for r in book.manifest.groupBy("book_id").agg(titles.alias("titles"), F.count_distinct("unit_index").alias("units")).collect():
+            at(r["book_id"]).update(manifest_chapter_titles=r["titles"], units_emitted=r["units"])
     return out
 
 
@@ -266,6 +300,12 @@ def report_json(report: dict[str, Any]) -> str:
     return json.dumps(report, sort_keys=True, indent=2, ensure_ascii=False)
 
 
+def write_assets(book: Book, root: str) -> None:
+    """Copied and converted assets under ``root``/<book>, written where the rows are."""
+    made = book.assets.filter("out is not null").dropDuplicates(["book_id", "rel_path"])
+    assets.write_files(made.select(F.concat("book_id", F.lit("/"), "rel_path").alias("path"), F.col("out").alias("content")), root)
+
+
 def write_chapters(book: Book, root: str) -> None:
     """``<book>/unidade_<u>/capitulo_<c>.md`` under ``root``, written where the rows are."""
     path = F.concat("book_id", F.lit("/unidade_"), F.col("unit_index").cast("string"), F.lit("/capitulo_"), F.col("chap_index").cast("string"), F.lit(".md"))

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = f"{root}:{env['PYTHONPATH']}" if env.get("PYTHONPATH") else root
+
+
 def session(app: str = "folioframe", **conf: str) -> SparkSession:
     """An active session, or a local one: adaptive execution, UTC, Arrow."""
     if (active := SparkSession.getActiveSession()) is not None:

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import on_workers
+
 RUN = "struct<kind:string,text:string,font:string,position:string>"
 PARA = f"struct<runs:array<{RUN}>,links:array<array<string>>>"
 TABLE = f"struct<header_rows:int,body_rows:int,columns:int,cells:array<struct<name:string,row_span:int,col_span:int,paras:array<{PARA}>>>>"
@@ -29,6 +31,7 @@ MASTER = re.compile(r'src="(MasterSpreads/MasterSpread_[^"]+\.xml)"')
 
 def packages(spark: SparkSession, path: str, pattern: str = "*.idml") -> DataFrame:
     """(book_id, path, content): book_id is the file's stem. Only package files are listed and read."""
+    on_workers(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select(F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("book_id"), "path", "content")
 

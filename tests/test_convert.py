@@ -98,6 +98,7 @@ def test_anchors_and_chapters(book):
 def test_report(book):
     r = convert.reports(book, rules())["livro"]
     assert r["unmapped_paragraph_styles"] == {"Estilo novo": 1} and r["equations_total"] == 1 and r["chapters_emitted_per_unit"] == [2]
+    assert r["copied_assets"] == 1 and r["missing_assets"] == [] and r["manifest_chapter_titles"] == ["Juros simples", "Taxas de juros"]
     assert r["block_counts"]["list"] == 2 and r["block_counts"]["table"] == 1 and r["pdf_offset_detected"] == -1
     assert json.loads(convert.report_json(r))["seen_paragraph_styles"]["Bullet"] == 2
 
@@ -143,7 +144,7 @@ def test_cli(spark, books, pages, tmp_path, capsys, monkeypatch):
     assert cli.main(["version"]) == 0
     assert cli.main(["inspect", str(books), "--top", "2"]) == 0 and "Texto de tabela" in capsys.readouterr().out
     real = convert.plan
-    monkeypatch.setattr(convert, "plan", lambda s, p, g, f, o: real(s, p, g, f, convert.Options(units=1, per_unit=2)))
+    monkeypatch.setattr(convert, "plan", lambda s, p, g, f, o, **k: real(s, p, g, f, convert.Options(units=1, per_unit=2), **k))
     assert cli.main(["batch", "-i", str(books), "--pages", str(tmp_path / "pages"), "-o", str(tmp_path / "out")]) == 0
     assert (tmp_path / "out/livro/unidade_1/capitulo_2.md").read_text().startswith("Taxas")
     capsys.readouterr()
