@@ -2,8 +2,8 @@
 
 Every historical version of every path is content-addressed by SHA-256. Of all
 pairs of blob and rule version, only those that the ledger does not hold yet are
-scanned, each blob once however many paths have it; the ledger with the new rows
-is written, and findings are joined back to all paths.
+scanned, each blob once however many paths have it; the new rows are written beside
+the ledger's, and findings are joined back to all paths.
 
 Positions are code points. A rule's matches are leftmost and do not overlap: the
 text is split at the rule's pattern, and lengths of what lies before and within
@@ -87,18 +87,18 @@ def versions_of(docs: DataFrame, path_col: str = "doc_id", text_col: str = "text
 
 
 def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION) -> DataFrame:
-    """The ledger (blob, rules_version, found) with every blob of ``versions``; only unseen pairs are scanned.
+    """The ledger (blob, rules_version, found) with every blob of ``versions``; only unseen pairs are scanned, and only they are written.
 
     Copies meet after each task has dropped its own, and a blob's findings, not
-    its text, are what is written.
+    its text, are what is written. What the ledger held is not rewritten.
     """
     unseen = versions
     if ledger is not None:
         done = ledger.filter(F.col("rules_version") == rules_version).select(F.col("blob").alias("done"))
         unseen = versions.join(done, versions["blob"] == done["done"], "left_anti")
     blobs = unseen.groupBy("blob").agg(F.first("text").alias("text"))
-    fresh = scan(blobs, rules).select("blob", F.lit(rules_version).alias("rules_version"), "found")
-    return written(fresh if ledger is None else ledger.select(fresh.columns).unionAll(fresh), "ledger")
+    fresh = written(scan(blobs, rules).select("blob", F.lit(rules_version).alias("rules_version"), "found"), "ledger")
+    return fresh if ledger is None else ledger.select(fresh.columns).unionAll(fresh)
 
 
 def findings(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
