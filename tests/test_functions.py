@@ -67,7 +67,7 @@ def test_page_numbers(spark):
         ("<math><mi>x</mi></math>", "x"), ("<math><mi>sin</mi></math>", r"\mathrm{sin}"), ("<math><mn> 2,5 </mn><mo>×</mo><mi>α</mi></math>", r"2,5\times\alpha"),
         ("<math><mfrac><mi>a</mi><mn>2</mn></mfrac></math>", r"\frac{a}{2}"), ("<math><mroot><mi>x</mi><mn>3</mn></mroot></math>", r"\sqrt[3]{x}"),
         ("<math><msubsup><mi>x</mi><mn>1</mn><mn>2</mn></msubsup></math>", "x_{1}^{2}"), ("<math><munderover><mo>∑</mo><mi>i</mi><mi>n</mi></munderover></math>", r"\overset{n}{\underset{i}{\sum}}"),
-        ("<math><mfenced open='[' close='' separators=';'><mi>a</mi><mi>b</mi></mfenced></math>", r"\left[a;b\right."), ("<math><mtext>a_b</mtext></math>", r"\text{a\_b}"),
+        ("<math><mfenced open='[' close='' separators=';'><mi>a</mi><mi>b</mi></mfenced></math>", r"\left[a;b\right."), ("<math><mtext> a_b </mtext></math>", r"\text{a\_b}"),
         ("<math><mi>o</mi><mi>u</mi></math>", r"\text{ou}"), ("<math><mi>F</mi><mi>V</mi></math>", r"\mathrm{FV}"), ("<math><mi>t</mi><mi>a</mi><mi>x</mi><mi>a</mi></math>", r"\text{taxa}"),
         ("<math><mi>a</mi><mo>\u00a0</mo><mi>d</mi><mi>e</mi></math>", r"a\,\text{de}"), ("<math><mo>·</mo><mi>a</mi></math>", r"\cdot a"), ("<math><mi>x</mi><mi>x</mi><mi>x</mi></math>", r"\mathrm{xxx}"),
         ("<math><mtable><mtr><mtd><mi>a</mi></mtd><mtd><mi>b</mi></mtd></mtr></mtable></math>", r"\begin{matrix} a & b \end{matrix}"), ("<math><msup/></math>", ""), ("<math><mspace/></math>", r"\,"),
