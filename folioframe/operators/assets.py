@@ -8,11 +8,12 @@ import subprocess
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import RASTER, extension
 from ..session import on_workers
+from .sequence import ranked
 
 VECTORS = (".ai", ".eps")
 
@@ -41,12 +42,12 @@ def content_aliases(files: DataFrame, order: str = "ord", by: tuple[str, ...] =
     return digested.join(first, [*by, "sha1"])
 
 
-def distinct_names(files: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def distinct_names(files: DataFrame, keys: list[str], order: str) -> DataFrame:
     """``target``: the first use of a name keeps it, the nth repeat gets ``_n`` before the extension."""
-    k = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
     ext = F.regexp_extract("basename", r"[^.](\.[^.]*)$", 1)
     stem = F.expr("substring(basename, 1, length(basename) - length(_ext))")
-    return files.withColumn("_k", k).withColumn("_ext", ext).withColumn("target", F.when(F.col("_k") == 0, F.col("basename")).otherwise(F.concat(stem, F.lit("_"), F.col("_k").cast("string"), F.col("_ext")))).drop("_k", "_ext")
+    repeat = F.concat(stem, F.lit("_"), F.col("_k").cast("string"), F.col("_ext"))
+    return ranked(files, keys, order, "_k").withColumn("_ext", ext).withColumn("target", F.when(F.col("_k") == 0, F.col("basename")).otherwise(repeat)).drop("_k", "_ext")
 
 
 def plan_rasters(requests: DataFrame, files: DataFrame, folder: str = "assets/img") -> DataFrame:

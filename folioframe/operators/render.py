@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_newlines, heading, list_marker, md_escape, md_wrap, slugify
+from .sequence import ranked
 
 INLINE = "struct<kind:string,text:string>"
 
@@ -80,15 +81,13 @@ def toc_entries(headings: DataFrame, keys: list[str], order: list[str], max_leve
     rows = headings.filter((F.col("level") <= max_level) & (F.trim("title") != "")).withColumn("title", F.trim("title"))
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     rows = rows.withColumn("base", F.coalesce(F.nullif(slugify(F.col("title")), F.lit("")), F.concat(F.lit("heading-"), F.col("n").cast("string"))))
-    return disambiguated(rows, [*keys, "base"], ["n"], "base", "slug").select(*keys, "n", "level", "title", "slug")
+    return disambiguated(rows, [*keys, "base"], "n", "base", "slug").select(*keys, "n", "level", "title", "slug")
 
 
-def disambiguated(rows: DataFrame, keys: list[str], order: list[str], base: str, name: str, sep: str = "-") -> DataFrame:
-    """The first use of a name is bare, the nth repeat gets ``-n``."""
-    from pyspark.sql import Window
-
-    k = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return rows.withColumn("_k", k).withColumn(name, F.when(F.col("_k") == 0, F.col(base)).otherwise(F.concat(F.col(base), F.lit(sep), F.col("_k").cast("string")))).drop("_k")
+def disambiguated(rows: DataFrame, keys: list[str], order: str, base: str, name: str, sep: str = "-") -> DataFrame:
+    """The first use of a name is bare, the nth repeat gets ``-n``; a name may be a large share of all rows."""
+    found = ranked(rows, keys, order, "_k")
+    return found.withColumn(name, F.when(F.col("_k") == 0, F.col(base)).otherwise(F.concat(F.col(base), F.lit(sep), F.col("_k").cast("string")))).drop("_k")
 
 
 def render_toc(entries: DataFrame, keys: list[str]) -> DataFrame:

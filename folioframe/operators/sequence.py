@@ -89,6 +89,25 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> D
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def ranked(rows: DataFrame, keys: list[str], order: str, name: str, buckets: int = 256) -> DataFrame:
+    """Row number from zero within ``keys`` by one numeric column, however many rows a key has.
+
+    The column is cut into ranges at approximate quantiles; rows are numbered
+    within key and range, and a range starts at the count of those before it. A
+    task holds a key's share of one range, not the key.
+    """
+    cuts = rows.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10_000).alias("q")).first()["q"] or []
+    cuts = sorted(set(cuts))
+    part = F.size(F.filter(F.lit(cuts), lambda c: c < F.col(order))) if cuts else F.lit(0)
+    placed = rows.withColumn("_part", part)
+    sizes = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_part") == F.col("_p")]
+    local = placed.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(order)) - 1)
+    return local.join(starts, same).withColumn(name, (F.col("_start") + F.col("_local")).cast("long")).drop("_part", "_p", "_start", "_local", *[f"_k{i}" for i in range(len(keys))])
+
+
 def not_increasing(rows: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Rows whose value is not greater than that of the row before."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -117,7 +117,7 @@ def slugify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT page_id, CASE WHEN k = 0 THEN base ELSE base || '-' || k END AS slug FROM k""")
 def slug_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = h1_titles(t(spark, sf_dir, "pages")).select("page_id", X.slugify(F.col("title")).alias("base"))
-    return render.disambiguated(rows, ["base"], ["page_id"], "base", "slug").select("page_id", "slug")
+    return render.disambiguated(rows, ["base"], "page_id", "base", "slug").select("page_id", "slug")
 
 
 @query("""SELECT p_partkey, replace(replace(replace(x, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;') AS escaped,
@@ -449,7 +449,7 @@ def present_assets_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, CASE WHEN k = 0 THEN basename ELSE replace(basename, '.png', '_' || k || '.png') END AS target FROM k""")
 def name_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = t(spark, sf_dir, "documents").select("doc_id", "source", F.concat("source", F.lit(".v.png")).alias("basename"))
-    return assets.distinct_names(files, ["basename"], ["doc_id"]).select("doc_id", "target")
+    return assets.distinct_names(files, ["basename"], "doc_id").select("doc_id", "target")
 
 
 @query("""WITH u AS (SELECT doc_id, 'r/' || quality AS rel_path, 0 AS p FROM labels UNION ALL SELECT doc_id, 'v/' || lang, 1 FROM documents WHERE doc_id % 3 = 0),
