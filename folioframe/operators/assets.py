@@ -92,7 +92,7 @@ def inkscape(explicit: str | None = None) -> str | None:
     """The converter: the path given (and no other, if it is missing), the environment's, that on PATH, or a usual place."""
     if explicit is not None:
         return explicit if Path(explicit).exists() else None
-    places = [os.environ.get("IDML2MD_INKSCAPE_PATH"), shutil.which("inkscape"), r"C:\Program Files\Inkscape\bin\inkscape.exe", r"C:\Program Files (x86)\Inkscape\bin\inkscape.exe"]
+    places = [os.environ.get("FOLIOFRAME_INKSCAPE_PATH"), shutil.which("inkscape"), r"C:\Program Files\Inkscape\bin\inkscape.exe", r"C:\Program Files (x86)\Inkscape\bin\inkscape.exe"]
     return next((p for p in places if p and Path(p).exists()), None)
 
 

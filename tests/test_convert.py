@@ -112,6 +112,37 @@ def test_frames_and_styles(spark, books):
     assert (top[0]["style"], top[0]["n"]) == ("Texto de tabela", 6)
 
 
+def zipped(story):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("designmap.xml", '<D><S src="Spreads/Spread_A.xml"/></D>')
+        z.writestr("Spreads/Spread_A.xml", f"<S>{frame('f', 's')}</S>")
+        z.writestr("Stories/Story_s.xml", wrap("s", story))
+    return bytearray(buf.getvalue())
+
+
+def converted(spark, story, **options):
+    pkgs = spark.createDataFrame([("b", "p", zipped(story))], "book_id string, path string, content binary")
+    return convert.plan(spark, pkgs, o=convert.Options(**options)).markdown.first()["markdown"]
+
+
+def test_links_and_overlay(spark):
+    wrapped = psr("Novo", csr("a "), f"<HyperlinkTextSource>{csr('dentro', 'Bold')}</HyperlinkTextSource>", csr(extra="<HyperlinkTextDestination><Content> direto</Content></HyperlinkTextDestination>"))
+    assert converted(spark, wrapped) == "a\n"
+    assert converted(spark, wrapped, follow_links=True) == "a **dentro** direto\n"
+    assert converted(spark, wrapped, overlay={"paragraph_styles": {"Novo": {"kind": "heading", "level": 2}}}) == "## a\n"
+    assert converted(spark, psr("??", csr("weg")) + psr("T2", csr("da")), overlay={"defaults": {"unknown_paragraph_style": "drop"}}) == "## da\n"
+
+
+def test_runs_and_sublists(spark):
+    ordered, nested, letters = "Bullet%20N%C3%BAmeros", "Bullet%20N%C3%BAmeros%20-%20N%C3%ADvel%20II", "Bullet%20ABC"
+    bullet = lambda t: psr("Bullet", csr(t))
+    story = bullet("p") + psr(nested, csr("gone")) + psr(letters, csr("x")) + psr(letters, csr("y")) + bullet("q") + psr("T2", csr("h")) + psr(ordered, csr("1")) + psr("Rodap%C3%A9", csr("drop")) + psr(ordered, csr("2"))
+    assert converted(spark, story) == "- p\n  A. x\n  B. y\n- q\n\n## h\n\n1. 1\n2. 2\n"
+    boxes = psr("T%C3%ADtulo%20texto%20BOX", csr("A")) + psr("Texto%20BOX", csr("1")) + psr("T%C3%ADtulo%20texto%20BOX", csr("B")) + psr("Texto%20BOX", csr("2")) + psr("TEXTO%20OBJETIVO", csr("o"))
+    assert converted(spark, boxes) == "> [!NOTE]\n> **A**\n> 1\n> 2\n\n> [!TIP]\n> **Objetivos**\n> o\n"
+
+
 def test_thread_roots(spark):
     chain = [("b", f"f{i}", "s", f"f{i - 1}" if i else "n", "n", 0, i, False) for i in range(300)]
     odd = [("b", "x", "t", "gone", "n", 1, 0, False), ("b", "c1", "u", "c2", "n", 2, 0, False), ("b", "c2", "u", "c1", "n", 2, 1, False)]

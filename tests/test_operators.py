@@ -124,7 +124,7 @@ def test_programs(tmp_path, monkeypatch):
     assert assets.inkscape(str(tmp_path / "none")) is None
     program = tmp_path / "ink"
     program.write_text("")
-    monkeypatch.setenv("IDML2MD_INKSCAPE_PATH", str(program))
+    monkeypatch.setenv("FOLIOFRAME_INKSCAPE_PATH", str(program))
     assert assets.inkscape() == str(program)
 
 
