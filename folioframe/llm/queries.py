@@ -108,6 +108,17 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+#: Every pair of a label, and reachability by recursion: for tables of test size.
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CASE WHEN isfinite(x) THEN CAST(x AS DOUBLE) ELSE 0 END) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) ELSE 0 END >= 0.93),
+     r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.c),
+     n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(any_value(n_links), 0) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept FROM r LEFT JOIN n ON n.a = r.vec_id GROUP BY vec_id
+"""
+
+
 def _canonical(text: str) -> str:
     lines = f"regexp_split_to_array(coalesce({text}, ''), '\\r\\n|\\n|\\r')"
     words = f"trim(regexp_replace(replace(lower(x), '{licences.MARKS}', ' c '), '{licences.PUNCTUATION}', ' ', 'g'))"
@@ -135,4 +146,4 @@ SELECT w.doc_id, w.digest, k.licence, coalesce(n.notices, '') AS notices FROM w
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION_SQL, "op4_secrets": SECRETS_SQL, "op9_licences": licences_sql()}
+    return {"op2_decontamination": DECONTAMINATION_SQL, "op4_secrets": SECRETS_SQL, "op8_embedding": EMBEDDING_SQL, "op9_licences": licences_sql()}

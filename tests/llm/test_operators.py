@@ -328,6 +328,20 @@ def test_embedding_table(spark, sf_dir):
     assert got.n_links.tolist() == n and got.component_id.tolist() == c
 
 
+def test_embedding_sql(spark):
+    import duckdb
+
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((6, 8))
+    v = (centres[rng.integers(0, 6, 60)] + 0.15 * rng.standard_normal((60, 8))).astype(np.float32)
+    rows = [(i, [float(c) for c in x], int(i % 2)) for i, x in enumerate(v)] + [(60, None, 1), (61, [0.0] * 8, 1), (62, [1.0] * 8, None), (63, [float("nan")] * 8, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    embeddings = df.toPandas()  # noqa: F841
+    want = duckdb.sql(queries.EMBEDDING_SQL).df().sort_values("vec_id")
+    got = embedding.near_duplicates(df).toPandas().sort_values("vec_id")
+    assert got.n_links.sum() > 20 and got[want.columns].astype(str).values.tolist() == want.astype(str).values.tolist()
+
+
 def test_embedding_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1), (7, [inf, 1.0], 1), (8, [None, 1.0], 1), (9, [], 1), (10, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.001], 1), (11, [1e300, 0.0], 1), (12, [-0.0, 1.0], 1), (13, [0.0, 1.0], 1)]
