@@ -39,8 +39,32 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
-def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> list[tuple[str, str, int]]:
-    """(language, entry, count): words as they are, n-grams behind a tab. At most ``2 * entries`` rows come back."""
+@dataclass(frozen=True)
+class Model:
+    """Languages in order of name, and log frequencies by word and by n-gram: a row an entry, a column a language."""
+
+    langs: list[str]
+    words: list[str]
+    word_rows: np.ndarray
+    grams: list[str]
+    gram_rows: np.ndarray
+
+    @staticmethod
+    def of(lang: np.ndarray, entry: np.ndarray, n: np.ndarray) -> Model:
+        """From counts (language, entry, n): words as they are, n-grams behind a tab."""
+        langs, at = np.unique(lang.astype(str), return_inverse=True) if len(lang) else (np.zeros(0, str), np.zeros(0, int))
+        gram = np.array([e[:1] == "\t" for e in entry], bool)
+        made = []
+        for which, cut in ((~gram, 0), (gram, 1)):
+            names, row = np.unique(np.array([e[cut:] for e in entry[which]], object), return_inverse=True) if which.any() else (np.zeros(0, object), np.zeros(0, int))
+            counts = np.zeros((len(names), len(langs)))
+            np.add.at(counts, (row, at[which]), n[which])
+            made += [names.tolist(), np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * max(1, len(names)))]
+        return Model(langs.tolist(), *made)
+
+
+def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> Model:
+    """Known words are those seen more than once, n-grams those of known words; at most ``entries`` of either come back to the driver."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & learnable())
     sample = rows.select("doc_id", F.xxhash64("doc_id").alias("key")).orderBy("key", "doc_id").limit(p.sample_rows).select("doc_id").distinct()
@@ -52,45 +76,34 @@ def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> list
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
                 counts.setdefault(lang, Counter()).update(w for w in words_of(text) if not w.isdigit())
         for lang, words in counts.items():
-            entries = Counter()
-            for w, c in words.items():
-                w = w.decode("utf-8", "replace")
-                entries[w] += c
-                for n in range(1, p.longest + 1):
-                    for g in grams(w, n):
-                        entries["\t" + g] += c
-            yield batch_of(out, [lang] * len(entries), list(entries), list(entries.values()))
+            yield batch_of(out, [lang] * len(words), [w.decode("utf-8", "replace") for w in words], list(words.values()))
 
     counts = arrow_map(rows.join(F.broadcast(sample), "doc_id").select("lang", "text"), counted, "lang string, entry string, n long").groupBy("lang", "entry").agg(F.sum("n").alias("n"))
-    gram = F.col("entry").startswith("\t")
-    counts = written(counts, "entries")
-    top = [most_frequent(counts.filter(which), "n", p.entries) for which in (~gram & (F.col("n") > 1), gram)]
-    return [tuple(r) for r in top[0].unionAll(top[1]).collect()]
+    words = written(most_frequent(counts.filter("n > 1"), "n", p.entries), "words")
+    padded = F.concat(F.lit("^"), "entry", F.lit("$"))
+    cut = lambda n: F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, n)))
+    every = F.flatten(F.filter(F.array(*[cut(n) for n in range(1, p.longest + 1)]), lambda a: a.isNotNull()))
+    found = words.select("lang", "n", F.explode(every).alias("entry")).groupBy("lang", "entry").agg(F.sum("n").alias("n"))
+    found = most_frequent(written(found, "grams"), "n", p.entries)
+    table = words.unionByName(found.withColumn("entry", F.concat(F.lit("\t"), "entry"))).toArrow()
+    return Model.of(*(table[c].to_numpy() for c in ("lang", "entry", "n")))
 
 
 class Scorer:
-    def __init__(self, entries: list[tuple[str, str, int]], p: Backoff):
-        self.langs = sorted({e[0] for e in entries})
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        self.words, self.grams, self.p = {}, {}, p
-        for lang, entry, n in entries:
-            table, key = (self.grams, entry[1:]) if entry[:1] == "\t" else (self.words, entry)
-            table.setdefault(key, np.zeros(len(self.langs)))[at[lang]] = n
-        for table in (self.words, self.grams):
-            total = sum(table.values(), np.zeros(len(self.langs)))
-            for key, counts in table.items():
-                table[key] = np.log(counts + 0.5) - np.log(total + 0.5 * len(table))
+    def __init__(self, m: Model, p: Backoff):
+        self.langs, self.p, self.m = m.langs, p, m
+        self.words, self.grams = ({name: i for i, name in enumerate(names)} for names in (m.words, m.grams))
         self.at: dict[bytes, int] = {}
         self.rows = np.zeros((p.remembered * 2, len(self.langs)))
 
     def word(self, word: str) -> np.ndarray:
         """Log frequency of a word in each language, by backoff where it is unknown."""
         if (known := self.words.get(word)) is not None:
-            return known
+            return self.m.word_rows[known]
         for n in range(min(self.p.longest, len(word) + 2), 0, -1):
-            found = [v for g in grams(word, n) if (v := self.grams.get(g)) is not None]
+            found = [i for g in grams(word, n) if (i := self.grams.get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return self.m.gram_rows[found].mean(axis=0)
         return np.zeros(len(self.langs))
 
     def __call__(self, text: str | None) -> tuple[str, float]:
@@ -110,11 +123,11 @@ class Scorer:
         return self.langs[best], float(1 / np.exp(sums - sums[best]).sum())
 
 
-def identify(docs: DataFrame, entries: list[tuple[str, str, int]], p: Backoff = Backoff()) -> DataFrame:
+def identify(docs: DataFrame, model: Model, p: Backoff = Backoff()) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every whole text."""
-    if len(entries) > 2 * p.entries:
+    if max(len(model.words), len(model.grams)) > p.entries:
         raise ValueError("more entries than the bound of what is broadcast")
-    shared = docs.sparkSession.sparkContext.broadcast(entries)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     out = arrow_schema(doc_id=pa.int64(), lang_pred=pa.string(), score=pa.float64())
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -139,7 +139,7 @@ def test_language_held_out(docs, plain):
 def test_language_backoff_and_odd(spark, odd, empty):
     p = language.Backoff()
     entries = [("de", "haus", 5), ("en", "house", 5), ("de", "\t^ha", 3), ("en", "\t^ho", 3), ("en", "\tz", 9), ("de", "\ta", 1)]
-    score = language.Scorer(entries, p)
+    score = language.Scorer(language.Model.of(*(np.array(c, object) for c in zip(*entries))), p)
     assert score("Haus haus 12")[0] == "de" and score("hoping")[0] == "en" and score("zzz")[0] == "en"
     assert score("12 34") == ("und", 0.0) and score(None) == ("und", 0.0) and score("ю")[0] == "de"
     got = language.language(odd).toPandas()
