@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -116,7 +117,6 @@ def contained(docs: DataFrame, items: DataFrame, p: Containment = Containment())
     texts, out = id_and_text(docs), arrow_schema(doc_id=pa.int64(), item_id=pa.int64(), n_shingles=pa.int64(), n_shared=pa.int64(), containment=pa.float64())
     found = None
     for block in _blocks(id_and_text(items, "item_id").withColumnRenamed("doc_id", "item_id"), p):
-
         def matched(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index, hasher = None, Hasher(p.words)
             for b in slices(batches):
@@ -137,24 +137,28 @@ def contained(docs: DataFrame, items: DataFrame, p: Containment = Containment())
     return found
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, p: Containment = Containment()) -> DataFrame:
-    """Documents that contain no item, all their columns kept; each row is judged where it stands, so no join is needed."""
-    on_workers(docs.sparkSession)
-    for block in _blocks(id_and_text(items, "item_id").withColumnRenamed("doc_id", "item_id"), p):
-
-        @F.pandas_udf("boolean")
-        def clean(texts, block=block):
-            import pandas as pd
+def _clean(block: Broadcast, p: Containment):
+    """Whether a text contains no item of the block."""
 
-            index, hasher = Index(block.value, p), Hasher(p.words)
+    @F.pandas_udf("boolean")
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index, hasher = Index(block.value, p), Hasher(p.words)
+        for texts in parts:
             kept = []
             for text in texts:
                 words = words_of(text)
                 own = shingles(words, p.words) if (candidates := index.search(hasher(words))) else set()
                 kept.append(not any(len(index.items[i][1] & own) >= len(index.items[i][1]) * p.threshold for i in candidates))
-            return pd.Series(kept, dtype=bool)
+            yield pd.Series(kept, dtype=bool)
 
-        docs = docs.filter(clean(F.col("text").cast("string")))
+    return clean
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, p: Containment = Containment()) -> DataFrame:
+    """Documents that contain no item, all their columns kept; each row is judged where it stands, so no join is needed."""
+    on_workers(docs.sparkSession)
+    for block in _blocks(id_and_text(items, "item_id").withColumnRenamed("doc_id", "item_id"), p):
+        docs = docs.filter(_clean(block, p)(F.col("text").cast("string")))
     return docs
 
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -180,9 +181,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFram
     on_workers(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def logit(texts):
-        import pandas as pd
-
-        return pd.Series(list(map(Model(shared.value, p), texts)), dtype="float64")
+    def logit(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = Model(shared.value, p)
+        for texts in parts:
+            yield pd.Series(list(map(model, texts)), dtype="float64")
 
     return docs.filter(logit(F.col("text").cast("string")) < float(np.log(p.threshold / (1 - p.threshold))))
