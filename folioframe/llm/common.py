@@ -34,9 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file:///tmp/checkpoints/folioframe"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        found = "file:///tmp/checkpoints"
+    # with the file system it names or, if it names none, the cluster's default one
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found.rstrip("/"))
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
