@@ -4,7 +4,8 @@ A text is made canonical: letters lower-cased, copyright lines dropped,
 punctuation and white space turned into single spaces, equivalent spellings made
 one. Its SHA-256 is looked up, by hash join, among those of known licence texts
 made canonical the same way. Besides the entire text, each of its lines is
-looked up as a text of its own, which finds one-line notices.
+looked up as a text of its own, however long, which finds notices and whole
+licences written on one line.
 
 Known digests are a fixed table whose size is checked before it is broadcast.
 
@@ -82,6 +83,5 @@ def licences(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     lines = id_and_text(docs).select("doc_id", canonical_lines(F.col("text")).alias("lines"))
     texts = lines.select("doc_id", "lines", sha(respelled(F.array_join("lines", " "))).alias("digest"))
     joined = texts.join(F.broadcast(known.select(F.col("digest").alias("known_digest"), "licence")), F.col("digest") == F.col("known_digest"), "left")
-    # a known notice is short: longer lines are no notices
-    found = F.filter(F.transform(F.filter("lines", lambda x: F.length(x) <= 200), lambda x: F.element_at(table, sha(respelled(x)))), lambda x: x.isNotNull())
+    found = F.filter(F.transform("lines", lambda x: F.element_at(table, sha(respelled(x)))), lambda x: x.isNotNull())
     return joined.select("doc_id", "digest", "licence", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices"))

@@ -361,6 +361,13 @@ def test_licences(spark, odd, empty):
     assert licences.licences(odd).count() == len(ROWS) and licences.licences(empty).count() == 0
 
 
+def test_licences_long_lines(spark):
+    known = [(name, " ".join(text.split())) for name, text in licences.KNOWN if len(text) > 300]
+    rows = [(i, f"some prose\n{line}\nmore prose") for i, (_, line) in enumerate(known)]
+    got = {r["doc_id"]: r["notices"] for r in licences.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(known) > 8 and got == {i: name for i, (name, _) in enumerate(known)}
+
+
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_sql(name, spark, sf_dir, duck):
     got, want = queries.queries()[name](spark, sf_dir).toPandas(), duck.sql(queries.oracle_sql()[name]).df()
