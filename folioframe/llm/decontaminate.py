@@ -1,17 +1,19 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, exact verification.
 
-Texts are lower-cased words; an item is the set of its five-word shingles (its
-whole word sequence if shorter). Items are partitioned by size; each partition
-keeps, of every item, the bottom-k MinHash sketch with k the number of shingles
-that may be missing at the threshold, plus one. So a document that contains an
+Texts are lower-cased words; an item is the set of its five-word shingles. An
+item of n < 5 words is its one n-word shingle, looked for among the n-word
+shingles of documents of five words or more. Items are partitioned by size; each
+partition keeps, of every item, the bottom-k MinHash sketch with k the number of
+shingles that may be missing at the threshold, plus one. So a document that contains an
 item holds at least one sketch shingle: the search loses nothing. Documents too
 short for a size partition skip it. Candidates are verified on the shingles
 themselves.
 
 Defined results: items and documents without words match nothing; a document
-shorter than five words has its whole sequence as its one shingle; repeated
-items and repeated documents each give their rows; null ids are carried. Only
-the named columns are read, so other columns may have any name.
+shorter than five words has its whole sequence as its one shingle, so it holds
+a shorter item only if equal to it; repeated items and repeated documents each
+give their rows; null ids are carried. Only the named columns are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -53,8 +55,8 @@ def shingles(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
 class Hasher:
     """64-bit hashes of all shingles of a word list, by mixing remembered word hashes."""
 
-    def __init__(self, n: int):
-        self.n, self.known = n, {}
+    def __init__(self, n: int, known: dict[bytes, int] | None = None):
+        self.n, self.known = n, {} if known is None else known
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         if not words:
@@ -78,7 +80,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str | None]], p: Containment):
         hasher = Hasher(p.words)
-        self.items = []
+        self.items, short = [], set()
         keys, owners = [], []
         for item_id, text in items:
             words = words_of(text)
@@ -90,11 +92,23 @@ class Index:
             keys.append(sketch)
             owners.append(np.full(len(sketch), len(self.items)))
             self.items.append((item_id, own, int(need)))
+            short |= {len(words)} & set(range(1, p.words))
         keys, owners = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (keys, owners))
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[order], owners[order].astype(np.int64)
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.keys >> np.uint64(48)).astype(np.int64)] = True
+        self.p, self.hashers = p, [Hasher(n, hasher.known) for n in (*sorted(short), p.words)]
+
+    def found(self, words: list[bytes]) -> Iterator[tuple[int | None, int, int]]:
+        """(item_id, shingles wanted, shingles shared) of every item contained; n-word shingles for items of n words."""
+        for hasher in self.hashers if len(words) >= self.p.words else self.hashers[-1:]:
+            if candidates := self.search(hasher(words)):
+                own = shingles(words, hasher.n)
+                for i in sorted(candidates):
+                    item_id, wanted, need = self.items[i]
+                    if len(own) >= need and (n := len(wanted & own)) >= len(wanted) * self.p.threshold:
+                        yield item_id, len(wanted), n
 
     def search(self, hashes: np.ndarray) -> set[int]:
         """Items of which some sketch hash is among ``hashes``."""
@@ -118,18 +132,12 @@ def contained(docs: DataFrame, items: DataFrame, p: Containment = Containment())
     found = None
     for block in _blocks(id_and_text(items, "item_id").withColumnRenamed("doc_id", "item_id"), p):
         def matched(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index, hasher = None, Hasher(p.words)
+            index = None
             for b in slices(batches):
                 index = index or Index(block.value, p)
                 rows = []
                 for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                    words = words_of(text)
-                    if candidates := index.search(hasher(words)):
-                        own = shingles(words, p.words)
-                        for i in sorted(candidates):
-                            item_id, wanted, need = index.items[i]
-                            if len(own) >= need and (n := len(wanted & own)) >= len(wanted) * p.threshold:
-                                rows.append((doc_id, item_id, len(wanted), n, n / len(wanted)))
+                    rows += [(doc_id, item_id, wanted, n, n / wanted) for item_id, wanted, n in index.found(words_of(text))]
                 yield batch_of(out, *([list(x) for x in zip(*rows, strict=True)] or [[]] * 5))
 
         part = arrow_map(texts, matched, "doc_id long, item_id long, n_shingles long, n_shared long, containment double")
@@ -142,14 +150,9 @@ def _clean(block: Broadcast, p: Containment):
 
     @F.pandas_udf("boolean")
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index, hasher = Index(block.value, p), Hasher(p.words)
+        index = Index(block.value, p)
         for texts in parts:
-            kept = []
-            for text in texts:
-                words = words_of(text)
-                own = shingles(words, p.words) if (candidates := index.search(hasher(words))) else set()
-                kept.append(not any(len(index.items[i][1] & own) >= len(index.items[i][1]) * p.threshold for i in candidates))
-            yield pd.Series(kept, dtype=bool)
+            yield pd.Series([next(index.found(words_of(text)), None) is None for text in texts], dtype=bool)
 
     return clean
 
@@ -163,7 +166,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, p: Containment = Contai
 
 
 def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], p: Containment = Containment()) -> set[tuple[int, int]]:
-    """What ``contained`` finds, pair by pair: for tests."""
+    """What ``contained`` finds of items of five words or more, pair by pair: for tests."""
     inverted = defaultdict(set)
     sets = {i: shingles(words_of(t), p.words) for i, t in items}
     for i, s in sets.items():

@@ -128,6 +128,15 @@ def test_containment_odd(spark, odd, empty):
     assert decontaminate.contained(empty, items).count() == 0 and decontaminate.contained(odd, items.filter(F.lit(False))).count() == 0
 
 
+def test_containment_short_items(spark):
+    texts = {1: "so The quick, brown fox jumped", 2: "brown quick the fox jumped over", 3: "a quick brown dog sat", 4: "fox", 5: "one two three four five"}
+    items = {1: "quick brown", 2: "the quick brown fox", 3: "fox", 4: "brown quick the", 5: "two four", 6: "one two three four five", 7: "x"}
+    docs, rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = {(1, 1): 1, (1, 2): 1, (1, 3): 1, (2, 3): 1, (2, 4): 1, (3, 1): 1, (4, 3): 1, (5, 6): 1}
+    assert {(r["doc_id"], r["item_id"]): r["n_shared"] for r in decontaminate.contained(docs, rows).collect()} == want
+    assert {r[0] for r in decontaminate.drop_contaminated(docs, rows.filter("item_id in (1, 2, 5)")).select("doc_id").collect()} == {2, 4, 5}
+
+
 # 3
 
 def test_language_held_out(docs, plain):
