@@ -8,8 +8,8 @@ texts.
 Defined results: null and empty texts have no feature and get the bias alone as
 score; repeated rows are scored each; rows without a label or with one that is
 not 0 or 1 are not learned from, a document with both labels counts as 1; with
-nothing to learn from, every score is 0.5. Only the named columns are read, so
-other columns may have any name.
+nothing to learn from, every score is 0.5 and the filter keeps every document.
+Only the named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -175,9 +175,13 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFram
     """Documents that the model does not reject, all their columns kept.
 
     The text is scored where it stands, so no join is needed and repeated or
-    null ids are judged row by row.
+    null ids are judged row by row. With nothing to learn from, there is no
+    model to reject any: all documents are kept.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(checked(fit(docs, labels, p), p))
+    weights = checked(fit(docs, labels, p), p)
+    if not len(weights[0]):
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
     on_workers(docs.sparkSession)
 
     @F.pandas_udf("double")

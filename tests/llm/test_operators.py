@@ -97,6 +97,14 @@ def test_toxicity_odd(spark, odd, empty):
     assert toxicity.toxicity(odd, marks.filter(F.lit(False))).count() == len(ROWS)
 
 
+def test_drop_toxic_keeps_all_without_a_model(spark, odd):
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    df = odd.unionByName(spark.createDataFrame([(i, "bad words") for i in held], "doc_id long, text string"), allowMissingColumns=True)
+    for marks in ([], [(i, 1) for i in held], [(3, 1), (4, 0)]):
+        kept = toxicity.drop_toxic(df, labels_of(spark, marks))
+        assert kept.columns == df.columns and kept.count() == len(ROWS) + len(held)
+
+
 # 2
 
 def test_containment_is_exact(spark, docs, plain, sf_dir):
