@@ -1,5 +1,7 @@
 """Known licence texts and notices, as their publishers word them (fixed values)."""
 
+from pathlib import Path
+
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
     '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
@@ -70,3 +72,12 @@ KNOWN: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
 )
+
+
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the licences in ``full_texts``, one file each, named by licence; also without the appendix behind the terms."""
+    found = []
+    for path in sorted(Path(__file__).with_name("full_texts").glob("*.txt")):
+        text, end = path.read_text("utf-8"), "END OF TERMS AND CONDITIONS"
+        found += [(path.stem, text)] + [(path.stem, text.partition(end)[0] + tail) for tail in ("", end) if end in text]
+    return tuple(found)

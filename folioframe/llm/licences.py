@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_and_text
-from .licence_texts import KNOWN
+from .licence_texts import KNOWN, full_texts
 
 # Fixed values. Patterns use classes that every regular expression engine reads alike.
 MARKS = "©"
@@ -59,8 +59,9 @@ def sha(words: Column) -> Column:
     return F.sha2(words.cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, licence) of the known texts; an empty canonical text is none."""
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """(digest, licence) of the known texts, all by default; an empty canonical text is none."""
+    known = KNOWN + full_texts() if known is None else known
     if len(known) > MOST_KNOWN:
         raise ValueError("more known texts than are broadcast")
     texts = spark.createDataFrame(list(known), "licence string, text string")

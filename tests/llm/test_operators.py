@@ -1,6 +1,7 @@
 """The operators against brute-force versions, the libraries, and awkward rows."""
 
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -385,6 +386,16 @@ def test_licences_long_lines(spark):
     assert len(known) > 8 and got == {i: name for i, (name, _) in enumerate(known)}
 
 
+def test_licences_full_texts(spark):
+    folder = Path(licences.__file__).with_name("full_texts")
+    texts = {i: (p.stem, p.read_text("utf-8")) for i, p in enumerate(sorted(folder.glob("*.txt")))}
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "MPL-2.0"} <= {name for name, _ in texts.values()}
+    rows = [(i, "\r\n".join(text.upper().split("\n"))) for i, (_, text) in texts.items()]
+    rows += [(100, next(t for n, t in texts.values() if n == "Apache-2.0").partition("   APPENDIX")[0]), (101, texts[0][1] + " more")]
+    got = {r["doc_id"]: r["licence"] for r in licences.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: name for i, (name, _) in texts.items()} | {100: "Apache-2.0", 101: None}
+
+
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_sql(name, spark, sf_dir, duck):
     got, want = queries.queries()[name](spark, sf_dir).toPandas(), duck.sql(queries.oracle_sql()[name]).df()
