@@ -26,10 +26,13 @@ from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, le
 
 @dataclass(frozen=True)
 class Backoff:
-    """``sample_rows`` bounds the labelled rows learned from, ``entries`` the words and the n-grams broadcast."""
+    """``sample_rows`` bounds the labelled rows learned from, ``entries`` the (language, entry) rows of words and of n-grams broadcast.
+
+    ``entries`` is to be out of the sample's reach: beyond it the rarest go, over all languages.
+    """
 
     sample_rows: int = 20_000
-    entries: int = 200_000
+    entries: int = 1_000_000
     longest: int = 5
     remembered: int = 300_000
 

@@ -166,6 +166,13 @@ def test_language_backoff_and_odd(spark, odd, empty):
     assert language.language(empty).count() == 0
 
 
+def test_language_keeps_all_words_seen_twice(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:42]
+    rows = [(d, " ".join(2 * [f"{'ab'[k < 40]}w{k * 6000 + i}" for i in range(6000)]), "ab"[k < 40]) for k, d in enumerate(ids)]
+    model = language.fit(spark.createDataFrame(rows, SCHEMA))
+    assert len(model.words) == 42 * 6000 and sum(w.startswith("a") for w in model.words) == 2 * 6000
+
+
 # 4
 
 def test_secrets_against_python(docs, plain):
