@@ -28,11 +28,10 @@ def voted_offset(pages: DataFrame) -> DataFrame:
 
 
 def title_offset(pages: DataFrame, manifest: DataFrame) -> DataFrame:
-    """(book_id, title_off): first page at or after the printed one's neighbourhood that contains the first chapter's title."""
+    """(book_id, title_off): first of the scanned pages that contains the first chapter's title, whatever its offset."""
     first = manifest.filter("unit_index = 1 and chap_index = 1").select("book_id", "start_page", normalize_search(F.col("title")).alias("needle"))
     found = pages.join(first, "book_id").filter(F.contains(normalize_search(F.coalesce("text", F.lit(""))), F.col("needle")) & (F.col("needle") != ""))
-    near = found.filter((F.col("page_idx") - F.col("start_page")).between(-20, 5))
-    return near.groupBy("book_id").agg(F.min_by(F.col("page_idx") - F.col("start_page"), "page_idx").alias("title_off"))
+    return found.filter(F.col("page_idx") < SCANNED).groupBy("book_id").agg(F.min_by(F.col("page_idx") - F.col("start_page"), "page_idx").alias("title_off"))
 
 
 def offsets(pages: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -91,6 +91,12 @@ def test_anchor_pages(spark):
         anchors.anchors(pages, manifest)
 
 
+def test_title_fallback_takes_any_offset(spark):
+    pages = spark.createDataFrame([(b, i, "Juros Simples" if i in at else "nada") for b, at in (("far", (12, 14)), ("early", (5,)), ("late", (45,))) for i in range(50)], "book_id string, page_idx int, text string")
+    manifest = spark.createDataFrame([(b, 1, 1, start, "Juros simples") for b, start in (("far", 1), ("early", 30), ("late", 44))], "book_id string, unit_index int, chap_index int, start_page int, title string")
+    assert {r["book_id"]: r["off"] for r in anchors.offsets(pages, manifest).collect()} == {"far": 11, "early": -25, "late": None}
+
+
 def test_split_errors(spark):
     text = spark.createDataFrame([("b", "# Um dois\n\ncorpo\n\n# Tres quatro\n\nfim")], "book_id string, markdown string")
     want = spark.createDataFrame([("b", 1, 1, "Um dois", ""), ("b", 1, 2, "Nada disso", "")], "book_id string, unit_index int, chap_index int, title string, start_anchor string")
