@@ -1,103 +1,96 @@
-"""The search form with offsets, and the monotone search for chapters: sequential, so one Python call a book."""
+"""The search form with offsets, and where chapters begin in it: each search starts where the last ended, so one call a book.
+
+The text is taken apart once: every character becomes its folded letters, a blank,
+a joint (a hyphen within a word) or nothing. Words, joints and gaps of that spread
+text are found by one pattern, and the offsets are cut along with them.
+"""
 
 from __future__ import annotations
 
-import bisect
+import functools
 import re
 import unicodedata
+from itertools import chain, repeat
+
+import numpy as np
 
 HYPHENS, MARKS = "-­", "*_`~"
 HEADING = re.compile(r"^(#{1,6})\s+", re.MULTILINE)
-LEAST_TITLE_WORDS, LEAST_ANCHOR_WORDS = 2, 4
+#: Words of a title that is searched for, and of an anchor at most and at least.
+LEAST_TITLE, MOST_ANCHOR, LEAST_ANCHOR = 2, 8, 4
+
+#: A hyphen that a letter or digit follows within four characters and before any blank.
+_JOINT = re.compile(rf"[{HYPHENS}](?=[^ \t\n\r]{{0,3}}[^\W_])")
+#: Of the spread text: a word, joints that follow one (which vanish), or a gap.
+_PART = re.compile(r"(?P<word>[^\W_]+)|(?<=[^\W_])\0+|(?P<gap>[\0 ]+)")
+
+
+def plain(text: str) -> str:
+    """Compatibility decomposition without combining marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
-def _followed(text: str, at: int) -> bool:
-    """Whether a letter or digit comes within four characters, before any blank."""
-    for ch in text[at : at + 4]:
-        if ch.isalnum():
-            return True
-        if ch in " \t\n\r":
-            return False
-    return False
+@functools.lru_cache(1 << 14)
+def _spread(ch: str) -> str:
+    return "" if ch in MARKS else "".join(low if (low := c.lower()).isalnum() else " " for c in plain(ch))
 
 
 def with_offsets(text: str) -> tuple[str, list[int]]:
     """Search form, and for each of its characters the offset of the one it comes from; one entry more marks the end."""
-    out: list[str] = []
-    at: list[int] = []
-    for i, ch in enumerate(text):
-        if ch in MARKS or (ch in HYPHENS and out and out[-1].isalnum() and _followed(text, i + 1)):
-            continue
-        for base in unicodedata.normalize("NFKD", ch):
-            if unicodedata.combining(base):
-                continue
-            low = base.lower()
-            if low.isalnum():
-                out.append(low)
-                at.append(i)
-            elif out and out[-1] != " ":
-                out.append(" ")
-                at.append(i)
-    end = len(text)
-    if out and out[-1] == " ":
-        out.pop()
-        end = at.pop()
-    return "".join(out), [*at, end]
+    joints = {m.start() for m in _JOINT.finditer(text)}
+    pieces = ["\0" if i in joints else _spread(ch) for i, ch in enumerate(text)]
+    source = np.repeat(np.arange(len(text)), np.fromiter(map(len, pieces), np.int64, len(pieces)))
+    words, at, ending = [], [], len(text)
+    for m in _PART.finditer("".join(pieces)):
+        if m["word"]:
+            words.append(m["word"])
+            at.append(source[m.start() : m.end()])
+        elif m["gap"] and words:
+            words.append(" ")
+            at.append(source[m.start() : m.start() + 1])
+    if words and words[-1] == " ":
+        words.pop()
+        ending = int(at.pop()[0])
+    return "".join(words), [*np.concatenate(at).tolist(), ending] if at else [ending]
 
 
 def search_form(text: str) -> str:
-    """Python twin of the Column expression, exact for any script: other letters than a to z part words."""
-    plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
-    plain = re.sub(r"(?<=\w)[-­](?=\w)", "", re.sub(r"[*_`~]+", "", plain))
-    return " ".join(re.sub(r"[^a-z0-9]+", " ", plain).split())
+    """Python twin of the Column expression: other letters than a to z part words."""
+    bare = re.sub(rf"[{MARKS}]+", "", plain(text).lower())
+    return " ".join(re.findall("[a-z0-9]+", re.sub(rf"(?<=\w)[{HYPHENS}](?=\w)", "", bare)))
 
 
 def heading_offsets(markdown: str, at: list[int]) -> list[int]:
     """Where in the search form each heading's text begins."""
-    found = []
-    for m in HEADING.finditer(markdown):
-        k = bisect.bisect_left(at, m.end())
-        if k < len(at):
-            found.append(k)
-    return found
-
-
-def locate(norm: str, headings: list[int], cursor: int, title: str, anchor: str) -> tuple[int, int]:
-    """(position, length) of a chapter at or after the cursor, or (-1, 0).
-
-    A title of two words or more at a heading; else the anchor's first eight
-    words, then fewer down to four; else the title anywhere.
-    """
-    title, words = search_form(title), anchor.split()[:8]
-    titled = len(title.split()) >= LEAST_TITLE_WORDS
-    if titled:
-        for h in headings[bisect.bisect_left(headings, cursor) :]:
-            if norm.startswith(title, h):
-                return h, len(title)
-    for n in range(len(words), LEAST_ANCHOR_WORDS - 1, -1):
-        needle = " ".join(words[:n])
-        if (k := norm.find(needle, cursor)) >= 0:
-            return k, len(needle)
-    if titled and (k := norm.find(title, cursor)) >= 0:
-        return k, len(title)
-    return -1, 0
+    ends = [m.end() for m in HEADING.finditer(markdown)]
+    return [k for k in np.searchsorted(at, ends).tolist() if k < len(at)]
+
+
+def needles(title: str, anchor: str) -> list[tuple[str, bool]]:
+    """What is looked for, in turn, and whether at headings only: the title, ever fewer words of the anchor, the title anywhere."""
+    form, key = search_form(title), anchor.split()[:MOST_ANCHOR]
+    titled = [form] if form.count(" ") + 1 >= LEAST_TITLE else []
+    shorter = (" ".join(key[:n]) for n in range(len(key), LEAST_ANCHOR - 1, -1))
+    return list(chain(zip(titled, repeat(True)), zip(shorter, repeat(False)), zip(titled, repeat(False))))
+
+
+def place(norm: str, headings: list[int], cursor: int, needle: str, at_heading: bool) -> int:
+    """First place at or after the cursor, or -1."""
+    if not at_heading:
+        return norm.find(needle, cursor)
+    return next((h for h in headings if h >= cursor and norm.startswith(needle, h)), -1)
 
 
 def positions(markdown: str, wanted: list[tuple[str, str]], sentinel: str | None = None, snap_to_line: bool = False) -> tuple[list[int], int]:
     """Offsets of the chapters (title, anchor) in order, -1 where one is missing, and where the last one ends."""
     norm, at = with_offsets(markdown)
     headings, cursor, found = heading_offsets(markdown, at), 0, []
-    for title, anchor in wanted:
-        k, n = locate(norm, headings, cursor, title, anchor)
-        if k < 0:
-            found.append(-1)
-            continue
-        start = at[k]
-        found.append(markdown.rfind("\n", 0, start) + 1 if snap_to_line else start)
-        cursor = k + n
-    end = len(markdown)
-    if sentinel:
-        needle = " ".join(sentinel.split()[:8])
-        if needle and (k := norm.find(needle, cursor)) >= 0:
-            end = at[k]
-    return found, end
+    for chapter in wanted:
+        hits = ((place(norm, headings, cursor, *n), len(n[0])) for n in needles(*chapter))
+        k, size = next((hit for hit in hits if hit[0] >= 0), (-1, 0))
+        start = at[k] if k >= 0 else -1
+        found.append(markdown.rfind("\n", 0, start) + 1 if snap_to_line and k >= 0 else start)
+        cursor = k + size if k >= 0 else cursor
+    ending = " ".join((sentinel or "").split()[:MOST_ANCHOR])
+    last = norm.find(ending, cursor) if ending else -1
+    return found, at[last] if last >= 0 else len(markdown)

@@ -2,20 +2,72 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Callable
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SHY = "­"
-#: Accented Latin letters and their bases, for a fold without a Python worker.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-BASE = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+SHY = "\u00ad"
+#: What Python and Unicode call white space, for trimming.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end; Spark's own trim takes blanks only."""
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def rstrip(c: Column) -> Column:
+    return F.rtrim(c, F.lit(BLANKS))
+
+
+def _class(points: list[int]) -> str:
+    """A regular expression's class of code points, as ranges."""
+    out, at = [], 0
+    while at < len(points):
+        end = at
+        while end + 1 < len(points) and points[end + 1] == points[end] + 1:
+            end += 1
+        out.append(f"\\x{{{points[at]:x}}}-\\x{{{points[end]:x}}}")
+        at = end + 1
+    return "".join(out)
+
+
+@functools.cache
+def decompositions() -> tuple[str, str, dict[str, str], str, str]:
+    """Of all characters beyond ASCII: those that fold to one ASCII character and what to, those that fold to several, and two classes.
+
+    Folding is compatibility decomposition without combining marks, in lower
+    case. Characters that fold to nothing in ASCII are left as they are. The
+    classes are those of characters that fold to several, and of combining marks.
+    """
+    one, base, several, marks = [], [], {}, []
+    for point in chain(range(0x80, 0xD800), range(0xE000, 0x110000)):
+        c = chr(point)
+        if unicodedata.combining(c):
+            marks.append(point)
+        elif unicodedata.decomposition(c):
+            folded = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()
+            if len(folded) == 1 and folded.isascii():
+                one.append(c)
+                base.append(folded)
+            elif any(map(str.isascii, folded)):
+                several[c] = folded
+    return "".join(one), "".join(base), several, _class(sorted(map(ord, several))), _class(marks)
 
 
 def fold(c: Column) -> Column:
-    """Lower case without accents; combining marks go."""
-    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, BASE), "[̀-ͯ]", "")
+    """Lower case without accents: compatibility decomposition, combining marks gone. ASCII texts take the short way."""
+    one, base, several, spelled_out, marks = decompositions()
+    table = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
+    parts = F.split(c, f"(?<=[{spelled_out}])|(?=[{spelled_out}])")
+    spelled = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
+    whole = F.when(c.rlike(f"[{spelled_out}]"), spelled).otherwise(c)
+    bare = F.regexp_replace(F.lower(F.translate(whole, one, base)), f"[{marks}]+", "")
+    return F.when(c.rlike(r"[^\x00-\x7f]"), bare).otherwise(F.lower(c))
 
 
 def normalize_search(c: Column) -> Column:
@@ -26,12 +78,12 @@ def normalize_search(c: Column) -> Column:
 
 def slugify(c: Column) -> Column:
     """ASCII slug: folded, characters without a base dropped, other runs one hyphen."""
-    plain = F.regexp_replace(fold(c), r"[^\x00-\x7f]", "")
-    return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    ascii_only = F.regexp_replace(fold(c), r"[^\x00-\x7f]", "")
+    return F.regexp_replace(F.regexp_replace(ascii_only, "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
 def title_from_stem(c: Column) -> Column:
-    return F.trim(F.translate(c, "_", " "))
+    return strip(F.translate(c, "_", " "))
 
 
 def percent_decoded(c: Column) -> Column:
@@ -118,7 +170,8 @@ def list_marker(ordered: Column, marker: Column, n: Column) -> Column:
 
 
 def heading(level: Column, text: Column) -> Column:
-    return F.rtrim(F.concat(F.repeat(F.lit("#"), F.greatest(F.lit(1), F.least(level, F.lit(6))).cast("int")), F.lit(" "), text))
+    hashes = F.repeat(F.lit("#"), F.greatest(F.lit(1), F.least(level, F.lit(6))).cast("int"))
+    return rstrip(F.concat(hashes, F.lit(" "), text))
 
 
 def collapse_newlines(c: Column) -> Column:
@@ -128,14 +181,15 @@ def collapse_newlines(c: Column) -> Column:
 def toc_tokens(payload: Column) -> Column:
     """Array of (title, page): titles up to a tab, an optional mark, digits; blank titles dropped."""
     pattern = r"(?s)(.+?)\t[.,;:]?(\d+)"
-    pair = F.zip_with(F.regexp_extract_all(payload, F.lit(pattern), F.lit(1)), F.regexp_extract_all(payload, F.lit(pattern), F.lit(2)), lambda t, p: F.struct(F.trim(t).alias("title"), p.cast("int").alias("page")))
-    return F.filter(pair, lambda x: x["title"] != "")
+    part = lambda group: F.regexp_extract_all(payload, F.lit(pattern), F.lit(group))
+    pairs = F.zip_with(part(1), part(2), lambda t, p: F.struct(strip(t).alias("title"), p.cast("int").alias("page")))
+    return F.filter(pairs, lambda x: x["title"] != "")
 
 
 def toc_title(c: Column) -> Column:
     """Without a leading chapter label, white space collapsed."""
-    bare = F.regexp_replace(c, r"(?iu)^\s*cap[ií]tulo\s+\d+\s*[–—-]\s*", "")
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+    bare = F.regexp_replace(c, r"(?iu)^\s*cap[i\u00ed]tulo\s+\d+\s*[\u2013\u2014-]\s*", "")
+    return strip(F.regexp_replace(bare, rf"[{BLANKS}]+", " "))
 
 
 def words(c: Column) -> Column:
@@ -155,7 +209,8 @@ def strip_header(anchor: Column, header: Column) -> Column:
 
 def page_lines(text: Column) -> Column:
     """Non-blank lines, trimmed."""
-    return F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
+    return F.filter(F.transform(lines, strip), lambda x: x != "")
 
 
 def candidate_page_numbers(text: Column) -> Column:
@@ -168,7 +223,7 @@ def candidate_page_numbers(text: Column) -> Column:
 def significant_words(text: Column, n: int) -> Column:
     """The first n words of the search form that are not all digits, from at most 3n raw words of lines that are no page number."""
     lines = F.filter(page_lines(text), lambda x: ~x.rlike(r"^[0-9]{1,4}$"))
-    raw = F.slice(F.filter(F.split(F.array_join(lines, " "), r"\s+"), lambda w: w != ""), 1, 3 * n)
+    raw = F.slice(F.filter(F.split(F.array_join(lines, " "), f"[{BLANKS}]+"), lambda w: w != ""), 1, 3 * n)
     found = F.filter(words(normalize_search(F.array_join(raw, " "))), lambda w: ~w.rlike("^[0-9]+$"))
     return F.array_join(F.slice(found, 1, n), " ")
 

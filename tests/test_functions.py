@@ -12,7 +12,7 @@ def one(spark, column, **values):
 
 @pytest.mark.parametrize(
     "text,want",
-    [("Seção 1: O *Condut*or", "secao 1 o condutor"), ("bem-vindo", "bemvindo"), ("a - b", "a b"), ("soft­hyphen", "softhyphen"), ("", ""), ("a--b", "a b"), ("Ünï_codé`~", "unicode")],
+    [("Lição 4: a *mat*riz", "licao 4 a matriz"), ("bem-vindo", "bemvindo"), ("a - b", "a b"), ("soft­hyphen", "softhyphen"), ("", ""), ("a--b", "a b"), ("Ünï_codé`~", "unicode"), ("Việt ﬁm ½ x²", "viet fim 1 2 x2"), ("a\u3000b\tc…d", "a b c d"), ("𝐀𝟗-ß", "a9")],
 )
 def test_search_form(spark, text, want):
     assert one(spark, X.normalize_search(F.col("t")), t=text) == want == offsets.search_form(text)
@@ -35,7 +35,7 @@ def test_offsets_point_at_sources():
     assert text[at[0]] == "O" and text[at[4]] == "m"
 
 
-@pytest.mark.parametrize("raw,want", [("ParagraphStyle/My%3aStyle", "My:Style"), ("A+B", "A+B"), ("P/a%2", "a%2"), ("P/$ID/x", "$ID/x")])
+@pytest.mark.parametrize("raw,want", [("ParagraphStyle/Corpo%3aRecuo", "Corpo:Recuo"), ("A+B", "A+B"), ("P/a%2", "a%2"), ("P/$ID/x", "$ID/x")])
 def test_style_name(spark, raw, want):
     assert one(spark, X.style_name(F.col("t")), t=raw) == want
 
@@ -47,6 +47,7 @@ def test_uri(spark, uri, want):
 
 def test_slug(spark):
     assert one(spark, X.slugify(F.col("t")), t="  Matemática — Financeira! ") == "matematica-financeira"
+    assert one(spark, X.slugify(F.col("t")), t="Việt ﬁm x²") == "viet-fim-x2" and one(spark, X.slugify(F.col("t")), t="a\xa0b…c") == "a-b-c"
 
 
 def test_toc(spark):
@@ -56,7 +57,7 @@ def test_toc(spark):
 
 
 def test_page_numbers(spark):
-    assert one(spark, X.candidate_page_numbers(F.col("t")), t="12\na\nb") == [12, 12]
+    assert one(spark, X.candidate_page_numbers(F.col("t")), t="12\na\nb") == [12, 12] == one(spark, X.candidate_page_numbers(F.col("t")), t="\xa012\t\na\n\t\n")
     assert one(spark, X.candidate_page_numbers(F.col("t")), t="1\n" + "x\n" * 10 + "99") == [1, 99]
     assert one(spark, X.significant_words(F.col("t"), 3), t="7\nUm dois 3 três quatro") == "um dois tres"
 
