@@ -4,101 +4,82 @@ from __future__ import annotations
 
 import argparse
 import sys
-import tempfile
-from pathlib import Path
 
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from . import __version__
-from .operators import assets, batch
+from .operators import batch
+from .plans import books
 from .plans import convert as conversion
-from .session import session
+from .session import drop_scratch, session
 from .sources import package
-from .sources.rules import rules
 
 
-def _pages(spark, path: str):
-    return spark.read.parquet(path).select(F.col("book_id").cast("string"), F.col("page_idx").cast("int"), "text")
-
-
-def _svg(name: str, content: bytes) -> tuple[str, bytes] | None:
-    """A vector by the programs of the machine that runs the task."""
-    with tempfile.TemporaryDirectory() as d:
-        source = Path(d) / name
-        source.write_bytes(content)
-        made = assets.to_svg(source, source)
-        return (made.name, made.read_bytes()) if made else None
+def _parser() -> argparse.ArgumentParser:
+    top = argparse.ArgumentParser(prog="folioframe")
+    sub = top.add_subparsers(dest="command", required=True)
+    sub.add_parser("version")
+    look = sub.add_parser("inspect", help="paragraph styles of a package by use")
+    look.add_argument("package")
+    look.add_argument("--top", type=int, default=0, help="only the N most used; 0 for all")
+    one = sub.add_parser("convert", help="one package into chapters")
+    one.add_argument("package")
+    one.add_argument("--output", "-o", default="out")
+    one.add_argument("--title", "-t", help="the book's title; by default the file's name")
+    one.add_argument("--links", help="folder of linked files; by default Links beside the package")
+    one.add_argument("--pdf", help="the book's PDF; by default the largest beside the package")
+    many = sub.add_parser("batch", help="all books of a folder in one job")
+    many.add_argument("--input", "-i", default="Input", help="folder with a subfolder a book")
+    many.add_argument("--output", "-o", default="Output")
+    many.add_argument("--done", default="FEITOS", help="folder that finished books move to")
+    many.add_argument("--errors", default="ERROS", help="folder that failed books move to")
+    many.add_argument("--workers", "-w", type=int, help="tasks that read packages; by default as Spark deals files out")
+    for p in (one, many):
+        p.add_argument("--config", "-c", "--overlay", dest="overlay", help="YAML over the default style rules")
+        p.add_argument("--inkscape", "--inkscape-path", dest="inkscape", help="the vector converter")
+        p.add_argument("--pages", help="Parquet of (book_id, page_idx, text) instead of PDF files; book_id is the package's stem")
+        p.add_argument("--cache", help="folder of converted equations, read before and added to after")
+        p.add_argument("--units", type=int, default=4)
+        p.add_argument("--per-unit", type=int, default=4)
+    for p in (look, one, many):
+        p.add_argument("--verbose", "-v", action="store_true")
+    return top
 
 
-def _convert(spark, pkgs, args) -> int:
-    links = package.links(spark, args.links).select(F.lit(args.title or Path(args.package).stem).alias("book_id"), "basename", "content") if getattr(args, "links", None) else None
-    book = conversion.plan(spark, pkgs, _pages(spark, args.pages), links, conversion.Options(overlay=args.overlay), vector_converter=_svg)
-    conversion.write_chapters(book, args.output)
-    if book.assets is not None:
-        conversion.write_assets(book, args.output)
-    for name, report in conversion.reports(book, rules(args.overlay)).items():
-        target = Path(args.output) / name / "_report.json"
-        target.parent.mkdir(parents=True, exist_ok=True)
-        target.write_text(conversion.report_json(report), encoding="utf-8")
+def _inspect(spark: SparkSession, args: argparse.Namespace) -> int:
+    every = conversion.inspect_styles(package.packages(spark, args.package))
+    shown = every.limit(args.top) if args.top else every
+    for r in shown.select("style", "n").toLocalIterator():
+        print(f"{r['n']:6d}  {r['style']}")
+    print(f"{every.count()} styles")
     return 0
 
 
 def main(argv: list[str] | None = None) -> int:
-    top = argparse.ArgumentParser(prog="folioframe")
-    sub = top.add_subparsers(dest="command", required=True)
-    sub.add_parser("version")
-    one = sub.add_parser("convert")
-    one.add_argument("package")
-    one.add_argument("--pages", required=True, help="Parquet of (book_id, page_idx, text)")
-    one.add_argument("--output", "-o", default="out")
-    one.add_argument("--overlay")
-    one.add_argument("--title")
-    one.add_argument("--links")
-    look = sub.add_parser("inspect")
-    look.add_argument("package")
-    look.add_argument("--top", type=int, default=0)
-    many = sub.add_parser("batch")
-    many.add_argument("--input", "-i", default="Input")
-    many.add_argument("--pages", required=True)
-    many.add_argument("--output", "-o", default="out")
-    many.add_argument("--overlay")
-    many.add_argument("--done", help="folder that finished books move to")
-    many.add_argument("--errors", help="folder that failed books move to")
-    args = top.parse_args(argv)
+    args = _parser().parse_args(argv)
     if args.command == "version":
         print(__version__)
         return 0
     spark = session()
+    spark.sparkContext.setLogLevel("INFO" if args.verbose else "ERROR")
     if args.command == "inspect":
-        rows = conversion.inspect_styles(package.packages(spark, args.package), args.top).select("style", "n").collect()
-        for r in rows:
-            print(f"{r['n']:6d}  {r['style']}")
-        print(f"{len(rows)} styles")
-        return 0
-    if args.command == "convert":
-        return _convert(spark, package.packages(spark, args.package), args)
-    found = package.packages(spark, args.input)
-    slots = batch.discover(found.select(F.regexp_extract("path", r"(.*)/[^/]+$", 1).alias("dir"), "path", F.col("book_id").alias("slug")).withColumnRenamed("path", "package"))
-    done = [p.parent.name for p in Path(args.output).glob("*/_report.json")]
-    known = spark.createDataFrame([(k, "output") for k in done], "key string, kind string")
-    tasks = slots.filter("status = 'task'").withColumnRenamed("slug", "key")
-    results = []
-    for task in batch.pending(tasks, known).orderBy("dir").collect():
-        args.package, args.title, folder = task["package"], None, Path(task["dir"].removeprefix("file:"))
-        args.links = str(folder / "Links") if (folder / "Links").is_dir() else None
-        try:
-            _convert(spark, package.packages(spark, task["package"]), args)
-            results.append((task["key"], "done", None))
-        except Exception as e:  # one book's failure is its result
-            results.append((task["key"], "error", str(e)[:500]))
-        if args.done and args.errors:
-            batch.finalize(folder, *results[-1], Path(args.done), Path(args.errors))
-    results += [(r["key"], "skipped", r["reason"]) for r in batch.skipped(tasks, known).collect()]
-    table = spark.createDataFrame(results, "book string, status string, message string")
-    table.orderBy("status", "book").show(1000, truncate=False)
-    totals = batch.totals(table).first()
-    print(totals.asDict())
-    return 1 if totals["error"] else 0
+        return _inspect(spark, args)
+    options = conversion.Options(units=args.units, per_unit=args.per_unit)
+    settings = books.Settings(args.overlay, args.inkscape, args.cache, getattr(args, "workers", None), options)
+    pages = spark.read.parquet(args.pages) if args.pages else None
+    try:
+        if args.command == "convert":
+            slug = books.convert_package(spark, args.package, args.output, settings, args.title, args.links, args.pdf, pages)
+            print(f"{args.output}/{slug}")
+            return 0
+        results = books.convert_folder(spark, args.input, args.output, args.done, args.errors, settings, pages)
+        for r in results.orderBy("status", "dir").toLocalIterator():
+            print(f"{r['status']:8s} {r['dir'].rpartition('/')[2]}  {r['message'] or ''}".rstrip())
+        totals = batch.totals(results).first()
+        print(totals.asDict())
+        return 1 if totals["error"] else 0
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -16,7 +16,8 @@ class PdfAnchorError(ValueError):
 
 def offset_votes(pages: DataFrame) -> DataFrame:
     """(book_id, off, votes, first_vote): every candidate number of the first pages votes for page index minus number."""
-    rows = pages.filter(F.col("page_idx") < SCANNED).select("book_id", "page_idx", F.posexplode(candidate_page_numbers(F.coalesce("text", F.lit("")))).alias("pos", "num"))
+    numbers = F.posexplode(candidate_page_numbers(F.coalesce("text", F.lit("")))).alias("pos", "num")
+    rows = pages.filter(F.col("page_idx") < SCANNED).select("book_id", "page_idx", numbers)
     rows = rows.withColumn("off", F.col("page_idx") - F.col("num")).filter((F.col("num") >= LEAST_PRINTED) & F.col("off").between(-20, 5))
     return rows.groupBy("book_id", "off").agg(F.count("*").alias("votes"), F.min(F.struct("page_idx", "pos")).alias("first_vote"))
 
@@ -30,43 +31,70 @@ def voted_offset(pages: DataFrame) -> DataFrame:
 def title_offset(pages: DataFrame, manifest: DataFrame) -> DataFrame:
     """(book_id, title_off): first of the scanned pages that contains the first chapter's title, whatever its offset."""
     first = manifest.filter("unit_index = 1 and chap_index = 1").select("book_id", "start_page", normalize_search(F.col("title")).alias("needle"))
-    found = pages.join(first, "book_id").filter(F.contains(normalize_search(F.coalesce("text", F.lit(""))), F.col("needle")) & (F.col("needle") != ""))
-    return found.filter(F.col("page_idx") < SCANNED).groupBy("book_id").agg(F.min_by(F.col("page_idx") - F.col("start_page"), "page_idx").alias("title_off"))
+    scanned = pages.filter(F.col("page_idx") < SCANNED).join(first, "book_id")
+    found = scanned.filter((F.col("needle") != "") & F.contains(normalize_search(F.coalesce("text", F.lit(""))), F.col("needle")))
+    return found.groupBy("book_id").agg(F.min_by(F.col("page_idx") - F.col("start_page"), "page_idx").alias("title_off"))
 
 
 def offsets(pages: DataFrame, manifest: DataFrame) -> DataFrame:
     """(book_id, off): the vote with enough votes, else the title's page, else the best vote."""
     books = manifest.select("book_id").distinct()
     joined = books.join(voted_offset(pages), "book_id", "left").join(title_offset(pages, manifest), "book_id", "left")
-    return joined.select("book_id", F.when(F.col("votes") >= LEAST_VOTES, F.col("off")).otherwise(F.coalesce("title_off", "off")).alias("off"))
+    off = F.when(F.col("votes") >= LEAST_VOTES, F.col("off")).otherwise(F.coalesce("title_off", "off"))
+    return joined.select("book_id", off.alias("off"))
 
 
-def running_headers(pages: DataFrame) -> DataFrame:
-    """(book_id, header): words of the line most often among a book's first three lines, if on enough pages."""
+def running_headers(pages: DataFrame, least: int = 5, share: float = 0.3) -> DataFrame:
+    """(book_id, header, n): words of the line most often among a book's first three lines, if on enough pages."""
     totals = pages.groupBy("book_id").agg(F.count("*").alias("pages"))
-    lines = pages.select("book_id", "page_idx", F.posexplode(F.slice(page_lines(F.coalesce("text", F.lit(""))), 1, 3)).alias("pos", "line"))
+    top = F.slice(page_lines(F.coalesce("text", F.lit(""))), 1, 3)
+    lines = pages.select("book_id", "page_idx", F.posexplode(top).alias("pos", "line"))
     bare = F.filter(words(normalize_search(F.col("line"))), lambda w: ~w.rlike("^[0-9]+$"))
     lines = lines.withColumn("words", bare).filter(F.size("words").between(1, 8)).withColumn("line", F.array_join("words", " "))
     counts = lines.groupBy("book_id", "line").agg(F.count("*").alias("n"), F.min(F.struct("page_idx", "pos")).alias("first_seen"))
     best = counts.groupBy("book_id").agg(F.min_by(F.struct("line", "n"), F.struct(-F.col("n"), "first_seen")).alias("best"))
-    enough = F.greatest(F.lit(5), F.floor(F.col("pages") * F.lit(0.3)))
-    return best.join(totals, "book_id").filter(F.col("best.n") >= enough).select("book_id", F.split("best.line", " ").alias("header"), F.col("best.n").alias("n"))
+    enough = F.greatest(F.lit(least), F.floor(F.col("pages") * F.lit(share)))
+    kept = best.join(totals, "book_id").filter(F.col("best.n") >= enough)
+    return kept.select("book_id", F.split("best.line", " ").alias("header"), F.col("best.n").alias("n"))
 
 
-def anchors(pages: DataFrame, manifest: DataFrame, strict: bool = True) -> DataFrame:
-    """The manifest with ``pdf_page_index`` and ``start_anchor``, the first words of each chapter's page without the running header."""
-    off, head = offsets(pages, manifest), running_headers(pages).select("book_id", "header")
-    rows = manifest.join(off, "book_id", "left").withColumn("pdf_page_index", F.col("start_page") + F.col("off"))
+def _opening(rows: DataFrame, pages: DataFrame, headers: DataFrame) -> DataFrame:
+    """Adds ``opening`` to rows with (book_id, pdf_page_index): the first words of that page without the running header; null off the book."""
     text = pages.select(F.col("book_id").alias("b"), F.col("page_idx").alias("i"), F.coalesce("text", F.lit("")).alias("page_text"))
-    rows = rows.join(text, (F.col("book_id") == F.col("b")) & (F.col("pdf_page_index") == F.col("i")), "left").join(head, "book_id", "left")
-    empty = F.array().cast("array<string>")
-    header = F.coalesce("header", empty)
-    anchor = strip_header(words(significant_words(F.col("page_text"), STORED)), header)
-    rows = rows.withColumn("start_anchor", F.array_join(anchor, " ")).withColumn("anchor_words", F.size(anchor)).drop("b", "i", "header", "page_text")
-    problem = F.when(F.col("off").isNull(), "no page offset").when(F.col("start_anchor").isNull(), "page out of range").when(F.col("anchor_words") < SEARCHED, "anchor too short")
-    if strict and (bad := rows.withColumn("problem", problem).filter("problem is not null").limit(3).collect()):
+    rows = rows.join(text, (F.col("book_id") == F.col("b")) & (F.col("pdf_page_index") == F.col("i")), "left")
+    rows = rows.join(headers.select("book_id", "header"), "book_id", "left")
+    raw = words(significant_words(F.col("page_text"), 2 * STORED))
+    bare = F.slice(strip_header(raw, F.coalesce("header", F.array().cast("array<string>"))), 1, STORED)
+    return rows.withColumn("opening", F.when(F.col("page_text").isNotNull(), bare)).drop("b", "i", "header", "page_text")
+
+
+def anchors(pages: DataFrame, manifest: DataFrame, strict: bool = True) -> DataFrame:
+    """The manifest with ``off``, ``pdf_page_index`` and ``start_anchor``, the first words of each chapter's page.
+
+    ``problem`` says what keeps a chapter from having an anchor; under ``strict``
+    the first such chapters are an error.
+    """
+    rows = manifest.join(offsets(pages, manifest), "book_id", "left").withColumn("pdf_page_index", F.col("start_page") + F.col("off"))
+    rows = _opening(rows, pages, running_headers(pages))
+    problem = (
+        F.when(F.col("off").isNull(), "no page offset")
+        .when(F.col("opening").isNull(), "page out of range")
+        .when(F.size("opening") == 0, "page without words")
+        .when(F.size("opening") < SEARCHED, "anchor too short")
+    )
+    rows = rows.withColumn("start_anchor", F.array_join("opening", " ")).withColumn("problem", problem).drop("opening")
+    if strict and (bad := rows.filter("problem is not null").limit(3).collect()):
         raise PdfAnchorError("; ".join(f"{r['book_id']} {r['unit_index']}.{r['chap_index']}: {r['problem']}" for r in bad))
-    return rows.drop("anchor_words")
+    return rows
+
+
+def sentinels(pages: DataFrame, manifest: DataFrame, found: DataFrame) -> DataFrame:
+    """(book_id, sentinel): how the references' page opens, for books that have one within their pages; ``found`` are the anchors."""
+    off = found.groupBy("book_id").agg(F.min("off").alias("off"))
+    at = manifest.filter("refs_page is not null").groupBy("book_id").agg(F.min("refs_page").alias("refs_page")).join(off, "book_id")
+    rows = at.select("book_id", (F.col("refs_page") + F.col("off")).alias("pdf_page_index"))
+    opened = _opening(rows, pages, running_headers(pages)).filter(F.size("opening") > 0)
+    return opened.select("book_id", F.array_join("opening", " ").alias("sentinel"))
 
 
 def search_key(anchor: F.Column) -> F.Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import RASTER, extension
 from ..session import on_workers
+from ..sources.files import write_files  # noqa: F401
 from .sequence import ranked
 
 VECTORS = (".ai", ".eps")
@@ -88,27 +89,34 @@ def run(cmd: list[str], *, timeout: float = 60.0, cwd: Path | None = None) -> tu
     return done.returncode, done.stdout, done.stderr
 
 
+def _usual_places() -> Iterator[Path]:
+    """Where installers put the converter on Windows."""
+    for base in (Path.home(), Path("C:/Program Files"), Path("C:/Program Files (x86)")):
+        for below in ("Inkscape/bin", "Inkscape/PFiles64/Inkscape/bin", "Inkscape"):
+            yield base / below / "inkscape.exe"
+
+
 def inkscape(explicit: str | None = None) -> str | None:
     """The converter: the path given (and no other, if it is missing), the environment's, that on PATH, or a usual place."""
     if explicit is not None:
         return explicit if Path(explicit).exists() else None
-    places = [os.environ.get("FOLIOFRAME_INKSCAPE_PATH"), shutil.which("inkscape"), r"C:\Program Files\Inkscape\bin\inkscape.exe", r"C:\Program Files (x86)\Inkscape\bin\inkscape.exe"]
+    places = [os.environ.get("FOLIOFRAME_INKSCAPE_PATH"), shutil.which("inkscape"), *map(str, _usual_places())]
     return next((p for p in places if p and Path(p).exists()), None)
 
 
 def to_svg(source: Path, target: Path, program: str | None = None) -> Path | None:
-    """Vector first, within 60 s; else 300 dpi raster within 30 s; None if neither works."""
+    """Vector first, within 60 s; else a raster of 300 dpi cut to the drawing, within 30 s; None if neither works."""
     if (found := inkscape(program)) is not None:
-        with_svg = target.with_suffix(".svg")
-        code, *_ = run([found, str(source), "--export-type=svg", f"--export-filename={with_svg}"], timeout=60)
-        if code == 0 and with_svg.exists():
-            return with_svg
-    for name in ("gs", "gswin64c"):
-        if shutil.which(name):
-            png = target.with_suffix(".png")
-            code, *_ = run([name, "-dNOPAUSE", "-dBATCH", "-dSAFER", "-sDEVICE=pngalpha", "-r300", f"-sOutputFile={png}", str(source)], timeout=30)
-            if code == 0 and png.exists():
-                return png
+        svg = target.with_suffix(".svg")
+        code, *_ = run([found, str(source), "--export-type=svg", f"--export-filename={svg}"], timeout=60)
+        if code == 0 and svg.exists():
+            return svg
+    for name in filter(shutil.which, ("gs", "gswin64c")):
+        png = target.with_suffix(".png")
+        options = ["-sDEVICE=png16m", "-r300", "-dEPSCrop", "-dNOPAUSE", "-dBATCH", "-dQUIET"]
+        code, *_ = run([name, *options, f"-sOutputFile={png}", str(source)], timeout=30)
+        if code == 0 and png.exists():
+            return png
     return None
 
 
@@ -132,19 +140,3 @@ def convert_vectors(files: DataFrame, convert: Callable[[str, bytes], tuple[str,
 
     wanted = files.filter(extension(F.col("basename")).isin(*VECTORS)).select("book_id", "basename", "content")
     return wanted.mapInPandas(each, "book_id string, basename string, status string, out_name string, out binary")
-
-
-def write_files(rows: DataFrame, root: str) -> None:
-    """Write (path, content) under ``root`` from where the rows are; a file is renamed into place when it is whole."""
-
-    on_workers(rows.sparkSession)
-
-    def put(part: Iterator) -> None:
-        for r in part:
-            target = Path(root) / r["path"]
-            target.parent.mkdir(parents=True, exist_ok=True)
-            temporary = target.with_name(f".{target.name}.{os.getpid()}")
-            temporary.write_bytes(bytes(r["content"]))
-            temporary.replace(target)
-
-    rows.select("path", "content").foreachPartition(put)

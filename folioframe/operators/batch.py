@@ -12,10 +12,27 @@ from pyspark.sql import functions as F
 
 
 def discover(packages: DataFrame) -> DataFrame:
-    """(dir, package, slug, status) from (dir, package, slug): first package of a directory by name, first directory of a slug by name."""
-    first = packages.groupBy("dir", "slug").agg(F.min("package").alias("package"), F.count("*").alias("packages"))
+    """(dir, package, slug, packages, status) from (dir, package, slug).
+
+    Of a directory the first package by name counts, of a slug the first
+    directory by name; the others have status ``slug_taken``.
+    """
+    first = packages.groupBy("dir").agg(F.min(F.struct("package", "slug")).alias("first"), F.count("*").alias("packages"))
+    first = first.select("dir", F.col("first.package").alias("package"), F.col("first.slug").alias("slug"), "packages")
     n = F.row_number().over(Window.partitionBy("slug").orderBy("dir"))
-    return first.withColumn("status", F.when(n == 1, "task").otherwise("slug_taken")).select("dir", "package", "slug", "packages", "status")
+    return first.withColumn("status", F.when(n == 1, "task").otherwise("slug_taken"))
+
+
+def processed(tasks: DataFrame, found: DataFrame) -> DataFrame:
+    """(kind, key) for ``skipped`` and ``pending``: what of ``found`` (kind, name) is one of the tasks (dir, slug).
+
+    Outputs are known by slug, folders of done and failed books by the name of
+    the task's directory; key is the directory.
+    """
+    named = tasks.select("dir", "slug", F.element_at(F.split("dir", "/"), -1).alias("folder"))
+    outputs = found.filter("kind = 'output'").join(named, F.col("name") == F.col("slug"))
+    folders = found.filter("kind <> 'output'").join(named, F.col("name") == F.col("folder"))
+    return outputs.unionByName(folders).select("kind", F.col("dir").alias("key"))
 
 
 def skipped(tasks: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
@@ -41,9 +58,12 @@ def success_rate(results: DataFrame, threshold: float = 0.95) -> DataFrame:
     return results.agg(ok.alias("ok"), failed.alias("failed"), rate.alias("rate"), (rate >= threshold).alias("passed"))
 
 
-def finalize(book_dir: Path, slug: str, status: str, message: str | None, done_dir: Path, errors_dir: Path) -> bool:
-    """Move a finished book's folder to where its status belongs, on the driver alone; an error leaves a JSON beside it.
+def finalize(
+    book_dir: Path, slug: str, status: str, message: str | None, done_dir: Path, errors_dir: Path, package: str = "", report: Path | None = None
+) -> bool:
+    """Move a finished book's folder to where its status belongs, on the driver alone.
 
+    A converted book's report goes with it; a failed one gets a JSON beside it.
     A target that exists already leaves the book where it is.
     """
     target = (done_dir if status == "done" else errors_dir) / book_dir.name
@@ -51,7 +71,10 @@ def finalize(book_dir: Path, slug: str, status: str, message: str | None, done_d
         return False
     target.parent.mkdir(parents=True, exist_ok=True)
     shutil.move(str(book_dir), str(target))
-    if status == "error":
-        note = {"book": slug, "error": message, "timestamp": datetime.now(UTC).isoformat()}
-        (target / "_error.json").write_text(json.dumps(note, ensure_ascii=False, indent=2), encoding="utf-8")
+    if status == "done":
+        if report is not None and report.exists():
+            shutil.copy2(report, target / "_report.json")
+    else:
+        note = {"book": book_dir.name, "package": package, "slug": slug, "error": message, "timestamp": datetime.now(UTC).isoformat()}
+        (target / "_batch_error.json").write_text(json.dumps(note, ensure_ascii=False, indent=2), encoding="utf-8")
     return True

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.offsets import positions
+from ..functions.text import strip
 from ..session import on_workers
 
 POSITIONS = "book_id string, unit_index int, chap_index int, start int, chunk_end int"
@@ -20,9 +21,13 @@ def chapter_positions(markdown: DataFrame, anchors: DataFrame, sentinels: DataFr
 
     A book is one row of text and a few anchors: that bounds a group.
     """
-    wanted = anchors.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("unit_index", "chap_index", "title", "start_anchor"))).alias("wanted"))
+    chapter = F.struct("unit_index", "chap_index", "title", "start_anchor")
+    wanted = anchors.groupBy("book_id").agg(F.array_sort(F.collect_list(chapter)).alias("wanted"))
     rows = markdown.select("book_id", "markdown").join(wanted, "book_id")
-    rows = rows.join(sentinels.select("book_id", "sentinel"), "book_id", "left") if sentinels is not None else rows.withColumn("sentinel", F.lit(None).cast("string"))
+    if sentinels is None:
+        rows = rows.withColumn("sentinel", F.lit(None).cast("string"))
+    else:
+        rows = rows.join(sentinels.select("book_id", "sentinel"), "book_id", "left")
 
     on_workers(markdown.sparkSession)
 
@@ -42,8 +47,22 @@ def chapter_positions(markdown: DataFrame, anchors: DataFrame, sentinels: DataFr
 def split(markdown: DataFrame, anchors: DataFrame, sentinels: DataFrame | None = None, strict: bool = True, snap_to_line: bool = False) -> DataFrame:
     """(book_id, unit_index, chap_index, text); a chapter missing or empty is an error, or under ``strict=False`` a row of null."""
     at = chapter_positions(markdown, anchors, sentinels, snap_to_line)
-    cut = F.regexp_replace(F.expr("substring(markdown, start + 1, chunk_end - start)"), r"^\s+|\s+$", "")
-    rows = at.join(markdown, "book_id").select("book_id", "unit_index", "chap_index", F.when(F.col("start") >= 0, F.nullif(cut, F.lit(""))).alias("text"))
+    cut = strip(F.expr("substring(markdown, start + 1, chunk_end - start)"))
+    text = F.when(F.col("start") >= 0, F.nullif(cut, F.lit(""))).alias("text")
+    rows = at.join(markdown, "book_id").select("book_id", "unit_index", "chap_index", text)
     if strict and (bad := rows.filter("text is null").limit(3).collect()):
         raise ChapterSplitError("; ".join(f"{r['book_id']} {r['unit_index']}.{r['chap_index']}: not found or empty" for r in bad))
     return rows
+
+
+def first_heading(wanted: DataFrame, headings: DataFrame, keys: list[str], title: str = "title", cursor: str = "cursor") -> DataFrame:
+    """``wanted`` with ``pos``, the first heading (keys, pos, form) at or after its cursor whose search form begins with its title.
+
+    A range join on the keys: every wanted row meets the headings of its book
+    only, and the least position wins. Rows without a match have null.
+    """
+    rows = wanted.withColumn("_row", F.monotonically_increasing_id())
+    own = headings.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("pos").alias("_pos"), F.col("form").alias("_form"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    met = rows.join(own, [*same, F.col("_pos") >= F.col(cursor), F.startswith("_form", F.col(title))], "left")
+    return met.groupBy("_row", *wanted.columns).agg(F.min("_pos").alias("pos")).drop("_row")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 
 def running(flag: Column, keys: list[str], order: list[str]) -> Column:
     """Running count of a flag: the island number of gaps and islands."""
@@ -76,7 +78,7 @@ def split_by_break(inlines: Column) -> Column:
         ),
         lambda acc: acc["done"],
     )
-    filled = F.filter(cut, lambda item: F.exists(item, lambda i: F.trim(F.coalesce(i["text"], F.lit(""))) != ""))
+    filled = F.filter(cut, lambda item: F.exists(item, lambda i: strip(F.coalesce(i["text"], F.lit(""))) != ""))
     return F.when(F.size(filled) > 0, filled).otherwise(F.array(inlines))
 
 

@@ -56,13 +56,16 @@ def most_used(rows: DataFrame, top: int, style: str = "style", order: str = "ord
     return ranked.limit(top) if top else ranked
 
 
-def seen_and_unmapped(rows: DataFrame, rules: DataFrame, style: str = "style", silent_prefix: str | None = None) -> DataFrame:
-    """(style, seen, unmapped): uses, and uses without a rule; styles with ``silent_prefix`` are never reported unmapped."""
+def seen_and_unmapped(
+    rows: DataFrame, rules: DataFrame, style: str = "style", silent_prefix: str | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """(by, style, seen, unmapped): uses, and uses without a rule; styles with ``silent_prefix`` are never reported unmapped."""
     names = small(rules.select(F.col("name").alias("rule_name")).distinct())
     missing = F.col("rule_name").isNull()
     if silent_prefix:
         missing &= ~F.startswith(F.col(style), F.lit(silent_prefix))
-    return rows.join(names, F.col(style) == F.col("rule_name"), "left").groupBy(F.col(style).alias("style")).agg(F.count("*").alias("seen"), F.count_if(missing).alias("unmapped"))
+    joined = rows.join(names, F.col(style) == F.col("rule_name"), "left")
+    return joined.groupBy(*by, F.col(style).alias("style")).agg(F.count("*").alias("seen"), F.count_if(missing).alias("unmapped"))
 
 
 def overlay_paths(base: DataFrame, over: DataFrame, key: str = "path", value: str = "value") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import md_wrap
+from ..functions.text import md_wrap, rstrip, strip
 
 BLOCK = "struct<kind:string,inlines:array<struct<kind:string,text:string>>,src:string,alt:string,latex:string>"
 CELL = f"struct<row_span:int,col_span:int,blocks:array<{BLOCK}>>"
@@ -50,11 +50,11 @@ def gfm(rows: Column, header_rows: Column) -> Column:
 
     def cell(c: Column) -> Column:
         text = F.when((F.size(c["blocks"]) > 0) & (c["blocks"][0]["kind"] == "paragraph"), plain_inlines(c["blocks"][0]["inlines"])).otherwise("")
-        return F.trim(F.replace(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" ")))
+        return strip(F.replace(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" ")))
 
     def line(texts: Column) -> Column:
         padded = F.concat(texts, F.array_repeat(F.lit(""), (width - F.size(texts)).cast("int")))
-        return F.rtrim(F.concat(F.lit("| "), F.array_join(F.transform(padded, lambda t: F.concat(t, F.lit(" | "))), "")))
+        return rstrip(F.concat(F.lit("| "), F.array_join(F.transform(padded, lambda t: F.concat(t, F.lit(" | "))), "")))
 
     lines = F.transform(rows, lambda r: line(F.transform(r, cell)))
     rule = F.concat(F.lit("|"), F.array_join(F.array_repeat(F.lit(" --- "), width.cast("int")), "|"), F.lit("|"))

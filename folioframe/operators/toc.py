@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,33 +33,46 @@ def chapters(units: DataFrame, keys: tuple[str, ...] = ("book_id",)) -> DataFram
     """(keys, unit_index, pos, title, start_page, is_reference, chap_index): chapters are numbered within their unit, references not."""
     ks = list(keys)
     rows = units.select(*ks, "unit_index", F.posexplode(toc_tokens(F.col("payload"))).alias("pos", "entry"))
-    rows = rows.select(*ks, "unit_index", "pos", toc_title(F.col("entry.title")).alias("title"), F.col("entry.page").alias("start_page")).filter("title <> ''")
+    titled = toc_title(F.col("entry.title")).alias("title"), F.col("entry.page").alias("start_page")
+    rows = rows.select(*ks, "unit_index", "pos", *titled).filter("title <> ''")
     rows = rows.withColumn("is_reference", F.upper("title").isin(*REFERENCE_TITLES))
     return numbered(rows, [*ks, "unit_index", "is_reference"], ["pos"], "n").withColumn("chap_index", F.when(~F.col("is_reference"), F.col("n"))).drop("n")
 
 
 def violations(rows: DataFrame, units: int = 4, per_unit: int = 4, keys: tuple[str, ...] = ("book_id",)) -> DataFrame:
     """(keys, problem): unit count, chapters a unit, pages that do not grow, references not behind the last chapter."""
-    ks, found = list(keys), []
+    ks = list(keys)
+    said = lambda pattern, *cols: F.format_string(pattern, *cols).alias("problem")
     body = rows.filter(~F.col("is_reference"))
-    n_units = body.groupBy(*ks).agg(F.count_distinct("unit_index").alias("n"))
-    found.append(n_units.filter(F.col("n") != units).select(*ks, F.format_string("%d units", "n").alias("problem")))
-    found.append(body.groupBy(*ks, "unit_index").count().filter(F.col("count") != per_unit).select(*ks, F.format_string("unit %d has %d chapters", "unit_index", "count").alias("problem")))
-    found.append(not_increasing(body, ks, ["unit_index", "pos"], "start_page").select(*ks, F.format_string("page %d does not follow page %d", "start_page", "previous").alias("problem")))
+    sizes = rows.groupBy(*ks, "unit_index").agg(F.count_if(~F.col("is_reference")).alias("n"))
+    wrong_units = sizes.groupBy(*ks).agg(F.count("*").alias("n")).filter(F.col("n") != units)
+    wrong_sizes = sizes.filter(F.col("n") != per_unit)
+    falling = not_increasing(body, ks, ["unit_index", "pos"], "start_page")
     last = body.groupBy(*ks).agg(F.max("start_page").alias("last_page"))
     refs = rows.filter("is_reference").groupBy(*ks).agg(F.max("start_page").alias("refs_page"))
-    found.append(refs.join(last, ks).filter("refs_page <= last_page").select(*ks, F.format_string("references on page %d", "refs_page").alias("problem")))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionAll(f)
-    return out
+    found = [
+        wrong_units.select(*ks, said("%d units", "n")),
+        wrong_sizes.select(*ks, said("unit %d has %d chapters", "unit_index", "n")),
+        falling.select(*ks, said("page %d does not follow page %d", "start_page", "previous")),
+        refs.join(last, ks).filter("refs_page <= last_page").select(*ks, said("references on page %d", "refs_page")),
+    ]
+    return functools.reduce(DataFrame.unionAll, found)
+
 
+def manifest(entries: DataFrame, units: int = 4, per_unit: int = 4, strict: bool = True) -> DataFrame:
+    """Chapters of every book, in order; ``refs_page`` is null without references.
 
-def manifest(entries: DataFrame, units: int = 4, per_unit: int = 4) -> DataFrame:
-    """Chapters of every book, in order; ``refs_page`` is null without references."""
+    A book whose contents have not the expected shape is an error, or under
+    ``strict=False`` left out; ``violations`` of the same rows says why.
+    """
     rows = chapters(unit_groups(entries))
-    bad = violations(rows, units, per_unit).limit(5).collect()
-    if bad or rows.isEmpty():
-        raise TocParseError("; ".join(f"{r['book_id']}: {r['problem']}" for r in bad) or "no table of contents")
+    bad = violations(rows, units, per_unit)
+    if strict:
+        found = bad.limit(5).collect()
+        if found or rows.isEmpty():
+            raise TocParseError("; ".join(f"{r['book_id']}: {r['problem']}" for r in found) or "no table of contents")
+    else:
+        rows = rows.join(bad.select("book_id").distinct(), "book_id", "left_anti")
     refs = F.max(F.when(F.col("is_reference"), F.col("start_page"))).over(Window.partitionBy("book_id"))
-    return rows.withColumn("refs_page", refs).filter(~F.col("is_reference")).select("book_id", "unit_index", "chap_index", "title", "start_page", "refs_page")
+    kept = rows.withColumn("refs_page", refs).filter(~F.col("is_reference"))
+    return kept.select("book_id", "unit_index", "chap_index", "title", "start_page", "refs_page")

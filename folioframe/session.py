@@ -1,10 +1,11 @@
-"""A Spark session with the library's defaults."""
+"""A Spark session with the library's defaults, and tables written to the cluster's shared folder."""
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -28,3 +29,38 @@ def session(app: str = "folioframe", **conf: str) -> SparkSession:
     for k, v in (defaults | conf).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a local default is set only where it is unset (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file:///tmp/checkpoints"
+    # with the file system it names or, if it names none, the cluster's default one
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found.rstrip("/"))
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_dir(spark)}/folioframe-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: lineage ends there and lost executors cost no rework."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's written tables, once no result that reads them is needed."""
+    delete(spark, f"{shared_dir(spark)}/folioframe-{spark.sparkContext.applicationId}")

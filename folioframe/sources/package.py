@@ -17,36 +17,79 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import style_name
+from ..operators.styles import small
 from ..session import on_workers
 
 RUN = "struct<kind:string,text:string,font:string,position:string>"
 PARA = f"struct<runs:array<{RUN}>,links:array<array<string>>>"
 TABLE = f"struct<header_rows:int,body_rows:int,columns:int,cells:array<struct<name:string,row_span:int,col_span:int,paras:array<{PARA}>>>>"
-PARAGRAPHS = f"book_id string, story_id string, para_ord int, style string, runs array<{RUN}>, links array<array<string>>, char_styles array<string>, tables array<{TABLE}>"
+PARAGRAPHS = (
+    f"book_id string, story_id string, para_ord int, style string, runs array<{RUN}>, links array<array<string>>, "
+    f"char_styles array<string>, tables array<{TABLE}>"
+)
 FRAMES = "book_id string, self_id string, parent_story string, prev_id string, next_id string, spread_index int, order_in_spread int, is_master boolean"
 
+MEMBERS = "book_id string, member string, pos int, xml string, error string"
+#: Members that are parsed, by the start of their names.
+PARSED = ("Spreads/", "MasterSpreads/", "Stories/")
+
 SPREAD = re.compile(r'src="(Spreads/Spread_[^"]+\.xml)"')
 MASTER = re.compile(r'src="(MasterSpreads/MasterSpread_[^"]+\.xml)"')
 
 
-def packages(spark: SparkSession, path: str, pattern: str = "*.idml") -> DataFrame:
-    """(book_id, path, content): book_id is the file's stem. Only package files are listed and read."""
+def packages(spark: SparkSession, path: str | list[str], pattern: str = "*.idml") -> DataFrame:
+    """(book_id, path, content): book_id is the file's stem. Only package files are listed and read.
+
+    Where several files have one stem, each of them gets a hash of its path
+    behind it, so that book_id names one package. The stems are counted from the
+    listing alone; contents are not read for it.
+    """
     on_workers(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("book_id"), "path", "content")
+    stem = F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1)
+    files = files.select(stem.alias("book_id"), "path", "content")
+    repeated = files.groupBy("book_id").count().filter("count > 1").select(F.col("book_id").alias("repeated"))
+    if repeated.isEmpty():
+        return files
+    own = F.concat_ws("-", "book_id", F.substring(F.sha1(F.col("path").cast("binary")), 1, 8))
+    named = files.join(small(repeated), F.col("book_id") == F.col("repeated"), "left")
+    return named.select(F.when(F.col("repeated").isNotNull(), own).otherwise(F.col("book_id")).alias("book_id"), "path", "content")
 
 
 def members(pkgs: DataFrame) -> DataFrame:
-    """(book_id, member, pos, xml): the XML members of each archive, in the archive's order."""
+    """(book_id, member, pos, xml, error): the XML members of each archive, in the archive's order.
+
+    An archive that cannot be read, or a member that is no XML, makes one row of
+    its book, with ``error`` and nothing else: what parses here parses later.
+    """
+
+    def contents(content: bytes) -> list[tuple[str, str]]:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            found = [(n, z.read(n).decode("utf-8")) for n in z.namelist() if n.endswith(".xml")]
+        for name, xml in found:
+            if name.startswith(PARSED):
+                try:
+                    ET.fromstring(xml)
+                except ET.ParseError as e:
+                    raise ValueError(f"{name}: {e}") from e
+        return found
 
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for book, content in zip(b["book_id"], b["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    names = [n for n in z.namelist() if n.endswith(".xml")]
-                    yield pd.DataFrame({"book_id": book, "member": names, "pos": range(len(names)), "xml": [z.read(n).decode("utf-8") for n in names]})
+                try:
+                    rows = [(book, name, i, xml, None) for i, (name, xml) in enumerate(contents(bytes(content)))]
+                except Exception as e:  # a broken archive is a row, not the job's end
+                    rows = [(book, None, None, None, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=["book_id", "member", "pos", "xml", "error"]).astype({"pos": "Int32"})
+
+    return pkgs.select("book_id", "content").mapInPandas(unzip, MEMBERS)
 
-    return pkgs.select("book_id", "content").mapInPandas(unzip, "book_id string, member string, pos int, xml string")
+
+def broken(parts: DataFrame) -> DataFrame:
+    """(book_id, problem) of the archives that could not be read."""
+    return parts.filter("error is not null").select("book_id", F.col("error").alias("problem"))
 
 
 def spreads(parts: DataFrame) -> DataFrame:
@@ -76,8 +119,6 @@ def frames(parts: DataFrame) -> DataFrame:
 
 def style_names(parts: DataFrame, tag: str = "ParagraphStyle") -> DataFrame:
     """(book_id, name): names a package defines, prefix cut and decoded."""
-    from ..functions.text import style_name
-
     found = parts.filter("member = 'Resources/Styles.xml'").select("book_id", F.explode(F.expr(f"xpath(xml, '//{tag}/@Self')")).alias("raw"))
     return found.select("book_id", style_name(F.col("raw")).alias("name"))
 

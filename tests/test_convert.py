@@ -3,14 +3,16 @@
 import io
 import json
 import zipfile
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from folioframe import cli
 from folioframe.operators import batch, order, toc
+from folioframe.plans import books as plans
 from folioframe.plans import convert
-from folioframe.sources import package
+from folioframe.sources import package, pdf
 from folioframe.sources.rules import rules
 
 
@@ -61,7 +63,7 @@ def books(tmp_path_factory):
         z.writestr("Stories/Story_toc.xml", wrap("toc", TOC))
         z.writestr("Stories/Story_s1.xml", wrap("s1", STORY))
         z.writestr("Stories/Story_sm.xml", wrap("sm", psr("T1", csr("mestre"))))
-        z.writestr("Resources/Styles.xml", '<R><ParagraphStyle Self="ParagraphStyle/My%3aStyle"/><CharacterStyle Self="CharacterStyle/Bold"/></R>')
+        z.writestr("Resources/Styles.xml", '<R><ParagraphStyle Self="ParagraphStyle/Corpo%3aRecuo"/><CharacterStyle Self="CharacterStyle/Bold"/></R>')
     (root / "b").mkdir()
     (root / "b" / "livro.idml").write_bytes(buf.getvalue())
     return root
@@ -96,18 +98,18 @@ def test_anchors_and_chapters(book):
 
 
 def test_report(book):
-    r = convert.reports(book, rules())["livro"]
-    assert r["unmapped_paragraph_styles"] == {"Estilo novo": 1} and r["equations_total"] == 1 and r["chapters_emitted_per_unit"] == [2]
+    r = json.loads(convert.reports(book, rules()).filter("book_id = 'livro'").first()["report"])
+    assert r["unmapped_paragraph_styles"] == {"Estilo novo": 1} and (r["equations_total"], r["equation_cache_hits"], r["equation_cache_misses"]) == (2, 1, 1) and r["chapters_emitted_per_unit"] == [2]
     assert r["copied_assets"] == 1 and r["missing_assets"] == [] and r["manifest_chapter_titles"] == ["Juros simples", "Taxas de juros"]
     assert r["block_counts"]["list"] == 2 and r["block_counts"]["table"] == 1 and r["pdf_offset_detected"] == -1
-    assert json.loads(convert.report_json(r))["seen_paragraph_styles"]["Bullet"] == 2
+    assert r["seen_paragraph_styles"]["Bullet"] == 2 and len(r) == 24
 
 
 def test_frames_and_styles(spark, books):
     parts = package.members(package.packages(spark, str(books)))
     f = {r["self_id"]: r for r in package.frames(parts).collect()}
     assert f["f1"]["spread_index"] == 0 and f["f2"]["spread_index"] == 1 and f["fm"]["is_master"] and f["fm"]["spread_index"] == 2
-    assert [r["name"] for r in package.style_names(parts).collect()] == ["My:Style"]
+    assert [r["name"] for r in package.style_names(parts).collect()] == ["Corpo:Recuo"]
     top = convert.inspect_styles(package.packages(spark, str(books)), 1).collect()
     assert (top[0]["style"], top[0]["n"]) == ("Texto de tabela", 6)
 
@@ -171,16 +173,87 @@ def test_batch(spark):
 
 
 def test_cli(spark, books, pages, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(cli, "drop_scratch", lambda spark: None)  # other tests' tables are there too
     pages.write.parquet(str(tmp_path / "pages"))
     assert cli.main(["version"]) == 0
     assert cli.main(["inspect", str(books), "--top", "2"]) == 0 and "Texto de tabela" in capsys.readouterr().out
-    real = convert.plan
-    monkeypatch.setattr(convert, "plan", lambda s, p, g, f, o, **k: real(s, p, g, f, convert.Options(units=1, per_unit=2), **k))
-    assert cli.main(["batch", "-i", str(books), "--pages", str(tmp_path / "pages"), "-o", str(tmp_path / "out")]) == 0
-    assert (tmp_path / "out/livro/unidade_1/capitulo_2.md").read_text().startswith("Taxas")
-    capsys.readouterr()
-    assert cli.main(["batch", "-i", str(books), "--pages", str(tmp_path / "pages"), "-o", str(tmp_path / "out")]) == 0
-    assert "skipped" in capsys.readouterr().out
+    (books / "b" / "Links").mkdir(exist_ok=True)
+    (books / "b" / "Links" / "eq.eps").write_bytes(EPS)
+    common = ["--pages", str(tmp_path / "pages"), "--units", "1", "--per-unit", "2", "--cache", str(tmp_path / "cache")]
+    assert cli.main(["convert", str(books / "b" / "livro.idml"), "-o", str(tmp_path / "one"), "--title", "Meu Título", *common]) == 0
+    report = json.loads((tmp_path / "one/meu-titulo/_report.json").read_text())
+    assert report["book_title"] == "Meu Título" and report["equations_total"] == 2 and report["missing_assets"] == ["f.jpg"]
+    assert (tmp_path / "one/meu-titulo/unidade_1/capitulo_1.md").read_text().startswith("Juros simples")
+    assert spark.read.parquet(str(tmp_path / "cache")).count() == 1
+
+
+def pdf_of(*texts):
+    """A PDF with a page a text; odd pages are compressed."""
+    objects = [b"<</Type /Catalog /Pages 2 0 R>>", b""]
+    kids = []
+    for i, t in enumerate(texts):
+        shown = b"BT /F1 12 Tf " + b" ".join(b"(" + line.encode("cp1252") + b") Tj 0 -12 Td" for line in t.split("\n")) + b" ET"
+        body, kind = (zlib.compress(shown), b" /Filter /FlateDecode") if i % 2 else (shown, b"")
+        kids.append(b"%d 0 R" % (len(objects) + 1))
+        objects.append(b"<</Type /Page /Contents %d 0 R>>" % (len(objects) + 2))
+        objects.append(b"<</Length %d%s>>\nstream\n%s\nendstream" % (len(body), kind, body))
+    objects[1] = b"<</Type /Pages /Kids [" + b" ".join(kids) + b"]>>"
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (i + 1, o) for i, o in enumerate(objects)) + b"trailer <</Root 1 0 R>>"
+
+
+def test_pdf():
+    assert pdf.page_texts(pdf_of("Olá \\(a\\)\n12", "dois", "")) == ["Olá (a)\n12", "dois", ""]
+    cmap = b"1 beginbfchar <0003> <0041> endbfchar 1 beginbfrange <0010> <0012> <0061> endbfrange"
+    assert pdf.shown(b"/F1 9 Tf [<00030010> -300 <0012>] TJ", {b"F1": pdf.unicode_map(cmap)}) == "Aa c"
+
+
+def test_batch_isolates_bad_books(spark, books, tmp_path):
+    """Books in one job: two whole ones, a broken archive, one without a PDF, one with other contents; then all are skipped."""
+    words = {7: "Juros simples e o que mais vem aqui dentro hoje", 17: "O segundo capitulo fala de taxas e de outras coisas"}
+    texts = [f"{i + 1}\n{words.get(i + 1, 'Outra pagina qualquer')}" for i in range(30)]
+    whole = (books / "b" / "livro.idml").read_bytes()
+    for name, package_, pages_ in (("um", whole, texts), ("dois", whole, texts), ("quebrado", b"no zip", texts), ("sem", whole, None), ("curto", bytes(zipped(psr("T1", csr("x")))), texts)):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / f"Livro_{name}.idml").write_bytes(package_)
+        if pages_:
+            (tmp_path / "in" / name / "capa.pdf").write_bytes(b"%PDF")
+            (tmp_path / "in" / name / "miolo.pdf").write_bytes(pdf_of(*pages_))
+    settings = plans.Settings(options=convert.Options(units=1, per_unit=2), workers=2)
+    at = [tmp_path / x for x in ("in", "out", "done", "errors")]
+    got = {r["slug"]: (r["status"], r["message"]) for r in plans.convert_folder(spark, *at, settings).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"livro-um": "done", "livro-dois": "done", "livro-quebrado": "error", "livro-sem": "error", "livro-curto": "error"}
+    assert "BadZipFile" in got["livro-quebrado"][1] and "no page offset" in got["livro-sem"][1] and got["livro-curto"][1] == "no table of contents"
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"livro-um", "livro-dois"} == {p.parent.parent.name for p in (tmp_path / "out").glob("*/unidade_1/capitulo_2.md")}
+    assert (tmp_path / "done/um/_report.json").exists() and "BadZipFile" in (tmp_path / "errors/quebrado/_batch_error.json").read_text()
+    for name in ("um", "sem"):  # what comes again under a known name is skipped
+        (tmp_path / "in" / name).mkdir()
+        (tmp_path / "in" / name / f"Livro_{name}.idml").write_bytes(whole)
+    again = {r["slug"]: r["message"] for r in plans.convert_folder(spark, *at, settings).collect()}
+    assert again == {"livro-um": "output", "livro-sem": "error"}
+
+
+def test_packages_of_one_name(spark, books, tmp_path):
+    for d in ("x", "y"):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "livro.idml").write_bytes((books / "b" / "livro.idml").read_bytes())
+    ids = [r["book_id"] for r in package.packages(spark, str(tmp_path)).collect()]
+    assert len(set(ids)) == 2 and all(i.startswith("livro-") for i in ids)
+    roots = order.thread_roots(package.frames(package.members(package.packages(spark, str(tmp_path)))))
+    assert roots.count() == 8
+
+
+def test_frames_given_twice(spark):
+    chain = [("b", f"f{i}", "s", f"f{i - 1}" if i else "n", "n", 0, i, False) for i in range(6)]
+    master = [("b", "f3", "s", "n", "n", 9, 0, True)]
+    frames = spark.createDataFrame(chain + chain + master, package.FRAMES)
+    assert sorted((r["self_id"], r["root_id"]) for r in order.thread_roots(frames).collect()) == [(f"f{i}", "f0") for i in range(6)]
+    assert order.reading_order(frames, include_masters=True).count() == 1
+
+
+def test_document(book, spark):
+    titles = spark.createDataFrame([("livro", "Meu livro")], "book_id string, title string")
+    text = convert.documents(book, titles).first()["markdown"]
+    assert text.startswith("# Meu livro\n\n## Sumário\n\n- [Juros simples](#juros-simples)\n- [Taxas de juros](#taxas-de-juros)\n\n# Juros simples\n\nUm")
 
 
 def test_stream(spark, books, tmp_path):

@@ -139,7 +139,7 @@ def test_finalize(tmp_path):
         (tmp_path / "in" / name).mkdir(parents=True)
     done, errors = tmp_path / "done", tmp_path / "errors"
     assert batch.finalize(tmp_path / "in/x", "x", "done", None, done, errors) and (done / "x").is_dir()
-    assert batch.finalize(tmp_path / "in/y", "y", "error", "why", done, errors) and "why" in (errors / "y/_error.json").read_text()
+    assert batch.finalize(tmp_path / "in/y", "y", "error", "why", done, errors) and "why" in (errors / "y/_batch_error.json").read_text()
     Path(tmp_path / "in/x").mkdir()
     assert not batch.finalize(tmp_path / "in/x", "x", "done", None, done, errors)
 
