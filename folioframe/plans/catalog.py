@@ -8,34 +8,17 @@ query reads its whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import equations, latex
 from ..functions import text as X
 from ..operators import anchors, assets, batch, chunks, order, render, sequence, styles, tables, toc
+from ..session import scratch_path
+from ..sources import pdf
 from ..streaming import queue
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql is not None:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from . import package_queries  # noqa: F401
+from .registry import QUERIES, SQL, Query, query, t
 
 # --- styles: usage, rules, policies, overlays
 
@@ -50,7 +33,8 @@ def style_usage_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(DISTINCT role) AS styles, count(*) AS paragraphs FROM conversations")
 def style_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "conversations").agg(F.count_distinct("role").alias("styles"), F.count("*").alias("paragraphs"))
+    used = styles.usage(t(spark, sf_dir, "conversations"), "role")
+    return used.agg(F.count("*").alias("styles"), F.sum("n").alias("paragraphs"))
 
 
 @query("SELECT role AS style, count(*) AS seen, count(*) FILTER (role NOT IN ('user', 'assistant')) AS unmapped FROM conversations GROUP BY role")
@@ -96,6 +80,17 @@ def normalize_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.md5(F.col("norm").cast("binary")).alias("norm_md5"), F.length("norm").cast("long").alias("n"))
 
 
+_ODD = "Việt ﬁm x²\u3000№…½"
+
+
+@query("SELECT n_nationkey, lower(replace(n_name, '_', '')) || ' viet fim x2 no 1 2' AS form, lower(replace(n_name, '_', '-')) || '-viet-fim-x2-no-12' AS slug, replace(n_name, '_', ' ') || ' x' AS title FROM nation")
+def compatibility_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ligatures, marks, superscripts, wide blanks: what compatibility decomposition makes of them."""
+    text = F.concat("n_name", F.lit("\t" + _ODD))
+    title = X.title_from_stem(F.concat(F.lit("\t_\u00a0"), "n_name", F.lit("_x\u2028\t")))
+    return t(spark, sf_dir, "nation").select("n_nationkey", X.normalize_search(text).alias("form"), X.slugify(text).alias("slug"), title.alias("title"))
+
+
 _H1 = "trim(regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '[ \\t\\r\\n]+', ' ', 'g'))"
 
 
@@ -209,17 +204,28 @@ def toc_monotone_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.not_increasing(rows, ["book_id"], ["pos"], "page")
 
 
-@query("""WITH c AS (SELECT o_custkey AS book_id, o_orderstatus AS unit_index, count(*) AS n FROM orders GROUP BY ALL)
-SELECT book_id, count(*) AS units, count(*) FILTER (n <> 4) AS odd_units FROM c GROUP BY book_id HAVING count(*) <> 3 OR count(*) FILTER (n <> 4) > 0""")
+@query("""WITH r AS (SELECT o_custkey AS book_id, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS unit_index, o_orderkey AS pos, CAST(extract(day FROM o_orderdate) AS INT) AS page, o_orderpriority = '1-URGENT' AS ref FROM orders),
+u AS (SELECT book_id, unit_index, count(*) FILTER (NOT ref) AS n FROM r GROUP BY ALL),
+l AS (SELECT *, lag(page) OVER (PARTITION BY book_id ORDER BY unit_index, pos) AS previous FROM r WHERE NOT ref),
+e AS (SELECT book_id, max(page) FILTER (ref) AS refs_page, max(page) FILTER (NOT ref) AS last_page FROM r GROUP BY book_id)
+SELECT book_id, count(*) || ' units' AS problem FROM u GROUP BY book_id HAVING count(*) <> 3
+UNION ALL SELECT book_id, 'unit ' || unit_index || ' has ' || n || ' chapters' FROM u WHERE n <> 4
+UNION ALL SELECT book_id, 'page ' || page || ' does not follow page ' || previous FROM l WHERE page <= previous
+UNION ALL SELECT book_id, 'references on page ' || refs_page FROM e WHERE refs_page <= last_page""")
 def toc_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("book_id"), F.col("o_orderstatus").alias("unit_index")).agg(F.count("*").alias("n"))
-    totals = per.groupBy("book_id").agg(F.count("*").alias("units"), F.count_if(F.col("n") != 4).alias("odd_units"))
-    return totals.filter((F.col("units") != 3) | (F.col("odd_units") > 0))
+    """What is wrong with the contents of books that the orders stand for."""
+    status = F.col("o_orderstatus")
+    unit = F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
+    rows = t(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("book_id"), unit.alias("unit_index"), F.col("o_orderkey").alias("pos"),
+        F.dayofmonth("o_orderdate").alias("start_page"), (F.col("o_orderpriority") == "1-URGENT").alias("is_reference"),
+    )
+    return toc.violations(rows, 3, 4)
 
 
 # --- page text
 
-_LINES = "list_filter(list_transform(regexp_split_to_array({}, '\\r\\n|[\\n\\r]'), lambda x: trim(x)), lambda x: x <> '')"
+_LINES = "list_filter(list_transform(regexp_split_to_array({}, '\\r\\n|[\\n\\r]'), lambda x: trim(x, ' ' || chr(9) || chr(11) || chr(12))), lambda x: x <> '')"
 
 
 @query(f"""WITH l AS (SELECT doc_id, list_filter({_LINES.format('text')}, lambda x: NOT regexp_matches(x, '^[0-9]{{1,4}}$')) AS ls FROM documents),
@@ -238,36 +244,39 @@ b AS (SELECT book_id, arg_min(line, -n * 1000000000 + f) AS header, max(n) AS n
 SELECT book_id, header, n FROM b WHERE n >= 1""")
 def running_header_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = t(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("page_idx"), "text")
-    lines = pages.select("book_id", "page_idx", F.posexplode(F.slice(X.page_lines(F.col("text")), 1, 3)).alias("pos", "line"))
-    bare = F.filter(X.words(X.normalize_search(F.col("line"))), lambda w: ~w.rlike("^[0-9]+$"))
-    counts = lines.withColumn("w", bare).filter(F.size("w").between(1, 8)).groupBy("book_id", F.array_join("w", " ").alias("line")).agg(F.count("*").alias("n"), F.min(F.struct("page_idx", "pos")).alias("f"))
-    return counts.groupBy("book_id").agg(F.min_by(F.struct("line", "n"), F.struct(-F.col("n"), "f")).alias("b")).select("book_id", F.col("b.line").alias("header"), F.col("b.n").alias("n"))
+    found = anchors.running_headers(pages, least=1, share=0.0)
+    return found.select("book_id", F.array_join("header", " ").alias("header"), "n")
 
 
-_PAGES = """SELECT o_custkey AS book_id, o_orderkey % 40 AS page_idx, (o_orderkey % 40 + o_orderkey % 4) || chr(10) || 'text ' || o_orderkey || chr(10) || o_custkey AS text FROM orders"""
+_PAGES = """SELECT book_id, page_idx, (page_idx + o_orderkey % 4) || chr(9) || chr(10) || 'text ' || o_orderkey || chr(13) || chr(10) || chr(9) || ' ' || o_custkey AS text
+FROM (SELECT *, o_custkey // 5 AS book_id, row_number() OVER (PARTITION BY o_custkey // 5 ORDER BY o_orderkey) - 1 AS page_idx FROM orders)"""
 
 
 def numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of books of five customers: a number near the page's place, some text, the customer; tabs about them."""
     k = F.col("o_orderkey")
-    text = F.concat((k % 40 + k % 4).cast("string"), F.lit("\ntext "), k.cast("string"), F.lit("\n"), F.col("o_custkey").cast("string"))
-    return t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), (k % 40).alias("page_idx"), text.alias("text"))
+    rows = t(spark, sf_dir, "orders").withColumn("book_id", F.floor(F.col("o_custkey") / 5))
+    rows = sequence.numbered(rows, ["book_id"], ["o_orderkey"], "n").withColumn("page_idx", F.col("n") - 1)
+    first = (F.col("page_idx") + k % 4).cast("string")
+    text = F.concat(first, F.lit("\t\ntext "), k.cast("string"), F.lit("\r\n\t "), F.col("o_custkey").cast("string"))
+    return rows.select("book_id", "page_idx", text.alias("text"))
 
 
-@query(f"""WITH p AS ({_PAGES}), l AS (SELECT book_id, page_idx, {_LINES.format('text')} AS ls FROM p),
-c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x, unnest(range(len(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])))) AS pos FROM l),
-n AS (SELECT book_id, page_idx, pos, page_idx - CAST(x AS INT) AS off, CAST(x AS INT) AS num FROM c WHERE regexp_matches(x, '^[0-9]{{1,4}}$')),
-v AS (SELECT book_id, off, count(*) AS votes FROM n WHERE num >= 5 AND off BETWEEN -20 AND 5 GROUP BY ALL)
-SELECT * FROM v""")
+_VOTES = f"""p AS ({_PAGES}), l AS (SELECT book_id, page_idx, {_LINES.format('text')} AS ls FROM p WHERE page_idx < 40),
+c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x, unnest(range(len(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])))) AS i FROM l),
+n AS (SELECT book_id, page_idx, row_number() OVER (PARTITION BY book_id, page_idx ORDER BY i) AS pos, CAST(x AS INT) AS num FROM c WHERE regexp_matches(x, '^[0-9]{{1,4}}$')),
+v AS (SELECT book_id, page_idx - num AS off, count(*) AS votes, min(page_idx * 100 + pos) AS first_vote FROM n WHERE num >= 5 AND page_idx - num BETWEEN -20 AND 5 GROUP BY ALL)"""
+
+
+@query(f"WITH {_VOTES} SELECT book_id, off, votes FROM v")
 def offset_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.offset_votes(numbered_pages(spark, sf_dir)).select("book_id", "off", "votes")
 
 
-@query(f"""WITH p AS ({_PAGES}), l AS (SELECT book_id, page_idx, {_LINES.format('text')} AS ls FROM p),
-c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x FROM l),
-v AS (SELECT book_id, page_idx - CAST(x AS INT) AS off, count(*) AS votes, min(page_idx) AS f FROM c WHERE regexp_matches(x, '^[0-9]{{1,4}}$') AND CAST(x AS INT) >= 5 AND page_idx - CAST(x AS INT) BETWEEN -20 AND 5 GROUP BY ALL)
-SELECT book_id, max(votes) AS votes FROM v GROUP BY book_id""")
+@query(f"WITH {_VOTES}, r AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY votes DESC, first_vote) AS r FROM v) SELECT book_id, off, votes FROM r WHERE r = 1")
 def offset_majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anchors.voted_offset(numbered_pages(spark, sf_dir)).select("book_id", "votes")
+    """The offset with most votes; of equal ones that with the first vote."""
+    return anchors.voted_offset(numbered_pages(spark, sf_dir))
 
 
 @query(f"""WITH a AS (SELECT item_id, string_split({_norm_sql('text')}, ' ') AS w FROM benchmark)
@@ -297,12 +306,12 @@ def typed_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t(spark, sf_dir, "conversations").withColumn("k", k).withColumn("type", kind)
     return rows.select(
         "conv_id", "turn", "type", F.when(F.col("type").isin("list", "adm"), (F.col("k") % 2).cast("string")).alias("run_key"), (F.col("k") == 3).alias("nested"),
-        (F.length("text") % 5 == 0).alias("closes"), F.substring("text", 1, 8).alias("text"), F.when(F.col("k") == 6, "static").alias("rule_title"),
+        (F.length("text") % 5 == 0).alias("closes"), "text", F.when(F.col("k") == 6, "static").alias("rule_title"),
     )
 
 
 _TYPED = """q AS (SELECT *, (conv_id * 7 + turn * 3 + length(text)) % 10 AS k FROM conversations),
-z AS (SELECT conv_id, turn, k, CASE WHEN k < 5 THEN 'list' WHEN k < 7 THEN 'adm' WHEN k < 8 THEN 'title' ELSE 'other' END AS type, k = 3 AS nested, length(text) % 5 = 0 AS closes, substr(text, 1, 8) AS text, CASE WHEN k = 6 THEN 'static' END AS rule_title FROM q),
+z AS (SELECT conv_id, turn, k, CASE WHEN k < 5 THEN 'list' WHEN k < 7 THEN 'adm' WHEN k < 8 THEN 'title' ELSE 'other' END AS type, k = 3 AS nested, length(text) % 5 = 0 AS closes, text, CASE WHEN k = 6 THEN 'static' END AS rule_title FROM q),
 y AS (SELECT *, CASE WHEN type IN ('list', 'adm') THEN CAST(k % 2 AS VARCHAR) END AS run_key FROM z)"""
 _BLOCKS = f"""WITH {_TYPED},
 e AS (SELECT *, coalesce(count(*) FILTER (type = 'adm') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ep, count(*) FILTER (type = 'title' AND closes) OVER (PARTITION BY conv_id ORDER BY turn) AS tc FROM y),
@@ -385,41 +394,89 @@ def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EPS files as bytes: drawings, equations in another format alone, and MathML with glued openings."""
     size = F.col("p_size")
-    body = F.concat(F.lit("%!PS\n%MathType!MathML!1!\n%<mathxmlns='u'display='block'>\n%<mfrac><mi>"), F.char(97 + size % 26), F.lit("</mi><mn>"), size.cast("string"), F.lit("</mn></mfrac></math>\nend"))
-    text = F.when(size % 5 == 0, "%!PS drawing").when(size % 5 == 1, "%MathType!MTEF!2").otherwise(body)
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), "p_size", text.alias("text"))
+    body = F.concat(
+        F.lit("%!PS\r\n%MathType!MathML!1!\r\n%<mathxmlns='u'display='block'>\r\n%<mfrac><mi>"), F.char(97 + size % 26), F.lit("</mi><mn>"),
+        size.cast("string"), F.lit("</mn></mfrac><mfencedopen='['separators=';'/></math>\r\nend"),
+    )
+    text = F.when(size % 5 == 0, "%!PS drawing").when(size % 5 == 1, "%MathType!MTEF!2").when(size % 15 == 2, "%MathType!MathML!1\n%<x/>\n").otherwise(body)
+    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), "p_size", F.encode(text, "ISO-8859-1").alias("content"))
+    return rows.withColumn("text", equations.eps_text(F.col("content")))
+
 
+_EPS = """CASE WHEN p_size % 5 = 0 THEN 'no_marker' WHEN p_size % 5 = 1 THEN 'mtef_only' WHEN p_size % 15 = 2 THEN 'no_math' ELSE 'ok' END"""
 
-@query("""SELECT p_partkey AS basename, CASE p_size % 5 WHEN 0 THEN 'no_marker' WHEN 1 THEN 'mtef_only' ELSE 'ok' END AS status,
-CASE WHEN p_size % 5 > 1 THEN '<math xmlns=''u'' display=''block''><mfrac><mi>' || chr(97 + p_size % 26) || '</mi><mn>' || p_size || '</mn></mfrac></math>' END AS mathml FROM part""")
+
+@query(f"""SELECT p_partkey AS basename, {_EPS} AS status, CASE WHEN {_EPS} = 'ok'
+THEN '<math xmlns=''u'' display=''block''><mfrac><mi>' || chr(97 + p_size % 26) || '</mi><mn>' || p_size || '</mn></mfrac><mfenced open=''['' separators='';''/></math>' END AS mathml FROM part""")
 def equation_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equations.extract(eps_rows(spark, sf_dir)).select("basename", "status", "mathml")
 
 
-@query("SELECT p_partkey AS basename, CASE WHEN p_size % 5 > 1 THEN '\\frac{' || chr(97 + p_size % 26) || '}{' || p_size || '}' END AS latex FROM part")
-def equation_to_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latex.converted(equations.extract(eps_rows(spark, sf_dir))).select("basename", "latex")
+#: MathML and the LaTeX that it stands for: every element kind, words, spaces, macros before letters, escapes.
+LATEX = (
+    ("<mi>x</mi>", "x"), ("<mi>sin</mi>", r"\mathrm{sin}"), ("<mn> 2,5 </mn><mo>×</mo><mi>α</mi>", r"2,5\times\alpha"), ("<mfrac><mi>a</mi><mn>2</mn></mfrac>", r"\frac{a}{2}"),
+    ("<msqrt><mi>b</mi><mo>+</mo><mn>1</mn></msqrt>", r"\sqrt{b+1}"), ("<mroot><mi>x</mi><mn>3</mn></mroot>", r"\sqrt[3]{x}"), ("<msup><mi>x</mi><mn>2</mn></msup>", "x^{2}"),
+    ("<msub><mi>x</mi><mi>i</mi></msub>", "x_{i}"), ("<msubsup><mi>x</mi><mn>1</mn><mn>2</mn></msubsup>", "x_{1}^{2}"), ("<munder><mo>∑</mo><mi>i</mi></munder>", r"\underset{i}{\sum}"),
+    ("<mover><mi>x</mi><mo>→</mo></mover>", r"\overset{\to}{x}"), ("<munderover><mo>∑</mo><mi>i</mi><mi>n</mi></munderover>", r"\overset{n}{\underset{i}{\sum}}"),
+    ("<mfenced open='[' close='' separators=';'><mi>a</mi><mi>b</mi></mfenced>", r"\left[a;b\right."), ("<mfenced open='{' close='}'><mi>a</mi></mfenced>", r"\left\{a\right\}"),
+    ("<mtext> a_b%c </mtext>", r"\text{a\_b\%c}"), ("<ms>q</ms><mspace/><mn>1</mn>", r"\text{q}\,1"), ("<mi>o</mi><mi>u</mi>", r"\text{ou}"), ("<mi>F</mi><mi>V</mi>", r"\mathrm{FV}"),
+    ("<mi>t</mi><mi>a</mi><mi>x</mi><mi>a</mi>", r"\text{taxa}"), ("<mi>a</mi><mo>\u00a0</mo><mi>d</mi><mi>e</mi>", r"a\,\text{de}"), ("<mo>·</mo><mi>a</mi>", r"\cdot a"),
+    ("<mi>x</mi><mi>x</mi><mi>x</mi>", r"\mathrm{xxx}"), ("<mtable><mtr><mtd><mi>a</mi></mtd><mtd><mn>1</mn></mtd></mtr><mlabeledtr><mtd><mi>b</mi></mtd></mlabeledtr></mtable>", r"\begin{matrix} a & 1 \\ b \end{matrix}"),
+    ("<mstyle><mrow><mi>a</mi><mo>≤</mo><mi>b</mi></mrow></mstyle><mphantom><mi>c</mi></mphantom>", r"a\leq bc"), ("<semantics><mi>z</mi></semantics>", "z"), ("<msup/>", ""), ("<merror><mo>≥</mo></merror><mi>β</mi>", r"\geq\beta"),
+)
 
 
-@query("SELECT count(*) - count(DISTINCT p_size) AS hits, count(DISTINCT p_size) AS misses FROM part WHERE p_size % 5 > 1")
-def equation_cache_use(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latex.cache_use(equations.extract(eps_rows(spark, sf_dir)), None)
+@query("SELECT p_partkey AS basename, x.latex FROM part JOIN (VALUES " + ", ".join("({}, '{}')".format(i, want.replace("'", "''")) for i, (_, want) in enumerate(LATEX)) + f") AS x(i, latex) ON x.i = p_partkey % {len(LATEX)}")
+def equation_to_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every element kind, by the number of the part."""
+    bodies = F.array(*[F.lit(f"<math>{m}</math>") for m, _ in LATEX])
+    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), F.element_at(bodies, (F.col("p_partkey") % len(LATEX) + 1).cast("int")).alias("mathml"))
+    return latex.converted(rows.withColumn("sha1", F.sha1(F.col("mathml").cast("binary")))).select("basename", "latex")
 
 
-@query("""SELECT conv_id AS book_id, CAST(1 AS INT) AS unit_index, CAST(turn AS INT) AS chap_index FROM conversations""")
+@query(f"""WITH e AS (SELECT DISTINCT p_size FROM part WHERE {_EPS} = 'ok'), h AS (SELECT max(p_size) AS held FROM e)
+SELECT count(*) - (SELECT count(*) FROM e, h WHERE p_size <> held) AS hits, (SELECT count(*) FROM e, h WHERE p_size <> held) AS misses,
+(SELECT held FROM h) AS held, count(*) FILTER (p_size = (SELECT held FROM h)) AS from_cache FROM part WHERE {_EPS} = 'ok'""")
+def equation_cache_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits and misses beside a cache that was written with one equation, and what came out of it."""
+    rows = equations.extract(eps_rows(spark, sf_dir))
+    largest = rows.filter("status = 'ok'").agg(F.max("p_size").alias("held"))
+    first, path = latex.converted(rows.join(largest, F.col("p_size") == F.col("held"))), scratch_path(spark, "equations")
+    latex.extend_cache(first.withColumn("latex", F.concat(F.lit("cached "), "latex")), None, path)
+    cache = spark.read.parquet(path)
+    done = latex.converted(rows, cache)
+    from_cache = done.agg(F.count_if(F.startswith("latex", F.lit("cached "))).alias("from_cache"))
+    return latex.cache_use(done, cache).join(largest).join(from_cache)
+
+
+@query("""WITH x AS (SELECT conv_id, turn, length('# kapitel nummer eins zwei ' || turn || ' ' || text) + 2 AS n FROM conversations),
+p AS (SELECT conv_id AS book_id, turn, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n + 2 AS start, sum(n) OVER (PARTITION BY conv_id) - 2 AS total FROM x)
+SELECT book_id, 1 AS unit_index, CAST(turn AS INT) AS chap_index, CAST(start AS INT) AS start, CAST(coalesce(lead(start) OVER (PARTITION BY book_id ORDER BY turn), total) AS INT) AS chunk_end FROM p""")
 def monotone_anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn is found, in order, in its conversation: each search starts where the last ended."""
-    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit("kapitel nummer eins zwei "), F.col("turn").cast("string"), F.lit(" "), "text").alias("text"))
-    texts = rows.groupBy(F.col("conv_id").cast("string").alias("book_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.concat(F.lit("# "), x["text"])), "\n\n").alias("markdown"))
-    wanted = rows.select(F.col("conv_id").cast("string").alias("book_id"), F.lit(1).alias("unit_index"), F.col("turn").cast("int").alias("chap_index"), F.concat(F.lit("Kapitel nummer eins zwei "), F.col("turn").cast("string")).alias("title"), F.lit("").alias("start_anchor"))
-    found = chunks.chapter_positions(texts, wanted).filter("start >= 0 and chunk_end > start")
-    return found.select(F.col("book_id").cast("long").alias("book_id"), "unit_index", "chap_index")
+    """Where every turn begins and ends in its conversation: each search starts where the last ended."""
+    number = F.col("turn").cast("string")
+    text = F.concat(F.lit("# kapitel nummer eins zwei "), number, F.lit(" "), "text")
+    book = F.col("conv_id").cast("string").alias("book_id")
+    rows = t(spark, sf_dir, "conversations").select(book, "turn", text.alias("text"), number.alias("number"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    texts = rows.groupBy("book_id").agg(F.array_join(ordered, "\n\n").alias("markdown"))
+    title = F.concat(F.lit("Kapitel *nummer* Eins, zwei "), "number")
+    wanted = rows.select("book_id", F.lit(1).alias("unit_index"), F.col("turn").cast("int").alias("chap_index"), title.alias("title"), F.lit("").alias("start_anchor"))
+    found = chunks.chapter_positions(texts, wanted)
+    return found.withColumn("book_id", F.col("book_id").cast("long"))
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def queue_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue.arrivals(t(spark, sf_dir, "events"))
+    """Arrivals in windows of event time, by a stream that takes what is there and stops."""
+    schema = t(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    results = scratch_path(spark, "arrivals")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))  # event time has to be a point in time
+    queue.count_arrivals(events, results, scratch_path(spark, "arrivals-checkpoint")).awaitTermination()
+    return spark.read.parquet(results).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 # --- assets
@@ -452,26 +509,27 @@ def name_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.distinct_names(files, ["basename"], "doc_id").select("doc_id", "target")
 
 
-@query("""WITH u AS (SELECT doc_id, 'r/' || quality AS rel_path, 0 AS p FROM labels UNION ALL SELECT doc_id, 'v/' || lang, 1 FROM documents WHERE doc_id % 3 = 0),
-m AS (SELECT doc_id, arg_max(rel_path, p) AS rel_path FROM u GROUP BY doc_id)
+@query("""WITH u AS (SELECT doc_id, 'r/' || quality AS rel_path, 0 AS p FROM labels UNION ALL SELECT doc_id, CASE WHEN lang = 'en' THEN 'v/' || lang END, 1 FROM documents),
+m AS (SELECT doc_id, arg_max(rel_path, p) AS rel_path FROM u WHERE rel_path IS NOT NULL GROUP BY doc_id)
 SELECT page_id, CASE WHEN regexp_matches(coalesce(m.rel_path, url), '^(https?://|data:|/|\\.\\./)') THEN coalesce(m.rel_path, url) ELSE '../../' || coalesce(m.rel_path, url) END AS src FROM pages LEFT JOIN m ON m.doc_id = pages.page_id""")
 def path_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = t(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("r/"), F.col("quality").cast("string")).alias("rel_path"))
-    v = t(spark, sf_dir, "documents").filter("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("v/"), "lang").alias("rel_path"))
+    v = t(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", F.concat(F.lit("v/"), "lang")).alias("rel_path"))
     paths = assets.merged_paths(r, v, ["doc_id"]).withColumnRenamed("doc_id", "page_id")
     return assets.rewritten(t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("src")), paths, ["page_id"])
 
 
 # --- batch
 
-_DONE = "SELECT o_orderkey AS key, ['output', 'done', 'error'][CAST(o_custkey % 3 AS INT) + 1] AS kind FROM orders WHERE o_orderkey % 5 < 2 UNION ALL SELECT o_orderkey, 'done' FROM orders WHERE o_orderkey % 10 = 0"
+_DONE = """SELECT o_orderkey AS key, ['output', 'done', 'error'][CAST(o_custkey % 3 AS INT) + 1] AS kind FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT o_orderkey, 'done' FROM orders WHERE o_orderpriority = '1-URGENT'"""
 
 
 def done_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = t(spark, sf_dir, "orders")
     kind = F.element_at(F.array(*map(F.lit, ("output", "done", "error"))), (F.col("o_custkey") % 3 + 1).cast("int"))
-    first = orders.filter("o_orderkey % 5 < 2").select(F.col("o_orderkey").alias("key"), kind.alias("kind"))
-    return first.unionAll(orders.filter("o_orderkey % 10 = 0").select("o_orderkey", F.lit("done")))
+    first = orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("key"), kind.alias("kind"))
+    return first.unionAll(orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", F.lit("done")))
 
 
 def task_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,16 +546,34 @@ def skipped_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.skipped(task_rows(spark, sf_dir), done_rows(spark, sf_dir))
 
 
-@query("""WITH f AS (SELECT c_mktsegment || '-' || c_nationkey AS dir, c_nationkey AS slug, min(c_name) AS package, count(*) AS packages FROM customer GROUP BY ALL)
-SELECT *, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY dir) = 1 THEN 'task' ELSE 'slug_taken' END AS status FROM f""")
+@query("""WITH f AS (SELECT c_mktsegment || '/' || c_nationkey AS dir, min((c_name, c_acctbal > 0)) AS first, count(*) AS packages FROM customer GROUP BY ALL),
+g AS (SELECT dir, first[1] AS package, split_part(dir, '/', 2) || '-' || first[2] AS slug, packages FROM f)
+SELECT *, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY dir) = 1 THEN 'task' ELSE 'slug_taken' END AS status FROM g""")
 def book_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("-"), F.col("c_nationkey").cast("string")).alias("dir"), F.col("c_nationkey").alias("slug"), F.col("c_name").alias("package"))
+    """The first package of every directory, the first directory of every slug."""
+    nation = F.col("c_nationkey").cast("string")
+    slug = F.concat(nation, F.lit("-"), (F.col("c_acctbal") > 0).cast("string"))
+    rows = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("/"), nation).alias("dir"), F.col("c_name").alias("package"), slug.alias("slug"))
     return batch.discover(rows)
 
 
-@query("SELECT o_orderpriority AS dir, arg_max(o_orderkey, o_totalprice) AS pdf FROM orders GROUP BY ALL")
+@query("""WITH k AS (SELECT DISTINCT c_mktsegment || '/' || c_nationkey AS dir, 's' || c_nationkey AS slug, CAST(c_nationkey AS VARCHAR) AS folder FROM customer),
+f AS (SELECT 's' || n_nationkey AS name, 'output' AS kind FROM nation WHERE n_regionkey = 0 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), CASE n_regionkey WHEN 1 THEN 'done' ELSE 'error' END FROM nation WHERE n_regionkey IN (1, 2))
+SELECT f.kind, k.dir AS key FROM f JOIN k ON (f.kind = 'output' AND f.name = k.slug) OR (f.kind <> 'output' AND f.name = k.folder)""")
+def processed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books known by an output of their slug, or by a folder among the done or the failed."""
+    nation, region = F.col("n_nationkey").cast("string"), F.col("n_regionkey")
+    own = F.col("c_nationkey").cast("string")
+    tasks = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("/"), own).alias("dir"), F.concat(F.lit("s"), own).alias("slug")).distinct()
+    kind = F.when(region == 0, "output").when(region == 1, "done").when(region == 2, "error")
+    found = t(spark, sf_dir, "nation").select(F.when(region == 0, F.concat(F.lit("s"), nation)).otherwise(nation).alias("name"), kind.alias("kind"))
+    return batch.processed(tasks, found.filter("kind is not null"))
+
+
+@query("SELECT o_orderpriority AS dir, min(o_orderkey) AS path FROM orders o WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders i WHERE i.o_orderpriority = o.o_orderpriority) GROUP BY ALL")
 def largest_sibling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("dir")).agg(F.max_by("o_orderkey", "o_totalprice").alias("pdf"))
+    files = t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dir"), F.col("o_orderkey").alias("path"), F.col("o_totalprice").alias("length"))
+    return pdf.largest_sibling(files, ["dir"])
 
 
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN '{}' WHEN 'O' THEN '{}' ELSE 'skipped' END"
@@ -536,17 +612,10 @@ def html_blocks_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks(t(spark, sf_dir, "pages"))
 
 
-@query(f"WITH {_HTML} SELECT page_id, kind, count(*) AS n FROM x GROUP BY ALL")
 def block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks(t(spark, sf_dir, "pages")).groupBy("page_id", "kind").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_HTML} SELECT count(*) AS body_blocks, count(*) FILTER (kind = 'heading') AS headings, count(*) FILTER (kind = 'list') AS items, count(DISTINCT page_id) AS books, CAST(max(ord) AS BIGINT) AS last_ord FROM x""")
-def report_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = html_blocks(t(spark, sf_dir, "pages"))
-    return rows.agg(F.count("*").alias("body_blocks"), F.count_if(F.col("kind") == "heading").alias("headings"), F.count_if(F.col("kind") == "list").alias("items"), F.count_distinct("page_id").alias("books"), F.max("ord").cast("long").alias("last_ord"))
-
-
 _MD = "replace(replace(replace(text, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;')"
 
 
@@ -567,30 +636,38 @@ def admonition_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_grid(spark: SparkSession, sf_dir: str, span: bool) -> DataFrame:
+    """A table a region, two columns of one header and one body row: the fifth cell is outside, and cells of the letter I have no name."""
     nation = sequence.numbered(t(spark, sf_dir, "nation"), ["n_regionkey"], ["n_nationkey"], "k")
     inline = F.array(F.struct(F.lit("text").alias("kind"), F.concat("n_name", F.lit("|"), F.col("n_nationkey").cast("string")).alias("text")))
     block = F.struct(F.lit("paragraph").alias("kind"), inline.alias("inlines"), *[F.lit(None).cast("string").alias(c) for c in ("src", "alt", "latex")])
     k = F.col("k") - 1
+    name = F.when(F.startswith("n_name", F.lit("I")), F.col("n_name")).otherwise(F.concat(F.floor(k / 2).cast("string"), F.lit(":"), (k % 2).cast("string")))
     cells = nation.select(
-        F.col("n_regionkey").alias("table_id"), F.concat(F.floor(k / 2).cast("string"), F.lit(":"), (k % 2).cast("string")).alias("name"), F.lit(1).alias("row_span"),
-        F.when(F.lit(span) & (k == 0) & (F.col("n_regionkey") % 2 == 0), 2).otherwise(1).alias("col_span"), F.array(block).alias("blocks"),
-        F.lit(1).alias("header_rows"), F.lit(2).alias("body_rows"), F.lit(2).alias("columns"),
+        F.col("n_regionkey").alias("table_id"), name.alias("name"), F.lit(1).alias("row_span"), F.when(F.lit(span) & (k == 1) & (F.col("n_regionkey") % 2 == 0), 2).otherwise(1).alias("col_span"),
+        F.array(block).alias("blocks"), F.lit(1).alias("header_rows"), F.lit(1).alias("body_rows"), F.lit(2).alias("columns"),
     )
     return tables.grid(cells, ["table_id"])
 
 
-_GRID = "g AS (SELECT n_regionkey AS table_id, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1) // 2 AS r, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1) % 2 AS c, n_name || '|' || n_nationkey AS x FROM nation)"
+_GRID = """n AS (SELECT n_regionkey AS table_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS k, n_name, n_name || '|' || n_nationkey AS x FROM nation),
+g AS (SELECT table_id, k // 2 AS r, k % 2 AS c, x FROM n WHERE k < 4 AND n_name NOT LIKE 'I%'), y AS (SELECT DISTINCT table_id, r FROM n, (SELECT unnest([0, 1]) AS r)),
+w AS (SELECT table_id, max(m) AS width FROM (SELECT table_id, count(*) AS m FROM g GROUP BY table_id, r) GROUP BY table_id),
+l AS (SELECT y.table_id, y.r, max(width) AS width, rtrim('| ' || coalesce(string_agg(replace(x, '|', '\\|') || ' | ', '' ORDER BY c), '') || repeat(' | ', max(width) - count(x))) AS line,
+  '  <tr>' || coalesce(string_agg(chr(10) || '    <' || CASE y.r WHEN 0 THEN 'th' ELSE 'td' END || CASE WHEN y.table_id % 2 = 0 AND y.r = 0 AND c = 1 THEN ' colspan="2"' ELSE '' END || '>' || x || '</' || CASE y.r WHEN 0 THEN 'th' ELSE 'td' END || '>', '' ORDER BY c), '')
+    || chr(10) || '  </tr>' AS html FROM y JOIN w USING (table_id) LEFT JOIN g ON g.table_id = y.table_id AND g.r = y.r GROUP BY y.table_id, y.r),
+m AS (SELECT table_id, string_agg(line || CASE r WHEN 0 THEN chr(10) || '|' || array_to_string(list_transform(range(CAST(width AS BIGINT)), lambda i: ' --- '), '|') || '|' ELSE '' END, chr(10) ORDER BY r) AS gfm,
+  '<table>' || chr(10) || string_agg(html, chr(10) ORDER BY r) || chr(10) || '</table>' AS html FROM l GROUP BY table_id)"""
 
 
-@query(f"""WITH {_GRID}, l AS (SELECT table_id, r, '| ' || string_agg(replace(x, '|', '\\|'), ' | ' ORDER BY c) || CASE WHEN count(*) = 1 THEN ' |  |' ELSE ' |' END AS line FROM g WHERE r < 3 GROUP BY ALL)
-SELECT table_id, string_agg(line || CASE WHEN r = 0 THEN chr(10) || '| --- | --- |' ELSE '' END, chr(10) ORDER BY r) AS md FROM l GROUP BY table_id""")
+@query(f"WITH {_GRID} SELECT table_id, gfm AS md FROM m")
 def gfm_table_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation_grid(spark, sf_dir, False).select("table_id", tables.render_table(F.col("rows"), F.col("header_rows")).alias("md"))
 
 
-@query("SELECT DISTINCT n_regionkey AS table_id, n_regionkey % 2 = 0 AS as_html FROM nation")
+@query(f"WITH {_GRID} SELECT table_id, CASE WHEN table_id IN (SELECT table_id FROM g WHERE r = 0 AND c = 1 AND table_id % 2 = 0) THEN html ELSE gfm END AS md FROM m")
 def html_table_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nation_grid(spark, sf_dir, True).select("table_id", F.startswith(tables.render_table(F.col("rows"), F.col("header_rows")), F.lit("<table>")).alias("as_html"))
+    """Tables with a spanning cell as HTML, the others as GFM."""
+    return nation_grid(spark, sf_dir, True).select("table_id", tables.render_table(F.col("rows"), F.col("header_rows")).alias("md"))
 
 
 @query(f"""WITH s AS (SELECT page_id, {_H1} AS title FROM pages), f AS (SELECT page_id, title, row_number() OVER (PARTITION BY page_id % 10 ORDER BY page_id) AS n FROM s WHERE title <> ''),
@@ -601,12 +678,16 @@ def toc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.render_toc(render.toc_entries(rows, ["book"], ["page_id"]), ["book"])
 
 
-@query("""WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents), c AS (SELECT doc_id, CAST(doc_id % 5 AS BIGINT) AS cursor FROM documents)
-SELECT c.doc_id, CAST(min(pos) AS INT) AS pos FROM c JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor AND starts_with(lower(h.line), 'e') GROUP BY c.doc_id""")
+@query("""WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+c AS (SELECT doc_id, length(lang) % 3 + length(source) % 4 AS cursor, substr(lang, 1, 1) AS title FROM documents)
+SELECT c.doc_id, c.cursor, CAST(min(pos) AS INT) AS pos FROM c LEFT JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor AND starts_with(lower(h.line), c.title) GROUP BY ALL""")
 def heading_first_match_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    hit = lines.filter((F.col("pos") >= F.col("doc_id") % 5) & F.startswith(F.lower("line"), F.lit("e")))
-    return hit.groupBy("doc_id").agg(F.min("pos").alias("pos"))
+    """The first line at or after a document's cursor that begins with its title."""
+    docs = t(spark, sf_dir, "documents")
+    headings = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).withColumn("form", F.lower("line"))
+    cursor = (F.length("lang") % 3 + F.length("source") % 4).cast("long")
+    wanted = docs.select("doc_id", cursor.alias("cursor"), F.substring("lang", 1, 1).alias("title"))
+    return chunks.first_heading(wanted, headings, ["doc_id"]).drop("title")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -616,8 +697,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)
