@@ -6,15 +6,14 @@ a bound, or leaves files outside the folder that ``spark.checkpoint.dir`` names.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import on_workers
+from ..session import delete, drop_scratch, on_workers, scratch_path, written  # noqa: F401
 
 #: Rows handled at once inside a Python worker; long texts stay few at a time.
 SLICE_ROWS = 1000
@@ -28,38 +27,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local default is set only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file:///tmp/checkpoints"
-    # with the file system it names or, if it names none, the cluster's default one
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found.rstrip("/"))
-    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/folioframe-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there and lost executors cost no rework."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove this application's written tables, once no result that reads them is needed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/folioframe-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, so that other columns can have any name."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -181,37 +148,57 @@ def connected_components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     Smallest-label spreading with pointer jumping. Each round's labels are
     written to the shared folder, where the next reads them: joins are between
     plain scans, so a hub's edges or a large component's label can be split by
-    adaptive execution, and lost executors cost one round at most. Loops and
-    null ends are no edges; an empty input gives an empty result.
+    adaptive execution, and lost executors cost one round at most. A round's
+    tables are removed when the next round's are whole. Loops and null ends are
+    no edges; an empty input gives an empty result.
     """
+    spark, old = edges.sparkSession, []
+
+    def round_table(df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        df.write.parquet(path)
+        old.append(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     e = edges.select("u", "v").filter(F.col("u") != F.col("v"))
     e = written(e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
-    label = written(e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels")
+    label = round_table(e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels")
     for _ in range(rounds):
         near = e.join(label, e["v"] == label["node"]).groupBy("u").agg(F.min("label").alias("m"))
-        spread = label.join(near, label["node"] == near["u"], "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        spread = written(spread, "spread")
+        spread = label.join(near, label["node"] == near["u"], "left")
+        spread = round_table(spread.select("node", F.col("label").alias("old"), F.least("label", "m").alias("label")), "spread")
         top = spread.select(F.col("node").alias("top"), F.col("label").alias("top_label"))
-        label = written(spread.join(top, spread["label"] == top["top"]).select("node", F.least("label", "top_label").alias("label"), (F.col("old") != F.least("label", "top_label")).alias("moved")), "labels")
+        jumped = F.least("label", "top_label")
+        joined = spread.join(top, spread["label"] == top["top"])
+        label = round_table(joined.select("node", jumped.alias("label"), (F.col("old") != jumped).alias("moved")), "labels")
+        while len(old) > 1:
+            delete(spark, old.pop(0))
         if label.filter("moved").isEmpty():
             return label.select("node", F.col("label").alias("component"))
         label = label.select("node", "label")
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
-    """The rows of highest ``count``, at most ``most`` of them: all from some count on.
+def most_frequent(df: DataFrame, count: str, key: str, most: int) -> DataFrame:
+    """The rows of highest ``count``, about ``most`` of them and not more.
 
     The count is cut by a histogram of fine logarithmic steps, a few hundred
-    rows on the driver, so no task gathers candidates. Rows of a step that would
-    exceed the bound stay out together.
+    rows on the driver, so no task gathers candidates. Of the step that would
+    exceed the bound, rows stay by a hash of ``key``, as many as there is room.
     """
     step = F.floor(F.log2(F.col(count)) * 16).cast("int")
-    sizes = df.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
-    cut, total = None, 0
-    for s, n in sorted(((r["step"], r["rows"]) for r in sizes), reverse=True):
-        if (total := total + n) > most:
-            break
-        cut = s
-    return df.filter(step >= cut) if cut is not None else df.filter(F.lit(False))
-
+    part = F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(1024))
+    sizes = df.groupBy(step.alias("step"), part.alias("part")).agg(F.count("*").alias("rows"))
+    by_step = sizes.groupBy("step").agg(F.sum("rows").alias("rows")).collect()
+    total = 0
+    for s, n in sorted(((r["step"], r["rows"]) for r in by_step), reverse=True):
+        if total + n > most:
+            inside = sorted((r["part"], r["rows"]) for r in sizes.filter(F.col("step") == s).collect())
+            room, below = most - total, 0
+            for part_no, rows in inside:
+                if rows > room:
+                    break
+                room, below = room - rows, part_no + 1
+            return df.filter((step > s) | ((step == s) & (part < below)))
+        total += n
+    return df

@@ -23,7 +23,7 @@ SCHEMA = "doc_id long, text string, lang string"
 @pytest.fixture(scope="module")
 def odd(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    for c in ("fp", "fingerprint", "score", "component", "node", "blob", "uid", "source", "n_chars", "label", "key", "anchor", "kept_id", "own_blob_"):
+    for c in ("fp", "fingerprint", "score", "component", "node", "blob", "uid", "source", "n_chars", "label", "key", "anchor", "kept_id", "own_blob", "seen_blob", "seen_found", "__sign", "own", "seen", "row", "found", "own_id", "own_sign", "sign", "item_id", "class"):
         df = df.withColumn(c, F.lit(c))
     return df
 
@@ -98,6 +98,43 @@ def test_toxicity_odd(spark, odd, empty):
     assert toxicity.toxicity(odd, marks.filter(F.lit(False))).count() == len(ROWS)
 
 
+def test_toxicity_against_plain_ftrl():
+    """The same sums in dictionaries, over all coordinates: what is left out beforehand has weight zero."""
+    from math import exp, sqrt
+
+    rng, p, of = np.random.default_rng(3), toxicity.Ftrl(epochs=3), toxicity.Features(32)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(80)] + ["vile", "foul"] * (k % 5 == 0) * 8, 25)) for k in range(120)]
+    examples = [(np.unique(of(t)), int(k % 5 == 0)) for k, t in enumerate(texts)]
+    prior = sum(y for _, y in examples) / len(examples)
+    z, n, v = {}, {}, {}
+
+    def weight(i):
+        strength = 0 if i < 0 else p.epochs + p.l1 * sqrt(p.epochs * v.get(i, 0))
+        s = z.get(i, 0)
+        return 0.0 if abs(s) <= strength else -(s - (strength if s > 0 else -strength)) / ((p.beta + sqrt(n.get(i, 0))) / p.alpha + p.l2)
+
+    for _ in range(p.epochs):
+        for features, y in examples:
+            at = [-1, *features.tolist()]
+            w = [weight(i) for i in at]
+            q = 1 / (1 + exp(-sum(w)))
+            for i, x in zip(at, w):
+                rate = (sqrt(n.get(i, 0) + (q - y) ** 2) - sqrt(n.get(i, 0))) / p.alpha
+                z[i], n[i] = z.get(i, 0) + (q - y) - rate * x, n.get(i, 0) + (q - y) ** 2
+                v[i] = v.get(i, 0) + max(q * (1 - q), prior * (1 - prior))
+    want = {i: w for i in z if (w := weight(i)) or i < 0}
+    i, w = toxicity.train(examples, p)
+    assert 2 < len(want) < 100 and set(i.tolist()) == set(want) and all(abs(want[a] - b) < 1e-9 for a, b in zip(i.tolist(), w.tolist()))
+
+
+def test_toxicity_sample(spark):
+    texts = [(i, f"text {i} " + "x" * 90) for i in range(300)] + [(0, "another text of id 0"), (0, "a least text")]
+    df, marks = spark.createDataFrame(texts, "doc_id long, text string"), labels_of(spark, [(i, i % 2) for i in range(300)])
+    assert toxicity.sample(df, marks, toxicity.Ftrl(sample_rows=50)).count() == 50
+    assert 15 < toxicity.sample(df, marks, toxicity.Ftrl(sample_bytes=2000)).count() <= 20
+    assert [r["text"] for r in toxicity.sample(df, marks.filter("doc_id = 0"), toxicity.Ftrl()).collect()] == ["a least text"]
+
+
 def test_drop_toxic_keeps_all_without_a_model(spark, odd):
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
     df = odd.unionByName(spark.createDataFrame([(i, "bad words") for i in held], "doc_id long, text string"), allowMissingColumns=True)
@@ -166,11 +203,52 @@ def test_language_backoff_and_odd(spark, odd, empty):
     assert language.language(empty).count() == 0
 
 
-def test_language_keeps_all_words_seen_twice(spark):
-    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:42]
-    rows = [(d, " ".join(2 * [f"{'ab'[k < 40]}w{k * 6000 + i}" for i in range(6000)]), "ab"[k < 40]) for k, d in enumerate(ids)]
-    model = language.fit(spark.createDataFrame(rows, SCHEMA))
-    assert len(model.words) == 42 * 6000 and sum(w.startswith("a") for w in model.words) == 2 * 6000
+def test_language_against_plain_counts(docs, plain):
+    """Word and n-gram counts, backoff and scores in dictionaries, over the same rows."""
+    from collections import Counter
+    from math import exp, log
+
+    p = language.Backoff(longest=4)
+    words, grams = {}, {}
+    for r in plain[[zlib.crc32(str(d).encode()) % 4 != 2 for d in plain.doc_id]].itertuples():
+        if r.lang is not None and r.text is not None:
+            words.setdefault(r.lang, Counter()).update(w.decode("utf-8", "replace") for w in common.words_of(r.text) if not w.isdigit())
+    for lang, counts in words.items():
+        for w, n in counts.items():
+            for size in range(1, p.longest + 1):
+                for g in language.grams(w, size):
+                    grams.setdefault(lang, Counter())[g] += n
+    langs = sorted(words)
+    totals = [{lang: sum(t[lang].values()) + 0.5 * len(set().union(*t.values())) for lang in langs} for t in (words, grams)]
+
+    def one(word):
+        if any(word in words[lang] for lang in langs):
+            return [log(words[lang][word] + 0.5) - log(totals[0][lang]) for lang in langs]
+        for size in range(p.longest, 0, -1):
+            if found := [g for g in language.grams(word, size) if any(g in grams[lang] for lang in langs)]:
+                return [sum(log(grams[lang][g] + 0.5) - log(totals[1][lang]) for g in found) / len(found) for lang in langs]
+        return [0.0] * len(langs)
+
+    got = language.language(docs, p).toPandas().set_index("doc_id")
+    for r in plain.itertuples():
+        known = [w.decode("utf-8", "replace") for w in common.words_of(r.text) if not w.isdigit()]
+        if not any(map(str.isalpha, r.text or "")):
+            assert got.lang_pred[r.doc_id] == "und"
+            continue
+        sums = [sum(x) * min(1, 20 / max(1, len(known))) for x in zip(*map(one, known))] or [0.0] * len(langs)
+        best = max(range(len(langs)), key=lambda i: sums[i])
+        assert got.lang_pred[r.doc_id] == langs[best] and abs(got.score[r.doc_id] - 1 / sum(exp(s - sums[best]) for s in sums)) < 1e-9
+
+
+def test_language_samples_every_language(spark):
+    rows = [(i, f"wort{i} haus", "de") for i in range(3000)] + [(5000 + i, f"word{i} rare", "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small = language.Backoff(sample_rows=400)
+    n = {r["lang"]: r["count"] for r in language.sample(df, small).groupBy("lang").count().collect()}
+    assert 130 < n["de"] < 270 and n["en"] == sum(zlib.crc32(str(5000 + i).encode()) % 4 != 2 for i in range(40))
+    bytes_ = language.Backoff(sample_bytes=8000)
+    n = {r["lang"]: r["b"] for r in language.sample(df, bytes_).groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b")).collect()}
+    assert 2500 < n["de"] < 5500 and n["en"] < 700
 
 
 # 4
@@ -211,10 +289,21 @@ def test_ledger_scans_only_the_unseen(spark, odd, empty):
     assert secrets.findings(empty).count() == 0
 
 
+def test_ledger_is_kept(spark, odd, tmp_path):
+    at = str(tmp_path / "ledger")
+    first = secrets.digest(secrets.scanned(odd, at)).toPandas()
+    held = spark.read.parquet(at).count()
+    assert held == secrets.versions_of(odd).select("blob").distinct().count()
+    assert secrets.scan_unseen(secrets.versions_of(odd), spark.read.parquet(at)).count() == 0
+    again = secrets.digest(secrets.scanned(odd.unionByName(odd.withColumn("text", F.lit("token=abcdefghijklmnop"))), at)).toPandas()
+    assert spark.read.parquet(at).count() == held + 1 and again.n_assign.sum() == first.n_assign.sum() + len(ROWS)
+
+
 def test_redact(odd, empty):
     got = {r["doc_id"]: r["text"] for r in secrets.redact(odd).collect()}
     assert got[7] == "[assign] [access] [hex]" and got[2] is None and got[5] == LONG
     assert secrets.redact(odd).columns == odd.columns and secrets.redact(empty).count() == 0
+    assert {r["own_blob"] for r in secrets.redact(odd).collect()} == {"own_blob"} and {r["row"] for r in simhash.keep_one(odd).collect()} == {"row"}
 
 
 # 5 and 7
@@ -233,6 +322,14 @@ def test_pretokens_are_the_librarys():
         assert tok.ids(text) == np.array(tok.library.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), ascii(text)
 
 
+def test_token_counts_of_long_and_astral_pieces(spark):
+    texts = ["-" * 500 + " x", "-" * 500, "😀 😀😀 mixed 𝐀𝟗 ok", "a" * 70 + "\U0001f600", "\U000e0fff unassigned", "𠀀𠀁" * 40]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 5)], "doc_id long, text string")
+    for head in (0, 2, 1000):
+        got = token_counts.token_counts(df, BPE, token_counts.Counting(head=head)).orderBy("doc_id").toPandas()
+        assert got.n_tokens.tolist() == [len(x) for x in library_ids(texts * 5)]
+
+
 @pytest.mark.parametrize("head", [0, 50, 200_000])
 def test_token_counts(docs, plain, odd, empty, head):
     p = token_counts.Counting(head=head, gathered=500)
@@ -249,13 +346,13 @@ def test_token_counts(docs, plain, odd, empty, head):
 def test_packing(docs, plain, odd, empty, tmp_path):
     ids = library_ids(plain.text)
     n = np.array([len(x) + 1 for x in ids])
-    layout = packing.Layout(length=64, rows_per_batch=4, rows_per_file=40)
+    layout = packing.Layout(length=64, rows_per_batch=4, task_rows=40, file_ids=3000)
     got = packing.pack(docs, BPE, layout, str(tmp_path / "a")).toPandas().sort_values("doc_id")
     assert got.n_tokens.tolist() == n.tolist() and got.start.tolist() == (np.cumsum(n) - n).tolist()
     assert got.ids_crc32.tolist() == [zlib.crc32(np.array([*x, 0], "<u4").tobytes()) for x in ids]
     files = sorted(str(p) for p in (tmp_path / "a").glob("*.arrow"))
     assert len(files) > 1
-    rows = [s[i] for s in map(packing.sequences, files) for i in range(len(s))]
+    rows = [(x, m.to_numpy(False)) for s in map(packing.sequences, files) for x, m in (s[i] for i in range(len(s)))]
     assert all(len(x) == 64 == len(m) for x, m in rows)
     assert np.concatenate([x[m] for x, m in rows]).tolist() == [i for x in ids for i in [*x, 0]]
     got = packing.pack(odd, BPE, layout).orderBy("start").collect()
@@ -286,6 +383,13 @@ def test_keep_one_of_shared_ids(spark):
     assert got.columns == ["doc_id", "text", "__extra"]
 
 
+def test_keep_one_of_repeated_rows_is_the_same_every_time(spark):
+    rows = [(1, "alpha beta gamma delta", x) for x in ("c", "a", "b", None)] + [(2, "one two three four", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __sign string")
+    for n in (1, 3, 7):
+        assert sorted((r["doc_id"], r["__sign"]) for r in simhash.keep_one(df.repartition(n)).collect()) == [(1, "a"), (2, "z")]
+
+
 def test_fingerprint_by_hand():
     import xxhash
 
@@ -341,7 +445,7 @@ def test_embedding_links(spark, block):
     v = np.concatenate([centres[rng.integers(0, 20, 300)] + 0.12 * rng.standard_normal((300, 16)), np.repeat(centres[:2], 15, axis=0)]).astype(np.float32)
     e = pd.DataFrame({"vec_id": range(len(v)), "embedding": list(v), "label": rng.integers(0, 2, len(v))})
     df = spark.createDataFrame([(int(i), [float(c) for c in x], int(y)) for i, x, y in e.itertuples(index=False)], "vec_id long, embedding array<float>, label int")
-    got = embedding.near_duplicates(df, embedding.Planes(block=block)).toPandas().sort_values("vec_id")
+    got = embedding.near_duplicates(df, embedding.Planes(block=block, per_key=8)).toPandas().sort_values("vec_id")
     n, c = exact(e)
     assert got.n_links.tolist() == n and got.component_id.tolist() == c and (got.kept == (got.vec_id == got.component_id)).all() and sum(n) > 500
 
@@ -403,6 +507,47 @@ def test_licences_full_texts(spark):
     assert got == {i: name for i, (name, _) in texts.items()} | {100: "Apache-2.0", 101: None}
 
 
+def test_licences_of_any_holder(spark):
+    mit = licences.KNOWN[0][1]
+    heads = ["Copyright (c) The Foo Authors", "Copyright Jane Doe 2020", "Copyright Jane Doe", "© 2001-2003 ACME", "Copyright © 1999", "Portions Copyright (C) A. Body", "COPYRIGHT"]
+    bsd = next(t for n, t in licences.KNOWN if n == "BSD-3-Clause")
+    wrapped = "\n".join(__import__("textwrap").wrap(bsd, 34))
+    rows = [(i, f"{h}\n\n{mit}") for i, h in enumerate(heads)] + [(50, wrapped), (51, f"Copyright law says\n{mit}")]
+    got = {r["doc_id"]: r["licence"] for r in licences.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: "MIT" for i in range(len(heads))} | {50: "BSD-3-Clause", 51: None}
+
+
+def test_licences_by_shuffle(spark, docs, odd):
+    extra = spark.createDataFrame([(f"{i:064x}", f"X-{i}", 9) for i in range(3000)], "digest string, licence string, chars int")
+    for texts in (docs, odd):
+        want = sorted(map(str, licences.licences(texts).collect()))
+        known = licences.known_digests(spark).unionByName(extra)
+        assert sorted(map(str, licences.licences(texts, known).collect())) == want
+    every = {(r["digest"], r["chars"]) for r in licences.known_digests(spark).collect()}
+    assert every == {licences.plain_digest(t) for _, t in licences.KNOWN + licences.full_texts()}
+
+
+def test_decontamination_sql_finds_short_items(spark):
+    import duckdb
+
+    texts = ["so The quick, brown fox jumped", "brown quick the fox jumped over", "a quick brown dog sat", "fox", "one two three four five six", "quick brown", None, ""]
+    marks = ["quick brown", "the quick brown fox", "fox", "brown quick the", "two four", "one two three four five", "x", None]
+    documents, benchmark = pd.DataFrame(enumerate(texts), columns=["doc_id", "text"]), pd.DataFrame(enumerate(marks), columns=["item_id", "text"])  # noqa: F841
+    want = duckdb.sql(queries.DECONTAMINATION_SQL).df()
+    got = decontaminate.contained(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(marks)), "item_id long, text string")).toPandas()
+    rows = lambda d: sorted(map(tuple, d[sorted(d.columns)].values.tolist()))
+    assert rows(got) == rows(want) and len(got) > 7
+
+
+def test_most_frequent(spark):
+    rows = [(f"k{i}", 1 + (i < 40) * 5 + (i < 3) * 900) for i in range(2000)]
+    df = spark.createDataFrame(rows, "key string, n long")
+    for most, least in ((0, 0), (2, 1), (3, 3), (20, 5), (43, 40), (500, 300), (2000, 2000), (9000, 2000)):
+        got = [r["n"] for r in common.most_frequent(df, "n", "key", most).collect()]
+        assert least <= len(got) <= max(most, 0) or (most >= 2000 and len(got) == 2000)
+        assert sorted(got, reverse=True) == sorted((n for _, n in rows), reverse=True)[: len(got)]
+
+
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_sql(name, spark, sf_dir, duck):
     got, want = queries.queries()[name](spark, sf_dir).toPandas(), duck.sql(queries.oracle_sql()[name]).df()
