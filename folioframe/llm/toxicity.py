@@ -1,15 +1,18 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the *set* of its hashed words, word pairs and word pairs
-with one or two words skipped. Per-coordinate rates and L1 leave few non-zero
-weights, whose number is checked before they are broadcast and applied to whole
-texts.
+with one or two words skipped. Rates are per coordinate, and so is the L1
+strength: a coordinate's weight stays zero while its gradient sum is within
+``l1`` standard deviations of what chance would give it, plus what one document
+can add. So L1 leaves few weights, whose number is checked before they are
+broadcast and applied to whole texts.
 
 Defined results: null and empty texts have no feature and get the bias alone as
 score; repeated rows are scored each; rows without a label or with one that is
-not 0 or 1 are not learned from, a document with both labels counts as 1; with
-nothing to learn from, every score is 0.5 and the filter keeps every document.
-Only the named columns are read, so other columns may have any name.
+not 0 or 1 are not learned from, a document with both labels counts as 1, and of
+several texts of one id the least is learned from; with nothing to learn from,
+every score is 0.5 and the filter keeps every document. Only the named columns
+are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, on_workers, slices, words_of
@@ -35,22 +38,19 @@ REMEMBERED = 400_000
 
 @dataclass(frozen=True)
 class Ftrl:
-    """``sample_rows`` bounds the labelled documents learned from: those with the smallest hashed ids.
+    """``sample_rows`` and ``sample_bytes`` bound the labelled documents learned from: those with the smallest hashed ids.
 
-    A coordinate is active if, over the sample, its label sum stands ``screen``
-    standard deviations from chance and ``support`` documents have it; so chance
-    pairs of words in mislabelled documents get no weight.
+    ``l1`` is in standard deviations of a coordinate's gradient sum (see ``train``).
     """
 
     bits: int = 32
     alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.0
+    l1: float = 1.5
     l2: float = 0.1
-    epochs: int = 6
-    screen: float = 5.0
-    support: int = 2
+    epochs: int = 2
     sample_rows: int = 10_000
+    sample_bytes: int = 64 << 20
     threshold: float = 0.3
 
 
@@ -77,30 +77,54 @@ class Features:
         return (np.concatenate(parts) >> self.shift).astype(np.uint32)
 
 
+def prior_of(labels: np.ndarray) -> float:
+    return min(max(labels.mean(), 1e-3), 1 - 1e-3)
+
+
+def weights_of(z: np.ndarray, n: np.ndarray, l1: np.ndarray, p: Ftrl) -> np.ndarray:
+    """FTRL-proximal in closed form: zero within the L1 strength, else against z at the coordinate's own rate."""
+    return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((p.beta + np.sqrt(n)) / p.alpha + p.l2))
+
+
+def _places(active: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Coordinates of a text's features among the active ones, counted from one, and the bias, which is 0."""
+    at = np.searchsorted(active, features)
+    at[at == len(active)] = 0
+    return np.append(at[active[at] == features] + 1, 0) if len(active) else np.zeros(1, np.int64)
+
+
 def train(examples: list[tuple[np.ndarray, int]], p: Ftrl) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse weights (feature, value), features in order; feature -1, the first, is the bias, which L1 spares."""
-    labels = np.array([y for _, y in examples], float)
-    prior = min(max(labels.mean(), 1e-3), 1 - 1e-3)
+    """Sparse weights (feature, value), features in order; feature -1, the first, is the bias, which L1 spares.
+
+    A coordinate keeps z, the sum n of its squared gradients, and the sum v of
+    the variances q(1-q) that its documents' predictions q have, none less than
+    the prior's. Its L1 strength over E epochs is E + l1 sqrt(E v): the most that
+    one document can add, and ``l1`` deviations of a sum of chance gradients. A
+    coordinate of k documents has |z| <= kE and v >= kE prior(1-prior), so with
+    k <= 1 + l1 sqrt(k prior(1-prior)) its weight is zero whatever the labels: it
+    is left out from the start, which changes no result.
+    """
+    prior = prior_of(np.array([y for _, y in examples], float))
+    least = prior * (1 - prior)
     every, counts = np.unique(np.concatenate([f for f, _ in examples]), return_counts=True)
-    ones = [f for f, y in examples if y] or [every[:0]]
-    positive, times = np.unique(np.concatenate(ones), return_counts=True)
-    pull = -prior * counts
-    pull[np.searchsorted(every, positive)] += times
-    active = every[(np.abs(pull) >= p.screen * np.sqrt(counts * prior * (1 - prior))) & (counts >= p.support)]
-    rows = [(np.append(np.flatnonzero(np.isin(active, f, assume_unique=True)) + 1, 0), y) for f, y in examples]
-    z, n, l1 = np.zeros(len(active) + 1), np.zeros(len(active) + 1), np.full(len(active) + 1, p.l1)
-    l1[0] = 0
+    active = every[counts > 1 + p.l1 * np.sqrt(counts * least)]
+    del every, counts
+    rows = [(_places(active, f), y) for f, y in examples]
+    z, n, v = np.zeros((3, len(active) + 1))
+    free = np.arange(len(z)) == 0
 
     def weight(i: np.ndarray) -> np.ndarray:
-        return np.where(np.abs(z[i]) <= l1[i], 0, -(z[i] - np.sign(z[i]) * l1[i]) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2))
+        return weights_of(z[i], n[i], np.where(free[i], 0.0, p.epochs + p.l1 * np.sqrt(p.epochs * v[i])), p)
 
     for _ in range(p.epochs):
         for i, label in rows:
             w = weight(i)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+            q = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35)))
+            g = q - label
             squared = n[i] + g * g
             z[i] += g - (np.sqrt(squared) - np.sqrt(n[i])) / p.alpha * w
             n[i] = squared
+            v[i] += max(q * (1 - q), least)
     w = weight(np.arange(len(active) + 1))
     some = np.flatnonzero(w[1:]) + 1
     return np.concatenate([[-1], active[some - 1].astype(np.int64)]), np.concatenate([w[:1], w[some]])
@@ -121,11 +145,19 @@ class Model:
         return self.bias + float(self.weights[np.isin(self.features, f)].sum()) if len(f) else self.bias
 
 
+def sample(docs: DataFrame, labels: DataFrame, p: Ftrl, label_col: str = "toxic") -> DataFrame:
+    """(key, label, text) of the labelled documents learned from, one row an id, within both bounds."""
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    marked = marked.filter(F.col("label").isin(0, 1) & learnable()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = marked.withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id").limit(p.sample_rows)
+    texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id").groupBy("key", "doc_id", "label").agg(F.min("text").alias("text"))
+    # one window over rows that the bound above keeps few
+    held = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    return texts.withColumn("held", held).filter(F.col("held") <= p.sample_bytes).select("key", "label", "text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
-    """Learn from at most ``p.sample_rows`` labelled documents; the fitting itself is one task over that bounded sample."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isin(0, 1) & learnable())
-    sample = marked.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id").limit(p.sample_rows)
-    texts = id_and_text(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("key", "label", "text")
+    """Learn from the bounded sample; features are hashed by many tasks, the fitting itself is one task."""
     sparse = arrow_schema(key=pa.int64(), label=pa.int32(), features=pa.binary())
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "
             i, w = train(examples, p)
             yield batch_of(arrow_schema(i=pa.int64(), w=pa.float64()), pa.array(i, pa.int64()), pa.array(w, pa.float64()))
 
+    texts = sample(docs, labels, p, label_col).repartition(docs.sparkSession.sparkContext.defaultParallelism, "key")
     features = arrow_map(texts, hashed, "key long, label int, features binary")
     table = arrow_map(features.repartition(1).sortWithinPartitions("key"), learned, "i long, w double").toArrow()
     return table["i"].to_numpy(), table["w"].to_numpy()
@@ -146,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "
 
 def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl()) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(checked(weights, p))
+    shared = docs.sparkSession.sparkContext.broadcast(checked(weights))
     out = arrow_schema(doc_id=pa.int64(), score=pa.float64())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,15 +188,14 @@ def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftr
             logits = np.array([model(t) for t in b["text"].to_pylist()], float)
             yield batch_of(out, b["doc_id"], pa.array(1 / (1 + np.exp(-np.clip(logits, -35, 35)))))
 
-    return arrow_map(id_and_text(docs), scored, "doc_id long, score double").select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= p.threshold).cast("int").alias("predicted")
-    )
+    predicted = (F.col("score") >= p.threshold).cast("int").alias("predicted")
+    return arrow_map(id_and_text(docs), scored, "doc_id long, score double").select("doc_id", held_out().alias("held_out"), "score", predicted)
 
 
-def checked(weights: tuple[np.ndarray, np.ndarray], p: Ftrl) -> tuple[np.ndarray, np.ndarray]:
-    """Weights are broadcast only within this bound; the screen keeps them far below it."""
+def checked(weights: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights are broadcast only within this bound; L1 keeps them far below it."""
     if len(weights[0]) > 1_000_000:
-        raise ValueError("more active features than are broadcast: raise the screen")
+        raise ValueError("more active features than are broadcast: raise l1")
     return weights
 
 
@@ -178,7 +210,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFram
     null ids are judged row by row. With nothing to learn from, there is no
     model to reject any: all documents are kept.
     """
-    weights = checked(fit(docs, labels, p), p)
+    weights = checked(fit(docs, labels, p))
     if not len(weights[0]):
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(weights)
