@@ -4,6 +4,10 @@ A known word adds its log frequency in every learned language. An unknown word
 falls back to its character n-grams, longest first: the first length with a
 known n-gram decides, down to single characters.
 
+Words of a text are no independent witnesses, so their summed evidence counts as
+that of ``witnesses`` words at most: the score of a long text stays a probability
+one can rank by instead of running into 1.
+
 Defined results: null texts and texts without a letter are ``und`` with score 0;
 ties go to the language first in order of name; repeated rows are judged each;
 with nothing to learn from, every text is ``und``. Only the named columns are
@@ -12,28 +16,33 @@ read, so other columns may have any name.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, most_frequent, slices, words_of, written
+from ..operators.styles import small
+from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, slices, words_of, written
 
 
 @dataclass(frozen=True)
 class Backoff:
-    """``sample_rows`` bounds the labelled rows learned from, ``entries`` the (language, entry) rows of words and of n-grams broadcast.
+    """``sample_rows`` and ``sample_bytes`` bound the labelled rows learned from, in expectation: equal shares of them go to each language.
 
-    ``entries`` is to be out of the sample's reach: beyond it the rarest go, over all languages.
+    All words of the sample are known, and all their n-grams, so these bounds
+    also bound what is broadcast.
     """
 
     sample_rows: int = 20_000
-    entries: int = 1_000_000
+    sample_bytes: int = 64 << 20
     longest: int = 5
+    witnesses: int = 20
     remembered: int = 300_000
 
 
@@ -66,11 +75,26 @@ class Model:
         return Model(langs.tolist(), *made)
 
 
-def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> Model:
-    """Known words are those seen more than once, n-grams those of known words; at most ``entries`` of either come back to the driver."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+def sample(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> DataFrame:
+    """(lang, text) of labelled rows, the same ones every time: of each language those whose hash is within its share of the bounds.
+
+    A language of few rows keeps all of them, however many rows others have. No
+    rows are gathered for it: sizes are counted by language, and a row decides by
+    its own hash.
+    """
+    columns = {"doc_id": "long", "text": "string", lang_col: "string"}
+    rows = docs.select(*[F.col(c).cast(t).alias("lang" if c == lang_col else c) for c, t in columns.items()])
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & learnable())
-    sample = rows.select("doc_id", F.xxhash64("doc_id").alias("key")).orderBy("key", "doc_id").limit(p.sample_rows).select("doc_id").distinct()
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")), "sizes")
+    languages = max(1, sizes.count())
+    share = F.least(F.lit(1.0), F.lit(p.sample_rows / languages) / F.col("n"), F.lit(p.sample_bytes / languages) / F.greatest("bytes", F.lit(1)))
+    shares = small(sizes.select(F.col("lang").alias("of"), share.alias("share")))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(1 << 30)
+    return rows.join(shares, F.col("lang") == F.col("of")).filter(place < F.col("share")).select("lang", "text")
+
+
+def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> Model:
+    """Counts of all words of the sample and of their n-grams, by language."""
     out = arrow_schema(lang=pa.string(), entry=pa.string(), n=pa.int64())
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,13 +105,13 @@ def fit(docs: DataFrame, p: Backoff = Backoff(), lang_col: str = "lang") -> Mode
         for lang, words in counts.items():
             yield batch_of(out, [lang] * len(words), [w.decode("utf-8", "replace") for w in words], list(words.values()))
 
-    counts = arrow_map(rows.join(F.broadcast(sample), "doc_id").select("lang", "text"), counted, "lang string, entry string, n long").groupBy("lang", "entry").agg(F.sum("n").alias("n"))
-    words = written(most_frequent(counts.filter("n > 1"), "n", p.entries), "words")
+    counts = arrow_map(sample(docs, p, lang_col), counted, "lang string, entry string, n long")
+    words = written(counts.groupBy("lang", "entry").agg(F.sum("n").alias("n")), "words")
     padded = F.concat(F.lit("^"), "entry", F.lit("$"))
-    cut = lambda n: F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, n)))
+    places = lambda n: F.sequence(F.lit(1), F.length(padded) - n + 1)
+    cut = lambda n: F.when(F.length(padded) >= n, F.transform(places(n), lambda i: F.substring(padded, i, n)))
     every = F.flatten(F.filter(F.array(*[cut(n) for n in range(1, p.longest + 1)]), lambda a: a.isNotNull()))
     found = words.select("lang", "n", F.explode(every).alias("entry")).groupBy("lang", "entry").agg(F.sum("n").alias("n"))
-    found = most_frequent(written(found, "grams"), "n", p.entries)
     table = words.unionByName(found.withColumn("entry", F.concat(F.lit("\t"), "entry"))).toArrow()
     return Model.of(*(table[c].to_numpy() for c in ("lang", "entry", "n")))
 
@@ -121,22 +145,30 @@ class Scorer:
         for w in distinct.difference(self.at):
             self.rows[len(self.at)] = self.word(w.decode("utf-8", "replace"))
             self.at[w] = len(self.at)
-        sums = self.rows[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0) * min(1.0, 20 / max(1, len(words)))
+        sums = self.rows[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0) * min(1.0, self.p.witnesses / max(1, len(words)))
         best = int(sums.argmax())
         return self.langs[best], float(1 / np.exp(sums - sums[best]).sum())
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(name: str, shared: Broadcast, p: Backoff) -> Scorer:
+    """The scorer of a model, made once a worker."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(shared.value, p)
+    return _SCORERS[name]
+
+
 def identify(docs: DataFrame, model: Model, p: Backoff = Backoff()) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every whole text."""
-    if max(len(model.words), len(model.grams)) > p.entries:
-        raise ValueError("more entries than the bound of what is broadcast")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     out = arrow_schema(doc_id=pa.int64(), lang_pred=pa.string(), score=pa.float64())
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = None
+        scorer = _scorer(name, shared, p)
         for b in slices(batches):
-            scorer = scorer or Scorer(shared.value, p)
             found = list(map(scorer, b["text"].to_pylist()))
             yield batch_of(out, b["doc_id"], [x[0] for x in found], [x[1] for x in found])
 
