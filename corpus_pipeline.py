@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm import decontaminate, secrets, sentencepiece_codec, simhash, toxicity
-from folioframe.llm.common import written
 from folioframe.llm.queries import table, vocabulary
+from folioframe.session import delete, scratch, scratch_path
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages one after another; what a stage wrote for itself goes when its output is whole, and that when the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        out = scratch_path(spark, name)
+        with scratch(spark, name):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(out)
+        docs = spark.read.schema(made.schema).parquet(out)
+        if before is not None:
+            delete(spark, before)
+        before = out
     return docs

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,8 +47,25 @@ def shared_dir(spark: SparkSession) -> str:
     return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
+#: Folders below the application's own that written tables go to.
+_WITHIN: ContextVar[tuple[str, ...]] = ContextVar("within", default=())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/folioframe-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A fresh place in the application's folder below the shared one."""
+    return "/".join((shared_dir(spark), f"folioframe-{spark.sparkContext.applicationId}", *_WITHIN.get(), f"{label}-{uuid.uuid4().hex}"))
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[None]:
+    """Tables written within go to a folder of their own, which is removed at the end."""
+    folder = scratch_path(spark, label)
+    token = _WITHIN.set((*_WITHIN.get(), folder.rpartition("/")[2]))
+    try:
+        yield
+    finally:
+        _WITHIN.reset(token)
+        delete(spark, folder)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
