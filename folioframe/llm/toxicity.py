@@ -94,7 +94,8 @@ def _places(active: np.ndarray, features: np.ndarray) -> np.ndarray:
 
 
 def train(examples: list[tuple[np.ndarray, int]], p: Ftrl) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse weights (feature, value), features in order; feature -1, the first, is the bias, which L1 spares.
+    """Sparse weights (feature, value), features in order; feature -1, the first, is the bias,
+    which starts at the prior's log odds and L1 spares.
 
     A coordinate keeps z, the sum n of its squared gradients, and the sum v of
     the variances q(1-q) that its documents' predictions q have, none less than
@@ -105,7 +106,7 @@ def train(examples: list[tuple[np.ndarray, int]], p: Ftrl) -> tuple[np.ndarray,
     is left out from the start, which changes no result.
     """
     prior = prior_of(np.array([y for _, y in examples], float))
-    least = prior * (1 - prior)
+    least, base = prior * (1 - prior), np.log(prior / (1 - prior))
     every, counts = np.unique(np.concatenate([f for f, _ in examples]), return_counts=True)
     active = every[counts > 1 + p.l1 * np.sqrt(counts * least)]
     del every, counts
@@ -119,13 +120,14 @@ def train(examples: list[tuple[np.ndarray, int]], p: Ftrl) -> tuple[np.ndarray,
     for _ in range(p.epochs):
         for i, label in rows:
             w = weight(i)
-            q = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35)))
+            q = 1 / (1 + np.exp(-np.clip(base + w.sum(), -35, 35)))
             g = q - label
             squared = n[i] + g * g
             z[i] += g - (np.sqrt(squared) - np.sqrt(n[i])) / p.alpha * w
             n[i] = squared
             v[i] += max(q * (1 - q), least)
     w = weight(np.arange(len(active) + 1))
+    w[0] += base
     some = np.flatnonzero(w[1:]) + 1
     return np.concatenate([[-1], active[some - 1].astype(np.int64)]), np.concatenate([w[:1], w[some]])
 

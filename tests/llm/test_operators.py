@@ -106,7 +106,7 @@ def test_toxicity_against_plain_ftrl():
     texts = [" ".join(rng.choice([f"w{i}" for i in range(80)] + ["vile", "foul"] * (k % 5 == 0) * 8, 25)) for k in range(120)]
     examples = [(np.unique(of(t)), int(k % 5 == 0)) for k, t in enumerate(texts)]
     prior = sum(y for _, y in examples) / len(examples)
-    z, n, v = {}, {}, {}
+    z, n, v, base = {}, {}, {}, np.log(prior / (1 - prior))
 
     def weight(i):
         strength = 0 if i < 0 else p.epochs + p.l1 * sqrt(p.epochs * v.get(i, 0))
@@ -117,12 +117,12 @@ def test_toxicity_against_plain_ftrl():
         for features, y in examples:
             at = [-1, *features.tolist()]
             w = [weight(i) for i in at]
-            q = 1 / (1 + exp(-sum(w)))
+            q = 1 / (1 + exp(-sum(w) - base))
             for i, x in zip(at, w):
                 rate = (sqrt(n.get(i, 0) + (q - y) ** 2) - sqrt(n.get(i, 0))) / p.alpha
                 z[i], n[i] = z.get(i, 0) + (q - y) - rate * x, n.get(i, 0) + (q - y) ** 2
                 v[i] = v.get(i, 0) + max(q * (1 - q), prior * (1 - prior))
-    want = {i: w for i in z if (w := weight(i)) or i < 0}
+    want = {i: w + base * (i < 0) for i in z if (w := weight(i)) or i < 0}
     i, w = toxicity.train(examples, p)
     assert 2 < len(want) < 100 and set(i.tolist()) == set(want) and all(abs(want[a] - b) < 1e-9 for a, b in zip(i.tolist(), w.tolist()))
 
