@@ -6,12 +6,14 @@ batches of rows ``ids: fixed_size_list<uint>[length]`` and ``mask:
 fixed_size_list<bool>[length]``, the documents' ids one after another, each with
 an end id, the last row padded under a false mask; and beside it an index file
 (doc_id, start, n_tokens) in document order. ``sequences`` maps such a file and
-gives row i as views of the mapped memory. A file gets its name when it is
-whole, so a task that runs again after an executor is lost replaces it.
+gives row i as views of the mapped memory, ids as numbers and the mask as an
+Arrow array of bits. A file gets its name when it is whole, so a task that runs
+again after an executor is lost replaces it. Tasks are dealt by the bytes of the
+texts, and a task begins another file when one holds ``file_ids`` ids.
 
 Defined results: null and empty texts are the end id alone; null doc_ids come
-first; rows that repeat a doc_id are ordered by text; an empty table has no
-sequences. Only the named columns are read, so other columns may have any name.
+first; rows that repeat a doc_id are ordered by a hash of the text and then by it; an
+empty table has no sequences. Only the named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import filesystem, replace
 from .common import arrow_map, arrow_schema, batch_of, id_and_text, scratch_path, slices
 from .pretokens import pretokenizer
 
@@ -37,8 +39,11 @@ class Layout:
     length: int = 1024
     rows_per_batch: int = 256
     end_id: int = 0
-    #: Documents of a file, about; files are then tasks.
-    rows_per_file: int = 10_000
+    #: Bytes of text of a task, about, and documents at most, about.
+    task_bytes: int = 24 << 20
+    task_rows: int = 10_000
+    #: Ids of a file, but for the end of its last document.
+    file_ids: int = 1 << 26
 
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -48,15 +53,11 @@ def sequence_schema(dtype: np.dtype, length: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))], metadata={"length": str(length)})
 
 
-def _fs(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
-
-
 class Writer:
     """Buffers ids up to a batch of rows; writes under a temporary name and renames when closed."""
 
     def __init__(self, folder: str, name: str, dtype: np.dtype, layout: Layout):
-        self.fs, at = _fs(folder)
+        self.fs, at = filesystem(folder)
         self.fs.create_dir(at, recursive=True)
         self.final, self.temporary = f"{at}/{name}", f"{at}/.{name}.{uuid.uuid4().hex}"
         self.layout, self.dtype = layout, dtype
@@ -95,16 +96,19 @@ class Writer:
         self.out.close()
         with self.fs.open_output_stream(f"{self.temporary}.index") as out, pa.ipc.new_file(out, INDEX) as file:
             file.write_table(pa.table([list(x) for x in zip(*self.index, strict=True)] or [[]] * 3, schema=INDEX))
-        self.fs.move(f"{self.temporary}.index", f"{self.final}.index")
-        self.fs.move(self.temporary, self.final)
+        replace(self.fs, f"{self.temporary}.index", f"{self.final}.index")
+        replace(self.fs, self.temporary, self.final)
 
 
 class sequences:  # noqa: N801
-    """Random access to a file's rows: ``sequences(uri)[i]`` is (ids, mask), ids a view of the mapped file where it is local."""
+    """Random access to a file's rows: ``sequences(uri)[i]`` is (ids, mask), both views of the mapped file where it is local.
+
+    The mask is an Arrow array of bits; ``to_numpy(False)`` makes bytes of it.
+    """
 
     def __init__(self, uri: str):
-        fs, at = _fs(uri)
-        self.source = pa.memory_map(at) if isinstance(fs, pa.fs.LocalFileSystem) else fs.open_input_file(at)
+        fs, at = filesystem(uri)
+        self.source = pa.memory_map(at) if fs.type_name == "local" else fs.open_input_file(at)
         self.file = pa.ipc.open_file(self.source)
         self.length = int(self.file.schema.metadata[b"length"])
         self.per = self.file.get_batch(0).num_rows if self.file.num_record_batches else 1
@@ -118,10 +122,10 @@ class sequences:  # noqa: N801
     def _row(self, i: int) -> tuple[pa.RecordBatch, int]:
         return self.file.get_batch(i // self.per), i % self.per
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         batch, at = self._row(i)
         ids = batch["ids"].values.to_numpy(zero_copy_only=True)[at * self.length : (at + 1) * self.length]
-        return ids, batch["mask"].values.slice(at * self.length, self.length).to_numpy(zero_copy_only=False)
+        return ids, batch["mask"].values.slice(at * self.length, self.length)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from position ``start`` of the file on, across rows and batches."""
@@ -139,22 +143,29 @@ class sequences:  # noqa: N801
 def write(docs: DataFrame, path: str, folder: str, layout: Layout = Layout()) -> list[tuple[str, int, int]]:
     """Write the files; their names in document order, with documents and ids. The list has a row a file."""
     texts = id_and_text(docs)
-    files = max(1, -(-texts.count() // layout.rows_per_file))
+    size = texts.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    tasks = max(1, -(-size["bytes"] // layout.task_bytes), -(-size["rows"] // layout.task_rows))
     out = arrow_schema(part=pa.int32(), name=pa.string(), docs=pa.int64(), ids=pa.int64())
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, writer, part = pretokenizer(path), None, TaskContext.get().partitionId()
+        tok, writer, part, k = pretokenizer(path), None, TaskContext.get().partitionId(), 0
         end = np.array([layout.end_id], tok.dtype).tobytes()
-        name = f"part-{part:06d}.arrow"
         for b in slices(batches):
             for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                writer = writer or Writer(folder, name, tok.dtype, layout)
+                if writer is None:
+                    name, k = f"part-{part:06d}-{k:04d}.arrow", k + 1
+                    writer = Writer(folder, name, tok.dtype, layout)
                 writer.add(doc_id, tok.ids(text) + end)
+                if writer.total >= layout.file_ids:
+                    writer.close()
+                    yield batch_of(out, [part], [name], [len(writer.index)], [writer.total])
+                    writer = None
         if writer:
             writer.close()
             yield batch_of(out, [part], [name], [len(writer.index)], [writer.total])
 
-    ranged = texts.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ranged = texts.repartitionByRange(tasks, *by).sortWithinPartitions(*by, "text")
     made = arrow_map(ranged, packed, "part int, name string, docs long, ids long").collect()
     return [(r["name"], r["docs"], r["ids"]) for r in sorted(made)]
 
