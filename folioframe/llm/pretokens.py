@@ -2,7 +2,8 @@
 
 The library parts a text by a fixed pattern and codes each pre-token alone, so
 each distinct pre-token needs coding once. The pattern is restated over the
-categories of assigned characters in the basic plane; a text with any other
+categories of assigned characters, in one form for texts of the basic plane and
+in a slower one for texts with characters beyond it; a text with an unassigned
 character, or a tokenizer of another kind, goes to the library whole.
 """
 
@@ -22,14 +23,15 @@ from tokenizers import Tokenizer
 REMEMBERED = 400_000
 
 
-def _ranges(which: Callable[[str], bool]) -> str:
+def _ranges(which: Callable[[str], bool], end: int) -> str:
+    """A class of the characters below ``end``, as ranges."""
     out, start = [], None
-    for i in range(0x10001):
-        inside = i < 0x10000 and not 0xD800 <= i < 0xE000 and which(chr(i))
+    for i in range(end + 1):
+        inside = i < end and not 0xD800 <= i < 0xE000 and which(chr(i))
         if inside and start is None:
             start = i
         elif not inside and start is not None:
-            out.append(f"\\u{start:04x}-\\u{i - 1:04x}")
+            out.append(f"\\U{start:08x}-\\U{i - 1:08x}")
             start = None
     return "".join(out)
 
@@ -39,12 +41,23 @@ _SPACE = "\t\n\x0b\x0c\r \x85\xa0     　" + "".join(map(chr, range(0x
 
 
 @functools.cache
-def pattern() -> re.Pattern:
+def pattern(end: int = 0x10000) -> re.Pattern:
+    """The library's pattern over the characters below ``end``; any other character is a match of its own."""
     kind = unicodedata.category
-    letter, number = _ranges(lambda c: kind(c)[0] == "L"), _ranges(lambda c: kind(c)[0] == "N")
-    space = _ranges(lambda c: c in _SPACE)
-    other = _ranges(lambda c: kind(c)[0] not in "LN" and c not in _SPACE and kind(c) != "Cn")
-    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[{other}]+|[{space}]+(?![^{space}])|[{space}]+|[^{space}{letter}{number}{other}]", re.DOTALL)
+    letter, number = _ranges(lambda c: kind(c)[0] == "L", end), _ranges(lambda c: kind(c)[0] == "N", end)
+    space = _ranges(lambda c: c in _SPACE, end)
+    other = _ranges(lambda c: kind(c)[0] not in "LN" and c not in _SPACE and kind(c) != "Cn", end)
+    words = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[{other}]+"
+    return re.compile(rf"{words}|[{space}]+(?![^{space}])|[{space}]+|[^{space}{letter}{number}{other}]", re.DOTALL)
+
+
+#: Characters beyond the basic plane.
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]").search
+
+
+def found(text: str) -> list[str]:
+    """Pre-tokens of a text."""
+    return (pattern() if text.isascii() or not _ASTRAL(text) else pattern(0x110000)).findall(text)
 
 
 class Whole(Exception):
@@ -67,7 +80,7 @@ class Pretokenizer:
         self.special = {a["content"]: a["id"] for a in added}
         self.split = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.find = pattern().findall
+        self.find = found
         self.remembered: dict[str, bytes] = {}
         chars = bytes(range(33, 127)) + bytes(range(161, 173)) + bytes(range(174, 256))
         rest = [b for b in range(256) if b not in chars]
@@ -76,7 +89,7 @@ class Pretokenizer:
 
     def code(self, piece: str) -> bytes:
         """Ids of one pre-token, coded by the library's model."""
-        if len(piece) == 1 and (piece > "￿" or unicodedata.category(piece) in ("Cn", "Cs")):
+        if len(piece) == 1 and unicodedata.category(piece) in ("Cn", "Cs"):
             raise Whole
         coded = self.library.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.letters))
         return np.array([t.id for t in coded], self.dtype).tobytes()
@@ -101,16 +114,16 @@ class Pretokenizer:
 
     def _ids(self, text: str) -> bytes:
         known = self.remembered
-        found = self.find(text)
+        pieces = self.find(text)
         try:
-            return b"".join(map(known.__getitem__, found))
+            return b"".join(map(known.__getitem__, pieces))
         except KeyError:
             pass
         if len(known) > REMEMBERED:
             known.clear()
-        for piece in set(found).difference(known):
+        for piece in set(pieces).difference(known):
             known[sys.intern(piece) if len(piece) < 32 else piece] = self.code(piece)
-        return b"".join(map(known.__getitem__, found))
+        return b"".join(map(known.__getitem__, pieces))
 
 
 @functools.lru_cache(4)
