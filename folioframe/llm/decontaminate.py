@@ -75,31 +75,44 @@ class Hasher:
         return mixed * _MIX
 
 
+@dataclass(frozen=True)
+class Partition:
+    """Sketches of the items of one size class: hashes in order, whose items they are, and the fewest shingles a document needs."""
+
+    least: int
+    keys: np.ndarray
+    owners: np.ndarray
+
+
 class Index:
-    """Sketches of one block of items."""
+    """Sketches of one block of items, in partitions by size."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], p: Containment):
         hasher = Hasher(p.words)
         self.items, short = [], set()
-        keys, owners = [], []
+        parts: dict[int, list[tuple[np.ndarray, int, int]]] = defaultdict(list)
         for item_id, text in items:
             words = words_of(text)
             if not (own := shingles(words, p.words)):
                 continue
-            largest = (1 << len(own).bit_length()) - 1
-            need = -(-len(own) * p.threshold // 1)
+            size = len(own).bit_length()
+            largest = (1 << size) - 1
+            need = int(-(-len(own) * p.threshold // 1))
             sketch = np.unique(hasher(words))[: largest - int(np.ceil(largest * p.threshold - 1e-9)) + 1]
-            keys.append(sketch)
-            owners.append(np.full(len(sketch), len(self.items)))
-            self.items.append((item_id, own, int(need)))
+            parts[size].append((sketch, len(self.items), need))
+            self.items.append((item_id, own, need))
             short |= {len(words)} & set(range(1, p.words))
-        keys, owners = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (keys, owners))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owners = keys[order], owners[order].astype(np.int64)
         self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(self.keys >> np.uint64(48)).astype(np.int64)] = True
+        self.partitions = [self._partition(found) for _, found in sorted(parts.items())]
         self.p, self.hashers = p, [Hasher(n, hasher.known) for n in (*sorted(short), p.words)]
 
+    def _partition(self, found: list[tuple[np.ndarray, int, int]]) -> Partition:
+        keys = np.concatenate([sketch for sketch, *_ in found])
+        owners = np.repeat([item for _, item, _ in found], [len(sketch) for sketch, *_ in found])
+        order = np.argsort(keys, kind="stable")
+        self.maybe[(keys >> np.uint64(48)).astype(np.int64)] = True
+        return Partition(min(need for *_, need in found), keys[order], owners[order].astype(np.int64))
+
     def found(self, words: list[bytes]) -> Iterator[tuple[int | None, int, int]]:
         """(item_id, shingles wanted, shingles shared) of every item contained; n-word shingles for items of n words."""
         for hasher in self.hashers if len(words) >= self.p.words else self.hashers[-1:]:
@@ -111,10 +124,18 @@ class Index:
                         yield item_id, len(wanted), n
 
     def search(self, hashes: np.ndarray) -> set[int]:
-        """Items of which some sketch hash is among ``hashes``."""
-        h = np.unique(hashes[self.maybe[(hashes >> np.uint64(48)).astype(np.int64)]])
-        a, z = np.searchsorted(self.keys, h, "left"), np.searchsorted(self.keys, h, "right")
-        return {int(o) for i, j in zip(a, z, strict=True) if j > i for o in self.owners[i:j]}
+        """Items of which some sketch hash is among ``hashes``; a document of fewer shingles than a partition needs skips it."""
+        h, out = np.unique(hashes[self.maybe[(hashes >> np.uint64(48)).astype(np.int64)]]), set()
+        if not len(h):
+            return out
+        for part in self.partitions:
+            if part.least > len(hashes):
+                break
+            a, z = np.searchsorted(part.keys, h, "left"), np.searchsorted(part.keys, h, "right")
+            hit = np.flatnonzero(z > a)
+            for i, j in zip(a[hit].tolist(), z[hit].tolist(), strict=True):
+                out.update(part.owners[i:j].tolist())
+        return out
 
 
 def _blocks(items: DataFrame, p: Containment) -> Iterator[Broadcast]:

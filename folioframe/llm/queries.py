@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
 from . import decontaminate, embedding, language, licences, packing, secrets, sentencepiece_codec, simhash, token_counts, toxicity
-from .licence_texts import KNOWN
+from .licence_texts import KNOWN, full_texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +35,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.findings(table(spark, sf_dir, "documents")))
+    return secrets.digest(secrets.scanned(table(spark, sf_dir, "documents"), scratch_path(spark, "secrets-ledger")))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,15 +67,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _WORDS = r"list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '')"
-_SHINGLES = "list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END)"
+_SHINGLES = "list_distinct(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i+{m}], ' ')))".format
+_FIVE = f"CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE {_SHINGLES(n=5, m=4)} END"
 
+#: Five-word shingles, and for items of n < 5 words the n-word shingles of documents of five words or more.
 DECONTAMINATION_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
      i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-     ds AS (SELECT doc_id, unnest({_SHINGLES}) AS s FROM d),
-     isz AS (SELECT item_id, {_SHINGLES} AS l FROM i),
-     ish AS (SELECT item_id, unnest(l) AS s FROM isz),
-     m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN ish USING (s) GROUP BY ALL)
+     ds AS (SELECT doc_id, 5 AS n, unnest({_FIVE}) AS s FROM d
+            {"".join(f" UNION ALL SELECT doc_id, {n}, unnest({_SHINGLES(n=n, m=n - 1)}) FROM d WHERE len(w) >= 5 AND {n} IN (SELECT len(w) FROM i)" for n in (1, 2, 3, 4))}),
+     isz AS (SELECT item_id, w, {_FIVE} AS l FROM i),
+     ish AS (SELECT item_id, 5 AS n, unnest(l) AS s FROM isz UNION ALL SELECT item_id, len(w), array_to_string(w, ' ') FROM i WHERE len(w) BETWEEN 1 AND 4),
+     m AS (SELECT doc_id, item_id, count(DISTINCT s) AS n_shared FROM ds JOIN ish USING (n, s) GROUP BY ALL)
 SELECT m.doc_id, m.item_id, CAST(len(l) AS BIGINT) AS n_shingles, CAST(n_shared AS BIGINT) AS n_shared, n_shared / len(l) AS containment
 FROM m JOIN isz USING (item_id) WHERE n_shared >= 0.8 * len(l)
 """
@@ -122,7 +126,8 @@ SELECT vec_id, coalesce(any_value(n_links), 0) AS n_links, min(c) AS component_i
 def _canonical(text: str) -> str:
     lines = f"regexp_split_to_array(coalesce({text}, ''), '\\r\\n|\\n|\\r')"
     words = f"trim(regexp_replace(replace(lower(x), '{licences.MARKS}', ' c '), '{licences.PUNCTUATION}', ' ', 'g'))"
-    return f"list_filter(list_transform({lines}, lambda x: {words}), lambda x: x <> '' AND NOT regexp_matches(x, '{licences.COPYRIGHT_LINE}'))"
+    holder = f"(regexp_matches(x, '{licences.COPYRIGHT_LINE}') AND NOT regexp_matches(x, '{licences.BODY_LINE}'))"
+    return f"list_filter(list_transform({lines}, lambda x: {words}), lambda x: x <> '' AND NOT {holder})"
 
 
 def _respelled(words: str) -> str:
@@ -133,14 +138,15 @@ def _respelled(words: str) -> str:
 
 
 def licences_sql() -> str:
-    quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in KNOWN)
+    """Documents are made canonical in SQL; the digests of all known texts are those that plain Python gives."""
+    digests = {(name, licences.plain_digest(text)[0]) for name, text in KNOWN + full_texts()}
+    known = ", ".join(f"('{name}', '{digest}')" for name, digest in sorted(digests))
     return f"""
-WITH k AS (SELECT sha256({_respelled("array_to_string(" + _canonical("text") + ", ' ')")}) AS digest, min(licence) AS licence FROM (VALUES {known}) AS v(licence, text) GROUP BY 1),
+WITH k AS (SELECT digest, min(licence) AS licence FROM (VALUES {known}) AS v(licence, digest) GROUP BY 1),
      l AS (SELECT doc_id, {_canonical("text")} AS lines FROM documents),
      w AS (SELECT doc_id, sha256({_respelled("array_to_string(lines, ' ')")}) AS digest FROM l),
      n AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices
-           FROM (SELECT doc_id, unnest(lines) AS x FROM l) JOIN k ON length(x) <= 200 AND sha256({_respelled("x")}) = k.digest GROUP BY doc_id)
+           FROM (SELECT doc_id, unnest(lines) AS x FROM l) JOIN k ON sha256({_respelled("x")}) = k.digest GROUP BY doc_id)
 SELECT w.doc_id, w.digest, k.licence, coalesce(n.notices, '') AS notices FROM w LEFT JOIN k USING (digest) LEFT JOIN n ON n.doc_id = w.doc_id
 """
 

@@ -76,7 +76,8 @@ def rule_spans(text: Column, rule: Rule) -> Column:
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``found``, findings of all rules by start and then by the rules' order, beside the blobs' other columns."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
-    ranked = F.transform(F.concat(*[rule_spans(F.col("text"), r) for r in rules]), lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    placed = lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
+    ranked = F.transform(F.concat(*[rule_spans(F.col("text"), r) for r in rules]), placed)
     return blobs.withColumn("found", F.array_sort(ranked))
 
 
@@ -86,28 +87,43 @@ def versions_of(docs: DataFrame, path_col: str = "doc_id", text_col: str = "text
     return rows.withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
 
 
-def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION) -> DataFrame:
-    """The ledger (blob, rules_version, found) with every blob of ``versions``; only unseen pairs are scanned, and only they are written.
+def scan_unseen(
+    versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION
+) -> DataFrame:
+    """(blob, rules_version, found) of every blob that the ledger does not hold under the rule version, written.
 
     Copies meet after each task has dropped its own, and a blob's findings, not
-    its text, are what is written. What the ledger held is not rewritten.
+    its text, are what is written.
     """
     unseen = versions
     if ledger is not None:
         done = ledger.filter(F.col("rules_version") == rules_version).select(F.col("blob").alias("done"))
         unseen = versions.join(done, versions["blob"] == done["done"], "left_anti")
     blobs = unseen.groupBy("blob").agg(F.first("text").alias("text"))
-    fresh = written(scan(blobs, rules).select("blob", F.lit(rules_version).alias("rules_version"), "found"), "ledger")
+    return written(scan(blobs, rules).select("blob", F.lit(rules_version).alias("rules_version"), "found"), "ledger")
+
+
+def update_ledger(
+    versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION
+) -> DataFrame:
+    """The ledger with every blob of ``versions``; only unseen pairs are scanned, what the ledger held is not rewritten."""
+    fresh = scan_unseen(versions, ledger, rules, rules_version)
     return fresh if ledger is None else ledger.select(fresh.columns).unionAll(fresh)
 
 
 def findings(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """(doc_id, found) of every row, through the ledger."""
+    """(doc_id, found) of every row, through a ledger given as a table; see ``scanned`` for one that is kept."""
     versions = versions_of(docs)
-    seen = update_ledger(versions, ledger).filter(F.col("rules_version") == RULES_VERSION).filter(F.size("found") > 0).select(F.col("blob").alias("seen"), "found")
+    return _to_paths(versions, update_ledger(versions, ledger))
+
+
+def _to_paths(versions: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Findings joined back to every path of their blob."""
+    seen = ledger.filter((F.col("rules_version") == RULES_VERSION) & (F.size("found") > 0)).select(F.col("blob").alias("seen"), "found")
     paths = versions.select("doc_id", "blob")
     none = F.array().cast(seen.schema["found"].dataType)
-    return paths.join(seen, paths["blob"] == seen["seen"], "left").select("doc_id", F.coalesce("found", none).alias("found"))
+    joined = paths.join(seen, paths["blob"] == seen["seen"], "left")
+    return joined.select("doc_id", F.coalesce("found", none).alias("found"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -116,31 +132,45 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *[count(r.kind) for r in RULES], F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def scanned(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, found) of every row, through the ledger kept at ``path``: what it holds is read, what was unseen is added to it.
+
+    A second run over the same texts scans nothing. New rows are written whole
+    before they are added, so a run that fails half-way leaves them unseen.
+    """
+    spark = docs.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    held = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    versions = versions_of(docs)
+    scan_unseen(versions, spark.read.parquet(path) if held else None).write.mode("append").parquet(path)
+    return _to_paths(versions, spark.read.parquet(path))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """All rows and columns, each finding in ``text`` replaced by its kind in brackets; of findings that overlap, the union goes.
 
-    ``n_chars``, where there is one, is counted anew.
+    ``n_chars``, where there is one, is counted anew. The rows' own columns
+    travel as one struct, so they may have any name.
     """
-    found = update_ledger(versions_of(docs)).filter(F.size("found") > 0).select(F.col("blob").alias("seen_blob"), F.col("found").alias("seen_found"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("own_blob", F.sha2(text.cast("binary"), 256))
-    joined = rows.join(found, rows["own_blob"] == found["seen_blob"], "left")
+    found = update_ledger(versions_of(docs)).filter(F.size("found") > 0).select(F.col("blob").alias("seen"), "found")
+    own = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    joined = docs.select(own.alias("own"), F.struct("*").alias("row")).join(found, F.col("own") == F.col("seen"), "left")
+    text, changed = F.col("row").getField("text"), F.col("found").isNotNull()
 
     def cut(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+        piece = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))
+        out = F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("seen_found", start, cut, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    changed = F.col("seen_found").isNotNull()
-    names = {c.lower(): c for c in docs.columns}
+    clean = F.aggregate("found", start, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     columns = []
     for c in docs.columns:
+        value = F.col("row").getField(c)
         if c == "text":
-            columns.append(F.when(changed, clean).otherwise(F.col("text")).alias("text"))
-        elif c.lower() == "n_chars" and "n_chars" in names:
-            columns.append(F.when(changed, F.length(clean).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
-        else:
-            columns.append(F.col(c))
+            value = F.when(changed, clean).otherwise(value)
+        elif c == "n_chars":
+            value = F.when(changed, F.length(clean).cast(docs.schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
     return joined.select(*columns)
