@@ -151,10 +151,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group, all columns kept: that with the group's smallest id.
 
     Rows are known by id and text, so an id that texts of several groups share
-    costs no group its row; of equal rows one stays.
+    costs no group its row; of rows of equal id and text one stays, the first by
+    its JSON form. Which rows stay is decided on ids and hashes alone; whole rows
+    are shuffled once, and compared only where a row that stays is there twice.
+    The rows' own columns travel as one struct, so they may have any name.
     """
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sign")).alias("first")
-    kept = near_duplicates(docs).groupBy("component").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.sign").alias("kept_sign"))
-    rows = docs.withColumn("__sign", F.xxhash64(F.col("text").cast("string")))
-    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & rows["__sign"].eqNullSafe(kept["kept_sign"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__sign"]).drop("__sign")
+    found = written(near_duplicates(docs).select("doc_id", "sign", "component"), "named-rows")
+    kept = found.groupBy("component").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.sign").alias("kept_sign"))
+    kept = written(kept.distinct(), "kept")
+    key = [F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(F.col("text").cast("string")).alias("own_sign")]
+    rows = docs.select(*key, F.struct("*").alias("row"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_sign") == F.col("kept_sign"))
+    stay = rows.join(kept, same, "left_semi")
+    copies = found.groupBy("doc_id", "sign").agg(F.count("*").alias("n")).filter("n > 1")
+    at = F.col("kept_id").eqNullSafe(F.col("doc_id")) & (F.col("kept_sign") == F.col("sign"))
+    repeated = written(kept.join(copies, at, "left_semi"), "repeated")
+    if repeated.isEmpty():
+        return stay.select("row.*")
+    once = stay.join(repeated, same, "left_anti").select("row")
+    one = stay.join(repeated, same, "left_semi").groupBy("own_id", "own_sign").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.unionAll(one.select("row")).select("row.*")
