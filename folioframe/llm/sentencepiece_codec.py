@@ -22,6 +22,7 @@ import functools
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +56,8 @@ class Pieces:
         self.bytes = {int(p.piece[3:-1], 16): i for i, p in enumerate(model.pieces) if p.type == proto.ModelProto.SentencePiece.BYTE}
         self.text = [p.piece if p.type == proto.ModelProto.SentencePiece.NORMAL else "" for p in model.pieces]
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        if max(len(p) for p, *_ in normal) > 255:
+            raise ValueError("pieces of over 255 characters")
         if len(self.bytes) != 256 or any(SPACE in p.lstrip(SPACE) for p, *_ in normal):
             raise ValueError("pieces must have byte fallback and spaces only in front")
         single = sorted((ord(p), i) for p, i, _ in normal if len(p) == 1)
@@ -66,16 +69,32 @@ class Pieces:
         self.length = np.array([len(p) for p, *_ in longer])
         self.score = np.full(len(model.pieces) + 1, -np.inf)
         self.score[self.id] = [s for *_, s in longer]
+        # the order of merges: pieces of equal score share a rank
+        self.rank = np.searchsorted(np.unique(-self.score[self.id]), -self.score)
         self.chars = np.zeros((len(longer), self.longest), np.int64)
         for row, (p, *_) in enumerate(longer):
             self.chars[row, : len(p)] = [ord(c) for c in p]
 
     def edges(self, chars: np.ndarray) -> np.ndarray:
-        """table[i, n]: the piece of n characters that starts at i, or -1.
+        """table[i, n]: the piece of n characters that starts at i, or -1: all edges by position.
 
-        Characters are numbered within the batch, so that as many as possible
-        share a 64-bit sort key; pieces with a character that the batch lacks
-        are not searched for.
+        A long text is indexed stretch by stretch, each with as many characters
+        more as a piece can have, so one long cut needs no more than the table.
+        """
+        if len(chars) <= INDEXED:
+            return self._edges(chars)
+        parts = (self._edges(chars[a : a + INDEXED + self.longest])[:INDEXED] for a in range(0, len(chars), INDEXED))
+        table = np.empty((len(chars), self.longest + 1), np.int32)
+        for k, part in enumerate(parts):
+            table[k * INDEXED : k * INDEXED + len(part)] = part
+        return table
+
+    def _edges(self, chars: np.ndarray) -> np.ndarray:
+        """The table of one stretch.
+
+        Characters are numbered within it, so that as many as possible share a
+        64-bit sort key; pieces with a character that it lacks are not searched
+        for.
         """
         n, alphabet = len(chars), np.unique(chars[chars > 0])
         bits = (len(alphabet) + 2).bit_length()
@@ -219,29 +238,35 @@ class Codec:
             symbols[at[some]] = size[some]
 
     def _agenda(self, table: np.ndarray, start: int, n: int, symbols: np.ndarray) -> None:
-        """Relax one long cut with a queue of the edges that join neighbours."""
-        p = self.pieces
-        size, before = [1] * n, list(range(-1, n - 1))
-        queue: list[tuple[float, int, int]] = []
+        """Relax one long cut with a queue of the edges that join neighbours: the best-ranked, then leftmost, first.
+
+        A queued edge is one number, rank then place then length, and symbols
+        are arrays, so that a cut of a million characters stays small.
+        """
+        p, at, item = self.pieces, start, table.item
+        rank, longest = p.rank.tolist(), p.longest
+        size, before = array("i", [1]) * n, array("q", range(-1, n - 1))
 
-        def offer(i: int) -> None:
+        def edge(i: int) -> int:
             j = i + size[i]
-            if i >= 0 and j < n and (k := size[i] + size[j]) <= p.longest and (piece := table[start + i, k]) >= 0:
-                heapq.heappush(queue, (-p.score[piece], i, k))
+            if j < n and (k := size[i] + size[j]) <= longest and (piece := item(at + i, k)) >= 0:
+                return rank[piece] << 48 | i << 8 | k
+            return -1
 
-        for i in range(n - 1):
-            offer(i)
+        queue = [e for i in range(n - 1) if (e := edge(i)) >= 0]
+        heapq.heapify(queue)
         while queue:
-            _, i, k = heapq.heappop(queue)
+            e = heapq.heappop(queue)
+            i, k = e >> 8 & (1 << 40) - 1, e & 255
             j = i + size[i] if size[i] else n
             if not size[i] or j >= n or size[i] + size[j] != k:
                 continue
             size[i], size[j] = k, 0
             if i + k < n:
                 before[i + k] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
+            for left in (i, before[i]):
+                if left >= 0 and (e := edge(left)) >= 0:
+                    heapq.heappush(queue, e)
         symbols[start : start + n] = size
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

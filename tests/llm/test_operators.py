@@ -586,3 +586,25 @@ def test_sentencepiece_random():
     for _ in range(800):
         ids = [r.randrange(3, 300) if r.random() < 0.6 else r.randrange(3, 32000) for _ in range(r.randrange(1, 9))]
         assert sp.decode(ids) == c.decode(np.array(ids))
+
+
+def test_sentencepiece_long_cut(monkeypatch):
+    """One cut over several stretches of the index, and one of a million characters, within bounded memory."""
+    import random
+    import tracemalloc
+
+    import sentencepiece
+
+    sp, r, c = sentencepiece.SentencePieceProcessor(model_file=SP), random.Random(8), sentencepiece_codec.Codec(SP)
+    base = "abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/"
+    monkeypatch.setattr(sentencepiece_codec, "INDEXED", 1000)
+    texts = ["".join(r.choice(base) for _ in range(7001)), "internationalisation" * 300, "日本語テキスト" * 500]
+    for t, ids in zip(texts, c.encode(texts), strict=True):
+        assert sp.encode(t) == np.frombuffer(ids, "<i4").tolist()
+    monkeypatch.undo()
+    text = "".join(r.choice(base) for _ in range(1_000_000))
+    tracemalloc.start()
+    ids = sentencepiece_codec.Codec(SP).encode([text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == 4 * len(sp.encode(text)) and peak < 400e6
