@@ -43,6 +43,27 @@ _ISC_DISCLAIMER = (
     "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 )
 
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+    "arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial "
+    "applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not "
+    "be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+    "product documentation would be appreciated but is not required.\n\n2. Altered source versions must be plainly marked as such, and must not "
+    "be misrepresented as being the original software.\n\n3. This notice may not be removed or altered from any source distribution."
+)
+_BOOST = (
+    "Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted, free of charge, to any person or organization "
+    'obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, '
+    "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+    "Software is furnished to do so, all subject to the following:\n\nThe copyright notices in the Software and this entire statement, including "
+    "the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, "
+    "and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code "
+    'generated by a source language processor.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING '
+    "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, "
+    "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+
 #: (licence, text): whole licences, and notices that stand for one.
 KNOWN: tuple[tuple[str, str], ...] = (
     ("MIT", _MIT_BODY),
@@ -59,6 +80,9 @@ KNOWN: tuple[tuple[str, str], ...] = (
     ("ISC", f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.\n\n{_ISC_DISCLAIMER}"),
     ("ISC", f"ISC License\n\n{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.\n\n{_ISC_DISCLAIMER}"),
     ("0BSD", f"{_ISC_GRANT}.\n\n{_ISC_DISCLAIMER}"),
+    ("Zlib", _ZLIB),
+    ("Zlib", f"zlib License\n\n{_ZLIB}"),
+    ("BSL-1.0", _BOOST),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     (

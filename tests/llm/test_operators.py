@@ -152,8 +152,9 @@ def test_containment_is_exact(spark, docs, plain, sf_dir):
     assert got == decontaminate.brute_force(list(zip(plain.doc_id, plain.text)), listed) and got
     small = decontaminate.Containment(block_items=7)
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contained(docs, items, small).collect()} == got
-    kept = {r[0] for r in decontaminate.drop_contaminated(docs, items).select("doc_id").collect()}
-    assert kept == set(plain.doc_id) - {d for d, _ in got}
+    for q in (decontaminate.Containment(), small):
+        kept = {r[0] for r in decontaminate.drop_contaminated(docs, items, q).select("doc_id").collect()}
+        assert kept == set(plain.doc_id) - {d for d, _ in got}
 
 
 @pytest.mark.parametrize("n,missing,found", [(20, 3, True), (20, 4, True), (20, 5, False), (7, 1, True), (7, 2, False), (60, 12, True), (60, 13, False)])
@@ -169,9 +170,12 @@ def test_containment_threshold(spark, n, missing, found):
 
 def test_containment_odd(spark, odd, empty):
     items = spark.createDataFrame([(1, "quick brown"), (2, None), (3, ""), (None, "The quick brown fox"), (4, "no id here"), (4, "no id here")], "item_id long, text string")
-    got = sorted(((r["doc_id"], r["item_id"]) for r in decontaminate.contained(odd, items).collect()), key=str)
-    assert got == sorted([(1, None), (1, None), (8, None), (None, 4), (None, 4)], key=str)
-    assert decontaminate.contained(empty, items).count() == 0 and decontaminate.contained(odd, items.filter(F.lit(False))).count() == 0
+    joins = decontaminate.Containment(block_items=0, bitmap_bits=1 << 15)
+    for q in (decontaminate.Containment(), joins):
+        got = sorted(((r["doc_id"], r["item_id"]) for r in decontaminate.contained(odd, items, q).collect()), key=str)
+        assert got == sorted([(1, None), (1, None), (8, None), (None, 4), (None, 4)], key=str)
+        assert decontaminate.contained(empty, items, q).count() == 0 and decontaminate.contained(odd, items.filter(F.lit(False)), q).count() == 0
+        assert decontaminate.drop_contaminated(odd, items, q).count() == len(ROWS) - 4 and decontaminate.drop_contaminated(odd, items, q).columns == odd.columns
 
 
 def test_containment_short_items(spark):
@@ -179,7 +183,8 @@ def test_containment_short_items(spark):
     items = {1: "quick brown", 2: "the quick brown fox", 3: "fox", 4: "brown quick the", 5: "two four", 6: "one two three four five", 7: "x"}
     docs, rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
     want = {(1, 1): 1, (1, 2): 1, (1, 3): 1, (2, 3): 1, (2, 4): 1, (3, 1): 1, (4, 3): 1, (5, 6): 1}
-    assert {(r["doc_id"], r["item_id"]): r["n_shared"] for r in decontaminate.contained(docs, rows).collect()} == want
+    for q in (decontaminate.Containment(), decontaminate.Containment(block_items=2)):
+        assert {(r["doc_id"], r["item_id"]): r["n_shared"] for r in decontaminate.contained(docs, rows, q).collect()} == want
     assert {r[0] for r in decontaminate.drop_contaminated(docs, rows.filter("item_id in (1, 2, 5)")).select("doc_id").collect()} == {2, 4, 5}
 
 
