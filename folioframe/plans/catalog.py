@@ -17,7 +17,7 @@ from ..operators import anchors, assets, batch, chunks, order, render, sequence,
 from ..session import scratch_path
 from ..sources import pdf
 from ..streaming import queue
-from . import package_queries  # noqa: F401
+from . import convert, package_queries  # noqa: F401
 from .registry import QUERIES, SQL, Query, query, t
 
 # --- styles: usage, rules, policies, overlays
@@ -287,6 +287,9 @@ def strip_header_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "benchmark").select("item_id", F.array_join(X.strip_header(w, header), " ").alias("anchor"))
 
 
+_MD = "replace(replace(replace(text, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;')"
+
+
 # --- sequences
 
 _RUNS = """r AS (SELECT *, CASE WHEN lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS c FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
@@ -334,6 +337,35 @@ def admonition_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.block_runs(typed_paragraphs(spark, sf_dir), ["conv_id"], ["turn"]).select("conv_id", "turn", "block_no", "adm_title")
 
 
+@query(f"""{_BLOCKS}, l AS (SELECT *, ok IS DISTINCT FROM run_key AS att FROM n WHERE type = 'list'),
+p2 AS (SELECT *, count(*) FILTER (NOT att) OVER (PARTITION BY conv_id, block_no ORDER BY turn) AS parent FROM l),
+g AS (SELECT *, lag(CASE WHEN att THEN run_key END) OVER (PARTITION BY conv_id, block_no, parent ORDER BY turn) IS DISTINCT FROM run_key AS nw FROM p2),
+u AS (SELECT *, CASE WHEN att THEN count(*) FILTER (att AND nw) OVER (PARTITION BY conv_id, block_no, parent ORDER BY turn) END AS sub FROM g),
+m AS (SELECT *, max(sub) OVER (PARTITION BY conv_id, block_no, parent) AS last FROM u),
+i AS (SELECT *, CASE WHEN att THEN count(*) FILTER (att) OVER (PARTITION BY conv_id, block_no, parent, sub ORDER BY turn) ELSE parent END AS i FROM m WHERE NOT att OR sub = last)
+SELECT conv_id, turn, i AS n, rtrim(CASE WHEN att THEN '  ' ELSE '' END || CASE run_key WHEN '1' THEN i || '.' ELSE '-' END || ' ' || text, chr(10) || ' ') AS line FROM i""")
+def list_items_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with their numbers, in their lists and in the lists attached to them, of which an item keeps the last."""
+    runs = sequence.block_runs(typed_paragraphs(spark, sf_dir), ["conv_id"], ["turn"])
+    ordered = F.col("run_key") == "1"
+    runs = runs.withColumns({"ordered": ordered, "marker": F.when(ordered, "decimal").otherwise("bullet"), "level": F.lit(1), "rendered": F.col("text")})
+    return convert.numbered_items(runs, ["conv_id"], ["turn"]).select("conv_id", "turn", "n", "line")
+
+
+@query(f"""SELECT conv_id, turn, CASE role WHEN 'assistant' THEN '**' || {_MD} || '**' WHEN 'system' THEN '***' || {_MD} || '***' ELSE {_MD} END
+  || CASE WHEN turn % 2 = 1 THEN '  ' || chr(10) ELSE CASE WHEN role = 'user' AND (text LIKE '% ' OR text LIKE '%' || chr(10)) THEN '' ELSE ' ' END END || '$x_' || turn || '$ $y$<sub>i</sub>($z<w$' AS md FROM conversations""")
+def inlines_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs escaped and wrapped, breaks, and equations with a blank before them where one is needed."""
+    role, turn = F.col("role"), F.col("turn")
+    part = lambda kind, text: F.struct(kind.alias("kind"), text.alias("text"))
+    kind = F.when(role == "assistant", "bold").when(role == "system", "bold_italic").otherwise("text")
+    cut = F.when(turn % 2 == 1, F.array(part(F.lit("line_break"), F.lit(None).cast("string")))).otherwise(F.array().cast(f"array<{render.INLINE}>"))
+    equation = lambda text: part(F.lit("equation_inline"), text)
+    rest = [equation(F.concat(F.lit("x_"), turn.cast("string"))), equation(F.lit("y")), part(F.lit("subscript"), F.lit("i")), part(F.lit("text"), F.lit("(")), equation(F.lit("z<w"))]
+    inlines = F.concat(F.array(part(kind, F.col("text"))), cut, F.array(*rest))
+    return t(spark, sf_dir, "conversations").select("conv_id", "turn", render.render_inlines(inlines).alias("md"))
+
+
 @query("SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pending FROM conversations")
 def pending_title_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.carried(t(spark, sf_dir, "conversations"), F.when(F.col("role") == "user", F.col("text")), ["conv_id"], ["turn"], "pending").select("conv_id", "turn", "pending")
@@ -616,7 +648,6 @@ def block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks(t(spark, sf_dir, "pages")).groupBy("page_id", "kind").agg(F.count("*").alias("n"))
 
 
-_MD = "replace(replace(replace(text, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;')"
 
 
 @query(f"""WITH {_HTML} SELECT page_id, regexp_replace(rtrim(string_agg(CASE kind WHEN 'heading' THEN '# ' || {_MD} WHEN 'list' THEN '- ' || {_MD} ELSE {_MD} END, chr(10) || chr(10) ORDER BY ord)) || chr(10), '\\n{{3,}}', '\n\n', 'g') AS markdown FROM x GROUP BY page_id""")

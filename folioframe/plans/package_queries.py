@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import order
@@ -13,7 +13,7 @@ from ..sources import package, pdf
 from ..sources.files import write_files
 from ..sources.rules import rules
 from . import convert, samples
-from .registry import query
+from .registry import query, t
 
 OVERLAY = {"paragraph_styles": samples.RULES, "character_styles": {"Bold": {}, "Regular": {}}}
 OPTIONS = convert.Options(overlay=OVERLAY, units=1, per_unit=2)
@@ -134,6 +134,25 @@ def pdf_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read
 
 
+@query("""SELECT conv_id, turn, text || '.' AS followed, '.' AS direct, CAST(turn % 2 + 1 AS INT) AS runs FROM conversations""")
+def hyperlink_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text under hyperlinks, in both shapes that links have: read if links are followed, passed over otherwise."""
+    xml = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    around = lambda tag, x: F.concat(F.lit(f"<{tag}>"), x, F.lit(f"</{tag}>"))
+    content, run = around("Content", xml), F.lit("<CharacterStyleRange><Content>.</Content></CharacterStyleRange>")
+    outside = F.concat(around("HyperlinkTextSource", around("CharacterStyleRange", content)), run)
+    inside = F.concat(F.lit("<CharacterStyleRange>"), around("HyperlinkTextDestination", content), F.lit("<Content>.</Content></CharacterStyleRange>"))
+    body = F.when(F.col("turn") % 2 == 1, outside).otherwise(inside)
+    ranges = F.transform(F.array_sort(F.collect_list(F.struct("turn", around("ParagraphStyleRange", body).alias("x")))), lambda x: x["x"])
+    stories = t(spark, sf_dir, "conversations").groupBy("conv_id").agg(around("Story", F.array_join(ranges, "")).alias("xml"))
+    members = stories.select(F.col("conv_id").cast("string").alias("book_id"), F.lit("Stories/Story_s.xml").alias("member"), F.lit(0).alias("pos"), "xml")
+    flat = lambda follow: package.paragraphs(members, follow).select("book_id", "para_ord", F.array_join(F.transform("runs", lambda r: r["text"]), "").alias("x"), "char_styles")
+    both = flat(True).withColumnRenamed("x", "followed").join(flat(False).select("book_id", "para_ord", F.col("x").alias("direct")), ["book_id", "para_ord"])
+    order_ = t(spark, sf_dir, "conversations").select("conv_id", "turn", (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1).alias("n"))
+    met = order_.join(both, (F.col("conv_id").cast("string") == F.col("book_id")) & (F.col("n") == F.col("para_ord")))
+    return met.select("conv_id", "turn", "followed", "direct", F.size("char_styles").alias("runs"))
+
+
 # --- paragraphs and blocks
 
 @query(f"""WITH {_PARAS} SELECT book_id, story_ord, CAST(para_ord AS INT) AS para_ord, style, md5(plain) AS plain_md5, CASE WHEN link IS NULL THEN 0 ELSE 1 END AS links FROM p
