@@ -289,7 +289,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, p: Containment = Contai
         return docs.filter(_clean(block, p)(F.col("text").cast("string")))
     keyed = id_and_text(docs).withColumn("sign", F.xxhash64("text"))
     gone = written(_met(keyed, _items(items), p).select("of", "of_sign").distinct(), "contaminated")
-    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(F.col("text").cast("string")).alias("own_sign"), F.struct("*").alias("row"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(F.col("text").cast("string")).alias("own_sign"),
+        F.struct("*").alias("row"))
     same = F.col("own_id").eqNullSafe(F.col("of")) & (F.col("own_sign") == F.col("of_sign"))
     return rows.join(small(gone), same, "left_anti").select("row.*")
 
@@ -301,4 +302,5 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
     for i, s in sets.items():
         for g in s:
             inverted[g].add(i)
-    return {(d, i) for d, t in docs for own in [shingles(words_of(t), p.words)] for i in {i for g in own & set(inverted) for i in inverted[g]} if len(sets[i] & own) >= len(sets[i]) * p.threshold}
+    return {(d, i) for d, t in docs for own in [shingles(words_of(t),
+        p.words)] for i in {i for g in own & set(inverted) for i in inverted[g]} if len(sets[i] & own) >= len(sets[i]) * p.threshold}

@@ -78,7 +78,8 @@ def scaled(x: np.ndarray) -> np.ndarray:
 
 def _valid(vector: F.Column) -> F.Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.col("label").isNotNull() & vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
+    return F.col("label").isNotNull() & vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(vector,
+        lambda x: x != 0)
 
 
 def forest(near: np.ndarray) -> np.ndarray:

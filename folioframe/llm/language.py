@@ -68,7 +68,8 @@ class Model:
         gram = np.array([e[:1] == "\t" for e in entry], bool)
         made = []
         for which, cut in ((~gram, 0), (gram, 1)):
-            names, row = np.unique(np.array([e[cut:] for e in entry[which]], object), return_inverse=True) if which.any() else (np.zeros(0, object), np.zeros(0, int))
+            names, row = np.unique(np.array([e[cut:] for e in entry[which]], object), return_inverse=True) if which.any() else (np.zeros(0,
+                object), np.zeros(0, int))
             counts = np.zeros((len(names), len(langs)))
             np.add.at(counts, (row, at[which]), n[which])
             made += [names.tolist(), np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * max(1, len(names)))]
@@ -145,7 +146,8 @@ class Scorer:
         for w in distinct.difference(self.at):
             self.rows[len(self.at)] = self.word(w.decode("utf-8", "replace"))
             self.at[w] = len(self.at)
-        sums = self.rows[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0) * min(1.0, self.p.witnesses / max(1, len(words)))
+        sums = self.rows[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0) * min(1.0,
+            self.p.witnesses / max(1, len(words)))
         best = int(sums.argmax())
         return self.langs[best], float(1 / np.exp(sums - sums[best]).sum())
 
@@ -172,7 +174,8 @@ def identify(docs: DataFrame, model: Model, p: Backoff = Backoff()) -> DataFrame
             found = list(map(scorer, b["text"].to_pylist()))
             yield batch_of(out, b["doc_id"], [x[0] for x in found], [x[1] for x in found])
 
-    return arrow_map(id_and_text(docs), judged, "doc_id long, lang_pred string, score double").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return arrow_map(id_and_text(docs), judged, "doc_id long, lang_pred string, score double").select("doc_id",
+        held_out().alias("held_out"), "lang_pred", "score")
 
 
 def language(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:

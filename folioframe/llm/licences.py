@@ -105,7 +105,8 @@ def _joined(texts: DataFrame, known: DataFrame) -> DataFrame:
     """Digests of texts and lines joined to any number of known ones: what occurs of them is found first, from distinct digests."""
     rows = written(texts.withColumn("uid", F.monotonically_increasing_id()), "digests")
     single = rows.select("uid", F.explode("digests").alias("line"))
-    occur = written(single.select("line").distinct().join(known, F.col("line") == F.col("known_digest")).select(F.col("line").alias("met"), "licence"), "occurring")
+    occur = written(single.select("line").distinct().join(known, F.col("line") == F.col("known_digest")).select(F.col("line").alias("met"),
+        "licence"), "occurring")
     hits = single.join(occur, F.col("line") == F.col("met")).groupBy(F.col("uid").alias("of")).agg(F.array_sort(F.collect_set("licence")).alias("found"))
     whole = rows.select("uid", "doc_id", "digest").join(known, F.col("digest") == F.col("known_digest"), "left")
     joined = whole.join(hits, F.col("uid") == F.col("of"), "left")

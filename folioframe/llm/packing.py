@@ -50,7 +50,8 @@ INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 
 
 def sequence_schema(dtype: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))], metadata={"length": str(length)})
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))],
+        metadata={"length": str(length)})
 
 
 class Writer:

@@ -63,7 +63,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_language, op4_secrets, op5_token_counts, op6_simhash, op7_packing, op8_embedding, op9_licences, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_language, op4_secrets, op5_token_counts, op6_simhash,
+        op7_packing, op8_embedding, op9_licences, op10_sentencepiece)}
 
 
 _WORDS = r"list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '')"

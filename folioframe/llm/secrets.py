@@ -76,7 +76,8 @@ def rule_spans(text: Column, rule: Rule) -> Column:
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``found``, findings of all rules by start and then by the rules' order, beside the blobs' other columns."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
-    placed = lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
+    placed = lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"),
+        s["kind"].alias("kind"))
     ranked = F.transform(F.concat(*[rule_spans(F.col("text"), r) for r in rules]), placed)
     return blobs.withColumn("found", F.array_sort(ranked))
 

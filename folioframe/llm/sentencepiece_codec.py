@@ -48,7 +48,8 @@ class Pieces:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         norm, train = model.normalizer_spec, model.trainer_spec
-        kinds = {proto.ModelProto.SentencePiece.NORMAL, proto.ModelProto.SentencePiece.BYTE, proto.ModelProto.SentencePiece.CONTROL, proto.ModelProto.SentencePiece.UNKNOWN}
+        kinds = {proto.ModelProto.SentencePiece.NORMAL, proto.ModelProto.SentencePiece.BYTE, proto.ModelProto.SentencePiece.CONTROL,
+            proto.ModelProto.SentencePiece.UNKNOWN}
         if train.model_type != proto.TrainerSpec.BPE or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces or train.treat_whitespace_as_suffix or {p.type for p in model.pieces} - kinds:
             raise ValueError("only merge models with identity normalisation and byte fallback are supported")
         self.prefix = SPACE if norm.add_dummy_prefix else ""
@@ -117,7 +118,8 @@ class Pieces:
         keys = [packed[k * per : k * per + n] for k in range(width)]
         suffixes = np.lexsort(keys[::-1])
         ordered = [k[suffixes] for k in keys]
-        pack = lambda m: np.stack([functools.reduce(lambda a, c: a << bits | m[:, c], range(k * per + 1, (k + 1) * per), m[:, k * per]) for k in range(width)], axis=1)
+        pack = lambda m: np.stack([functools.reduce(lambda a, c: a << bits | m[:, c], range(k * per + 1, (k + 1) * per), m[:,
+            k * per]) for k in range(width)], axis=1)
         first, last = self._search(ordered, pack(number), False), self._search(ordered, pack(beyond), True)
         times = last - first
         piece = np.repeat(np.arange(len(which)), times)
@@ -355,12 +357,14 @@ def decode(ids: DataFrame, path: str) -> DataFrame:
         for b in slices(batches):
             yield batch_of(out, b["doc_id"], [c.decode(np.array(x, np.int64)) if x else "" for x in b["ids"].to_pylist()])
 
-    return arrow_map(ids.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")), decoded, "doc_id long, text string")
+    return arrow_map(ids.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")), decoded,
+        "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_pieces, n_byte_pieces, ids_crc32, decoded_equal[, ids]): encoded, decoded and compared in one pass over the texts."""
-    fields = {"doc_id": pa.int64(), "n_pieces": pa.int64(), "n_byte_pieces": pa.int64(), "ids_crc32": pa.int64(), "decoded_equal": pa.bool_()} | ({"ids": pa.list_(pa.int32())} if with_ids else {})
+    fields = {"doc_id": pa.int64(), "n_pieces": pa.int64(), "n_byte_pieces": pa.int64(), "ids_crc32": pa.int64(),
+        "decoded_equal": pa.bool_()} | ({"ids": pa.list_(pa.int32())} if with_ids else {})
     out = arrow_schema(**fields)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

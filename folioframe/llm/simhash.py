@@ -135,7 +135,8 @@ def near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
     rows = written(fingerprints(docs), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     component = connected_components(links(distinct, threshold))
-    named = distinct.join(component, distinct["fp"] == component["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    named = distinct.join(component, distinct["fp"] == component["node"], "left").select("fp", "least", F.coalesce("component",
+        "fp").alias("component"))
     named = written(named, "named")
     least = written(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
     named = written(named.join(least, "component").select(F.col("fp").alias("own_fp"), "component", "component_id"), "components")
