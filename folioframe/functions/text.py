@@ -117,7 +117,8 @@ def inline_kind(font_style: Column, position: Column) -> Column:
 
 def uri_basename(uri: Column) -> Column:
     """Last segment after the first ``Links/`` (of the whole, without one), decoded before it is cut again."""
-    after = F.when(F.contains(uri, F.lit("Links/")), F.substring(uri, F.locate("Links/", uri) + 6, F.length(uri))).otherwise(F.element_at(F.split(uri, "/"), -1))
+    after = F.when(F.contains(uri, F.lit("Links/")), F.substring(uri, F.locate("Links/", uri) + 6,
+        F.length(uri))).otherwise(F.element_at(F.split(uri, "/"), -1))
     return F.element_at(F.split(percent_decoded(after), "/"), -1)
 
 
@@ -134,7 +135,8 @@ def extension(name: Column) -> Column:
 
 def link_kind(name: Column) -> Column:
     ext = extension(name)
-    return F.when(ext.isin(*RASTER), "image_raster").when(ext.isin(*VECTOR), "image_vector").when(ext.isin(*EQUATION), "equation_eps").otherwise("other")
+    return F.when(ext.isin(*RASTER), "image_raster").when(ext.isin(*VECTOR), "image_vector").when(ext.isin(*EQUATION),
+        "equation_eps").otherwise("other")
 
 
 def md_escape(c: Column) -> Column:

@@ -48,7 +48,8 @@ def distinct_names(files: DataFrame, keys: list[str], order: str) -> DataFrame:
     ext = F.regexp_extract("basename", r"[^.](\.[^.]*)$", 1)
     stem = F.expr("substring(basename, 1, length(basename) - length(_ext))")
     repeat = F.concat(stem, F.lit("_"), F.col("_k").cast("string"), F.col("_ext"))
-    return ranked(files, keys, order, "_k").withColumn("_ext", ext).withColumn("target", F.when(F.col("_k") == 0, F.col("basename")).otherwise(repeat)).drop("_k", "_ext")
+    return ranked(files, keys, order, "_k").withColumn("_ext", ext).withColumn("target", F.when(F.col("_k") == 0,
+        F.col("basename")).otherwise(repeat)).drop("_k", "_ext")
 
 
 def plan_rasters(requests: DataFrame, files: DataFrame, folder: str = "assets/img") -> DataFrame:
@@ -57,13 +58,16 @@ def plan_rasters(requests: DataFrame, files: DataFrame, folder: str = "assets/im
     raster = extension(F.col("basename")).isin(*RASTER)
     have = content_aliases(present(files.join(wanted, ["book_id", "basename"]), wanted, ["book_id", "basename"]), by=("book_id",))
     joined = wanted.join(have.select("book_id", "basename", "first_name"), ["book_id", "basename"], "left")
-    status = F.when(~raster, "skipped").when(F.col("first_name").isNull(), "missing").when(F.col("first_name") == F.col("basename"), "copied").otherwise("alias")
-    return joined.select("book_id", "basename", "ord", status.alias("status"), F.when(raster & F.col("first_name").isNotNull(), F.concat(F.lit(f"{folder}/"), "first_name")).alias("rel_path"))
+    status = F.when(~raster, "skipped").when(F.col("first_name").isNull(), "missing").when(F.col("first_name") == F.col("basename"),
+        "copied").otherwise("alias")
+    return joined.select("book_id", "basename", "ord", status.alias("status"), F.when(raster & F.col("first_name").isNotNull(),
+        F.concat(F.lit(f"{folder}/"), "first_name")).alias("rel_path"))
 
 
 def merged_paths(rasters: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
     """Keyed union in which vectors win."""
-    both = rasters.select(*keys, "rel_path", F.lit(0).alias("p")).unionByName(vectors.select(*keys, "rel_path", F.lit(1).alias("p"))).filter("rel_path is not null")
+    both = rasters.select(*keys, "rel_path", F.lit(0).alias("p")).unionByName(vectors.select(*keys, "rel_path",
+        F.lit(1).alias("p"))).filter("rel_path is not null")
     return both.groupBy(*keys).agg(F.max_by("rel_path", "p").alias("rel_path"))
 
 

@@ -16,7 +16,8 @@ def one_each(frames: DataFrame) -> DataFrame:
     place = [c for c in PLACE if c in frames.columns]
     rest = [c for c in frames.columns if c not in ("book_id", "self_id", *place)]
     first = F.min(F.struct(*place, *rest)).alias("_first")
-    return frames.groupBy("book_id", "self_id").agg(first).select(*[F.col(c if c in ("book_id", "self_id") else f"_first.{c}").alias(c) for c in frames.columns])
+    return frames.groupBy("book_id", "self_id").agg(first).select(*[F.col(c if c in ("book_id",
+        "self_id") else f"_first.{c}").alias(c) for c in frames.columns])
 
 
 def thread_roots(frames: DataFrame, hops: int = 10_000) -> DataFrame:
@@ -34,7 +35,8 @@ def thread_roots(frames: DataFrame, hops: int = 10_000) -> DataFrame:
     known = known.select("book_id", "self_id", F.nullif(pointer, F.col("self_id")).alias("up"))
     ids = known.select(F.col("book_id").alias("b"), F.col("self_id").alias("s"))
     at = (F.col("book_id") == F.col("b")) & (F.col("up") == F.col("s"))
-    first = written(known.join(ids, at, "left").select("book_id", "self_id", F.coalesce("s", "self_id").alias("up"), (F.col("s").isNotNull()).alias("open")), "frames")
+    first = written(known.join(ids, at, "left").select("book_id", "self_id", F.coalesce("s", "self_id").alias("up"),
+        (F.col("s").isNotNull()).alias("open")), "frames")
     done, open_, steps = first.filter(~F.col("open")).drop("open"), first.filter("open").drop("open"), 1
     while steps < hops and not open_.isEmpty():
         look = done.unionAll(open_).select(F.col("book_id").alias("b"), F.col("self_id").alias("s"), F.col("up").alias("upper"))

@@ -25,7 +25,8 @@ def render_inlines(inlines: Column) -> Column:
 
 
 def flat_text(inlines: Column) -> Column:
-    return F.array_join(F.transform(inlines, lambda i: F.when(i["kind"] == "line_break", F.lit("\n")).otherwise(F.coalesce(i["text"], F.lit("")))), "")
+    return F.array_join(F.transform(inlines, lambda i: F.when(i["kind"] == "line_break",
+        F.lit("\n")).otherwise(F.coalesce(i["text"], F.lit("")))), "")
 
 
 def without_trailing_breaks(inlines: Column) -> Column:

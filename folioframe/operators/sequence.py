@@ -47,11 +47,13 @@ def block_runs(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     # a title that carries display blocks closes the run though it emits nothing itself
     rows = rows.withColumn("_title_closes", running(((F.col("type") == "title") & F.col("closes")), keys, order)).filter("type <> 'title'")
     prev = lambda c: F.lag(c).over(w)
-    starts = ~F.col("type").isin("list", "adm") | ~F.col("type").eqNullSafe(prev("type")) | F.coalesce(prev("closes"), F.lit(False)) | ~F.col("_title_closes").eqNullSafe(prev("_title_closes"))
+    starts = ~F.col("type").isin("list", "adm") | ~F.col("type").eqNullSafe(prev("type")) | F.coalesce(prev("closes"),
+        F.lit(False)) | ~F.col("_title_closes").eqNullSafe(prev("_title_closes"))
     rows = rows.withColumn("_starts", starts).withColumn("_stretch", running(F.col("_starts"), keys, order))
     in_stretch = Window.partitionBy(*keys, "_stretch").orderBy(*order)
     opens = ~F.coalesce(F.col("nested"), F.lit(False)) | F.col("_starts")
-    rows = rows.withColumn("_open", F.last(F.when(opens, F.col("run_key")), ignorenulls=True).over(in_stretch.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_open", F.last(F.when(opens, F.col("run_key")),
+        ignorenulls=True).over(in_stretch.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("attached", (F.col("type") == "list") & ~F.col("_open").eqNullSafe(F.col("run_key")))
     changed = F.col("_starts") | ~F.col("_open").eqNullSafe(F.lag("_open").over(in_stretch))
     rows = rows.withColumn("_changed", changed).withColumn("block_no", running(F.col("_changed"), keys, order))
@@ -63,7 +65,8 @@ def block_runs(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def carried(rows: DataFrame, value: Column, keys: list[str], order: list[str], name: str) -> DataFrame:
     """The last non-null value up to each row."""
-    return rows.withColumn(name, F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.withColumn(name, F.last(value,
+        ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def split_by_break(inlines: Column) -> Column:
@@ -73,7 +76,8 @@ def split_by_break(inlines: Column) -> Column:
     cut = F.aggregate(
         F.concat(inlines, F.array(F.struct(F.lit("line_break").alias("kind"), F.lit(None).cast("string").alias("text")))),
         start,
-        lambda acc, x: F.when(x["kind"] == "line_break", F.struct(F.concat(acc["done"], F.array(acc["now"])).alias("done"), F.array().cast(f"array<{kind}>").alias("now"))).otherwise(
+        lambda acc, x: F.when(x["kind"] == "line_break", F.struct(F.concat(acc["done"], F.array(acc["now"])).alias("done"),
+            F.array().cast(f"array<{kind}>").alias("now"))).otherwise(
             F.struct(acc["done"].alias("done"), F.concat(acc["now"], F.array(x)).alias("now"))
         ),
         lambda acc: acc["done"],
@@ -104,10 +108,12 @@ def ranked(rows: DataFrame, keys: list[str], order: str, name: str, buckets: int
     placed = rows.withColumn("_part", part)
     sizes = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_part") == F.col("_p")]
     local = placed.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(order)) - 1)
-    return local.join(starts, same).withColumn(name, (F.col("_start") + F.col("_local")).cast("long")).drop("_part", "_p", "_start", "_local", *[f"_k{i}" for i in range(len(keys))])
+    return local.join(starts, same).withColumn(name, (F.col("_start") + F.col("_local")).cast("long")).drop("_part", "_p", "_start",
+        "_local", *[f"_k{i}" for i in range(len(keys))])
 
 
 def not_increasing(rows: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:

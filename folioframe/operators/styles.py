@@ -36,7 +36,8 @@ def small(rules: DataFrame, most: int = MOST_RULES) -> DataFrame:
 
 def apply_rules(paragraphs: DataFrame, rules: DataFrame, unknown: str = "passthrough") -> DataFrame:
     """Left join to the rules by ``style``; what has none becomes a paragraph, or goes under ``drop``."""
-    joined = paragraphs.join(small(rules.withColumnRenamed("name", "rule_name")), F.col("style") == F.col("rule_name"), "left").withColumn("mapped", F.col("rule_name").isNotNull())
+    joined = paragraphs.join(small(rules.withColumnRenamed("name", "rule_name")), F.col("style") == F.col("rule_name"),
+        "left").withColumn("mapped", F.col("rule_name").isNotNull())
     if unknown == "drop":
         joined = joined.filter("mapped")
     elif unknown not in ("passthrough", "warn"):

@@ -23,24 +23,29 @@ def grid(cells: DataFrame, keys: list[str], cell_name_order: str = "row:col") ->
     row, col = (first, second) if cell_name_order == "row:col" else (second, first)
     placed = cells.withColumn("_r", row).withColumn("_c", col)
     placed = placed.filter(F.col("_r").between(0, F.col("header_rows") + F.col("body_rows") - 1) & F.col("_c").between(0, F.col("columns") - 1))
-    rows = placed.groupBy(*keys, "header_rows", "body_rows", "_r").agg(F.array_sort(F.collect_list(F.struct("_c", "row_span", "col_span", "blocks"))).alias("cells"))
+    rows = placed.groupBy(*keys, "header_rows", "body_rows",
+        "_r").agg(F.array_sort(F.collect_list(F.struct("_c", "row_span", "col_span", "blocks"))).alias("cells"))
     tables = rows.groupBy(*keys, "header_rows", "body_rows").agg(F.map_from_entries(F.collect_list(F.struct("_r", "cells"))).alias("by_row"))
     all_rows = cells.select(*keys, "header_rows", "body_rows").distinct().join(tables, [*keys, "header_rows", "body_rows"], "left")
     empty = F.array().cast(f"array<{CELL}>")
-    strip = lambda cs: F.transform(cs, lambda c: F.struct(c["row_span"].alias("row_span"), c["col_span"].alias("col_span"), c["blocks"].alias("blocks")))
+    strip = lambda cs: F.transform(cs, lambda c: F.struct(c["row_span"].alias("row_span"), c["col_span"].alias("col_span"),
+        c["blocks"].alias("blocks")))
     total = F.col("header_rows") + F.col("body_rows")
-    made = F.when(total > 0, F.transform(F.sequence(F.lit(0), total - 1), lambda r: F.coalesce(strip(F.element_at("by_row", r)), empty))).otherwise(F.array().cast(f"array<array<{CELL}>>"))
+    made = F.when(total > 0, F.transform(F.sequence(F.lit(0), total - 1), lambda r: F.coalesce(strip(F.element_at("by_row", r)),
+        empty))).otherwise(F.array().cast(f"array<array<{CELL}>>"))
     return all_rows.select(*keys, made.alias("rows"), "header_rows")
 
 
 def plain_inlines(inlines: Column) -> Column:
     """Text of inlines for a cell: wrapped, not escaped, breaks as spaces."""
-    one = lambda i: F.when(i["kind"] == "line_break", F.lit(" ")).when(F.coalesce(i["text"], F.lit("")) == "", F.lit("")).when(i["kind"] == "equation_inline", F.concat(F.lit("$"), i["text"], F.lit("$"))).otherwise(md_wrap(i["text"], i["kind"]))
+    one = lambda i: F.when(i["kind"] == "line_break", F.lit(" ")).when(F.coalesce(i["text"], F.lit("")) == "",
+        F.lit("")).when(i["kind"] == "equation_inline", F.concat(F.lit("$"), i["text"], F.lit("$"))).otherwise(md_wrap(i["text"], i["kind"]))
     return F.array_join(F.transform(inlines, one), "")
 
 
 def needs_html(rows: Column) -> Column:
-    block_cell = lambda c: (F.size(c["blocks"]) > 1) | ((F.size(c["blocks"]) == 1) & c["blocks"][0]["kind"].isin("image", "equation_display", "table"))
+    block_cell = lambda c: (F.size(c["blocks"]) > 1) | ((F.size(c["blocks"]) == 1) & c["blocks"][0]["kind"].isin("image",
+        "equation_display", "table"))
     return F.exists(rows, lambda r: F.exists(r, lambda c: (c["col_span"] > 1) | (c["row_span"] > 1) | block_cell(c)))
 
 
@@ -76,7 +81,8 @@ def html(rows: Column, header_rows: Column) -> Column:
     def cell(c: Column, tag: Column) -> Column:
         span = lambda name, n: F.when(n > 1, F.concat(F.lit(f' {name}="'), n.cast("string"), F.lit('"'))).otherwise("")
         inner = F.array_join(F.filter(F.transform(c["blocks"], content), lambda t: t != ""), "<br />")
-        return F.concat(F.lit("    <"), tag, span("rowspan", c["row_span"]), span("colspan", c["col_span"]), F.lit(">"), inner, F.lit("</"), tag, F.lit(">"))
+        return F.concat(F.lit("    <"), tag, span("rowspan", c["row_span"]), span("colspan", c["col_span"]), F.lit(">"), inner, F.lit("</"),
+            tag, F.lit(">"))
 
     def row(r: Column, k: Column) -> Column:
         tag = F.when(k < header_rows, F.lit("th")).otherwise(F.lit("td"))

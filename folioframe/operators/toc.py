@@ -36,7 +36,8 @@ def chapters(units: DataFrame, keys: tuple[str, ...] = ("book_id",)) -> DataFram
     titled = toc_title(F.col("entry.title")).alias("title"), F.col("entry.page").alias("start_page")
     rows = rows.select(*ks, "unit_index", "pos", *titled).filter("title <> ''")
     rows = rows.withColumn("is_reference", F.upper("title").isin(*REFERENCE_TITLES))
-    return numbered(rows, [*ks, "unit_index", "is_reference"], ["pos"], "n").withColumn("chap_index", F.when(~F.col("is_reference"), F.col("n"))).drop("n")
+    return numbered(rows, [*ks, "unit_index", "is_reference"], ["pos"], "n").withColumn("chap_index", F.when(~F.col("is_reference"),
+        F.col("n"))).drop("n")
 
 
 def violations(rows: DataFrame, units: int = 4, per_unit: int = 4, keys: tuple[str, ...] = ("book_id",)) -> DataFrame:

@@ -25,7 +25,8 @@ from .registry import QUERIES, SQL, Query, query, t
 RULES = {"user": {"kind": "list", "ordered": True, "marker": "decimal"}, "assistant": {"kind": "admonition", "variant": "tip"}}
 
 
-@query("SELECT role AS style, count(*) AS n, min(conv_id * 1000 + turn) AS first_pos FROM conversations GROUP BY role ORDER BY n DESC, first_pos LIMIT 10")
+@query("""SELECT role AS style, count(*) AS n, min(conv_id * 1000 + turn) AS first_pos FROM conversations GROUP BY role ORDER BY n DESC,
+  first_pos LIMIT 10""")
 def style_usage_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t(spark, sf_dir, "conversations").withColumn("ord", F.col("conv_id") * 1000 + F.col("turn"))
     return styles.most_used(rows, 10, "role", "ord")
@@ -83,12 +84,14 @@ def normalize_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ODD = "Việt ﬁm x²\u3000№…½"
 
 
-@query("SELECT n_nationkey, lower(replace(n_name, '_', '')) || ' viet fim x2 no 1 2' AS form, lower(replace(n_name, '_', '-')) || '-viet-fim-x2-no-12' AS slug, replace(n_name, '_', ' ') || ' x' AS title FROM nation")
+@query("""SELECT n_nationkey, lower(replace(n_name, '_', '')) || ' viet fim x2 no 1 2' AS form, lower(replace(n_name, '_', '-'))
+  || '-viet-fim-x2-no-12' AS slug, replace(n_name, '_', ' ') || ' x' AS title FROM nation""")
 def compatibility_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ligatures, marks, superscripts, wide blanks: what compatibility decomposition makes of them."""
     text = F.concat("n_name", F.lit("\t" + _ODD))
     title = X.title_from_stem(F.concat(F.lit("\t_\u00a0"), "n_name", F.lit("_x\u2028\t")))
-    return t(spark, sf_dir, "nation").select("n_nationkey", X.normalize_search(text).alias("form"), X.slugify(text).alias("slug"), title.alias("title"))
+    return t(spark, sf_dir, "nation").select("n_nationkey", X.normalize_search(text).alias("form"), X.slugify(text).alias("slug"),
+        title.alias("title"))
 
 
 _H1 = "trim(regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '[ \\t\\r\\n]+', ' ', 'g'))"
@@ -108,7 +111,8 @@ def slugify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h1_titles(t(spark, sf_dir, "pages")).withColumn("slug", X.slugify(F.col("title")))
 
 
-@query(f"""WITH s AS (SELECT page_id, {_slug_sql(_H1)} AS base FROM pages), k AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY page_id) - 1 AS k FROM s)
+@query(f"""WITH s AS (SELECT page_id, {_slug_sql(_H1)} AS base FROM pages), k AS (SELECT *, row_number() OVER (PARTITION BY base
+  ORDER BY page_id) - 1 AS k FROM s)
 SELECT page_id, CASE WHEN k = 0 THEN base ELSE base || '-' || k END AS slug FROM k""")
 def slug_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = h1_titles(t(spark, sf_dir, "pages")).select("page_id", X.slugify(F.col("title")).alias("base"))
@@ -116,18 +120,23 @@ def slug_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey, replace(replace(replace(x, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;') AS escaped,
-CASE k WHEN 'bold' THEN '**' || x || '**' WHEN 'italic' THEN '*' || x || '*' WHEN 'bold_italic' THEN '***' || x || '***' WHEN 'superscript' THEN '<sup>' || x || '</sup>' WHEN 'subscript' THEN '<sub>' || x || '</sub>' ELSE x END AS wrapped
-FROM (SELECT p_partkey, p_name || '\\<' || p_brand || '>' AS x, ['bold', 'italic', 'bold_italic', 'superscript', 'subscript', 'text'][CAST(p_size % 6 AS INT) + 1] AS k FROM part)""")
+CASE k WHEN 'bold' THEN '**' || x || '**' WHEN 'italic' THEN '*' || x || '*' WHEN 'bold_italic' THEN '***' || x || '***' WHEN 'superscript'
+  THEN '<sup>' || x || '</sup>' WHEN 'subscript' THEN '<sub>' || x || '</sub>' ELSE x END AS wrapped
+FROM (SELECT p_partkey, p_name || '\\<' || p_brand || '>' AS x, ['bold', 'italic', 'bold_italic', 'superscript', 'subscript',
+  'text'][CAST(p_size % 6 AS INT) + 1] AS k FROM part)""")
 def md_escape_and_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat("p_name", F.lit("\\<"), "p_brand", F.lit(">"))
-    kind = F.element_at(F.array(*map(F.lit, ("bold", "italic", "bold_italic", "superscript", "subscript", "text"))), (F.col("p_size") % 6 + 1).cast("int"))
+    kind = F.element_at(F.array(*map(F.lit, ("bold", "italic", "bold_italic", "superscript", "subscript", "text"))),
+        (F.col("p_size") % 6 + 1).cast("int"))
     return t(spark, sf_dir, "part").select("p_partkey", X.md_escape(text).alias("escaped"), X.md_wrap(text, kind).alias("wrapped"))
 
 
 @query("""SELECT p_partkey, CASE WHEN lower(p_brand) LIKE '%superscript%' THEN 'superscript' WHEN lower(p_brand) LIKE '%subscript%' THEN 'subscript'
 WHEN regexp_matches(lower(p_type), 'bold|black|heavy') AND regexp_matches(lower(p_type), 'italic|oblique') THEN 'bold_italic'
-WHEN regexp_matches(lower(p_type), 'bold|black|heavy') THEN 'bold' WHEN regexp_matches(lower(p_type), 'italic|oblique') THEN 'italic' ELSE 'text' END AS kind FROM (
-SELECT p_partkey, p_type || ['', ' Bold', ' Oblique', ' Black Italic'][CAST(p_size % 4 AS INT) + 1] AS p_type, CASE WHEN p_size % 7 = 0 THEN 'Superscript' WHEN p_size % 11 = 0 THEN 'OTSubscript' ELSE p_brand END AS p_brand FROM part)""")
+WHEN regexp_matches(lower(p_type), 'bold|black|heavy') THEN 'bold' WHEN regexp_matches(lower(p_type), 'italic|oblique') THEN 'italic'
+  ELSE 'text' END AS kind FROM (
+SELECT p_partkey, p_type || ['', ' Bold', ' Oblique', ' Black Italic'][CAST(p_size % 4 AS INT) + 1] AS p_type, CASE WHEN p_size % 7 = 0
+  THEN 'Superscript' WHEN p_size % 11 = 0 THEN 'OTSubscript' ELSE p_brand END AS p_brand FROM part)""")
 def inline_kind_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     font = F.concat("p_type", F.element_at(F.array(*map(F.lit, ("", " Bold", " Oblique", " Black Italic"))), (F.col("p_size") % 4 + 1).cast("int")))
     position = F.when(F.col("p_size") % 7 == 0, "Superscript").when(F.col("p_size") % 11 == 0, "OTSubscript").otherwise(F.col("p_brand"))
@@ -138,34 +147,43 @@ _URI = "url || ['.jpg', '.ai', '.EPS', '', '/Links/a%20b.png', '/Links/x/y.tif']
 
 
 @query(f"""WITH u AS (SELECT page_id, {_URI} AS u FROM pages),
-b AS (SELECT page_id, string_split(replace(CASE WHEN contains(u, 'Links/') THEN substr(u, strpos(u, 'Links/') + 6) ELSE string_split(u, '/')[-1] END, '%20', ' '), '/')[-1] AS basename FROM u),
+b AS (SELECT page_id, string_split(replace(CASE WHEN contains(u, 'Links/') THEN substr(u, strpos(u, 'Links/') + 6) ELSE string_split(u,
+  '/')[-1] END, '%20', ' '), '/')[-1] AS basename FROM u),
 e AS (SELECT *, lower(regexp_extract(basename, '[^.](\\.[^.]*)$', 1)) AS e FROM b)
-SELECT page_id, basename, CASE WHEN e IN ('.jpg', '.jpeg', '.png', '.gif', '.tif', '.tiff', '.webp') THEN 'image_raster' WHEN e = '.ai' THEN 'image_vector' WHEN e = '.eps' THEN 'equation_eps' ELSE 'other' END AS kind FROM e""")
+SELECT page_id, basename, CASE WHEN e IN ('.jpg', '.jpeg', '.png', '.gif', '.tif', '.tiff', '.webp') THEN 'image_raster' WHEN e = '.ai'
+  THEN 'image_vector' WHEN e = '.eps' THEN 'equation_eps' ELSE 'other' END AS kind FROM e""")
 def link_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tail = F.element_at(F.array(*map(F.lit, (".jpg", ".ai", ".EPS", "", "/Links/a%20b.png", "/Links/x/y.tif"))), (F.col("page_id") % 6 + 1).cast("int"))
+    tail = F.element_at(F.array(*map(F.lit, (".jpg", ".ai", ".EPS", "", "/Links/a%20b.png", "/Links/x/y.tif"))),
+        (F.col("page_id") % 6 + 1).cast("int"))
     rows = t(spark, sf_dir, "pages").select("page_id", X.uri_basename(F.concat("url", tail)).alias("basename"))
     return rows.withColumn("kind", X.link_kind(F.col("basename")))
 
 
 @query("""SELECT n_nationkey, repeat('#', greatest(1, least(n_nationkey % 9, 6))) || ' ' || n_name AS heading,
-CASE WHEN n_nationkey % 4 = 0 THEN '-' WHEN n_nationkey % 4 = 1 AND n_nationkey + 1 <= 10 THEN ['I','II','III','IV','V','VI','VII','VIII','IX','X'][n_nationkey + 1] || '.'
+CASE WHEN n_nationkey % 4 = 0 THEN '-' WHEN n_nationkey % 4 = 1 AND n_nationkey + 1 <= 10
+  THEN ['I','II','III','IV','V','VI','VII','VIII','IX','X'][n_nationkey + 1] || '.'
 WHEN n_nationkey % 4 = 2 AND n_nationkey + 1 <= 26 THEN chr(65 + n_nationkey) || '.' ELSE (n_nationkey + 1) || '.' END AS marker FROM nation""")
 def md_headings_and_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
     marker = F.element_at(F.array(*map(F.lit, ("bullet", "upper-roman", "upper-alpha", "decimal"))), (k % 4 + 1).cast("int"))
-    return t(spark, sf_dir, "nation").select("n_nationkey", X.heading(k % 9, F.col("n_name")).alias("heading"), X.list_marker(k % 4 != 0, marker, k + 1).alias("marker"))
+    return t(spark, sf_dir, "nation").select("n_nationkey", X.heading(k % 9, F.col("n_name")).alias("heading"), X.list_marker(k % 4 != 0,
+        marker, k + 1).alias("marker"))
 
 
-@query("""SELECT c_custkey, trim(replace(c_name, '#', ' ')) AS title, replace(replace(replace(replace(x, chr(8232), chr(10)), chr(8233), chr(10) || chr(10)), chr(173), ''), chr(65279), '') AS content
+@query("""SELECT c_custkey, trim(replace(c_name, '#', ' ')) AS title, replace(replace(replace(replace(x, chr(8232), chr(10)), chr(8233),
+  chr(10) || chr(10)), chr(173), ''), chr(65279), '') AS content
 FROM (SELECT *, c_name || chr(8232) || c_mktsegment || chr(173) || 'x' || chr(8233) || chr(65279) AS x FROM customer)""")
 def content_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.concat("c_name", F.lit(" "), "c_mktsegment", F.lit("­x ﻿"))
-    return t(spark, sf_dir, "customer").select("c_custkey", X.title_from_stem(F.translate("c_name", "#", "_")).alias("title"), X.clean_content(raw).alias("content"))
+    return t(spark, sf_dir, "customer").select("c_custkey", X.title_from_stem(F.translate("c_name", "#", "_")).alias("title"),
+        X.clean_content(raw).alias("content"))
 
 
-@query("""SELECT n_nationkey, replace(CASE WHEN n_nationkey % 3 = 0 THEN n_name || '%20x+y' ELSE n_name || '/%20x' END, '%20', ' ') AS style FROM nation""")
+@query("""SELECT n_nationkey, replace(CASE WHEN n_nationkey % 3 = 0 THEN n_name || '%20x+y' ELSE n_name || '/%20x' END, '%20',
+  ' ') AS style FROM nation""")
 def style_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("ParagraphStyle/"), "n_name", F.lit("%20x+y"))).otherwise(F.concat(F.lit("ParagraphStyle/"), "n_name", F.lit("/%20x")))
+    raw = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("ParagraphStyle/"), "n_name",
+        F.lit("%20x+y"))).otherwise(F.concat(F.lit("ParagraphStyle/"), "n_name", F.lit("/%20x")))
     return t(spark, sf_dir, "nation").select("n_nationkey", X.style_name(raw).alias("style"))
 
 
@@ -174,8 +192,10 @@ def style_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ENTRIES = """SELECT n_nationkey AS ord, n_regionkey AS book_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) % 3 = 2 AS is_unit,
 n_name || chr(9) || (n_nationkey * 7 + 3) || 'Other ' || n_name || chr(9) || '.' || (n_nationkey * 7 + 5) AS text FROM nation"""
 _UNITS = f"""e AS ({_ENTRIES}), g AS (SELECT *, sum(CAST(is_unit AS INT)) OVER (PARTITION BY book_id ORDER BY ord) AS u FROM e),
-p AS (SELECT book_id, CAST(u AS BIGINT) AS unit_index, coalesce(string_agg(text, chr(9) ORDER BY ord) FILTER (NOT is_unit), '') AS payload FROM g WHERE u > 0 GROUP BY ALL)"""
-_TOC = f"""{_UNITS}, m AS (SELECT book_id, unit_index, unnest(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 1)) AS t, unnest(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 2)) AS n,
+p AS (SELECT book_id, CAST(u AS BIGINT) AS unit_index, coalesce(string_agg(text, chr(9) ORDER BY ord) FILTER (NOT is_unit), '') AS payload
+  FROM g WHERE u > 0 GROUP BY ALL)"""
+_TOC = f"""{_UNITS}, m AS (SELECT book_id, unit_index, unnest(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 1)) AS t,
+  unnest(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 2)) AS n,
 unnest(range(len(regexp_extract_all(payload, '(?s)(.+?)\\t[.,;:]?(\\d+)', 1)))) AS pos FROM p)"""
 
 
@@ -191,20 +211,24 @@ def toc_unit_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toc.unit_groups(toc_rows(spark, sf_dir))
 
 
-@query(f"""WITH {_TOC} SELECT book_id, unit_index, CAST(pos AS INT) AS pos, trim(regexp_replace(t, '[ \\t]+', ' ', 'g')) AS title, CAST(n AS INT) AS start_page,
+@query(f"""WITH {_TOC} SELECT book_id, unit_index, CAST(pos AS INT) AS pos, trim(regexp_replace(t, '[ \\t]+', ' ', 'g')) AS title,
+  CAST(n AS INT) AS start_page,
 CAST(row_number() OVER (PARTITION BY book_id, unit_index ORDER BY pos) AS INT) AS chap_index FROM m WHERE trim(t, chr(9) || ' ') <> ''""")
 def toc_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toc.chapters(toc.unit_groups(toc_rows(spark, sf_dir))).drop("is_reference")
 
 
-@query("""WITH r AS (SELECT o_custkey AS book_id, o_orderkey AS pos, CAST(extract(day FROM o_orderdate) AS INT) AS page, lag(CAST(extract(day FROM o_orderdate) AS INT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous FROM orders)
+@query("""WITH r AS (SELECT o_custkey AS book_id, o_orderkey AS pos, CAST(extract(day FROM o_orderdate) AS INT) AS page,
+  lag(CAST(extract(day FROM o_orderdate) AS INT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous FROM orders)
 SELECT * FROM r WHERE page <= previous""")
 def toc_monotone_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), F.col("o_orderkey").alias("pos"), F.dayofmonth("o_orderdate").alias("page"))
+    rows = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), F.col("o_orderkey").alias("pos"),
+        F.dayofmonth("o_orderdate").alias("page"))
     return sequence.not_increasing(rows, ["book_id"], ["pos"], "page")
 
 
-@query("""WITH r AS (SELECT o_custkey AS book_id, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS unit_index, o_orderkey AS pos, CAST(extract(day FROM o_orderdate) AS INT) AS page, o_orderpriority = '1-URGENT' AS ref FROM orders),
+@query("""WITH r AS (SELECT o_custkey AS book_id, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS unit_index,
+  o_orderkey AS pos, CAST(extract(day FROM o_orderdate) AS INT) AS page, o_orderpriority = '1-URGENT' AS ref FROM orders),
 u AS (SELECT book_id, unit_index, count(*) FILTER (NOT ref) AS n FROM r GROUP BY ALL),
 l AS (SELECT *, lag(page) OVER (PARTITION BY book_id ORDER BY unit_index, pos) AS previous FROM r WHERE NOT ref),
 e AS (SELECT book_id, max(page) FILTER (ref) AS refs_page, max(page) FILTER (NOT ref) AS last_page FROM r GROUP BY book_id)
@@ -230,14 +254,16 @@ _LINES = "list_filter(list_transform(regexp_split_to_array({}, '\\r\\n|[\\n\\r]'
 
 @query(f"""WITH l AS (SELECT doc_id, list_filter({_LINES.format('text')}, lambda x: NOT regexp_matches(x, '^[0-9]{{1,4}}$')) AS ls FROM documents),
 r AS (SELECT doc_id, list_filter(regexp_split_to_array(array_to_string(ls, ' '), '[ \\t\\n\\f\\r\\x0b]+'), lambda x: x <> '')[1:36] AS w FROM l),
-n AS (SELECT doc_id, list_filter(string_split({_norm_sql("array_to_string(w, ' ')")}, ' '), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]+$'))[1:12] AS w FROM r)
+n AS (SELECT doc_id, list_filter(string_split({_norm_sql("array_to_string(w, ' ')")}, ' '), lambda x: x <> '' AND NOT regexp_matches(x,
+  '^[0-9]+$'))[1:12] AS w FROM r)
 SELECT doc_id, array_to_string(w, ' ') AS words, array_to_string(w[1:8], ' ') AS search_key FROM n""")
 def first_significant_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t(spark, sf_dir, "documents").select("doc_id", X.significant_words(F.col("text"), 12).alias("words"))
     return rows.withColumn("search_key", anchors.search_key(F.col("words")))
 
 
-@query(f"""WITH l AS (SELECT source AS book_id, doc_id, unnest({_LINES.format('text')}[1:3]) AS line, unnest(range(len({_LINES.format('text')}[1:3]))) AS pos FROM documents),
+@query(f"""WITH l AS (SELECT source AS book_id, doc_id, unnest({_LINES.format('text')}[1:3]) AS line,
+  unnest(range(len({_LINES.format('text')}[1:3]))) AS pos FROM documents),
 w AS (SELECT *, list_filter(string_split({_norm_sql('line')}, ' '), lambda x: x <> '' AND NOT regexp_matches(x, '^[0-9]+$')) AS w FROM l),
 c AS (SELECT book_id, array_to_string(w, ' ') AS line, count(*) AS n, min(doc_id * 10 + pos) AS f FROM w WHERE len(w) BETWEEN 1 AND 8 GROUP BY ALL),
 b AS (SELECT book_id, arg_min(line, -n * 1000000000 + f) AS header, max(n) AS n FROM c GROUP BY book_id)
@@ -248,7 +274,8 @@ def running_header_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("book_id", F.array_join("header", " ").alias("header"), "n")
 
 
-_PAGES = """SELECT book_id, page_idx, (page_idx + o_orderkey % 4) || chr(9) || chr(10) || 'text ' || o_orderkey || chr(13) || chr(10) || chr(9) || ' ' || o_custkey AS text
+_PAGES = """SELECT book_id, page_idx, (page_idx + o_orderkey % 4) || chr(9) || chr(10) || 'text ' || o_orderkey || chr(13) || chr(10)
+  || chr(9) || ' ' || o_custkey AS text
 FROM (SELECT *, o_custkey // 5 AS book_id, row_number() OVER (PARTITION BY o_custkey // 5 ORDER BY o_orderkey) - 1 AS page_idx FROM orders)"""
 
 
@@ -263,9 +290,12 @@ def numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VOTES = f"""p AS ({_PAGES}), l AS (SELECT book_id, page_idx, {_LINES.format('text')} AS ls FROM p WHERE page_idx < 40),
-c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x, unnest(range(len(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])))) AS i FROM l),
-n AS (SELECT book_id, page_idx, row_number() OVER (PARTITION BY book_id, page_idx ORDER BY i) AS pos, CAST(x AS INT) AS num FROM c WHERE regexp_matches(x, '^[0-9]{{1,4}}$')),
-v AS (SELECT book_id, page_idx - num AS off, count(*) AS votes, min(page_idx * 100 + pos) AS first_vote FROM n WHERE num >= 5 AND page_idx - num BETWEEN -20 AND 5 GROUP BY ALL)"""
+c AS (SELECT book_id, page_idx, unnest(list_concat(ls[1:5], ls[greatest(len(ls) - 4, 1):])) AS x, unnest(range(len(list_concat(ls[1:5],
+  ls[greatest(len(ls) - 4, 1):])))) AS i FROM l),
+n AS (SELECT book_id, page_idx, row_number() OVER (PARTITION BY book_id, page_idx ORDER BY i) AS pos, CAST(x AS INT) AS num FROM c
+  WHERE regexp_matches(x, '^[0-9]{{1,4}}$')),
+v AS (SELECT book_id, page_idx - num AS off, count(*) AS votes, min(page_idx * 100 + pos) AS first_vote FROM n WHERE num >= 5
+  AND page_idx - num BETWEEN -20 AND 5 GROUP BY ALL)"""
 
 
 @query(f"WITH {_VOTES} SELECT book_id, off, votes FROM v")
@@ -273,7 +303,8 @@ def offset_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.offset_votes(numbered_pages(spark, sf_dir)).select("book_id", "off", "votes")
 
 
-@query(f"WITH {_VOTES}, r AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY votes DESC, first_vote) AS r FROM v) SELECT book_id, off, votes FROM r WHERE r = 1")
+@query(f"""WITH {_VOTES}, r AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY votes DESC, first_vote) AS r FROM v)
+  SELECT book_id, off, votes FROM r WHERE r = 1""")
 def offset_majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offset with most votes; of equal ones that with the first vote."""
     return anchors.voted_offset(numbered_pages(spark, sf_dir))
@@ -292,11 +323,13 @@ _MD = "replace(replace(replace(text, '\\', '\\\\'), '<', '&lt;'), '>', '&gt;')"
 
 # --- sequences
 
-_RUNS = """r AS (SELECT *, CASE WHEN lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS c FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+_RUNS = """r AS (SELECT *, CASE WHEN lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS c
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 i AS (SELECT *, sum(c) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM r)"""
 
 
-@query(f"WITH {_RUNS} SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, count(*) AS items, min(turn) AS first_turn FROM i GROUP BY conv_id, island")
+@query(f"""WITH {_RUNS} SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, count(*) AS items,
+  min(turn) AS first_turn FROM i GROUP BY conv_id, island""")
 def list_run_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sequence.islands(t(spark, sf_dir, "conversations"), F.col("role"), ["conv_id"], ["turn"])
     return rows.groupBy("conv_id", "island").agg(F.any_value("role").alias("role"), F.count("*").alias("items"), F.min("turn").alias("first_turn"))
@@ -308,20 +341,26 @@ def typed_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(k < 5, "list").when(k < 7, "adm").when(k < 8, "title").otherwise("other")
     rows = t(spark, sf_dir, "conversations").withColumn("k", k).withColumn("type", kind)
     return rows.select(
-        "conv_id", "turn", "type", F.when(F.col("type").isin("list", "adm"), (F.col("k") % 2).cast("string")).alias("run_key"), (F.col("k") == 3).alias("nested"),
+        "conv_id", "turn", "type", F.when(F.col("type").isin("list", "adm"), (F.col("k") % 2).cast("string")).alias("run_key"),
+            (F.col("k") == 3).alias("nested"),
         (F.length("text") % 5 == 0).alias("closes"), "text", F.when(F.col("k") == 6, "static").alias("rule_title"),
     )
 
 
 _TYPED = """q AS (SELECT *, (conv_id * 7 + turn * 3 + length(text)) % 10 AS k FROM conversations),
-z AS (SELECT conv_id, turn, k, CASE WHEN k < 5 THEN 'list' WHEN k < 7 THEN 'adm' WHEN k < 8 THEN 'title' ELSE 'other' END AS type, k = 3 AS nested, length(text) % 5 = 0 AS closes, text, CASE WHEN k = 6 THEN 'static' END AS rule_title FROM q),
+z AS (SELECT conv_id, turn, k, CASE WHEN k < 5 THEN 'list' WHEN k < 7 THEN 'adm' WHEN k < 8 THEN 'title' ELSE 'other' END AS type,
+  k = 3 AS nested, length(text) % 5 = 0 AS closes, text, CASE WHEN k = 6 THEN 'static' END AS rule_title FROM q),
 y AS (SELECT *, CASE WHEN type IN ('list', 'adm') THEN CAST(k % 2 AS VARCHAR) END AS run_key FROM z)"""
 _BLOCKS = f"""WITH {_TYPED},
-e AS (SELECT *, coalesce(count(*) FILTER (type = 'adm') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ep, count(*) FILTER (type = 'title' AND closes) OVER (PARTITION BY conv_id ORDER BY turn) AS tc FROM y),
-p AS (SELECT *, last_value(CASE WHEN type = 'title' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id, ep ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pend FROM e),
-b AS (SELECT *, type NOT IN ('list', 'adm') OR type IS DISTINCT FROM lag(type) OVER w OR coalesce(lag(closes) OVER w, false) OR tc IS DISTINCT FROM lag(tc) OVER w AS st FROM p WHERE type <> 'title' WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+e AS (SELECT *, coalesce(count(*) FILTER (type = 'adm') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 1 PRECEDING), 0) AS ep, count(*) FILTER (type = 'title' AND closes) OVER (PARTITION BY conv_id ORDER BY turn) AS tc FROM y),
+p AS (SELECT *, last_value(CASE WHEN type = 'title' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id, ep
+  ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pend FROM e),
+b AS (SELECT *, type NOT IN ('list', 'adm') OR type IS DISTINCT FROM lag(type) OVER w OR coalesce(lag(closes) OVER w, false)
+  OR tc IS DISTINCT FROM lag(tc) OVER w AS st FROM p WHERE type <> 'title' WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 s AS (SELECT *, sum(CAST(st AS INT)) OVER (PARTITION BY conv_id ORDER BY turn) AS stretch FROM b),
-o AS (SELECT *, last_value(CASE WHEN NOT nested OR st THEN run_key END IGNORE NULLS) OVER (PARTITION BY conv_id, stretch ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok FROM s),
+o AS (SELECT *, last_value(CASE WHEN NOT nested OR st THEN run_key END IGNORE NULLS) OVER (PARTITION BY conv_id, stretch
+  ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok FROM s),
 c AS (SELECT *, st OR ok IS DISTINCT FROM lag(ok) OVER (PARTITION BY conv_id, stretch ORDER BY turn) AS ch FROM o),
 n AS (SELECT *, CAST(sum(CAST(ch AS INT)) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS block_no FROM c)"""
 
@@ -332,28 +371,34 @@ def list_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_BLOCKS}, d AS (SELECT *, CASE WHEN type = 'adm' THEN coalesce(nullif(pend, ''), rule_title) END AS tt FROM n)
-SELECT conv_id, turn, block_no, first_value(tt) OVER (PARTITION BY conv_id, block_no ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS adm_title FROM d""")
+SELECT conv_id, turn, block_no, first_value(tt) OVER (PARTITION BY conv_id, block_no ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING
+  AND UNBOUNDED FOLLOWING) AS adm_title FROM d""")
 def admonition_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.block_runs(typed_paragraphs(spark, sf_dir), ["conv_id"], ["turn"]).select("conv_id", "turn", "block_no", "adm_title")
 
 
 @query(f"""{_BLOCKS}, l AS (SELECT *, ok IS DISTINCT FROM run_key AS att FROM n WHERE type = 'list'),
 p2 AS (SELECT *, count(*) FILTER (NOT att) OVER (PARTITION BY conv_id, block_no ORDER BY turn) AS parent FROM l),
-g AS (SELECT *, lag(CASE WHEN att THEN run_key END) OVER (PARTITION BY conv_id, block_no, parent ORDER BY turn) IS DISTINCT FROM run_key AS nw FROM p2),
+g AS (SELECT *, lag(CASE WHEN att THEN run_key END) OVER (PARTITION BY conv_id, block_no, parent ORDER BY turn) IS DISTINCT
+  FROM run_key AS nw FROM p2),
 u AS (SELECT *, CASE WHEN att THEN count(*) FILTER (att AND nw) OVER (PARTITION BY conv_id, block_no, parent ORDER BY turn) END AS sub FROM g),
 m AS (SELECT *, max(sub) OVER (PARTITION BY conv_id, block_no, parent) AS last FROM u),
-i AS (SELECT *, CASE WHEN att THEN count(*) FILTER (att) OVER (PARTITION BY conv_id, block_no, parent, sub ORDER BY turn) ELSE parent END AS i FROM m WHERE NOT att OR sub = last)
-SELECT conv_id, turn, i AS n, rtrim(CASE WHEN att THEN '  ' ELSE '' END || CASE run_key WHEN '1' THEN i || '.' ELSE '-' END || ' ' || text, chr(10) || ' ') AS line FROM i""")
+i AS (SELECT *, CASE WHEN att THEN count(*) FILTER (att) OVER (PARTITION BY conv_id, block_no, parent, sub ORDER BY turn)
+  ELSE parent END AS i FROM m WHERE NOT att OR sub = last)
+SELECT conv_id, turn, i AS n, rtrim(CASE WHEN att THEN '  ' ELSE '' END || CASE run_key WHEN '1' THEN i || '.' ELSE '-' END || ' ' || text,
+  chr(10) || ' ') AS line FROM i""")
 def list_items_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with their numbers, in their lists and in the lists attached to them, of which an item keeps the last."""
     runs = sequence.block_runs(typed_paragraphs(spark, sf_dir), ["conv_id"], ["turn"])
     ordered = F.col("run_key") == "1"
-    runs = runs.withColumns({"ordered": ordered, "marker": F.when(ordered, "decimal").otherwise("bullet"), "level": F.lit(1), "rendered": F.col("text")})
+    runs = runs.withColumns({"ordered": ordered, "marker": F.when(ordered, "decimal").otherwise("bullet"), "level": F.lit(1),
+        "rendered": F.col("text")})
     return convert.numbered_items(runs, ["conv_id"], ["turn"]).select("conv_id", "turn", "n", "line")
 
 
 @query(f"""SELECT conv_id, turn, CASE role WHEN 'assistant' THEN '**' || {_MD} || '**' WHEN 'system' THEN '***' || {_MD} || '***' ELSE {_MD} END
-  || CASE WHEN turn % 2 = 1 THEN '  ' || chr(10) ELSE CASE WHEN role = 'user' AND (text LIKE '% ' OR text LIKE '%' || chr(10)) THEN '' ELSE ' ' END END || '$x_' || turn || '$ $y$<sub>i</sub>($z<w$' AS md FROM conversations""")
+  || CASE WHEN turn % 2 = 1 THEN '  ' || chr(10) ELSE CASE WHEN role = 'user' AND (text LIKE '% ' OR text LIKE '%' || chr(10)) THEN ''
+  ELSE ' ' END END || '$x_' || turn || '$ $y$<sub>i</sub>($z<w$' AS md FROM conversations""")
 def inlines_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs escaped and wrapped, breaks, and equations with a blank before them where one is needed."""
     role, turn = F.col("role"), F.col("turn")
@@ -361,40 +406,52 @@ def inlines_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(role == "assistant", "bold").when(role == "system", "bold_italic").otherwise("text")
     cut = F.when(turn % 2 == 1, F.array(part(F.lit("line_break"), F.lit(None).cast("string")))).otherwise(F.array().cast(f"array<{render.INLINE}>"))
     equation = lambda text: part(F.lit("equation_inline"), text)
-    rest = [equation(F.concat(F.lit("x_"), turn.cast("string"))), equation(F.lit("y")), part(F.lit("subscript"), F.lit("i")), part(F.lit("text"), F.lit("(")), equation(F.lit("z<w"))]
+    rest = [equation(F.concat(F.lit("x_"), turn.cast("string"))), equation(F.lit("y")), part(F.lit("subscript"), F.lit("i")),
+        part(F.lit("text"), F.lit("(")), equation(F.lit("z<w"))]
     inlines = F.concat(F.array(part(kind, F.col("text"))), cut, F.array(*rest))
     return t(spark, sf_dir, "conversations").select("conv_id", "turn", render.render_inlines(inlines).alias("md"))
 
 
-@query("SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pending FROM conversations")
+@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id
+  ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pending FROM conversations""")
 def pending_title_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequence.carried(t(spark, sf_dir, "conversations"), F.when(F.col("role") == "user", F.col("text")), ["conv_id"], ["turn"], "pending").select("conv_id", "turn", "pending")
+    return sequence.carried(t(spark, sf_dir, "conversations"), F.when(F.col("role") == "user", F.col("text")), ["conv_id"], ["turn"],
+        "pending").select("conv_id", "turn", "pending")
 
 
 @query("""SELECT doc_id, CAST(len(s) AS INT) AS items, md5(array_to_string(CASE WHEN len(s) = 0 THEN [text] ELSE s END, '|')) AS digest
 FROM (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS s FROM documents)""")
 def split_inlines_by_break(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.split("text", "\n", -1)
-    pieces = F.flatten(F.transform(lines, lambda x, i: F.when(i == 0, F.array(F.struct(F.lit("text").alias("kind"), x.alias("text")))).otherwise(F.array(F.struct(F.lit("line_break").alias("kind"), F.lit(None).cast("string").alias("text")), F.struct(F.lit("text").alias("kind"), x.alias("text"))))))
+    pieces = F.flatten(F.transform(lines, lambda x, i: F.when(i == 0,
+        F.array(F.struct(F.lit("text").alias("kind"), x.alias("text")))).otherwise(F.array(F.struct(F.lit("line_break").alias("kind"),
+            F.lit(None).cast("string").alias("text")), F.struct(F.lit("text").alias("kind"), x.alias("text"))))))
     rows = t(spark, sf_dir, "documents").select("doc_id", sequence.split_by_break(pieces).alias("items"))
-    return rows.select("doc_id", F.size("items").alias("items"), F.md5(F.array_join(F.transform("items", lambda i: render.flat_text(i)), "|").cast("binary")).alias("digest"))
+    return rows.select("doc_id", F.size("items").alias("items"),
+        F.md5(F.array_join(F.transform("items", lambda i: render.flat_text(i)), "|").cast("binary")).alias("digest"))
 
 
-@query("""WITH p AS (SELECT conv_id, turn, CAST(coalesce(sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, CAST(sum(length(text) + 1) OVER (PARTITION BY conv_id) AS BIGINT) AS total FROM conversations)
+@query("""WITH p AS (SELECT conv_id, turn, CAST(coalesce(sum(length(text) + 1) OVER (PARTITION BY conv_id
+  ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+  CAST(sum(length(text) + 1) OVER (PARTITION BY conv_id) AS BIGINT) AS total FROM conversations)
 SELECT conv_id, turn, start, coalesce(lead(start) OVER (PARTITION BY conv_id ORDER BY turn), total) AS chunk_end FROM p""")
 def chunk_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     w, size = Window.partitionBy("conv_id"), F.length("text") + 1
     before = w.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long").alias("start"), F.sum(size).over(w).cast("long").alias("total"))
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce(F.sum(size).over(before),
+        F.lit(0)).cast("long").alias("start"), F.sum(size).over(w).cast("long").alias("total"))
     return sequence.boundaries(rows, ["conv_id"], ["turn"], "start", F.col("total")).drop("total")
 
 
 # --- frames
 
-_FRAMES = """SELECT l_orderkey % 97 AS book_id, l_orderkey || '-' || l_linenumber AS self_id, 's' || (l_orderkey // 2) AS parent_story, CASE WHEN l_linenumber = 1 THEN 'n' ELSE l_orderkey || '-' || (l_linenumber - 1) END AS prev_id, min(l_partkey % 50) AS spread_index, l_linenumber AS order_in_spread FROM lineitem GROUP BY l_orderkey, l_linenumber"""
-_ROOTS = f"""f AS ({_FRAMES}), c AS (SELECT book_id, self_id, self_id AS here, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id, c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100),
+_FRAMES = """SELECT l_orderkey % 97 AS book_id, l_orderkey || '-' || l_linenumber AS self_id, 's' || (l_orderkey // 2) AS parent_story,
+  CASE WHEN l_linenumber = 1 THEN 'n' ELSE l_orderkey || '-' || (l_linenumber - 1) END AS prev_id, min(l_partkey % 50) AS spread_index,
+  l_linenumber AS order_in_spread FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+_ROOTS = f"""f AS ({_FRAMES}), c AS (SELECT book_id, self_id, self_id AS here, prev_id, 0 AS d FROM f UNION ALL SELECT c.book_id,
+  c.self_id, f.self_id, f.prev_id, d + 1 FROM c JOIN f ON f.book_id = c.book_id AND f.self_id = c.prev_id WHERE d < 100),
 r AS (SELECT book_id, self_id, arg_max(here, d) AS root_id FROM c GROUP BY ALL)"""
 
 
@@ -403,7 +460,8 @@ def frame_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = lambda x: F.concat(k.cast("string"), F.lit("-"), x.cast("string"))
     rows = t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.col("l_partkey") % 50).alias("spread_index"))
     return rows.select(
-        (k % 97).alias("book_id"), name(n).alias("self_id"), F.concat(F.lit("s"), F.floor(k / 2).cast("string")).alias("parent_story"), F.when(n == 1, "n").otherwise(name(n - 1)).alias("prev_id"),
+        (k % 97).alias("book_id"), name(n).alias("self_id"), F.concat(F.lit("s"), F.floor(k / 2).cast("string")).alias("parent_story"),
+            F.when(n == 1, "n").otherwise(name(n - 1)).alias("prev_id"),
         "spread_index", n.alias("order_in_spread"), F.lit(False).alias("is_master"),
     )
 
@@ -413,8 +471,10 @@ def thread_root_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.thread_roots(frame_rows(spark, sf_dir))
 
 
-@query(f"""WITH RECURSIVE {_ROOTS}, s AS (SELECT book_id, parent_story AS story_id, arg_min(self_id, (spread_index, order_in_spread, self_id)) AS self_id, min((spread_index, order_in_spread, self_id)) AS seen FROM f GROUP BY ALL)
-SELECT s.book_id, s.story_id, r.root_id AS first_frame_id, f.spread_index, f.order_in_spread, row_number() OVER (PARTITION BY s.book_id ORDER BY f.spread_index, f.order_in_spread, s.seen) - 1 AS story_ord
+@query(f"""WITH RECURSIVE {_ROOTS}, s AS (SELECT book_id, parent_story AS story_id, arg_min(self_id, (spread_index, order_in_spread,
+  self_id)) AS self_id, min((spread_index, order_in_spread, self_id)) AS seen FROM f GROUP BY ALL)
+SELECT s.book_id, s.story_id, r.root_id AS first_frame_id, f.spread_index, f.order_in_spread, row_number() OVER (PARTITION BY s.book_id
+  ORDER BY f.spread_index, f.order_in_spread, s.seen) - 1 AS story_ord
 FROM s JOIN r USING (book_id, self_id) JOIN f ON f.book_id = s.book_id AND f.self_id = r.root_id""")
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = order.reading_order(frame_rows(spark, sf_dir)).drop("is_master")
@@ -432,7 +492,8 @@ def eps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("%!PS\r\n%MathType!MathML!1!\r\n%<mathxmlns='u'display='block'>\r\n%<mfrac><mi>"), F.char(97 + size % 26), F.lit("</mi><mn>"),
         size.cast("string"), F.lit("</mn></mfrac><mfencedopen='['separators=';'/></math>\r\nend"),
     )
-    text = F.when(size % 5 == 0, "%!PS drawing").when(size % 5 == 1, "%MathType!MTEF!2").when(size % 15 == 2, "%MathType!MathML!1\n%<x/>\n").otherwise(body)
+    text = F.when(size % 5 == 0, "%!PS drawing").when(size % 5 == 1, "%MathType!MTEF!2").when(size % 15 == 2,
+        "%MathType!MathML!1\n%<x/>\n").otherwise(body)
     rows = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), "p_size", F.encode(text, "ISO-8859-1").alias("content"))
     return rows.withColumn("text", equations.eps_text(F.col("content")))
 
@@ -441,30 +502,43 @@ _EPS = """CASE WHEN p_size % 5 = 0 THEN 'no_marker' WHEN p_size % 5 = 1 THEN 'mt
 
 
 @query(f"""SELECT p_partkey AS basename, {_EPS} AS status, CASE WHEN {_EPS} = 'ok'
-THEN '<math xmlns=''u'' display=''block''><mfrac><mi>' || chr(97 + p_size % 26) || '</mi><mn>' || p_size || '</mn></mfrac><mfenced open=''['' separators='';''/></math>' END AS mathml FROM part""")
+THEN '<math xmlns=''u'' display=''block''><mfrac><mi>' || chr(97 + p_size % 26) || '</mi><mn>' || p_size
+  || '</mn></mfrac><mfenced open=''['' separators='';''/></math>' END AS mathml FROM part""")
 def equation_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equations.extract(eps_rows(spark, sf_dir)).select("basename", "status", "mathml")
 
 
 #: MathML and the LaTeX that it stands for: every element kind, words, spaces, macros before letters, escapes.
 LATEX = (
-    ("<mi>x</mi>", "x"), ("<mi>sin</mi>", r"\mathrm{sin}"), ("<mn> 2,5 </mn><mo>×</mo><mi>α</mi>", r"2,5\times\alpha"), ("<mfrac><mi>a</mi><mn>2</mn></mfrac>", r"\frac{a}{2}"),
-    ("<msqrt><mi>b</mi><mo>+</mo><mn>1</mn></msqrt>", r"\sqrt{b+1}"), ("<mroot><mi>x</mi><mn>3</mn></mroot>", r"\sqrt[3]{x}"), ("<msup><mi>x</mi><mn>2</mn></msup>", "x^{2}"),
-    ("<msub><mi>x</mi><mi>i</mi></msub>", "x_{i}"), ("<msubsup><mi>x</mi><mn>1</mn><mn>2</mn></msubsup>", "x_{1}^{2}"), ("<munder><mo>∑</mo><mi>i</mi></munder>", r"\underset{i}{\sum}"),
-    ("<mover><mi>x</mi><mo>→</mo></mover>", r"\overset{\to}{x}"), ("<munderover><mo>∑</mo><mi>i</mi><mi>n</mi></munderover>", r"\overset{n}{\underset{i}{\sum}}"),
-    ("<mfenced open='[' close='' separators=';'><mi>a</mi><mi>b</mi></mfenced>", r"\left[a;b\right."), ("<mfenced open='{' close='}'><mi>a</mi></mfenced>", r"\left\{a\right\}"),
-    ("<mtext> a_b%c </mtext>", r"\text{a\_b\%c}"), ("<ms>q</ms><mspace/><mn>1</mn>", r"\text{q}\,1"), ("<mi>o</mi><mi>u</mi>", r"\text{ou}"), ("<mi>F</mi><mi>V</mi>", r"\mathrm{FV}"),
-    ("<mi>t</mi><mi>a</mi><mi>x</mi><mi>a</mi>", r"\text{taxa}"), ("<mi>a</mi><mo>\u00a0</mo><mi>d</mi><mi>e</mi>", r"a\,\text{de}"), ("<mo>·</mo><mi>a</mi>", r"\cdot a"),
-    ("<mi>x</mi><mi>x</mi><mi>x</mi>", r"\mathrm{xxx}"), ("<mtable><mtr><mtd><mi>a</mi></mtd><mtd><mn>1</mn></mtd></mtr><mlabeledtr><mtd><mi>b</mi></mtd></mlabeledtr></mtable>", r"\begin{matrix} a & 1 \\ b \end{matrix}"),
-    ("<mstyle><mrow><mi>a</mi><mo>≤</mo><mi>b</mi></mrow></mstyle><mphantom><mi>c</mi></mphantom>", r"a\leq bc"), ("<semantics><mi>z</mi></semantics>", "z"), ("<msup/>", ""), ("<merror><mo>≥</mo></merror><mi>β</mi>", r"\geq\beta"),
+    ("<mi>x</mi>", "x"), ("<mi>sin</mi>", r"\mathrm{sin}"), ("<mn> 2,5 </mn><mo>×</mo><mi>α</mi>", r"2,5\times\alpha"),
+        ("<mfrac><mi>a</mi><mn>2</mn></mfrac>", r"\frac{a}{2}"),
+    ("<msqrt><mi>b</mi><mo>+</mo><mn>1</mn></msqrt>", r"\sqrt{b+1}"), ("<mroot><mi>x</mi><mn>3</mn></mroot>", r"\sqrt[3]{x}"),
+        ("<msup><mi>x</mi><mn>2</mn></msup>", "x^{2}"),
+    ("<msub><mi>x</mi><mi>i</mi></msub>", "x_{i}"), ("<msubsup><mi>x</mi><mn>1</mn><mn>2</mn></msubsup>", "x_{1}^{2}"),
+        ("<munder><mo>∑</mo><mi>i</mi></munder>", r"\underset{i}{\sum}"),
+    ("<mover><mi>x</mi><mo>→</mo></mover>", r"\overset{\to}{x}"), ("<munderover><mo>∑</mo><mi>i</mi><mi>n</mi></munderover>",
+        r"\overset{n}{\underset{i}{\sum}}"),
+    ("<mfenced open='[' close='' separators=';'><mi>a</mi><mi>b</mi></mfenced>", r"\left[a;b\right."),
+        ("<mfenced open='{' close='}'><mi>a</mi></mfenced>", r"\left\{a\right\}"),
+    ("<mtext> a_b%c </mtext>", r"\text{a\_b\%c}"), ("<ms>q</ms><mspace/><mn>1</mn>", r"\text{q}\,1"), ("<mi>o</mi><mi>u</mi>",
+        r"\text{ou}"), ("<mi>F</mi><mi>V</mi>", r"\mathrm{FV}"),
+    ("<mi>t</mi><mi>a</mi><mi>x</mi><mi>a</mi>", r"\text{taxa}"), ("<mi>a</mi><mo>\u00a0</mo><mi>d</mi><mi>e</mi>", r"a\,\text{de}"),
+        ("<mo>·</mo><mi>a</mi>", r"\cdot a"),
+    ("<mi>x</mi><mi>x</mi><mi>x</mi>", r"\mathrm{xxx}"),
+        ("<mtable><mtr><mtd><mi>a</mi></mtd><mtd><mn>1</mn></mtd></mtr><mlabeledtr><mtd><mi>b</mi></mtd></mlabeledtr></mtable>",
+            r"\begin{matrix} a & 1 \\ b \end{matrix}"),
+    ("<mstyle><mrow><mi>a</mi><mo>≤</mo><mi>b</mi></mrow></mstyle><mphantom><mi>c</mi></mphantom>", r"a\leq bc"),
+        ("<semantics><mi>z</mi></semantics>", "z"), ("<msup/>", ""), ("<merror><mo>≥</mo></merror><mi>β</mi>", r"\geq\beta"),
 )
 
 
-@query("SELECT p_partkey AS basename, x.latex FROM part JOIN (VALUES " + ", ".join("({}, '{}')".format(i, want.replace("'", "''")) for i, (_, want) in enumerate(LATEX)) + f") AS x(i, latex) ON x.i = p_partkey % {len(LATEX)}")
+@query("SELECT p_partkey AS basename, x.latex FROM part JOIN (VALUES " + ", ".join("({}, '{}')".format(i, want.replace("'", "''")) for i,
+    (_, want) in enumerate(LATEX)) + f") AS x(i, latex) ON x.i = p_partkey % {len(LATEX)}")
 def equation_to_latex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every element kind, by the number of the part."""
     bodies = F.array(*[F.lit(f"<math>{m}</math>") for m, _ in LATEX])
-    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), F.element_at(bodies, (F.col("p_partkey") % len(LATEX) + 1).cast("int")).alias("mathml"))
+    rows = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("basename"), F.element_at(bodies,
+        (F.col("p_partkey") % len(LATEX) + 1).cast("int")).alias("mathml"))
     return latex.converted(rows.withColumn("sha1", F.sha1(F.col("mathml").cast("binary")))).select("basename", "latex")
 
 
@@ -484,8 +558,10 @@ def equation_cache_use(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH x AS (SELECT conv_id, turn, length('# kapitel nummer eins zwei ' || turn || ' ' || text) + 2 AS n FROM conversations),
-p AS (SELECT conv_id AS book_id, turn, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n + 2 AS start, sum(n) OVER (PARTITION BY conv_id) - 2 AS total FROM x)
-SELECT book_id, 1 AS unit_index, CAST(turn AS INT) AS chap_index, CAST(start AS INT) AS start, CAST(coalesce(lead(start) OVER (PARTITION BY book_id ORDER BY turn), total) AS INT) AS chunk_end FROM p""")
+p AS (SELECT conv_id AS book_id, turn, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n + 2 AS start,
+  sum(n) OVER (PARTITION BY conv_id) - 2 AS total FROM x)
+SELECT book_id, 1 AS unit_index, CAST(turn AS INT) AS chap_index, CAST(start AS INT) AS start,
+  CAST(coalesce(lead(start) OVER (PARTITION BY book_id ORDER BY turn), total) AS INT) AS chunk_end FROM p""")
 def monotone_anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every turn begins and ends in its conversation: each search starts where the last ended."""
     number = F.col("turn").cast("string")
@@ -495,7 +571,8 @@ def monotone_anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
     texts = rows.groupBy("book_id").agg(F.array_join(ordered, "\n\n").alias("markdown"))
     title = F.concat(F.lit("Kapitel *nummer* Eins, zwei "), "number")
-    wanted = rows.select("book_id", F.lit(1).alias("unit_index"), F.col("turn").cast("int").alias("chap_index"), title.alias("title"), F.lit("").alias("start_anchor"))
+    wanted = rows.select("book_id", F.lit(1).alias("unit_index"), F.col("turn").cast("int").alias("chap_index"), title.alias("title"),
+        F.lit("").alias("start_anchor"))
     found = chunks.chapter_positions(texts, wanted)
     return found.withColumn("book_id", F.col("book_id").cast("long"))
 
@@ -515,7 +592,8 @@ def queue_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, sha1(text) AS sha1, CAST(min(doc_id) OVER (PARTITION BY sha1(text)) AS VARCHAR) AS first_name FROM documents")
 def content_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = t(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("basename"), F.col("doc_id").alias("ord"), F.col("text").cast("binary").alias("content"))
+    files = t(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("basename"), F.col("doc_id").alias("ord"),
+        F.col("text").cast("binary").alias("content"))
     return assets.content_aliases(files).select("doc_id", "sha1", "first_name")
 
 
@@ -541,9 +619,11 @@ def name_disambiguate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.distinct_names(files, ["basename"], "doc_id").select("doc_id", "target")
 
 
-@query("""WITH u AS (SELECT doc_id, 'r/' || quality AS rel_path, 0 AS p FROM labels UNION ALL SELECT doc_id, CASE WHEN lang = 'en' THEN 'v/' || lang END, 1 FROM documents),
+@query("""WITH u AS (SELECT doc_id, 'r/' || quality AS rel_path, 0 AS p FROM labels UNION ALL SELECT doc_id, CASE WHEN lang = 'en'
+  THEN 'v/' || lang END, 1 FROM documents),
 m AS (SELECT doc_id, arg_max(rel_path, p) AS rel_path FROM u WHERE rel_path IS NOT NULL GROUP BY doc_id)
-SELECT page_id, CASE WHEN regexp_matches(coalesce(m.rel_path, url), '^(https?://|data:|/|\\.\\./)') THEN coalesce(m.rel_path, url) ELSE '../../' || coalesce(m.rel_path, url) END AS src FROM pages LEFT JOIN m ON m.doc_id = pages.page_id""")
+SELECT page_id, CASE WHEN regexp_matches(coalesce(m.rel_path, url), '^(https?://|data:|/|\\.\\./)') THEN coalesce(m.rel_path, url)
+  ELSE '../../' || coalesce(m.rel_path, url) END AS src FROM pages LEFT JOIN m ON m.doc_id = pages.page_id""")
 def path_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = t(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("r/"), F.col("quality").cast("string")).alias("rel_path"))
     v = t(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", F.concat(F.lit("v/"), "lang")).alias("rel_path"))
@@ -578,46 +658,57 @@ def skipped_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.skipped(task_rows(spark, sf_dir), done_rows(spark, sf_dir))
 
 
-@query("""WITH f AS (SELECT c_mktsegment || '/' || c_nationkey AS dir, min((c_name, c_acctbal > 0)) AS first, count(*) AS packages FROM customer GROUP BY ALL),
+@query("""WITH f AS (SELECT c_mktsegment || '/' || c_nationkey AS dir, min((c_name, c_acctbal > 0)) AS first, count(*) AS packages
+  FROM customer GROUP BY ALL),
 g AS (SELECT dir, first[1] AS package, split_part(dir, '/', 2) || '-' || first[2] AS slug, packages FROM f)
 SELECT *, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY dir) = 1 THEN 'task' ELSE 'slug_taken' END AS status FROM g""")
 def book_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first package of every directory, the first directory of every slug."""
     nation = F.col("c_nationkey").cast("string")
     slug = F.concat(nation, F.lit("-"), (F.col("c_acctbal") > 0).cast("string"))
-    rows = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("/"), nation).alias("dir"), F.col("c_name").alias("package"), slug.alias("slug"))
+    rows = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("/"), nation).alias("dir"), F.col("c_name").alias("package"),
+        slug.alias("slug"))
     return batch.discover(rows)
 
 
-@query("""WITH k AS (SELECT DISTINCT c_mktsegment || '/' || c_nationkey AS dir, 's' || c_nationkey AS slug, CAST(c_nationkey AS VARCHAR) AS folder FROM customer),
-f AS (SELECT 's' || n_nationkey AS name, 'output' AS kind FROM nation WHERE n_regionkey = 0 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), CASE n_regionkey WHEN 1 THEN 'done' ELSE 'error' END FROM nation WHERE n_regionkey IN (1, 2))
+@query("""WITH k AS (SELECT DISTINCT c_mktsegment || '/' || c_nationkey AS dir, 's' || c_nationkey AS slug,
+  CAST(c_nationkey AS VARCHAR) AS folder FROM customer),
+f AS (SELECT 's' || n_nationkey AS name, 'output' AS kind FROM nation WHERE n_regionkey = 0 UNION ALL SELECT CAST(n_nationkey AS VARCHAR),
+  CASE n_regionkey WHEN 1 THEN 'done' ELSE 'error' END FROM nation WHERE n_regionkey IN (1, 2))
 SELECT f.kind, k.dir AS key FROM f JOIN k ON (f.kind = 'output' AND f.name = k.slug) OR (f.kind <> 'output' AND f.name = k.folder)""")
 def processed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Books known by an output of their slug, or by a folder among the done or the failed."""
     nation, region = F.col("n_nationkey").cast("string"), F.col("n_regionkey")
     own = F.col("c_nationkey").cast("string")
-    tasks = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("/"), own).alias("dir"), F.concat(F.lit("s"), own).alias("slug")).distinct()
+    tasks = t(spark, sf_dir, "customer").select(F.concat("c_mktsegment", F.lit("/"), own).alias("dir"), F.concat(F.lit("s"),
+        own).alias("slug")).distinct()
     kind = F.when(region == 0, "output").when(region == 1, "done").when(region == 2, "error")
     found = t(spark, sf_dir, "nation").select(F.when(region == 0, F.concat(F.lit("s"), nation)).otherwise(nation).alias("name"), kind.alias("kind"))
     return batch.processed(tasks, found.filter("kind is not null"))
 
 
-@query("SELECT o_orderpriority AS dir, min(o_orderkey) AS path FROM orders o WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders i WHERE i.o_orderpriority = o.o_orderpriority) GROUP BY ALL")
+@query("""SELECT o_orderpriority AS dir, min(o_orderkey) AS path FROM orders o WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders i
+  WHERE i.o_orderpriority = o.o_orderpriority) GROUP BY ALL""")
 def largest_sibling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dir"), F.col("o_orderkey").alias("path"), F.col("o_totalprice").alias("length"))
+    files = t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dir"), F.col("o_orderkey").alias("path"),
+        F.col("o_totalprice").alias("length"))
     return pdf.largest_sibling(files, ["dir"])
 
 
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN '{}' WHEN 'O' THEN '{}' ELSE 'skipped' END"
 
 
-@query(f"SELECT count(*) FILTER (s = 'done') AS done, count(*) FILTER (s = 'error') AS error, count(*) FILTER (s = 'skipped') AS skipped, count(*) AS total FROM (SELECT {_STATUS.format('done', 'error')} AS s FROM orders)")
+@query(f"""SELECT count(*) FILTER (s = 'done') AS done, count(*) FILTER (s = 'error') AS error, count(*) FILTER (s = 'skipped') AS skipped,
+  count(*) AS total FROM (SELECT {_STATUS.format('done', 'error')} AS s FROM orders)""")
 def batch_status_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("o_orderstatus")
     return batch.totals(t(spark, sf_dir, "orders").select(F.when(s == "F", "done").when(s == "O", "error").otherwise("skipped").alias("status")))
 
 
-@query(f"SELECT count(*) FILTER (s = 'ok') AS ok, count(*) FILTER (s = 'failed') AS failed, count(*) FILTER (s = 'ok') / (count(*) FILTER (s = 'ok') + count(*) FILTER (s = 'failed')) AS rate, count(*) FILTER (s = 'ok') / (count(*) FILTER (s = 'ok') + count(*) FILTER (s = 'failed')) >= 0.95 AS passed FROM (SELECT {_STATUS.format('ok', 'failed')} AS s FROM orders)")
+@query(f"""SELECT count(*) FILTER (s = 'ok') AS ok, count(*) FILTER (s = 'failed') AS failed,
+  count(*) FILTER (s = 'ok') / (count(*) FILTER (s = 'ok') + count(*) FILTER (s = 'failed')) AS rate,
+  count(*) FILTER (s = 'ok') / (count(*) FILTER (s = 'ok') + count(*) FILTER (s = 'failed')) >= 0.95 AS passed
+  FROM (SELECT {_STATUS.format('ok', 'failed')} AS s FROM orders)""")
 def success_rate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("o_orderstatus")
     return batch.success_rate(t(spark, sf_dir, "orders").select(F.when(s == "F", "ok").when(s == "O", "failed").otherwise("skipped").alias("status")))
@@ -634,8 +725,10 @@ def html_blocks(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", "ord", kind.alias("kind"), text.alias("text")).filter("text <> ''")
 
 
-_HTML = r"""h AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>')) AS el, unnest(range(len(regexp_extract_all(html, '(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>')))) AS ord FROM pages),
-b AS (SELECT page_id, CAST(ord AS INT) AS ord, CASE WHEN el LIKE '<h1%' THEN 'heading' WHEN el LIKE '<li%' THEN 'list' ELSE 'paragraph' END AS kind, trim(regexp_replace(regexp_replace(el, '<[^>]*>', '', 'g'), '[ \t\r\n]+', ' ', 'g')) AS text FROM h),
+_HTML = r"""h AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>')) AS el,
+  unnest(range(len(regexp_extract_all(html, '(?s)<(?:h1|p|li)[ >].*?</(?:h1|p|li)>')))) AS ord FROM pages),
+b AS (SELECT page_id, CAST(ord AS INT) AS ord, CASE WHEN el LIKE '<h1%' THEN 'heading' WHEN el LIKE '<li%' THEN 'list'
+  ELSE 'paragraph' END AS kind, trim(regexp_replace(regexp_replace(el, '<[^>]*>', '', 'g'), '[ \t\r\n]+', ' ', 'g')) AS text FROM h),
 x AS (SELECT * FROM b WHERE text <> '')"""
 
 
@@ -650,18 +743,22 @@ def block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query(f"""WITH {_HTML} SELECT page_id, regexp_replace(rtrim(string_agg(CASE kind WHEN 'heading' THEN '# ' || {_MD} WHEN 'list' THEN '- ' || {_MD} ELSE {_MD} END, chr(10) || chr(10) ORDER BY ord)) || chr(10), '\\n{{3,}}', '\n\n', 'g') AS markdown FROM x GROUP BY page_id""")
+@query(f"""WITH {_HTML} SELECT page_id, regexp_replace(rtrim(string_agg(CASE kind WHEN 'heading' THEN '# ' || {_MD} WHEN 'list' THEN '- '
+  || {_MD} ELSE {_MD} END, chr(10) || chr(10) ORDER BY ord)) || chr(10), '\\n{{3,}}', '\n\n', 'g') AS markdown FROM x GROUP BY page_id""")
 def document_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = X.md_escape(F.col("text"))
     md = F.when(F.col("kind") == "heading", X.heading(F.lit(1), text)).when(F.col("kind") == "list", F.concat(F.lit("- "), text)).otherwise(text)
     return render.assemble(html_blocks(t(spark, sf_dir, "pages")).withColumn("md", md), ["page_id"], ["ord"])
 
 
-@query(f"""WITH {_RUNS}, g AS (SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, string_agg(CASE WHEN text = '' THEN '>' ELSE '> ' || replace(text, chr(10), chr(10) || '> ') END, chr(10) ORDER BY turn) AS body FROM i GROUP BY conv_id, island)
-SELECT conv_id, island, '> [!' || CASE role WHEN 'user' THEN 'NOTE' WHEN 'assistant' THEN 'TIP' ELSE 'NOTE' END || ']' || chr(10) || '> **' || role || '**' || chr(10) || body AS md FROM g""")
+@query(f"""WITH {_RUNS}, g AS (SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, string_agg(CASE WHEN text = ''
+  THEN '>' ELSE '> ' || replace(text, chr(10), chr(10) || '> ') END, chr(10) ORDER BY turn) AS body FROM i GROUP BY conv_id, island)
+SELECT conv_id, island, '> [!' || CASE role WHEN 'user' THEN 'NOTE' WHEN 'assistant' THEN 'TIP' ELSE 'NOTE' END || ']' || chr(10) || '> **'
+  || role || '**' || chr(10) || body AS md FROM g""")
 def admonition_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sequence.islands(t(spark, sf_dir, "conversations"), F.col("role"), ["conv_id"], ["turn"])
-    runs = rows.groupBy("conv_id", "island").agg(F.any_value("role").alias("role"), F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("children"))
+    runs = rows.groupBy("conv_id", "island").agg(F.any_value("role").alias("role"),
+        F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("children"))
     variant = F.when(F.col("role") == "assistant", "tip").when(F.col("role") == "user", "note").otherwise("other")
     return runs.select("conv_id", "island", render.render_callout(variant, F.col("role"), F.col("children")).alias("md"))
 
@@ -670,23 +767,31 @@ def nation_grid(spark: SparkSession, sf_dir: str, span: bool) -> DataFrame:
     """A table a region, two columns of one header and one body row: the fifth cell is outside, and cells of the letter I have no name."""
     nation = sequence.numbered(t(spark, sf_dir, "nation"), ["n_regionkey"], ["n_nationkey"], "k")
     inline = F.array(F.struct(F.lit("text").alias("kind"), F.concat("n_name", F.lit("|"), F.col("n_nationkey").cast("string")).alias("text")))
-    block = F.struct(F.lit("paragraph").alias("kind"), inline.alias("inlines"), *[F.lit(None).cast("string").alias(c) for c in ("src", "alt", "latex")])
+    block = F.struct(F.lit("paragraph").alias("kind"), inline.alias("inlines"),
+        *[F.lit(None).cast("string").alias(c) for c in ("src", "alt", "latex")])
     k = F.col("k") - 1
-    name = F.when(F.startswith("n_name", F.lit("I")), F.col("n_name")).otherwise(F.concat(F.floor(k / 2).cast("string"), F.lit(":"), (k % 2).cast("string")))
+    name = F.when(F.startswith("n_name", F.lit("I")), F.col("n_name")).otherwise(F.concat(F.floor(k / 2).cast("string"), F.lit(":"),
+        (k % 2).cast("string")))
     cells = nation.select(
-        F.col("n_regionkey").alias("table_id"), name.alias("name"), F.lit(1).alias("row_span"), F.when(F.lit(span) & (k == 1) & (F.col("n_regionkey") % 2 == 0), 2).otherwise(1).alias("col_span"),
+        F.col("n_regionkey").alias("table_id"), name.alias("name"), F.lit(1).alias("row_span"),
+            F.when(F.lit(span) & (k == 1) & (F.col("n_regionkey") % 2 == 0), 2).otherwise(1).alias("col_span"),
         F.array(block).alias("blocks"), F.lit(1).alias("header_rows"), F.lit(1).alias("body_rows"), F.lit(2).alias("columns"),
     )
     return tables.grid(cells, ["table_id"])
 
 
-_GRID = """n AS (SELECT n_regionkey AS table_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS k, n_name, n_name || '|' || n_nationkey AS x FROM nation),
-g AS (SELECT table_id, k // 2 AS r, k % 2 AS c, x FROM n WHERE k < 4 AND n_name NOT LIKE 'I%'), y AS (SELECT DISTINCT table_id, r FROM n, (SELECT unnest([0, 1]) AS r)),
+_GRID = """n AS (SELECT n_regionkey AS table_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS k, n_name, n_name
+  || '|' || n_nationkey AS x FROM nation),
+g AS (SELECT table_id, k // 2 AS r, k % 2 AS c, x FROM n WHERE k < 4 AND n_name NOT LIKE 'I%'), y AS (SELECT DISTINCT table_id, r FROM n,
+  (SELECT unnest([0, 1]) AS r)),
 w AS (SELECT table_id, max(m) AS width FROM (SELECT table_id, count(*) AS m FROM g GROUP BY table_id, r) GROUP BY table_id),
-l AS (SELECT y.table_id, y.r, max(width) AS width, rtrim('| ' || coalesce(string_agg(replace(x, '|', '\\|') || ' | ', '' ORDER BY c), '') || repeat(' | ', max(width) - count(x))) AS line,
-  '  <tr>' || coalesce(string_agg(chr(10) || '    <' || CASE y.r WHEN 0 THEN 'th' ELSE 'td' END || CASE WHEN y.table_id % 2 = 0 AND y.r = 0 AND c = 1 THEN ' colspan="2"' ELSE '' END || '>' || x || '</' || CASE y.r WHEN 0 THEN 'th' ELSE 'td' END || '>', '' ORDER BY c), '')
+l AS (SELECT y.table_id, y.r, max(width) AS width, rtrim('| ' || coalesce(string_agg(replace(x, '|', '\\|') || ' | ', '' ORDER BY c), '')
+  || repeat(' | ', max(width) - count(x))) AS line,
+  '  <tr>' || coalesce(string_agg(chr(10) || '    <' || CASE y.r WHEN 0 THEN 'th' ELSE 'td' END || CASE WHEN y.table_id % 2 = 0 AND y.r = 0
+  AND c = 1 THEN ' colspan="2"' ELSE '' END || '>' || x || '</' || CASE y.r WHEN 0 THEN 'th' ELSE 'td' END || '>', '' ORDER BY c), '')
     || chr(10) || '  </tr>' AS html FROM y JOIN w USING (table_id) LEFT JOIN g ON g.table_id = y.table_id AND g.r = y.r GROUP BY y.table_id, y.r),
-m AS (SELECT table_id, string_agg(line || CASE r WHEN 0 THEN chr(10) || '|' || array_to_string(list_transform(range(CAST(width AS BIGINT)), lambda i: ' --- '), '|') || '|' ELSE '' END, chr(10) ORDER BY r) AS gfm,
+m AS (SELECT table_id, string_agg(line || CASE r WHEN 0 THEN chr(10) || '|' || array_to_string(list_transform(range(CAST(width AS BIGINT)),
+  lambda i: ' --- '), '|') || '|' ELSE '' END, chr(10) ORDER BY r) AS gfm,
   '<table>' || chr(10) || string_agg(html, chr(10) ORDER BY r) || chr(10) || '</table>' AS html FROM l GROUP BY table_id)"""
 
 
@@ -695,23 +800,29 @@ def gfm_table_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation_grid(spark, sf_dir, False).select("table_id", tables.render_table(F.col("rows"), F.col("header_rows")).alias("md"))
 
 
-@query(f"WITH {_GRID} SELECT table_id, CASE WHEN table_id IN (SELECT table_id FROM g WHERE r = 0 AND c = 1 AND table_id % 2 = 0) THEN html ELSE gfm END AS md FROM m")
+@query(f"""WITH {_GRID} SELECT table_id, CASE WHEN table_id IN (SELECT table_id FROM g WHERE r = 0 AND c = 1 AND table_id % 2 = 0)
+  THEN html ELSE gfm END AS md FROM m""")
 def html_table_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables with a spanning cell as HTML, the others as GFM."""
     return nation_grid(spark, sf_dir, True).select("table_id", tables.render_table(F.col("rows"), F.col("header_rows")).alias("md"))
 
 
-@query(f"""WITH s AS (SELECT page_id, {_H1} AS title FROM pages), f AS (SELECT page_id, title, row_number() OVER (PARTITION BY page_id % 10 ORDER BY page_id) AS n FROM s WHERE title <> ''),
-b AS (SELECT *, coalesce(nullif({_slug_sql('title')}, ''), 'heading-' || n) AS base FROM f), k AS (SELECT *, row_number() OVER (PARTITION BY page_id % 10, base ORDER BY n) - 1 AS k FROM b)
-SELECT page_id % 10 AS book, string_agg('- [' || title || '](#' || base || CASE WHEN k = 0 THEN '' ELSE '-' || k END || ')', chr(10) ORDER BY n) AS toc FROM k GROUP BY book""")
+@query(f"""WITH s AS (SELECT page_id, {_H1} AS title FROM pages), f AS (SELECT page_id, title, row_number() OVER (PARTITION BY page_id % 10
+  ORDER BY page_id) AS n FROM s WHERE title <> ''),
+b AS (SELECT *, coalesce(nullif({_slug_sql('title')}, ''), 'heading-' || n) AS base FROM f), k AS (SELECT *,
+  row_number() OVER (PARTITION BY page_id % 10, base ORDER BY n) - 1 AS k FROM b)
+SELECT page_id % 10 AS book, string_agg('- [' || title || '](#' || base || CASE WHEN k = 0 THEN '' ELSE '-' || k END || ')', chr(10)
+  ORDER BY n) AS toc FROM k GROUP BY book""")
 def toc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = h1_titles(t(spark, sf_dir, "pages")).withColumn("book", F.col("page_id") % 10).withColumn("level", F.lit(1))
     return render.render_toc(render.toc_entries(rows, ["book"], ["page_id"]), ["book"])
 
 
-@query("""WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+@query("""WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents),
 c AS (SELECT doc_id, length(lang) % 3 + length(source) % 4 AS cursor, substr(lang, 1, 1) AS title FROM documents)
-SELECT c.doc_id, c.cursor, CAST(min(pos) AS INT) AS pos FROM c LEFT JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor AND starts_with(lower(h.line), c.title) GROUP BY ALL""")
+SELECT c.doc_id, c.cursor, CAST(min(pos) AS INT) AS pos FROM c LEFT JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor
+  AND starts_with(lower(h.line), c.title) GROUP BY ALL""")
 def heading_first_match_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line at or after a document's cursor that begins with its title."""
     docs = t(spark, sf_dir, "documents")

@@ -215,7 +215,8 @@ def typed_items(paragraphs: DataFrame) -> DataFrame:
     items = F.when(kind == "list", sequence.split_by_break(F.col("inlines"))).otherwise(F.array("inlines"))
     rows = shown.withColumn("n_items", F.size(items)).select("*", F.posexplode(items).alias("item_ord", "item"))
     short = {"list": "list", "admonition": "adm", "admonition_title": "title"}
-    rows = rows.withColumn("type", functools.reduce(lambda c, kv: c.when(kind == kv[0], kv[1]), short.items(), F.when(F.lit(False), "")).otherwise("other"))
+    rows = rows.withColumn("type", functools.reduce(lambda c, kv: c.when(kind == kv[0], kv[1]), short.items(), F.when(F.lit(False),
+        "")).otherwise("other"))
     marker = F.concat_ws("|", F.col("ordered").cast("string"), "marker")
     rows = rows.withColumn("run_key", F.when(F.col("type") == "list", marker).when(F.col("type") == "adm", F.col("variant")))
     last = F.col("item_ord") == F.col("n_items") - 1
@@ -259,7 +260,8 @@ def to_blocks(paragraphs: DataFrame, o: Options) -> DataFrame:
         """A block a run, where the run's first item stands."""
         lines = F.transform(F.array_sort(F.collect_list(F.struct(*ordering, "line"))), lambda x: x["line"]).alias("lines")
         made = rows.groupBy(*keys, "block_no").agg(F.min("para_ord").alias("para_ord"), lines, *more)
-        fixed = {"section": F.lit("body"), "sub_ord": F.lit(0), "kind": F.lit(kind), "md": md, "src": none, "alt": none, "level": no_int, "plain": none}
+        fixed = {"section": F.lit("body"), "sub_ord": F.lit(0), "kind": F.lit(kind), "md": md, "src": none, "alt": none, "level": no_int,
+            "plain": none}
         return made.withColumns(fixed).select(*BLOCKS)
 
     items = numbered_items(runs, keys, ordering, o.keep_all_sublists)
@@ -305,7 +307,8 @@ def asset_requests(paragraphs: DataFrame) -> DataFrame:
 def toc_entries(parts: DataFrame, placed: DataFrame) -> DataFrame:
     """(book_id, ord, is_unit, text): paragraphs of the contents' styles, anywhere in a story, in reading order."""
     rows = package.all_paragraphs(parts).withColumn("style", X.style_name(F.col("style")))
-    rows = rows.filter(F.col("style").isin(toc.UNIT_STYLE, *toc.ENTRY_STYLES)).join(placed.select("book_id", "story_id", "story_ord"), ["book_id", "story_id"])
+    rows = rows.filter(F.col("style").isin(toc.UNIT_STYLE, *toc.ENTRY_STYLES)).join(placed.select("book_id", "story_id", "story_ord"),
+        ["book_id", "story_id"])
     text = X.strip(F.regexp_replace("text", "[  ]+", " "))
     rows = rows.withColumn("text", text).filter("text <> ''")
     ordinal = F.col("story_ord").cast("long") * 1_000_000 + F.col("ord")
@@ -329,7 +332,8 @@ def plan_assets(requests: DataFrame, files: DataFrame, vector_converter: Convert
     vectors = wanted.join(made, names, "left").withColumns({"status": status, "rel_path": path, "class": F.lit("vector")})
     columns = [*names, "class", "status", "rel_path", "ord"]
     copied = files.join(rasters.filter("status = 'copied'").select(*names, "rel_path"), names).select("book_id", "rel_path", "content")
-    drawn = made.filter("made = 'converted'").select("book_id", F.concat(F.lit("assets/vector/"), "out_name").alias("rel_path"), F.col("out").alias("content"))
+    drawn = made.filter("made = 'converted'").select("book_id", F.concat(F.lit("assets/vector/"), "out_name").alias("rel_path"),
+        F.col("out").alias("content"))
     return rasters.select(*columns).unionByName(vectors.select(*columns)), copied.unionByName(drawn.dropDuplicates(["book_id", "rel_path"]))
 
 
@@ -469,7 +473,8 @@ def report_rows(book: Book, rules: dict[str, Any], titles: DataFrame | None = No
         o = book.options
         per_unit = [F.count_if(F.col("unit_index") == u) for u in range(1, o.units + 1)]
         tables_.append(book.chapters.groupBy("book_id").agg(
-            F.count_distinct("unit_index").alias("units_emitted"), F.array(*per_unit).alias("chapters_emitted_per_unit"), F.count("*").alias("anchors_matched")
+            F.count_distinct("unit_index").alias("units_emitted"), F.array(*per_unit).alias("chapters_emitted_per_unit"),
+                F.count("*").alias("anchors_matched")
         ))
         tables_.append(book.anchors.groupBy("book_id").agg(F.min("off").alias("pdf_offset_detected")))
         tables_.append(book.manifest.groupBy("book_id").agg(_in_order(F.col("title"), "unit_index", "chap_index").alias("manifest_chapter_titles")))

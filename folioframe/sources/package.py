@@ -95,9 +95,11 @@ def broken(parts: DataFrame) -> DataFrame:
 def spreads(parts: DataFrame) -> DataFrame:
     """(book_id, member, spread_index, is_master): order of the design map, masters numbered on after the spreads."""
     maps = parts.filter("member = 'designmap.xml'")
-    pages = maps.select("book_id", F.posexplode(F.regexp_extract_all("xml", F.lit(SPREAD.pattern), F.lit(1))).alias("i", "member"), F.lit(False).alias("is_master"))
+    pages = maps.select("book_id", F.posexplode(F.regexp_extract_all("xml", F.lit(SPREAD.pattern), F.lit(1))).alias("i", "member"),
+        F.lit(False).alias("is_master"))
     count = F.size(F.regexp_extract_all("xml", F.lit(SPREAD.pattern), F.lit(1)))
-    masters = maps.select("book_id", count.alias("n"), F.posexplode(F.regexp_extract_all("xml", F.lit(MASTER.pattern), F.lit(1))).alias("k", "member"))
+    masters = maps.select("book_id", count.alias("n"), F.posexplode(F.regexp_extract_all("xml", F.lit(MASTER.pattern), F.lit(1))).alias("k",
+        "member"))
     masters = masters.select("book_id", (F.col("n") + F.col("k")).alias("i"), "member", F.lit(True).alias("is_master"))
     return pages.unionByName(masters).withColumnRenamed("i", "spread_index")
 
@@ -111,8 +113,10 @@ def frames(parts: DataFrame) -> DataFrame:
             out = []
             for r in b.itertuples():
                 for k, el in enumerate(ET.fromstring(r.xml).iter("TextFrame")):
-                    out.append((r.book_id, el.get("Self") or "", el.get("ParentStory") or "", el.get("PreviousTextFrame") or "n", el.get("NextTextFrame") or "n", r.spread_index, k, r.is_master))
-            yield pd.DataFrame(out, columns=["book_id", "self_id", "parent_story", "prev_id", "next_id", "spread_index", "order_in_spread", "is_master"])
+                    out.append((r.book_id, el.get("Self") or "", el.get("ParentStory") or "", el.get("PreviousTextFrame") or "n",
+                        el.get("NextTextFrame") or "n", r.spread_index, k, r.is_master))
+            yield pd.DataFrame(out, columns=["book_id", "self_id", "parent_story", "prev_id", "next_id", "spread_index", "order_in_spread",
+                "is_master"])
 
     return rows.mapInPandas(parse, FRAMES)
 
@@ -161,14 +165,17 @@ def _paragraph(psr: ET.Element, follow_links: bool) -> tuple[list, list, list, l
                         cell_runs, cell_links, cell_styles, _ = _paragraph(p, follow_links)
                         styles += cell_styles
                         paras.append({"runs": cell_runs, "links": cell_links})
-                    cells.append({"name": c.get("Name") or "0:0", "row_span": int(c.get("RowSpan", "1")), "col_span": int(c.get("ColumnSpan", "1")), "paras": paras})
-                tables.append({"header_rows": int(el.get("HeaderRowCount", "0")), "body_rows": int(el.get("BodyRowCount", "0")), "columns": int(el.get("ColumnCount", "0")), "cells": cells})
+                    cells.append({"name": c.get("Name") or "0:0", "row_span": int(c.get("RowSpan", "1")),
+                        "col_span": int(c.get("ColumnSpan", "1")), "paras": paras})
+                tables.append({"header_rows": int(el.get("HeaderRowCount", "0")), "body_rows": int(el.get("BodyRowCount", "0")),
+                    "columns": int(el.get("ColumnCount", "0")), "cells": cells})
     return runs, links, styles, tables
 
 
 def paragraphs(parts: DataFrame, follow_links: bool = False) -> DataFrame:
     """Top-level paragraphs of every story, with their runs, anchored links, character styles and tables."""
-    stories = parts.filter(F.startswith("member", F.lit("Stories/Story_"))).select("book_id", F.regexp_extract("member", r"^Stories/Story_(.*)\.xml$", 1).alias("story_id"), "xml")
+    stories = parts.filter(F.startswith("member", F.lit("Stories/Story_"))).select("book_id", F.regexp_extract("member",
+        r"^Stories/Story_(.*)\.xml$", 1).alias("story_id"), "xml")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["book_id", "story_id", "para_ord", "style", "runs", "links", "char_styles", "tables"]
@@ -187,14 +194,16 @@ def paragraphs(parts: DataFrame, follow_links: bool = False) -> DataFrame:
 
 def all_paragraphs(parts: DataFrame) -> DataFrame:
     """(book_id, story_id, pos, ord, style, text) of every paragraph anywhere, those in cells and hyperlinks too."""
-    stories = parts.filter(F.startswith("member", F.lit("Stories/Story_"))).select("book_id", "pos", F.regexp_extract("member", r"^Stories/Story_(.*)\.xml$", 1).alias("story_id"), "xml")
+    stories = parts.filter(F.startswith("member", F.lit("Stories/Story_"))).select("book_id", "pos", F.regexp_extract("member",
+        r"^Stories/Story_(.*)\.xml$", 1).alias("story_id"), "xml")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r in b.itertuples():
                 for k, psr in enumerate(ET.fromstring(r.xml).iter("ParagraphStyleRange")):
-                    out.append((r.book_id, r.story_id, r.pos, k, psr.get("AppliedParagraphStyle") or "", "".join(c.text or "" for c in psr.iter("Content"))))
+                    out.append((r.book_id, r.story_id, r.pos, k, psr.get("AppliedParagraphStyle") or "",
+                        "".join(c.text or "" for c in psr.iter("Content"))))
             yield pd.DataFrame(out, columns=["book_id", "story_id", "pos", "ord", "style", "text"])
 
     return stories.mapInPandas(parse, "book_id string, story_id string, pos int, ord int, style string, text string")
@@ -203,4 +212,5 @@ def all_paragraphs(parts: DataFrame) -> DataFrame:
 def links(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(dir, basename, length, content) of linked files; columns that a query does not need are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("dir"), F.element_at(F.split("path", "/"), -1).alias("basename"), "length", "content")
+    return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("dir"), F.element_at(F.split("path", "/"),
+        -1).alias("basename"), "length", "content")

@@ -31,7 +31,8 @@ def drain(files: DataFrame, work: Callable[[DataFrame], DataFrame], results: str
 
 def arrivals(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """(window_start, event_type, n): arrivals in windows of event time, late rows dropped beyond the watermark."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), "event_type", "n")
+    return events.withWatermark("ts", late).groupBy(F.window("ts", width),
+        "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), "event_type", "n")
 
 
 def count_arrivals(events: DataFrame, results: str, checkpoint: str) -> StreamingQuery:
