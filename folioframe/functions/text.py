@@ -15,13 +15,21 @@ SHY = "\u00ad"
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
+def bound(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a column that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
-    """Without white space of any kind at either end; Spark's own trim takes blanks only."""
-    return F.btrim(c, F.lit(BLANKS))
+    """Without white space of any kind at either end. Spark trims blanks fast, and other characters only where there are any."""
+    rest = [b for b in BLANKS if b != " "]
+    ends = lambda x: F.substring(x, 1, 1).isin(rest) | F.substring(x, -1, 1).isin(rest)
+    return bound(F.trim(c), lambda x: F.when(ends(x), F.btrim(x, F.lit(BLANKS))).otherwise(x))
 
 
 def rstrip(c: Column) -> Column:
-    return F.rtrim(c, F.lit(BLANKS))
+    rest = [b for b in BLANKS if b != " "]
+    return bound(F.rtrim(c), lambda x: F.when(F.substring(x, -1, 1).isin(rest), F.rtrim(x, F.lit(BLANKS))).otherwise(x))
 
 
 def _class(points: list[int]) -> str:
@@ -36,6 +44,10 @@ def _class(points: list[int]) -> str:
     return "".join(out)
 
 
+#: Characters from here on are looked at one by one only in texts that have any.
+RARE = 0x200
+
+
 @functools.cache
 def decompositions() -> tuple[str, str, dict[str, str], str, str]:
     """Of all characters beyond ASCII: those that fold to one ASCII character and what to, those that fold to several, and two classes.
@@ -51,7 +63,9 @@ def decompositions() -> tuple[str, str, dict[str, str], str, str]:
             marks.append(point)
         elif unicodedata.decomposition(c):
             folded = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()
-            if len(folded) == 1 and folded.isascii():
+            if not folded:
+                marks.append(point)
+            elif len(folded) == 1 and folded.isascii():
                 one.append(c)
                 base.append(folded)
             elif any(map(str.isascii, folded)):
@@ -60,14 +74,21 @@ def decompositions() -> tuple[str, str, dict[str, str], str, str]:
 
 
 def fold(c: Column) -> Column:
-    """Lower case without accents: compatibility decomposition, combining marks gone. ASCII texts take the short way."""
+    """Lower case without accents: compatibility decomposition, combining marks gone.
+
+    Characters that fold to one are translated in every text; what folds to
+    several, and marks, are looked for where a text has rare characters.
+    """
     one, base, several, spelled_out, marks = decompositions()
     table = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
-    parts = F.split(c, f"(?<=[{spelled_out}])|(?=[{spelled_out}])")
-    spelled = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
-    whole = F.when(c.rlike(f"[{spelled_out}]"), spelled).otherwise(c)
-    bare = F.regexp_replace(F.lower(F.translate(whole, one, base)), f"[{marks}]+", "")
-    return F.when(c.rlike(r"[^\x00-\x7f]"), bare).otherwise(F.lower(c))
+    rare = _class(sorted(x for x in map(ord, several) if x < RARE)) + f"\\x{{{RARE:x}}}-\\x{{10ffff}}"
+
+    def spelled(x: Column) -> Column:
+        parts = F.split(x, f"(?<=[{spelled_out}])|(?=[{spelled_out}])")
+        whole = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
+        return F.regexp_replace(whole, f"[{marks}]+", "")
+
+    return bound(F.lower(F.translate(c, one, base)), lambda x: F.when(x.rlike(f"[{rare}]"), spelled(x)).otherwise(x))
 
 
 def normalize_search(c: Column) -> Column:
@@ -222,10 +243,16 @@ def candidate_page_numbers(text: Column) -> Column:
     return F.transform(F.filter(ends, lambda x: x.rlike(r"^[0-9]{1,4}$")), lambda x: x.cast("int"))
 
 
+def split_words(c: Column) -> Column:
+    """Cut at runs of any white space; the short way where a text has none but the usual."""
+    rare = r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+    return bound(c, lambda x: F.when(x.rlike(rare), F.split(x, f"[{BLANKS}]+")).otherwise(F.split(x, r"\s+")))
+
+
 def significant_words(text: Column, n: int) -> Column:
     """The first n words of the search form that are not all digits, from at most 3n raw words of lines that are no page number."""
     lines = F.filter(page_lines(text), lambda x: ~x.rlike(r"^[0-9]{1,4}$"))
-    raw = F.slice(F.filter(F.split(F.array_join(lines, " "), f"[{BLANKS}]+"), lambda w: w != ""), 1, 3 * n)
+    raw = F.slice(F.filter(split_words(F.array_join(lines, " ")), lambda w: w != ""), 1, 3 * n)
     found = F.filter(words(normalize_search(F.array_join(raw, " "))), lambda w: ~w.rlike("^[0-9]+$"))
     return F.array_join(F.slice(found, 1, n), " ")
 
