@@ -544,6 +544,34 @@ def test_decontamination_sql_finds_short_items(spark):
     assert rows(got) == rows(want) and len(got) > 7
 
 
+def test_block_pairs_and_sorted_groups(spark):
+    """Every two rows of a key meet in exactly one group, and no group holds more than about two blocks."""
+    import pyarrow as pa
+
+    rows = [(i % 3 if i < 90 else None, i) for i in range(120)] + [(7, 500)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    dealt = common.block_pairs(df, ["k"], "v", 8)
+    assert dealt.filter("k = 7").count() == 1
+    sizes, met = {}, {}
+    for r in dealt.collect():
+        sizes.setdefault((r["k"], r["bi"], r["bj"]), []).append((r["v"], r["bk"]))
+    for (k, bi, bj), members in sizes.items():
+        for v, bv in members:
+            for w, bw in members:
+                if v < w and (bi == bj or bv != bw):
+                    met[k, v, w] = met.get((k, v, w), 0) + 1
+    want = {(k, v, w) for k, v in rows for j, w in rows if k == j and v < w}
+    assert set(met) == want and set(met.values()) == {1} and max(map(len, sizes.values())) <= 24
+
+    def counted(table, starts):
+        for a, z in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            yield pa.record_batch([[table["k"][a].as_py()], [z - a], [sum(table["v"].slice(a, z - a).to_pylist())]], names=["k", "n", "s"])
+
+    known = df.filter("k is not null")
+    got = sorted(map(tuple, common.sorted_groups(known, ["k"], counted, "k long, n long, s long").collect()))
+    assert got == sorted((k, len(x), sum(x)) for k in (0, 1, 2, 7) for x in [[v for j, v in rows if j == k]])
+
+
 def test_most_frequent(spark):
     rows = [(f"k{i}", 1 + (i < 40) * 5 + (i < 3) * 900) for i in range(2000)]
     df = spark.createDataFrame(rows, "key string, n long")
