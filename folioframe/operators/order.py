@@ -20,7 +20,7 @@ def one_each(frames: DataFrame) -> DataFrame:
         "self_id") else f"_first.{c}").alias(c) for c in frames.columns])
 
 
-def thread_roots(frames: DataFrame, hops: int = 10_000) -> DataFrame:
+def thread_roots(frames: DataFrame, hops: int = 10_000, unique: bool = False) -> DataFrame:
     """(book_id, self_id, root_id): previous pointers followed to their end, one row a frame however often it is listed.
 
     Pointer doubling: every round looks up where each open frame's target itself
@@ -28,10 +28,10 @@ def thread_roots(frames: DataFrame, hops: int = 10_000) -> DataFrame:
     target is a root are settled and take no part in later rounds; each round
     writes the open frames only. A pointer to no known frame, or to itself, ends
     the chase at the last known one; a chase of ``hops`` steps ends where it
-    stands, as does a cycle.
+    stands, as does a cycle. ``unique`` says that no frame is listed twice.
     """
     pointer = F.nullif(F.nullif(F.coalesce("prev_id", F.lit("n")), F.lit("n")), F.lit(""))
-    known = one_each(frames.select("book_id", "self_id", "prev_id", *[c for c in PLACE if c in frames.columns]))
+    known = frames if unique else one_each(frames.select("book_id", "self_id", "prev_id", *[c for c in PLACE if c in frames.columns]))
     known = known.select("book_id", "self_id", F.nullif(pointer, F.col("self_id")).alias("up"))
     ids = known.select(F.col("book_id").alias("b"), F.col("self_id").alias("s"))
     at = (F.col("book_id") == F.col("b")) & (F.col("up") == F.col("s"))
@@ -55,10 +55,10 @@ def reading_order(frames: DataFrame, include_masters: bool = False) -> DataFrame
     rows = frames.filter(F.coalesce("parent_story", F.lit("")) != "")
     if not include_masters:
         rows = rows.filter(~F.col("is_master"))
-    rows = one_each(rows.select("book_id", "self_id", "parent_story", "prev_id", *PLACE))
+    rows = written(one_each(rows.select("book_id", "self_id", "parent_story", "prev_id", *PLACE)), "frames")
     first = rows.groupBy("book_id", "parent_story").agg(F.min(F.struct(*PLACE, "self_id")).alias("seen")).withColumn("self_id", F.col("seen.self_id"))
     at = rows.select("book_id", F.col("self_id").alias("root_id"), "spread_index", "order_in_spread", "is_master")
-    placed = first.join(thread_roots(rows), ["book_id", "self_id"]).join(at, ["book_id", "root_id"])
+    placed = first.join(thread_roots(rows, unique=True), ["book_id", "self_id"]).join(at, ["book_id", "root_id"])
     rank = F.row_number().over(Window.partitionBy("book_id").orderBy("is_master", "spread_index", "order_in_spread", "seen"))
     return placed.select(
         "book_id", F.col("parent_story").alias("story_id"), F.col("root_id").alias("first_frame_id"),

@@ -821,7 +821,7 @@ def toc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH h AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM documents),
 c AS (SELECT doc_id, length(lang) % 3 + length(source) % 4 AS cursor, substr(lang, 1, 1) AS title FROM documents)
-SELECT c.doc_id, c.cursor, CAST(min(pos) AS INT) AS pos FROM c LEFT JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor
+SELECT c.doc_id, c.cursor, CAST(min(pos) AS INT) AS pos FROM c JOIN h ON h.doc_id = c.doc_id AND h.pos >= c.cursor
   AND starts_with(lower(h.line), c.title) GROUP BY ALL""")
 def heading_first_match_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line at or after a document's cursor that begins with its title."""
@@ -829,7 +829,7 @@ def heading_first_match_range_join(spark: SparkSession, sf_dir: str) -> DataFram
     headings = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).withColumn("form", F.lower("line"))
     cursor = (F.length("lang") % 3 + F.length("source") % 4).cast("long")
     wanted = docs.select("doc_id", cursor.alias("cursor"), F.substring("lang", 1, 1).alias("title"))
-    return chunks.first_heading(wanted, headings, ["doc_id"]).drop("title")
+    return chunks.first_heading(wanted, headings, ["doc_id"]).drop("title").filter("pos is not null")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
