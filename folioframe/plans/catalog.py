@@ -283,7 +283,7 @@ def numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of books of five customers: a number near the page's place, some text, the customer; tabs about them."""
     k = F.col("o_orderkey")
     rows = t(spark, sf_dir, "orders").withColumn("book_id", F.floor(F.col("o_custkey") / 5))
-    rows = sequence.numbered(rows, ["book_id"], ["o_orderkey"], "n").withColumn("page_idx", F.col("n") - 1)
+    rows = sequence.numbered(rows, ["book_id"], ["o_orderkey"], "n").withColumn("page_idx", (F.col("n") - 1).cast("long"))
     first = (F.col("page_idx") + k % 4).cast("string")
     text = F.concat(first, F.lit("\t\ntext "), k.cast("string"), F.lit("\r\n\t "), F.col("o_custkey").cast("string"))
     return rows.select("book_id", "page_idx", text.alias("text"))
