@@ -2,7 +2,7 @@
 
 Texts are lower-cased words; an item is the set of its five-word shingles. An
 item of n < 5 words is its one n-word shingle, looked for among the n-word
-shingles of documents of five words or more. Items are partitioned by size; each
+shingles of all documents. Items are partitioned by size; each
 partition keeps, of every item, the bottom-k MinHash sketch with k the number of
 shingles that may be missing at the threshold, plus one. So a document that contains an
 item holds at least one sketch shingle: the search loses nothing. Documents too
@@ -15,9 +15,8 @@ whatever their number: a bitmap of fixed size keeps out shingles that no sketch
 has, the rest join the sketches, and the candidates' shingles join each other.
 
 Defined results: items and documents without words match nothing; a document
-shorter than five words has its whole sequence as its one shingle, so it holds
-a shorter item only if equal to it; repeated items and repeated documents each
-give their rows; null ids are carried. Only the named columns are read, so other
+shorter than five words can hold shorter items only; repeated items and repeated
+documents each give their rows; null ids are carried. Only the named columns are read, so other
 columns may have any name.
 """
 
@@ -125,8 +124,8 @@ class Index:
 
     def found(self, words: list[bytes]) -> Iterator[tuple[int | None, int, int]]:
         """(item_id, shingles wanted, shingles shared) of every item contained; n-word shingles for items of n words."""
-        for hasher in self.hashers if len(words) >= self.p.words else self.hashers[-1:]:
-            if candidates := self.search(hasher(words)):
+        for hasher in self.hashers:
+            if hasher.n <= len(words) and (candidates := self.search(hasher(words))):
                 own = shingles(words, hasher.n)
                 for i in sorted(candidates):
                     item_id, wanted, need = self.items[i]
@@ -220,19 +219,15 @@ def _met(keyed: DataFrame, items: DataFrame, p: Containment) -> DataFrame:
     hit = arrow_schema(doc_id=pa.int64(), sign=pa.int64(), n=pa.int32(), hash=pa.int64())
 
     def hashers(words: list[bytes], known: dict) -> Iterator[Hasher]:
-        """Of the lengths that items have: all for a document of five words or more, its own sequence for a shorter one."""
-        for n in lengths:
-            if n == p.words or len(words) >= p.words or n == len(words):
-                yield Hasher(n, known)
+        """Of the lengths that items' shingles have, those that fit the document."""
+        return (Hasher(n, known) for n in lengths if n <= len(words))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for b in slices(batches):
             for doc_id, sign, text in zip(b["doc_id"].to_pylist(), b["sign"].to_pylist(), b["text"].to_pylist(), strict=True):
                 words = words_of(text)
-                for hasher in hashers(words, known) if words else ():
-                    if hasher.n > len(words):
-                        continue
+                for hasher in hashers(words, known):
                     h = np.unique(hasher(words)).view(np.int64)
                     at = np.mod(h, p.bitmap_bits)
                     h = h[(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
@@ -244,7 +239,7 @@ def _met(keyed: DataFrame, items: DataFrame, p: Containment) -> DataFrame:
             for doc_id, sign, text in zip(b["doc_id"].to_pylist(), b["sign"].to_pylist(), b["text"].to_pylist(), strict=True):
                 words = words_of(text)
                 for n in lengths:
-                    if n <= len(words) and (len(words) >= p.words or n == len(words)):
+                    if n <= len(words):
                         own = shingles(words, n)
                         yield batch_of(exact, [doc_id] * len(own), [sign] * len(own), [n] * len(own), list(map(b" ".join, own)))
 

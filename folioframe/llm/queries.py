@@ -71,14 +71,14 @@ _WORDS = r"list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[
 _SHINGLES = "list_distinct(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i+{m}], ' ')))".format
 _FIVE = f"CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE {_SHINGLES(n=5, m=4)} END"
 
-#: Five-word shingles, and for items of n < 5 words the n-word shingles of documents of five words or more.
+#: Five-word shingles, and for items of n < 5 words the n-word shingles of all documents.
 DECONTAMINATION_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
      i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-     ds AS (SELECT doc_id, 5 AS n, unnest({_FIVE}) AS s FROM d
-            {"".join(f" UNION ALL SELECT doc_id, {n}, unnest({_SHINGLES(n=n, m=n - 1)}) FROM d WHERE len(w) >= 5 AND {n} IN (SELECT len(w) FROM i)" for n in (1, 2, 3, 4))}),
+     ds AS (SELECT doc_id, 5 AS n, unnest({_SHINGLES(n=5, m=4)}) AS s FROM d WHERE len(w) >= 5
+            {"".join(f" UNION ALL SELECT doc_id, {n}, unnest({_SHINGLES(n=n, m=n - 1)}) FROM d WHERE len(w) >= {n} AND {n} IN (SELECT len(w) FROM i)" for n in (1, 2, 3, 4))}),
      isz AS (SELECT item_id, w, {_FIVE} AS l FROM i),
-     ish AS (SELECT item_id, 5 AS n, unnest(l) AS s FROM isz UNION ALL SELECT item_id, len(w), array_to_string(w, ' ') FROM i WHERE len(w) BETWEEN 1 AND 4),
+     ish AS (SELECT item_id, least(len(w), 5) AS n, unnest(l) AS s FROM isz),
      m AS (SELECT doc_id, item_id, count(DISTINCT s) AS n_shared FROM ds JOIN ish USING (n, s) GROUP BY ALL)
 SELECT m.doc_id, m.item_id, CAST(len(l) AS BIGINT) AS n_shingles, CAST(n_shared AS BIGINT) AS n_shared, n_shared / len(l) AS containment
 FROM m JOIN isz USING (item_id) WHERE n_shared >= 0.8 * len(l)

@@ -173,19 +173,19 @@ def test_containment_odd(spark, odd, empty):
     joins = decontaminate.Containment(block_items=0, bitmap_bits=1 << 15)
     for q in (decontaminate.Containment(), joins):
         got = sorted(((r["doc_id"], r["item_id"]) for r in decontaminate.contained(odd, items, q).collect()), key=str)
-        assert got == sorted([(1, None), (1, None), (8, None), (None, 4), (None, 4)], key=str)
+        assert got == sorted([(1, 1), (1, 1), (1, None), (1, None), (8, 1), (8, None), (None, 4), (None, 4)], key=str)
         assert decontaminate.contained(empty, items, q).count() == 0 and decontaminate.contained(odd, items.filter(F.lit(False)), q).count() == 0
         assert decontaminate.drop_contaminated(odd, items, q).count() == len(ROWS) - 4 and decontaminate.drop_contaminated(odd, items, q).columns == odd.columns
 
 
 def test_containment_short_items(spark):
-    texts = {1: "so The quick, brown fox jumped", 2: "brown quick the fox jumped over", 3: "a quick brown dog sat", 4: "fox", 5: "one two three four five"}
+    texts = {1: "so The quick, brown fox jumped", 2: "brown quick the fox jumped over", 3: "a quick brown dog sat", 4: "fox", 5: "one two three four five", 6: "the quick brown", 7: "brown fox"}
     items = {1: "quick brown", 2: "the quick brown fox", 3: "fox", 4: "brown quick the", 5: "two four", 6: "one two three four five", 7: "x"}
     docs, rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
-    want = {(1, 1): 1, (1, 2): 1, (1, 3): 1, (2, 3): 1, (2, 4): 1, (3, 1): 1, (4, 3): 1, (5, 6): 1}
+    want = {(1, 1): 1, (1, 2): 1, (1, 3): 1, (2, 3): 1, (2, 4): 1, (3, 1): 1, (4, 3): 1, (5, 6): 1, (6, 1): 1, (7, 3): 1}
     for q in (decontaminate.Containment(), decontaminate.Containment(block_items=2)):
         assert {(r["doc_id"], r["item_id"]): r["n_shared"] for r in decontaminate.contained(docs, rows, q).collect()} == want
-    assert {r[0] for r in decontaminate.drop_contaminated(docs, rows.filter("item_id in (1, 2, 5)")).select("doc_id").collect()} == {2, 4, 5}
+    assert {r[0] for r in decontaminate.drop_contaminated(docs, rows.filter("item_id in (1, 2, 5)")).select("doc_id").collect()} == {2, 4, 5, 7}
 
 
 # 3
@@ -535,13 +535,13 @@ def test_licences_by_shuffle(spark, docs, odd):
 def test_decontamination_sql_finds_short_items(spark):
     import duckdb
 
-    texts = ["so The quick, brown fox jumped", "brown quick the fox jumped over", "a quick brown dog sat", "fox", "one two three four five six", "quick brown", None, ""]
+    texts = ["so The quick, brown fox jumped", "brown quick the fox jumped over", "a quick brown dog sat", "fox", "one two three four five six", "quick brown", "the quick brown", "a fox", "the quick brown fox", None, ""]
     marks = ["quick brown", "the quick brown fox", "fox", "brown quick the", "two four", "one two three four five", "x", None]
     documents, benchmark = pd.DataFrame(enumerate(texts), columns=["doc_id", "text"]), pd.DataFrame(enumerate(marks), columns=["item_id", "text"])  # noqa: F841
     want = duckdb.sql(queries.DECONTAMINATION_SQL).df()
     got = decontaminate.contained(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(marks)), "item_id long, text string")).toPandas()
     rows = lambda d: sorted(map(tuple, d[sorted(d.columns)].values.tolist()))
-    assert rows(got) == rows(want) and len(got) > 7
+    assert rows(got) == rows(want) and len(got) > 12
 
 
 def test_block_pairs_and_sorted_groups(spark):
