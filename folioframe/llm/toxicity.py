@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, on_workers, slices, words_of
+from .common import arrow_map, arrow_schema, batch_of, held_out, id_and_text, learnable, on_workers, slices, words_of, written
 
 _hash = partial(xxhash.xxh64_intdigest, seed=7)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -148,14 +148,20 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, p: Ftrl, label_col: str = "toxic") -> DataFrame:
-    """(key, label, text) of the labelled documents learned from, one row an id, within both bounds."""
+    """(key, label, text) of the labelled documents learned from, one row an id, within both bounds.
+
+    The bytes are added up over sizes alone, so texts beyond the bound are left where they are.
+    """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     marked = marked.filter(F.col("label").isin(0, 1) & learnable()).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = marked.withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id").limit(p.sample_rows)
     texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id").groupBy("key", "doc_id", "label").agg(F.min("text").alias("text"))
-    # one window over rows that the bound above keeps few
-    held = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    return texts.withColumn("held", held).filter(F.col("held") <= p.sample_bytes).select("key", "label", "text")
+    texts = written(texts, "labelled")
+    sizes = texts.select("key", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    # one window over as many pairs of numbers as the bound above lets through
+    held = F.sum("bytes").over(Window.orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    within = sizes.withColumn("held", held).filter(F.col("held") <= p.sample_bytes).select("doc_id")
+    return texts.join(F.broadcast(within), "doc_id", "left_semi").select("key", "label", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
