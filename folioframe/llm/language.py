@@ -36,14 +36,15 @@ class Backoff:
     """``sample_rows`` and ``sample_bytes`` bound the labelled rows learned from, in expectation: equal shares of them go to each language.
 
     All words of the sample are known, and all their n-grams, so these bounds
-    also bound what is broadcast.
+    also bound what is broadcast. A worker remembers words of texts up to
+    ``remembered`` numbers, one a word and language.
     """
 
     sample_rows: int = 20_000
     sample_bytes: int = 64 << 20
     longest: int = 5
     witnesses: int = 20
-    remembered: int = 300_000
+    remembered: int = 4_000_000
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -122,7 +123,7 @@ class Scorer:
         self.langs, self.p, self.m = m.langs, p, m
         self.words, self.grams = ({name: i for i, name in enumerate(names)} for names in (m.words, m.grams))
         self.at: dict[bytes, int] = {}
-        self.rows = np.zeros((p.remembered * 2, len(self.langs)))
+        self.rows = np.zeros((p.remembered // max(1, len(self.langs)), len(self.langs)))
 
     def word(self, word: str) -> np.ndarray:
         """Log frequency of a word in each language, by backoff where it is unknown."""
