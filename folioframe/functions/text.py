@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SHY = "\u00ad"
 #: What Python and Unicode call white space, for trimming.
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Those of them that are spaces to Unicode (category Zs).
+SPACES = "".join(c for c in BLANKS if unicodedata.category(c) == "Zs")
 
 
 def bound(c: Column, body: Callable[[Column], Column]) -> Column:

@@ -6,6 +6,8 @@ story, not the corpus, bounds a task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,8 +71,13 @@ def carried(rows: DataFrame, value: Column, keys: list[str], order: list[str], n
         ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def split_by_break(inlines: Column) -> Column:
-    """Items of an inline array: cut at line breaks, blank items dropped; the whole if all are blank."""
+def filled_item(item: Column, bare: Callable[[Column], Column] = strip) -> Column:
+    """Whether an item has text that ``bare`` leaves something of."""
+    return F.exists(item, lambda i: bare(F.coalesce(i["text"], F.lit(""))) != "")
+
+
+def split_by_break(inlines: Column, bare: Callable[[Column], Column] = strip) -> Column:
+    """Items of an inline array: cut at line breaks, those blank to ``bare`` dropped; the whole if all are blank."""
     kind = "struct<kind:string,text:string>"
     start = F.struct(F.array().cast(f"array<array<{kind}>>").alias("done"), F.array().cast(f"array<{kind}>").alias("now"))
     cut = F.aggregate(
@@ -82,7 +89,7 @@ def split_by_break(inlines: Column) -> Column:
         ),
         lambda acc: acc["done"],
     )
-    filled = F.filter(cut, lambda item: F.exists(item, lambda i: strip(F.coalesce(i["text"], F.lit(""))) != ""))
+    filled = F.filter(cut, lambda item: filled_item(item, bare))
     return F.when(F.size(filled) > 0, filled).otherwise(F.array(inlines))
 
 
