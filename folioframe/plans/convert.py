@@ -144,7 +144,7 @@ def read_equations(files: DataFrame, cache: DataFrame | None = None) -> DataFram
     """(book_id, basename, status, mathml, sha1, latex, latex_error) of EPS files (book_id, basename, content), one row a name."""
     eps = files.filter(X.extension(F.col("basename")) == ".eps")
     eps = eps.select("book_id", "basename", eq.eps_text(F.col("content")).alias("text")).dropDuplicates(["book_id", "basename"])
-    return latex.converted(eq.extract(eps).drop("text"), cache)
+    return latex.converted(written(eq.extract(eps).drop("text"), "extracted"), cache)
 
 
 def cell_links(found_in: Column) -> Column:
