@@ -2,54 +2,64 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.offsets import positions
-from ..functions.text import strip
-from ..session import on_workers
+from ..session import made_rows
 
 POSITIONS = "book_id string, unit_index int, chap_index int, start int, chunk_end int"
+CHAPTERS = "book_id string, unit_index int, chap_index int, text string"
 
 
 class ChapterSplitError(ValueError):
     """A chapter that is not found, or is empty."""
 
 
-def chapter_positions(markdown: DataFrame, anchors: DataFrame, sentinels: DataFrame | None = None, snap_to_line: bool = False) -> DataFrame:
-    """(book_id, unit_index, chap_index, start, chunk_end): one search a book, as each starts where the last ended.
-
-    A book is one row of text and a few anchors: that bounds a group.
-    """
+def _wanted(markdown: DataFrame, anchors: DataFrame, sentinels: DataFrame | None) -> DataFrame:
+    """(book_id, markdown, wanted, sentinel): a book's text with its chapters in order."""
     chapter = F.struct("unit_index", "chap_index", "title", "start_anchor")
     wanted = anchors.groupBy("book_id").agg(F.array_sort(F.collect_list(chapter)).alias("wanted"))
     rows = markdown.select("book_id", "markdown").join(wanted, "book_id")
     if sentinels is None:
-        rows = rows.withColumn("sentinel", F.lit(None).cast("string"))
-    else:
-        rows = rows.join(sentinels.select("book_id", "sentinel"), "book_id", "left")
+        return rows.withColumn("sentinel", F.lit(None).cast("string"))
+    return rows.join(sentinels.select("book_id", "sentinel"), "book_id", "left")
+
+
+def _found(markdown: str, wanted: list[dict], sentinel: str | None, snap_to_line: bool) -> Iterator[tuple[int, int, int, int]]:
+    """(unit_index, chap_index, start, chunk_end) of a book's chapters; -1 for what is not found."""
+    found, end = positions(markdown, [(w["title"], w["start_anchor"] or "") for w in wanted], sentinel, snap_to_line)
+    known, k = [p for p in found if p >= 0], 0
+    for w, p in zip(wanted, found, strict=True):
+        k += p >= 0
+        yield w["unit_index"], w["chap_index"], p, (known[k] if k < len(known) else end) if p >= 0 else -1
+
 
-    on_workers(markdown.sparkSession)
+def chapter_positions(markdown: DataFrame, anchors: DataFrame, sentinels: DataFrame | None = None, snap_to_line: bool = False) -> DataFrame:
+    """(book_id, unit_index, chap_index, start, chunk_end): one search a book, as each starts where the last ended.
+
+    A book is one row of text and a few anchors: that bounds what a worker holds.
+    """
 
-    @F.udf("array<struct<unit_index:int,chap_index:int,start:int,chunk_end:int>>", useArrow=True)
-    def search(markdown, wanted, sentinel):
-        found, end = positions(markdown, [(w["title"], w["start_anchor"] or "") for w in wanted], sentinel, snap_to_line)
-        known = [p for p in found if p >= 0]
-        out, k = [], 0
-        for w, p in zip(wanted, found, strict=True):
-            k += p >= 0
-            out.append((w["unit_index"], w["chap_index"], p, (known[k] if k < len(known) else end) if p >= 0 else -1))
-        return out
+    def search(book, markdown, wanted, sentinel):
+        return ((book, *at) for at in _found(markdown, wanted, sentinel, snap_to_line))
 
-    return rows.select("book_id", F.explode(search("markdown", "wanted", "sentinel")).alias("p")).select("book_id", "p.*")
+    return made_rows(_wanted(markdown, anchors, sentinels), search, POSITIONS)
 
 
 def split(markdown: DataFrame, anchors: DataFrame, sentinels: DataFrame | None = None, strict: bool = True, snap_to_line: bool = False) -> DataFrame:
-    """(book_id, unit_index, chap_index, text); a chapter missing or empty is an error, or under ``strict=False`` a row of null."""
-    at = chapter_positions(markdown, anchors, sentinels, snap_to_line)
-    cut = strip(F.expr("substring(markdown, start + 1, chunk_end - start)"))
-    text = F.when(F.col("start") >= 0, F.nullif(cut, F.lit(""))).alias("text")
-    rows = at.join(markdown, "book_id").select("book_id", "unit_index", "chap_index", text)
+    """(book_id, unit_index, chap_index, text); a chapter missing or empty is an error, or under ``strict=False`` a row of null.
+
+    Texts are cut where they are searched, so that they are made and moved once.
+    """
+
+    def cut(book, markdown, wanted, sentinel):
+        for unit, chapter, start, end in _found(markdown, wanted, sentinel, snap_to_line):
+            yield book, unit, chapter, (markdown[start:end].strip() or None) if start >= 0 else None
+
+    rows = made_rows(_wanted(markdown, anchors, sentinels), cut, CHAPTERS)
     if strict and (bad := rows.filter("text is null").limit(3).collect()):
         raise ChapterSplitError("; ".join(f"{r['book_id']} {r['unit_index']}.{r['chap_index']}: not found or empty" for r in bad))
     return rows

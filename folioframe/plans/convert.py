@@ -390,7 +390,7 @@ def _add_chapters(book: Book, parts: DataFrame, placed: DataFrame, pages: DataFr
     """Contents, anchors and chapters of a book's tables; what stopped books is returned by stage."""
     entries = written(toc_entries(parts, placed), "contents")
     listed = toc.chapters(toc.unit_groups(entries))
-    book.manifest = toc.manifest(entries, o.units, o.per_unit, strict)
+    book.manifest = written(toc.manifest(entries, o.units, o.per_unit, strict), "manifest")
     if strict:
         book.anchors = anchor_ops.anchors(pages, book.manifest).drop("problem")
         ends = anchor_ops.sentinels(pages, book.manifest, book.anchors)
@@ -403,7 +403,7 @@ def _add_chapters(book: Book, parts: DataFrame, placed: DataFrame, pages: DataFr
     where = F.format_string("chapter %d.%d: %s", "unit_index", "chap_index", "problem")
     bad += [_problem(without, 1), _problem(anchors.filter("problem is not null").withColumn("problem", where), 2)]
     book.anchors = anchors.join(anchors.filter("problem is not null").select("book_id").distinct(), "book_id", "left_anti").drop("problem")
-    ends = anchor_ops.sentinels(pages, book.manifest, book.anchors)
+    ends = written(anchor_ops.sentinels(pages, book.manifest, book.anchors), "ends")
     book.chapters = written(chunks.split(book.markdown, book.anchors, ends, strict=False, snap_to_line=o.snap_to_line), "chapters")
     lost = F.format_string("chapter %d.%d not found or empty", "unit_index", "chap_index")
     return [*bad, _problem(book.chapters.filter("text is null").withColumn("problem", lost), 3)]

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,46 @@ def on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = f"{root}:{env['PYTHONPATH']}" if env.get("PYTHONPATH") else root
 
 
+#: Output of ``made_rows`` that a worker gathers at most before it hands it on: rows, and characters or bytes read and made.
+PIECE_ROWS, PIECE_SIZE = 512, 1 << 20
+
+
+def _size(values: Iterable[Any]) -> int:
+    return sum(len(v) for v in values if isinstance(v, str | bytes))
+
+
+def made_rows(rows: DataFrame, each: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:
+    """Rows of ``schema`` that ``each`` makes in a Python worker, called once a row with the row's columns.
+
+    Beside Spark's own Arrow batch of the input, which Spark bounds, a worker holds one input row and one
+    piece of output: how many rows a batch or a task has does not matter.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    on_workers(rows.sparkSession)
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[dict] = []
+        size = 0
+        for b in batches:
+            for i in range(b.num_rows):
+                given = [c[i].as_py() for c in b.columns]
+                size += _size(given)
+                for made in each(*given):
+                    out.append(dict(zip(arrow.names, made, strict=True)))
+                    size += _size(made)
+                    if len(out) >= PIECE_ROWS or size >= PIECE_SIZE:
+                        yield pa.RecordBatch.from_pylist(out, schema=arrow)
+                        out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
 def session(app: str = "folioframe", **conf: str) -> SparkSession:
     """An active session, or a local one: adaptive execution, UTC, Arrow."""
     if (active := SparkSession.getActiveSession()) is not None:
