@@ -1,7 +1,7 @@
 """Packages: archives of XML to tables of members, frames, paragraphs and style names.
 
-Archives arrive as ``binaryFile`` rows and are parsed where they are, one Arrow
-batch at a time. XML is read by a Python worker because Spark's XML functions
+Archives arrive as ``binaryFile`` rows and are parsed where they are, one at a
+time, and handed on in small pieces. XML is read by a Python worker because Spark's XML functions
 group children by tag and so lose the order of text and breaks.
 """
 
@@ -13,13 +13,12 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import style_name
 from ..operators.styles import small
-from ..session import on_workers
+from ..session import made_rows, on_workers
 
 RUN = "struct<kind:string,text:string,font:string,position:string>"
 PARA = f"struct<runs:array<{RUN}>,links:array<array<string>>>"
@@ -75,16 +74,13 @@ def members(pkgs: DataFrame) -> DataFrame:
                     raise ValueError(f"{name}: {e}") from e
         return found
 
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for book, content in zip(b["book_id"], b["content"], strict=True):
-                try:
-                    rows = [(book, name, i, xml, None) for i, (name, xml) in enumerate(contents(bytes(content)))]
-                except Exception as e:  # a broken archive is a row, not the job's end
-                    rows = [(book, None, None, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(rows, columns=["book_id", "member", "pos", "xml", "error"]).astype({"pos": "Int32"})
+    def unzip(book: str, content: bytes) -> list[tuple]:
+        try:
+            return [(book, name, i, xml, None) for i, (name, xml) in enumerate(contents(content))]
+        except Exception as e:  # a broken archive is a row, not the job's end
+            return [(book, None, None, None, f"{type(e).__name__}: {e}")]
 
-    return pkgs.select("book_id", "content").mapInPandas(unzip, MEMBERS)
+    return made_rows(pkgs.select("book_id", "content"), unzip, MEMBERS)
 
 
 def broken(parts: DataFrame) -> DataFrame:
@@ -108,17 +104,12 @@ def frames(parts: DataFrame) -> DataFrame:
     """All text frames of spreads and masters, ordered within their spread; missing pointers are ``n``."""
     rows = spreads(parts).join(parts.select("book_id", "member", "xml"), ["book_id", "member"])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for r in b.itertuples():
-                for k, el in enumerate(ET.fromstring(r.xml).iter("TextFrame")):
-                    out.append((r.book_id, el.get("Self") or "", el.get("ParentStory") or "", el.get("PreviousTextFrame") or "n",
-                        el.get("NextTextFrame") or "n", r.spread_index, k, r.is_master))
-            yield pd.DataFrame(out, columns=["book_id", "self_id", "parent_story", "prev_id", "next_id", "spread_index", "order_in_spread",
-                "is_master"])
+    def parse(book: str, spread_index: int, is_master: bool, xml: str) -> Iterator[tuple]:
+        for k, el in enumerate(ET.fromstring(xml).iter("TextFrame")):
+            at = (el.get("PreviousTextFrame") or "n", el.get("NextTextFrame") or "n")
+            yield book, el.get("Self") or "", el.get("ParentStory") or "", *at, spread_index, k, is_master
 
-    return rows.mapInPandas(parse, FRAMES)
+    return made_rows(rows.select("book_id", "spread_index", "is_master", "xml"), parse, FRAMES)
 
 
 def style_names(parts: DataFrame, tag: str = "ParagraphStyle") -> DataFrame:
@@ -177,19 +168,14 @@ def paragraphs(parts: DataFrame, follow_links: bool = False) -> DataFrame:
     stories = parts.filter(F.startswith("member", F.lit("Stories/Story_"))).select("book_id", F.regexp_extract("member",
         r"^Stories/Story_(.*)\.xml$", 1).alias("story_id"), "xml")
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["book_id", "story_id", "para_ord", "style", "runs", "links", "char_styles", "tables"]
-        for b in batches:
-            out = []
-            for r in b.itertuples():
-                root = ET.fromstring(r.xml)
-                story = root if root.tag == "Story" else root.find(".//Story")
-                for k, psr in enumerate(story.findall("ParagraphStyleRange") if story is not None else []):
-                    runs, links, styles, tables = _paragraph(psr, follow_links)
-                    out.append((r.book_id, r.story_id, k, psr.get("AppliedParagraphStyle") or "", runs, links, styles, tables))
-            yield pd.DataFrame(out, columns=names)
+    def parse(book: str, story_id: str, xml: str) -> Iterator[tuple]:
+        root = ET.fromstring(xml)
+        story = root if root.tag == "Story" else root.find(".//Story")
+        for k, psr in enumerate(story.findall("ParagraphStyleRange") if story is not None else []):
+            runs, links, styles, tables = _paragraph(psr, follow_links)
+            yield book, story_id, k, psr.get("AppliedParagraphStyle") or "", runs, links, styles, tables
 
-    return stories.mapInPandas(parse, PARAGRAPHS)
+    return made_rows(stories, parse, PARAGRAPHS)
 
 
 def all_paragraphs(parts: DataFrame) -> DataFrame:
@@ -197,16 +183,11 @@ def all_paragraphs(parts: DataFrame) -> DataFrame:
     stories = parts.filter(F.startswith("member", F.lit("Stories/Story_"))).select("book_id", "pos", F.regexp_extract("member",
         r"^Stories/Story_(.*)\.xml$", 1).alias("story_id"), "xml")
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for r in b.itertuples():
-                for k, psr in enumerate(ET.fromstring(r.xml).iter("ParagraphStyleRange")):
-                    out.append((r.book_id, r.story_id, r.pos, k, psr.get("AppliedParagraphStyle") or "",
-                        "".join(c.text or "" for c in psr.iter("Content"))))
-            yield pd.DataFrame(out, columns=["book_id", "story_id", "pos", "ord", "style", "text"])
+    def parse(book: str, pos: int, story_id: str, xml: str) -> Iterator[tuple]:
+        for k, psr in enumerate(ET.fromstring(xml).iter("ParagraphStyleRange")):
+            yield book, story_id, pos, k, psr.get("AppliedParagraphStyle") or "", "".join(c.text or "" for c in psr.iter("Content"))
 
-    return stories.mapInPandas(parse, "book_id string, story_id string, pos int, ord int, style string, text string")
+    return made_rows(stories, parse, "book_id string, story_id string, pos int, ord int, style string, text string")
 
 
 def links(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
