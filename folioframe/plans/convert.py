@@ -2,7 +2,7 @@
 
 Stages are DataFrames that callers can query. Order is explicit everywhere:
 story, paragraph, item. What is read more than once (parsed packages, resolved
-paragraphs, converted vectors) is written to the shared folder, so that a lost
+paragraphs, converted vectors, rendered blocks) is written to the shared folder, so that a lost
 executor costs no second parse; ``session.drop_scratch`` removes it.
 """
 
@@ -372,7 +372,8 @@ def plan(
     paragraphs = written(resolved_paragraphs(parts, placed, rules, equations, o), "paragraphs")
     requests = asset_requests(paragraphs)
     found, outputs = plan_assets(requests, files, vector_converter) if files is not None else (None, None)
-    blocks = with_paths(to_blocks(paragraphs, o), found)
+    found = written(found, "assets") if found is not None else None
+    blocks = written(with_paths(to_blocks(paragraphs, o), found), "blocks")
     markdown = render.document(blocks, ["book_id"], PLACE)
     book = Book(paragraphs, blocks, markdown, equations=equations, requests=requests, assets=found, outputs=outputs, options=o)
     if pages is not None:
