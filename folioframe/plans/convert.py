@@ -167,6 +167,8 @@ def resolved_paragraphs(parts: DataFrame, placed: DataFrame, rules: dict[str, An
         rows = rows.withColumn("kind", F.when(F.col("mapped"), F.col("kind")).otherwise("drop"))
     rows = rows.withColumn("base", inlines_of(F.col("runs"))).withColumn("found", anchored(F.col("links")))
     rows = rows.withColumn("cell_found", anchored(cell_links(F.col("tables"))))
+    if equations is not None:  # read twice below: the stories are parsed once
+        rows = written(rows, "parsed")
     none = F.create_map().cast(KNOWN)
     if equations is None:
         rows = rows.withColumn("known", none)
