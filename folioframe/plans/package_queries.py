@@ -19,9 +19,19 @@ OVERLAY = {"paragraph_styles": samples.RULES, "character_styles": {"Bold": {}, "
 OPTIONS = convert.Options(overlay=OVERLAY, units=1, per_unit=2)
 
 
+@functools.cache
+def _packages(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(samples.packages(spark, sf_dir), "packages")
+
+
+def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All packages, made once a session."""
+    return _packages(spark.sparkContext.applicationId, spark, sf_dir)
+
+
 @functools.cache
 def _parts(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(package.members(samples.packages(spark, sf_dir)), "parts")
+    return written(package.members(packages(spark, sf_dir)), "parts")
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +41,7 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @functools.cache
 def _book(app: str, spark: SparkSession, sf_dir: str) -> convert.Book:
-    pkgs = written(samples.packages(spark, sf_dir), "packages")
+    pkgs = packages(spark, sf_dir)
     books = pkgs.select("book_id")
     return convert.plan(spark, pkgs, samples.page_text(books), samples.files(spark, books), OPTIONS, vector_converter=samples.drawn, strict=False)
 
@@ -137,8 +147,8 @@ UNION ALL SELECT 'Sumario:SUMARIO UNIDADE', count(*) FROM f WHERE self_id = 'fi'
   WHERE self_id = 'fi'""")
 def package_style_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraph styles by use over all packages; the one paragraph of the master's story is left out."""
-    rows = convert.inspect_styles(samples.packages(spark, sf_dir)).select("style", "n")
-    books = samples.packages(spark, sf_dir).count()
+    pkgs = packages(spark, sf_dir)
+    rows, books = convert.inspect_styles(pkgs).select("style", "n"), pkgs.count()
     return rows.withColumn("n", F.when(F.col("style") == "P", F.col("n") - books).otherwise(F.col("n"))).filter("n > 0")
 
 
