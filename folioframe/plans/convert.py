@@ -325,7 +325,7 @@ def plan_assets(requests: DataFrame, files: DataFrame, vector_converter: Convert
     rasters are read again where they are written, not kept in between.
     """
     names = ["book_id", "basename"]
-    rasters = assets.plan_rasters(requests.filter("class = 'raster'"), files).withColumn("class", F.lit("raster"))
+    rasters = written(assets.plan_rasters(requests.filter("class = 'raster'"), files).withColumn("class", F.lit("raster")), "rasters")
     wanted = requests.filter("class = 'vector'").select(*names, "ord")
     made = assets.convert_vectors(files.join(wanted, names, "left_semi"), vector_converter or (lambda name, data: None))
     made = written(made.withColumnRenamed("status", "made"), "vectors")
@@ -372,7 +372,7 @@ def plan(
     placed = written(order.reading_order(package.frames(parts), o.include_masters), "order")
     equations = written(read_equations(files, cache), "equations") if files is not None else None
     paragraphs = written(resolved_paragraphs(parts, placed, rules, equations, o), "paragraphs")
-    requests = asset_requests(paragraphs)
+    requests = written(asset_requests(paragraphs), "requests")
     found, outputs = plan_assets(requests, files, vector_converter) if files is not None else (None, None)
     found = written(found, "assets") if found is not None else None
     blocks = written(with_paths(to_blocks(paragraphs, o), found), "blocks")

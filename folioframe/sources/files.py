@@ -29,14 +29,19 @@ def replace(fs: pyarrow.fs.FileSystem, temporary: str, final: str) -> None:
         fs.move(temporary, final)
 
 
-def put(fs: pyarrow.fs.FileSystem, path: str, content: bytes) -> None:
-    """Write a file; it gets its name when it is whole, so a task that runs again replaces it."""
+def put(fs: pyarrow.fs.FileSystem, path: str, content: bytes, made: str | None = None) -> str:
+    """Write a file; it gets its name when it is whole, so a task that runs again replaces it.
+
+    The file's folder is returned; ``made`` is one that is known to be there.
+    """
     folder, _, name = path.rpartition("/")
-    fs.create_dir(folder, recursive=True)
+    if folder != made:
+        fs.create_dir(folder, recursive=True)
     temporary = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with fs.open_output_stream(temporary) as out:
         out.write(content)
     replace(fs, temporary, path)
+    return folder
 
 
 def write_files(rows: DataFrame, root: str) -> None:
@@ -45,7 +50,8 @@ def write_files(rows: DataFrame, root: str) -> None:
 
     def each(part: Iterator) -> None:
         fs, at = filesystem(root)
+        made = None
         for r in part:
-            put(fs, f"{at.rstrip('/')}/{r['path']}", bytes(r["content"]))
+            made = put(fs, f"{at.rstrip('/')}/{r['path']}", bytes(r["content"]), made)
 
     rows.select("path", "content").foreachPartition(each)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from folioframe.functions import latex
 from folioframe.operators import chunks
+from folioframe.plans import convert
 from folioframe.session import made_rows
 from folioframe.sources import package
 
@@ -62,3 +63,14 @@ def test_chapters_are_cut_in_one_pass(spark):
     got = {(r["book_id"], r["chap_index"]): r["text"] for r in cut.collect()}
     assert got == {("1", 1): "Der erste Teil\n\nText\n\n#", ("1", 2): "Der zweite Teil\n\nmehr", ("2", 1): None, ("2", 2): None}
     assert read.value == 2
+
+
+def test_files_to_write_are_not_planned_again(spark):
+    """What is asked for, and where rasters go, is decided once: writing reads the decisions and the contents."""
+    asked = [("1", f"img{i % 3}.jpg", "raster", (0, i, 0)) for i in range(3)] + [("1", "eq0.eps", "vector", (0, 9, 0))]
+    requests = spark.createDataFrame(asked, "book_id string, basename string, class string, ord struct<story_ord:int,para_ord:int,k:int>")
+    files = spark.createDataFrame([("1", "img0.jpg", bytearray(b"a")), ("1", "img1.jpg", bytearray(b"a")), ("1", "eq0.eps", bytearray(b"v"))], "book_id string, basename string, content binary")
+    found, outputs = convert.plan_assets(requests, files, lambda name, data: ("eq0.svg", data))
+    assert "sha1" not in outputs._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["basename"], r["status"]) for r in found.collect()} == {("img0.jpg", "copied"), ("img1.jpg", "alias"), ("img2.jpg", "missing"), ("eq0.eps", "converted")}
+    assert {(r["rel_path"], bytes(r["content"])) for r in outputs.collect()} == {("assets/img/img0.jpg", b"a"), ("assets/vector/eq0.svg", b"v")}
