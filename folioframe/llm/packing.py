@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.files import filesystem, replace
-from .common import arrow_map, arrow_schema, batch_of, id_and_text, scratch_path, slices
+from .common import arrow_map, arrow_schema, batch_of, id_and_text, scratch_path
 from .pretokens import pretokenizer
 
 
@@ -151,12 +151,12 @@ def write(docs: DataFrame, path: str, folder: str, layout: Layout = Layout()) ->
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, writer, part, k = pretokenizer(path), None, TaskContext.get().partitionId(), 0
         end = np.array([layout.end_id], tok.dtype).tobytes()
-        for b in slices(batches):
-            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+        for b in batches:
+            for doc_id, ids in zip(b["doc_id"].to_pylist(), tok.many(b["text"]), strict=True):
                 if writer is None:
                     name, k = f"part-{part:06d}-{k:04d}.arrow", k + 1
                     writer = Writer(folder, name, tok.dtype, layout)
-                writer.add(doc_id, tok.ids(text) + end)
+                writer.add(doc_id, ids + end)
                 if writer.total >= layout.file_ids:
                     writer.close()
                     yield batch_of(out, [part], [name], [len(writer.index)], [writer.total])

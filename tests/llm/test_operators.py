@@ -5,6 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -327,6 +328,37 @@ def test_pretokens_are_the_librarys():
         assert tok.ids(text) == np.array(tok.library.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), ascii(text)
 
 
+@pytest.mark.parametrize("at_once", [1, 40, 8 << 20])
+def test_many_texts_at_once_are_the_librarys(monkeypatch, at_once):
+    import random
+
+    monkeypatch.setattr(pretokens, "AT_ONCE", at_once)
+    monkeypatch.setattr(pretokens, "REMEMBERED", 200)
+    r, tok = random.Random(5), pretokens.Pretokenizer(BPE)
+    often = [" ", "  ", " \n", "'", "'s", "'ll", "'re", "'l", "'v", "e", "s", "\n", "\t", "\x85", "\u3000", "\u2003 ", "a", "B", "1", "²", "!", "é", "日", "\U0001f600", "\U00010400", "\x00", "\x1c", "\u0301"]
+    pool = [chr(c) for c in range(0x500)] + often * 80 + ["<|endoftext|>", "Ᲊ", "\U000e0fff", "\uffff"] * 8
+    texts = [None if r.random() < 0.05 else "".join(r.choice(pool) for _ in range(r.randrange(25))) for _ in range(6000)]
+    texts += ["it's 'so' we'll''s 'S x'", "'s", " 's", "\n's", "'", "' s", "a  b   c ", "x" * 300 + "  " + "y " * 90, " " * 200, "", None]
+    want = [np.array(x, "<u2").tobytes() for x in library_ids(texts)]
+    for kind in (pa.string(), pa.large_string()):
+        assert list(tok.many(pa.array(texts, kind))) == want
+    assert list(tok.many(pa.array(["left out", *texts], pa.string()).slice(1, 3000))) == want[:3000]
+    assert list(tok.many(pa.array([], pa.string()))) == [] and list(tok.many(pa.array([None], pa.string()))) == [b""]
+
+
+def test_many_texts_make_objects_of_distinct_pretokens_only(monkeypatch):
+    """A long text in parts, too: neither every pre-token nor a list of them is made in Python."""
+    monkeypatch.setattr(pretokens, "AT_ONCE", 1 << 16)
+    tok, met = pretokens.Pretokenizer(BPE), []
+    texts = ["it's the same few words, again\n" * 20] * 300 + [LONG]
+    want = [tok.ids(t) for t in texts]
+    codes = tok._codes
+    monkeypatch.setattr(tok, "_codes", lambda pieces: met.append(len(pieces)) or codes(pieces))
+    monkeypatch.setattr(tok, "find", None)
+    assert list(tok.many(pa.array(texts))) == want
+    assert max(met) <= 11 and len(met) < 12
+
+
 def test_token_counts_of_long_and_astral_pieces(spark):
     texts = ["-" * 500 + " x", "-" * 500, "😀 😀😀 mixed 𝐀𝟗 ok", "a" * 70 + "\U0001f600", "\U000e0fff unassigned", "𠀀𠀁" * 40]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 5)], "doc_id long, text string")
